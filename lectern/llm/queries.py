@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import mixing, sharding
+from . import mixing, packing, secrets, sharding
 
 QUERIES = {
     "op1_mixing": mixing.query,
+    "op2_packing": packing.query,
+    "op3_secrets": secrets.query,
     "op4_sharding": sharding.query,
 }
 
 ORACLES = {
     "op1_mixing": mixing.ORACLE,
+    "op3_secrets": secrets.ORACLE,
     "op4_sharding": sharding.ORACLE,
 }
