@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, hash_bucket, order_hash
+from .common import WORD, cut, hash_bucket, order_hash
 
 #: Largest number of copies of a document, and of a target as a multiple of its source's size.
 CAP = 3
@@ -73,8 +73,8 @@ def mix(df: DataFrame, size: Column, source: str = "source", key: str = "doc_id"
     told apart only by their row number, so that which of them is taken makes no difference. An empty
     table gives an empty table. Columns named like the outputs are replaced.
     """
-    buckets = df.count() // bucket_rows + 1
-    named = df.withColumn("size", size)
+    named = cut(df.withColumn("size", size), "sized")  # sizes are used in several places, and read once
+    buckets = named.count() // bucket_rows + 1
     keyed = named.withColumn("__s", F.col(source)).withColumn("__c", size_class(F.col("size"))).withColumn("__h", order_hash(key)).withColumn("__b", hash_bucket(F.col("__h"), buckets))
 
     counts = keyed.groupBy("__s", "__c", "__b").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"))
@@ -99,8 +99,8 @@ def mix(df: DataFrame, size: Column, source: str = "source", key: str = "doc_id"
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
-    return mix(docs, word_count(F.col("text"))).select("doc_id", "size", "source_size", "target", "taken")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    return mix(docs, F.col("size")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 ORACLE = """
