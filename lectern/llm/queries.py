@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, secrets, sharding
+from . import mixing, packing, records, sampling_fingerprints, secrets, sharding, simhash
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_packing": packing.query,
     "op3_secrets": secrets.query,
     "op4_sharding": sharding.query,
+    "op5_records": records.query,
+    "op6_simhash": simhash.query,
+    "op7_weighted_sampling": sampling_fingerprints.query,
 }
 
 ORACLES = {
