@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, records, sampling_fingerprints, secrets, sharding, simhash
+from . import mixing, packing, records, sampling_fingerprints, secrets, sharding, simhash, suffix_dedup
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_records": records.query,
     "op6_simhash": simhash.query,
     "op7_weighted_sampling": sampling_fingerprints.query,
+    "op10_suffix_dedup": suffix_dedup.query,
 }
 
 ORACLES = {
