@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, records, sampling_fingerprints, secrets, sharding, simhash, suffix_dedup
+from . import ann, mixing, packing, records, sampling_fingerprints, secrets, sharding, simhash, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -12,6 +12,8 @@ QUERIES = {
     "op5_records": records.query,
     "op6_simhash": simhash.query,
     "op7_weighted_sampling": sampling_fingerprints.query,
+    "op8_ann": ann.query,
+    "op9_toxicity": toxicity.query,
     "op10_suffix_dedup": suffix_dedup.query,
 }
 
