@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .common import cut
-from .tokens import Encoder, with_end
+from .tokens import encoder, with_end
 
 CAPACITY = 1024
 #: Slots are broadcast up to this number of rows (40 bytes each).
@@ -55,11 +55,11 @@ def pieces(df: DataFrame, tokenizer: str, end: int, capacity: int = CAPACITY, te
     """One row per piece: key, start, length, ids_crc32, doc_tokens, and its place (part, nth) among pieces of its length."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen, part = Encoder(tokenizer), np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
+        tokens, seen, part = encoder(tokenizer), np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                rows = batch.slice(at, 2000)
-                ids, ends = with_end(*encoder.encode(rows.column(1)), end)
+            for at in range(0, batch.num_rows, 4000):
+                rows = batch.slice(at, 4000)
+                ids, ends = with_end(*tokens.encode(rows.column(1)), end)
                 sizes = np.diff(ends)
                 many = -(-sizes // capacity)
                 row = np.repeat(np.arange(len(sizes)), many)

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from .common import scratch
 from .ordering import bucketed, ranges
-from .tokens import Encoder, with_end
+from .tokens import encoder, with_end
 
 _HEAD = struct.Struct("<QI")
 _CRC = struct.Struct("<I")
@@ -112,11 +112,11 @@ def write_records(df: DataFrame, folder: str, tokenizer: str, end: int, width: i
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, done = Encoder(tokenizer), None, []
+        encode, shard, done = encoder(tokenizer).encode, None, []
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                rows = batch.slice(at, 2000)
-                ids, ends = with_end(*encoder.encode(rows.column(1)), end)
+            for at in range(0, batch.num_rows, 4000):
+                rows = batch.slice(at, 4000)
+                ids, ends = with_end(*encode(rows.column(1)), end)
                 for i, (k, b) in enumerate(zip(rows.column(0).to_pylist(), rows.column(2).to_pylist(), strict=True)):
                     if shard is None or shard.number != b:
                         done += [shard.close()] if shard else []

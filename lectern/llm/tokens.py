@@ -3,64 +3,128 @@
 Both vocabularies used here cut a text before they merge: a cut always falls before a space that a
 non-space follows, and between a letter and the punctuation after it, whatever stands around. Texts are
 cut there, distinct stretches are encoded once, and their ids are laid out again; the result equals
-encoding each text by itself. Stretches that repeat are kept from batch to batch, up to `most`.
+encoding each text by itself. Stretches that repeat are kept from batch to batch and from task to task
+of a worker process, up to `most`.
 """
 
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MARK = "\x01"
+MARK, STOP = "\x01", "\x02"
 _SPACES = r"\s\x0b\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+#: Stretches that are encoded as one text, with a stop between them.
+_JOINED = 256
+#: What a stretch begins with, unless it begins a text.
+_BEGINS = " .,;:!?|"
 
 
 class Encoder:
     """Encodes Arrow arrays of strings; special tokens' strings in a text are ordinary text."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.most, self.known = most, {}
+        self.most = most
+        self._forget()
+        self.stop = self._find_stop()
+
+    def _forget(self) -> None:
+        self.slots: dict[str, int] = {}
+        self.flat, self.lengths = np.array([], np.uint32), np.array([], np.int64)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _find_stop(self) -> tuple[str, list[int]] | None:
+        """A string that keeps stretches apart in a joined text, and its ids; it must prove itself on all kinds of ends."""
+        ends = ["word", " word", ".", "...", " a \n", "é", " ß,", "7", " '", "|", "\n\n", " x́", " 's", " don't"]
+        alone = self._ids(ends)
+        pairs = [(a, b, x, y) for a, x in zip(ends, alone, strict=True) for b, y in zip(ends, alone, strict=True) if b[0] in _BEGINS]
+        for stop in (f" {STOP}", f" {STOP} "):
+            ids = self._ids([stop])[0]
+            if ids and all(self._ids([a + stop + b])[0] == x + ids + y for a, b, x, y in pairs):
+                return stop, ids
+        return None
+
+    def _one_by_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        each = self._ids(words)
+        lengths = np.fromiter(map(len, each), np.int64, len(each))
+        return np.fromiter(chain.from_iterable(each), np.uint32, int(lengths.sum())), lengths
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids and lengths of stretches that a cut begins."""
+        if self.stop is None or len(words) < 2 * _JOINED or any(STOP in w for w in words):
+            return self._one_by_one(words)
+        stop, ids = self.stop
+        joined = [stop.join(words[at : at + _JOINED]) + stop for at in range(0, len(words), _JOINED)]
+        flat = np.concatenate([np.array(x, np.uint32) for x in self._ids(joined)])
+        last = np.flatnonzero(flat == ids[-1])
+        if len(last) != len(words):
+            return self._one_by_one(words)
+        lengths = np.diff(last, prepend=-1) - len(ids)
+        keep = np.ones(len(flat), bool)
+        for back in range(len(ids)):
+            keep[last - back] = False
+        return flat[keep], lengths
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat uint32 ids and offsets (n + 1); null counts as empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         if pc.any(pc.match_substring(texts, MARK)).as_py():
-            each = self._ids(texts.to_pylist())
-            lengths = np.fromiter(map(len, each), np.int64, len(each))
-            return np.fromiter(chain.from_iterable(each), np.uint32, int(lengths.sum())), np.concatenate([[0], np.cumsum(lengths)])
+            flat, lengths = self._one_by_one(texts.to_pylist())
+            return flat, np.concatenate([[0], np.cumsum(lengths)])
         cut = pc.replace_substring_regex(texts, "([A-Za-zÀ-ÿ])([.,;:!?|])", rf"\1{MARK}\2")
         cut = pc.replace_substring_regex(cut, f" ([^{_SPACES}])", rf"{MARK} \1")
         lists = pc.split_pattern(cut, MARK)
         bounds = lists.offsets.to_numpy()
         coded = lists.flatten().dictionary_encode()
         codes, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        known = self.known
-        new = [w for w in words if w not in known]
-        fresh = dict(zip(new, self._ids(new), strict=True))
-        each = [known[w] if w in known else fresh[w] for w in words]
-        often = np.flatnonzero(np.bincount(codes, minlength=len(words)) > 1)
-        if len(known) > self.most:
-            known.clear()
-        known.update((words[i], each[i]) for i in often.tolist())
-        lengths = np.fromiter(map(len, each), np.int64, len(each))
-        flat = np.fromiter(chain.from_iterable(each), np.uint32, int(lengths.sum()))
-        starts = np.concatenate([[0], np.cumsum(lengths)])
-        took = lengths[codes]
-        ends = np.concatenate([[0], np.cumsum(took)])
-        ids = flat[np.repeat(starts[:-1][codes] - ends[:-1], took) + np.arange(ends[-1])]
-        return ids, ends[bounds - bounds[0]]
+
+        if len(self.slots) > self.most:
+            self._forget()
+        slot = np.fromiter(map(self.slots.get, words, [-1] * len(words)), np.int64, len(words))
+        new = np.flatnonzero(slot < 0)
+        begun = np.fromiter((words[i][:1] in _BEGINS and words[i] != "" for i in new.tolist()), bool, len(new))  # the rest begin a text
+        new, other = np.concatenate([new[begun], new[~begun]]), int((~begun).sum())
+        parts = self._encoded([words[i] for i in new[: len(new) - other].tolist()]), self._one_by_one([words[i] for i in new[len(new) - other :].tolist()])
+        fresh, took = (np.concatenate(x) for x in zip(*parts, strict=True))
+        known = len(self.lengths)
+        slot[new] = known + np.arange(len(new))
+        flat, lengths = np.concatenate([self.flat, fresh]), np.concatenate([self.lengths, took])
+        starts = np.cumsum(lengths) - lengths
+
+        often = new[np.bincount(codes, minlength=len(words))[new] > 1]
+        size = lengths[slot[often]]
+        self.slots.update(zip([words[i] for i in often.tolist()], range(known, known + len(often)), strict=True))
+        self.flat = np.concatenate([self.flat, flat[_spread(starts[slot[often]], size)]])
+        self.lengths = np.concatenate([self.lengths, size])
+
+        slot = slot[codes]
+        size = lengths[slot]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        return flat[_spread(starts[slot], size)], ends[bounds - bounds[0]]
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each stretch, one after another."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """The worker process's own encoder of a tokenizer file."""
+    return Encoder(path)
 
 
 def with_end(ids: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
