@@ -8,14 +8,16 @@ one suffix in 18 starts at an anchor and is kept, with the bytes to its left tha
 
 1. Documents are dealt into blocks. A block finds its anchors; equal entries become one with the least
    and the greatest document id, so that hot passages shrink before anything moves.
-2. Splitters sampled from leading 8-byte tokens range-partition the entries into buckets. A bucket sorts
+2. Entries whose leading GRAM bytes no other document has cannot matter. Blocks send 40-bit hashes of
+   these alone, and learn which ones another block has too (a clash keeps an entry in vain, no more).
+3. Splitters sampled from leading 8-byte tokens range-partition the entries into buckets. A bucket sorts
    its suffixes, and their reversed left contexts, by multikey quicksort over 8-byte tokens and compares
    neighbours. Equal leading tokens never straddle a splitter, and windows are compared only between
    suffixes that share their leading GRAM bytes; so no pair of neighbours is cut apart by a boundary.
-3. For every window the bucket knows the least document id that has it. Stretches of windows that some
+4. For every window the bucket knows the least document id that has it. Stretches of windows that some
    smaller document has are answered to the blocks, which mark the bytes they cover.
 
-Documents' texts go through one exchange, read by both steps 1 and 3.
+Documents' texts go through one exchange, read by steps 1, 3 and 4.
 """
 
 from __future__ import annotations
@@ -118,6 +120,14 @@ class Block:
         self.first_place, self.places = starts[rank], np.diff(np.append(starts, len(order)))[rank]
         self.place_anchor, self.place_id = anchor[order], owner
 
+    def gram_hashes(self) -> np.ndarray:
+        """40 bits of a hash of each entry's leading GRAM bytes."""
+        grams, mixed = _tokens(self.rows, LEFT, GRAM // 8), np.zeros(len(self.rows), np.uint64)
+        for i in range(grams.shape[1]):
+            mixed = (mixed ^ grams[:, i]) * _A
+            mixed ^= mixed >> np.uint64(29)
+        return (mixed * _C) >> np.uint64(24)
+
 
 def _tokens(rows: np.ndarray, at: int, n: int) -> np.ndarray:
     """n big-endian 8-byte tokens from column `at` on, zeros after the last column."""
@@ -192,11 +202,15 @@ def _squeezed(*parts: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(p).tobytes() for p in parts))
 
 
-def _opened(blob: bytes, *kinds: tuple[str, int]) -> list[np.ndarray]:
-    """Arrays of equal row counts: (type, columns) each."""
+def _raw(blob: bytes) -> bytes:
     import zstandard
 
-    data = zstandard.ZstdDecompressor().decompress(blob)
+    return zstandard.ZstdDecompressor().decompress(blob)
+
+
+def _opened(blob: bytes, *kinds: tuple[str, int]) -> list[np.ndarray]:
+    """Arrays of equal row counts: (type, columns) each."""
+    data = _raw(blob)
     n = len(data) // sum(np.dtype(k).itemsize * c for k, c in kinds)
     out, at = [], 0
     for kind, columns in kinds:
@@ -205,18 +219,69 @@ def _opened(blob: bytes, *kinds: tuple[str, int]) -> list[np.ndarray]:
     return out
 
 
-_ENTRIES = (("u1", WIDTH), ("<i8", 1), ("<i8", 1))
+_ENTRIES = (("u1", WIDTH), ("<i8", 1), ("<i8", 1), ("<u4", 1))
 _ANSWERS = (("<u4", 1), ("u1", 1), ("u1", 1), ("<i8", 1))
 
 
-def _send(splitters: np.ndarray):
-    def send(table: pa.Table) -> pa.Table:
+def _shares(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Bounds of each bucket's share of sorted 40-bit hashes."""
+    edges = (np.arange(buckets + 1, dtype=np.uint64) << np.uint64(40)) // np.uint64(buckets)
+    return np.searchsorted(hashes, edges)
+
+
+def _announce(buckets: int):
+    def announce(table: pa.Table) -> pa.Table:
+        """Step 2 at a block: its distinct gram hashes, dealt by range, as planes of the bytes of their differences."""
         block = Block(table)
         block.entries()
-        bounds = np.concatenate([[0], np.searchsorted(block.lead, splitters), [len(block.lead)]])
+        hashes = np.unique(block.gram_hashes())
+        bounds = _shares(hashes, buckets)
+        full = np.flatnonzero(np.diff(bounds))
+        planes = [np.diff(hashes[bounds[b] : bounds[b + 1]], prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8)[:, :5].T for b in full.tolist()]
+        return pa.table({"bucket": pa.array(full, pa.int64()), "block": pa.array([table.column("block")[0].as_py()] * len(full), pa.int64()), "grams": pa.array(map(_squeezed, planes), pa.binary())})
+
+    return announce
+
+
+def meet(table: pa.Table) -> pa.Table:
+    """Step 2 at a bucket: of each block's hashes, in their order, which ones another block has."""
+    each = []
+    for blob in table.column("grams").to_pylist():
+        planes = np.frombuffer(_raw(blob), np.uint8).reshape(5, -1)
+        wide = np.zeros((planes.shape[1], 8), np.uint8)
+        wide[:, :5] = planes.T
+        each.append(np.cumsum(wide.view("<u8")[:, 0], dtype=np.uint64))
+    everything = np.concatenate(each)
+    order = np.argsort(everything, kind="stable")
+    equal = everything[order[1:]] == everything[order[:-1]]
+    common = np.zeros(len(order), bool)
+    common[order[1:]] |= equal
+    common[order[:-1]] |= equal
+    ends = np.cumsum([len(x) for x in each])
+    bits = [np.packbits(common[e - len(x) : e]).tobytes() for x, e in zip(each, ends.tolist(), strict=True)]
+    return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "bits": pa.array(bits, pa.binary())})
+
+
+def _send(splitters: np.ndarray, buckets: int):
+    def send(docs: pa.Table, met: pa.Table) -> pa.Table:
+        """Step 3 at a block: the entries that matter, dealt by their leading token."""
+        block = Block(docs)
+        block.entries()
+        hashes, which = np.unique(block.gram_hashes(), return_inverse=True)
+        bounds = _shares(hashes, buckets)
+        common = np.zeros(len(hashes), bool)
+        for bucket, bits in zip(met.column("bucket").to_pylist(), met.column("bits").to_pylist(), strict=True):
+            lo, hi = bounds[bucket], bounds[bucket + 1]
+            common[lo:hi] = np.unpackbits(np.frombuffer(bits, np.uint8), count=hi - lo).astype(bool)
+        low, high = np.full(len(hashes), NEVER, np.int64), np.full(len(hashes), -NEVER, np.int64)
+        np.minimum.at(low, which, block.low)
+        np.maximum.at(high, which, block.high)
+        kept = np.flatnonzero((common | (low < high))[which]) if len(which) else np.array([], np.int64)
+        bounds = np.concatenate([[0], np.searchsorted(block.lead[kept], splitters), [len(kept)]])
         full = np.flatnonzero(np.diff(bounds))
-        blobs = [_squeezed(*(x[bounds[b] : bounds[b + 1]] for x in (block.rows, block.low, block.high))) for b in full.tolist()]
-        number = table.column("block")[0].as_py()
+        parts = [kept[bounds[b] : bounds[b + 1]] for b in full.tolist()]
+        blobs = [_squeezed(block.rows[x], block.low[x], block.high[x], x.astype(np.uint32)) for x in parts]
+        number = docs.column("block")[0].as_py() if docs.num_rows else -1
         return pa.table({"bucket": pa.array(full, pa.int64()), "block": pa.array([number] * len(full), pa.int64()), "entries": pa.array(blobs, pa.binary())})
 
     return send
@@ -227,13 +292,13 @@ _CHUNK = 60_000
 
 
 def compare(table: pa.Table) -> pa.Table:
-    """Step 2 for one bucket: entries of all blocks in, answers to the blocks out."""
+    """Steps 3 and 4 for one bucket: entries of all blocks in, answers to the blocks out."""
     blocks = table.column("block").to_numpy()
     opened = [_opened(blob, *_ENTRIES) for blob in table.column("entries").to_pylist()]
     sizes = np.array([len(x[1]) for x in opened])
-    rows, low, high = (np.concatenate([x[i] for x in opened]) for i in range(3))
+    rows, low, high, nth = (np.concatenate([x[i] for x in opened]) for i in range(4))
     del opened
-    sender, nth = np.repeat(np.arange(len(blocks)), sizes), np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    sender = np.repeat(np.arange(len(blocks)), sizes)
     grams = _tokens(rows, LEFT, GRAM // 8)
     order = multikey_order(grams)
     starts = np.flatnonzero(np.concatenate([[True], (grams[order[1:]] != grams[order[:-1]]).any(axis=1)]))
@@ -263,15 +328,14 @@ def compare(table: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array(out["block"], pa.int64()), "bucket": pa.array(out["bucket"], pa.int64()), "answers": pa.array(out["answers"], pa.binary())})
 
 
-def _covered(block: Block, splitters: np.ndarray, answers: pa.Table) -> np.ndarray:
+def _covered(block: Block, answers: pa.Table) -> np.ndarray:
     """Which bytes of a block go."""
     steps = np.zeros(len(block.data) + 1, np.int32)
     if answers.num_rows:
         block.entries()
-        bounds = np.concatenate([[0], np.searchsorted(block.lead, splitters)])
-        for bucket, blob in zip(answers.column("bucket").to_pylist(), answers.column("answers").to_pylist(), strict=True):
-            nth, start, end, value = _opened(blob, *_ANSWERS)
-            entry = bounds[bucket] + nth.astype(np.int64)
+        for blob in answers.column("answers").to_pylist():
+            entry, start, end, value = _opened(blob, *_ANSWERS)
+            start, end = start.astype(np.int64), end.astype(np.int64)
             many = block.places[entry]
             which = np.repeat(np.arange(len(entry)), many)
             place = np.repeat(block.first_place[entry] - (np.cumsum(many) - many), many) + np.arange(len(which))
@@ -282,10 +346,10 @@ def _covered(block: Block, splitters: np.ndarray, answers: pa.Table) -> np.ndarr
     return np.cumsum(steps[:-1]) > 0
 
 
-def _cut(splitters: np.ndarray, keep_text: bool):
+def _cut(keep_text: bool):
     def cut_out(docs: pa.Table, answers: pa.Table) -> pa.Table:
         block = Block(docs)
-        gone = _covered(block, splitters, answers)
+        gone = _covered(block, answers)
         out: dict[str, list] = {k: [] for k in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
         for key, start, end in zip(block.keys, block.offsets[:-1].tolist(), block.offsets[1:].tolist(), strict=True):
             mask, data = gone[start:end], block.data[start:end]
@@ -331,12 +395,14 @@ def remove_repeats(df: DataFrame, block_bytes: int = 2_000_000, bucket_bytes: in
     """
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = docs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
-    blocks = int(total["bytes"]) // block_bytes + 1
-    splitters = sample_splitters(docs, total["n"], int(total["bytes"]) // bucket_bytes + 1)
+    blocks, buckets = int(total["bytes"]) // block_bytes + 1, int(total["bytes"]) // bucket_bytes + 1
+    splitters = sample_splitters(docs, total["n"], buckets)
     dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).repartition("block")
-    entries = dealt.groupBy("block").applyInArrow(_send(splitters), "bucket long, block long, entries binary")
+    grams = dealt.groupBy("block").applyInArrow(_announce(buckets), "bucket long, block long, grams binary")
+    met = grams.groupBy("bucket").applyInArrow(meet, "block long, bucket long, bits binary")
+    entries = dealt.groupBy("block").cogroup(met.groupBy("block")).applyInArrow(_send(splitters, buckets), "bucket long, block long, entries binary")
     answers = entries.groupBy("bucket").applyInArrow(compare, "block long, bucket long, answers binary")
-    out = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_cut(splitters, keep_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    out = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_cut(keep_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out if keep_text else out.drop("kept")
 
 
