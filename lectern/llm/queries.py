@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import ann, mixing, packing, records, sampling_fingerprints, secrets, sharding, simhash, suffix_dedup, toxicity
 
 QUERIES = {
@@ -15,6 +17,7 @@ QUERIES = {
     "op8_ann": ann.query,
     "op9_toxicity": toxicity.query,
     "op10_suffix_dedup": suffix_dedup.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {

@@ -33,35 +33,48 @@ LEAST_BYTES = 8 - DISTANCE
 SHORT = 48
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """SimHash over XXH64 (seed 42) of word shingles; 0 for a text without words."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of each word shingle, repeats included; one of the whole sequence if it is shorter, none without words."""
     import xxhash
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII letters and white space alone
     if not words:
-        return 0
+        return np.array([], np.dtype("<u8"))
     n = max(1, len(words) - shingle + 1)
     joined, ends = b" ".join(words), np.cumsum([len(w) + 1 for w in words])
     starts = [0, *ends[:-1].tolist()]
     stops = (ends - 1).tolist()
     last = min(shingle, len(words)) - 1
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[starts[i] : stops[i + last]], 42) for i in range(n)], np.dtype("<u8"))
+    return np.array([digest(joined[starts[i] : stops[i + last]], 42) for i in range(n)], np.dtype("<u8"))
+
+
+def _majority(hashes: np.ndarray) -> int:
     ones = np.zeros(64, np.int64)
-    for at in range(0, n, 8192):
+    for at in range(0, len(hashes), 8192):
         ones += np.unpackbits(hashes[at : at + 8192].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(ones * 2 > n, bitorder="little").tobytes(), "little")
+    return int.from_bytes(np.packbits(ones * 2 > len(hashes), bitorder="little").tobytes(), "little")
+
+
+def fingerprint(text: str | None, shingle: int = 3, views: int = 1) -> list[int]:
+    """SimHash of the shingles' hashes; further views, of the hashes mixed anew. 0 for a text without words."""
+    hashes = shingle_hashes(text, shingle)
+    out = [_majority(hashes)]
+    for view in range(1, views):
+        mixed = (hashes ^ hashes >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15 + 2 * view)
+        out.append(_majority((mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)))
+    return out
 
 
-def with_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, fp): fp is the fingerprint as a signed long."""
+def with_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, views: int = 1) -> DataFrame:
+    """(key, fps): fps are the fingerprints as signed longs, one per view."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t.as_py()) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=[key, "fp"])
+            fps = np.array([fingerprint(t.as_py(), shingle, views) for t in batch.column(1)], np.uint64).view(np.int64).reshape(-1, views)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(fps), pa.list_(pa.int64()))], names=[key, "fps"])
 
-    return df.select(key, text).mapInArrow(made, T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("fp", T.LongType())]))
+    return df.select(key, text).mapInArrow(made, T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("fps", T.ArrayType(T.LongType()))]))
 
 
 def _pair(fp: Column, shift: int) -> Column:
@@ -75,10 +88,10 @@ def shared_bytes(a: Column, b: Column) -> Column:
 
 
 def links(fps: DataFrame, short: int = SHORT) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints (column fp) whose closure is that of all links; midpoints may stand in as the smallest entry near them."""
+    """Edges (a, b) between distinct fingerprints (view, fp) of a view, whose closure is that of all links; midpoints may stand in as the smallest entry near them."""
     fp = F.col("fp")
     tables = list(enumerate(combinations(PAIRS, 2)))
-    keyed = F.array(*[F.struct(F.lit(i).alias("t"), F.shiftleft(_pair(fp, x), 16).bitwiseOR(_pair(fp, y)).alias("k"), F.shiftleft(_pair(fp, r), 16).bitwiseOR(_pair(fp, s)).alias("rest")) for i, (x, y) in tables for r, s in [[p for p in PAIRS if p not in (x, y)]]])
+    keyed = F.array(*[F.struct((F.col("view") * len(tables) + i).alias("t"), F.shiftleft(_pair(fp, x), 16).bitwiseOR(_pair(fp, y)).alias("k"), F.shiftleft(_pair(fp, r), 16).bitwiseOR(_pair(fp, s)).alias("rest")) for i, (x, y) in tables for r, s in [[p for p in PAIRS if p not in (x, y)]]])
     postings = cut(fps.select("fp", F.explode(keyed).alias("p")).select("fp", "p.*"), "postings")
     lists = cut(postings.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "lists")
     live = postings.join(lists, ["t", "k"])
@@ -114,19 +127,57 @@ def components(edges: DataFrame) -> DataFrame:
         seen = state
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", short: int = SHORT) -> DataFrame:
+def classes(fingerprinted: DataFrame, key: str = "doc_id", short: int = SHORT) -> DataFrame:
+    """(fp, root, component_id) of each first-view fingerprint in a written table of (key, fps).
+
+    Documents are linked if their fingerprints link in any view: a fingerprint of a later view joins the
+    first-view fingerprints of its documents, where it has a link or stands for several of them.
+    """
+    entries = cut(fingerprinted.select(F.col("fps")[0].alias("fp"), key).groupBy("fp").agg(F.min(key).alias("least")), "entries")
+    seen = fingerprinted.select(F.posexplode("fps").alias("view", "fp"), F.col("fps")[0].alias("first")).groupBy("view", "fp").agg(F.min("first").alias("low"), F.max("first").alias("high"))
+    edges = cut(links(cut(seen.select("view", "fp"), "views"), short), "links")
+    later = fingerprinted.select(F.posexplode("fps").alias("view", "fp"), F.col("fps")[0].alias("first")).filter("view > 0")
+    if not later.isEmpty():
+        joining = edges.select(F.col("a").alias("fp")).union(edges.select("b")).union(seen.filter("view > 0 AND low != high").select("fp")).distinct()
+        edges = edges.union(later.select("fp", "first").distinct().join(joining, "fp").select("fp", "first"))
+    roots = components(edges)
+    found = cut(entries.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "classes")
+    return found.join(found.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", short: int = SHORT, shingle: int = 3, views: int = 1) -> DataFrame:
     """(key, fp, component_id): component_id is the smallest key reachable over links, itself included.
 
     A null or word-less text has fingerprint 0 and links like any other. A row with a null key gets the
     smallest non-null key of its component, null if there is none. Repeated rows stay. An empty table
     gives an empty table. Other columns are dropped.
     """
-    docs = cut(with_fingerprints(df, key, text), "fingerprints")
-    entries = cut(docs.groupBy("fp").agg(F.min(key).alias("least")), "entries")
-    roots = components(links(entries.select("fp"), short))
-    classes = cut(entries.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "classes")
-    ids = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    return docs.join(classes.join(ids, "root").select("fp", "component_id"), "fp").select(key, "fp", "component_id")
+    docs = cut(with_fingerprints(df, key, text, shingle, views), "fingerprints")
+    ids = cut(classes(docs, key, short), "components")
+    return docs.select(key, F.col("fps")[0].alias("fp")).join(ids, "fp").select(key, "fp", "component_id")
+
+
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, views: int = 8) -> DataFrame:
+    """One row of each near-duplicate component, all columns as they are: that of the smallest key; without any key, some row."""
+    docs = cut(with_fingerprints(df, key, text, shingle, views), "fingerprints")
+    found = cut(classes(docs, key), "components")
+    kept = df.join(found.filter(F.col("component_id").isNotNull()).select(F.col("component_id").alias(key)).distinct(), key, "left_semi")
+    if not docs.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").isEmpty():
+        kept = kept.dropDuplicates([key])
+    if docs.filter(F.col(key).isNull()).isEmpty():
+        return kept
+    # rows without a key: fingerprinted beside all their columns
+    none = df.filter(F.col(key).isNull())
+    at = none.columns.index(text)
+
+    def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.array([fingerprint(t.as_py(), shingle)[0] for t in batch.column(at)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps)], names=[*batch.schema.names, "__fp"])
+
+    marked = none.mapInArrow(beside, T.StructType([*none.schema.fields, T.StructField("__fp", T.LongType())]))
+    alone = marked.join(found.filter(F.col("component_id").isNull()).select(F.col("fp").alias("__fp"), F.col("root").alias("__root")), "__fp")
+    return kept.select(*df.columns).union(alone.dropDuplicates(["__root"]).select(*df.columns))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
