@@ -1,0 +1 @@
+"""Batch analytics over a verse-addressed text corpus, on Spark DataFrames."""
