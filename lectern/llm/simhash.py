@@ -91,11 +91,12 @@ def links(fps: DataFrame, short: int = SHORT) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (view, fp) of a view, whose closure is that of all links; midpoints may stand in as the smallest entry near them."""
     fp = F.col("fp")
     tables = list(enumerate(combinations(PAIRS, 2)))
-    keyed = F.array(*[F.struct((F.col("view") * len(tables) + i).alias("t"), F.shiftleft(_pair(fp, x), 16).bitwiseOR(_pair(fp, y)).alias("k"), F.shiftleft(_pair(fp, r), 16).bitwiseOR(_pair(fp, s)).alias("rest")) for i, (x, y) in tables for r, s in [[p for p in PAIRS if p not in (x, y)]]])
-    postings = cut(fps.select("fp", F.explode(keyed).alias("p")).select("fp", "p.*"), "postings")
+    keyed = F.array(*[F.struct((F.col("view") * len(tables) + i).alias("t"), F.shiftleft(_pair(fp, x), 16).bitwiseOR(_pair(fp, y)).alias("k")) for i, (x, y) in tables])
+    postings = fps.select("fp", F.explode(keyed).alias("p")).select("fp", "p.*")
     lists = cut(postings.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "lists")
-    live = postings.join(lists, ["t", "k"])
-    few = cut(live.select("t", "k", "fp", "rest", "n"), "live")
+    others = [tuple(p for p in PAIRS if p not in pair) for _, pair in tables]
+    rest = F.element_at(F.array(*[F.shiftleft(_pair(fp, r), 16).bitwiseOR(_pair(fp, s)) for r, s in others]), (F.col("t") % len(tables) + 1).cast("int"))
+    few = cut(postings.join(lists, ["t", "k"]).select("t", "k", "fp", rest.alias("rest"), "n"), "live")
     small = few.filter(F.col("n") <= short).select("t", "k", "fp")
     other = small.select(F.col("t").alias("t2"), F.col("k").alias("k2"), F.col("fp").alias("fp2"))
     met = small.join(other, (F.col("t") == F.col("t2")) & (F.col("k") == F.col("k2")) & (F.col("fp") < F.col("fp2")))
@@ -157,7 +158,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shor
     return docs.select(key, F.col("fps")[0].alias("fp")).join(ids, "fp").select(key, "fp", "component_id")
 
 
-def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, views: int = 8) -> DataFrame:
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, views: int = 16) -> DataFrame:
     """One row of each near-duplicate component, all columns as they are: that of the smallest key; without any key, some row."""
     docs = cut(with_fingerprints(df, key, text, shingle, views), "fingerprints")
     found = cut(classes(docs, key), "components")
