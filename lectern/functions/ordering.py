@@ -37,6 +37,33 @@ def dense_position(df: DataFrame, group: str, *order: str, out: str = "position"
     return df.withColumn(out, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
 
 
+#: Up to so many rows one task numbers them all.
+SMALL = 1_000_000
+
+
+def global_position(df: DataFrame, *order: str, out: str = "position", small: int = SMALL) -> DataFrame:
+    """Numbers all rows from 1 in the given (total) order.
+
+    A large table is sorted by ranges: a row's number is its place in its range plus the rows of the
+    ranges before it. The sorted rows are written once, so that ranges are the same for all readers.
+    """
+    from uuid import uuid4
+
+    from pyspark.sql.window import Window
+
+    if df.count() <= small:
+        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)))
+    spark = df.sparkSession
+    place = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/sorted-{uuid4().hex}"
+    marked = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__m", F.monotonically_increasing_id())
+    marked.write.parquet(place)
+    rows = spark.read.parquet(place).withColumn("__r", F.shiftright("__m", 33))
+    sizes = rows.groupBy("__r").agg(F.count(F.lit(1)).alias("__n"))
+    before = sizes.select("__r", (F.sum("__n").over(Window.orderBy("__r")) - F.col("__n")).alias("__before"))  # a row per range
+    number = F.col("__before") + F.col("__m").bitwiseAND((1 << 33) - 1) + 1
+    return rows.join(before, "__r").withColumn(out, number).drop("__m", "__r", "__before")
+
+
 def first_appearance(df: DataFrame, group: str, place: str, out: str = "first_place") -> DataFrame:
     """Adds to each row its group's first place."""
     from pyspark.sql.window import Window
