@@ -43,8 +43,8 @@ class HashEmbedder:
             for word in text.lower().split() or [""]:
                 h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
                 out[i, h % self.dims] += 1 if h >> 63 else -1
-        size = np.linalg.norm(out, axis=1, keepdims=True)
-        return (out / np.where(size > 0, size, 1)).tolist()
+        out[~out.any(axis=1), 0] = 1  # words that cancel out
+        return (out / np.linalg.norm(out, axis=1, keepdims=True)).tolist()
 
 
 @dataclass(frozen=True)
