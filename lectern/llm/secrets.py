@@ -165,15 +165,15 @@ def find_secrets(df: DataFrame, text: str = "text", key: str = "doc_id", rules:
     rows = df.withColumn("__t", F.coalesce(F.col(text), F.lit(""))).withColumn("__k", F.xxhash64(F.col(key), F.col(text)))
     postings = cut(trigram_index(rows.filter(F.length("__t") > 2), "__k", "__t", grams), "postings")
     found = cut(candidates(postings, "__k", queries, grams), "candidates")
-    rows = rows.join(found, "__k", "left")
+    rows = rows.join(found.withColumnRenamed("rules", "__rules"), "__k", "left")
     none = F.array().cast("array<string>")
     for i, rule in enumerate(rules):
-        scan = F.array_contains("rules", rule.kind) if rule.kind in queries else F.rlike("__t", F.lit(rule.pattern))
+        scan = F.array_contains("__rules", rule.kind) if rule.kind in queries else F.rlike("__t", F.lit(rule.pattern))
         rows = rows.withColumn(f"__m{i}", F.when(scan, F.regexp_extract_all("__t", F.lit(rule.pattern), F.lit(0))).otherwise(none))
     for i, rule in enumerate(rules):
         rows = rows.withColumn(f"__p{i}", F.when(F.size(f"__m{i}") > 0, F.split("__t", rule.pattern, -1)).otherwise(none))
     spans = F.array_sort(F.concat(*[_spans(rule, i) for i, rule in enumerate(rules)]))
-    return rows.withColumn("secrets", spans).drop("__t", "__k", "rules", *[f"__{x}{i}" for x in "mp" for i in range(len(rules))])
+    return rows.withColumn("secrets", spans).drop("__t", "__k", "__rules", *[f"__{x}{i}" for x in "mp" for i in range(len(rules))])
 
 
 def redact(df: DataFrame, text: str = "text") -> DataFrame:
