@@ -11,6 +11,11 @@ bit: two entries have a common midpoint exactly if they differ in at most 2 bits
 entry, whatever the length of the list, and loses no link.
 
 Components come from alternating large-star and small-star steps over written tables.
+
+The pipeline's stage asks for a similarity of texts instead of a number of bits, which 64 bits can't tell:
+of two texts that share 80 % of their five-word shingles some 10 bits differ. `similar_links` therefore
+takes `views` fingerprints of a text, of the same shingles under further hashes, finds pairs through the
+same byte-position lists in any view, and verifies them by the differing bits of all views together.
 """
 
 from __future__ import annotations
@@ -87,6 +92,15 @@ def shared_bytes(a: Column, b: Column) -> Column:
     return sum((F.when(F.shiftrightunsigned(x, 8 * i).bitwiseAND(0xFF) == 0, 1).otherwise(0) for i in range(1, 8)), F.when(x.bitwiseAND(0xFF) == 0, 1).otherwise(0))
 
 
+def _midpoint_links(large: DataFrame) -> DataFrame:
+    """Stars (a, b) over (t, k, fp, rest): entries of a list whose rests have a common midpoint, joined to the least entry at it."""
+    near = F.concat(F.array(F.col("rest")), F.array(*[F.col("rest").bitwiseXOR(F.lit(1 << b)) for b in range(32)]))
+    mids = large.select("t", "k", "fp", F.explode(near).alias("mid"))
+    least = mids.groupBy("t", "k", "mid").agg(F.min("fp").alias("least"), F.count(F.lit(1)).alias("m")).filter("m > 1").drop("m")
+    # at most 33 distinct rests meet in a midpoint of a list, so that this join has no hot key
+    return mids.join(least, ["t", "k", "mid"]).filter(F.col("fp") != F.col("least")).select(F.col("least").alias("a"), F.col("fp").alias("b"))
+
+
 def links(fps: DataFrame, short: int = SHORT) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (view, fp) of a view, whose closure is that of all links; midpoints may stand in as the smallest entry near them."""
     fp = F.col("fp")
@@ -102,12 +116,42 @@ def links(fps: DataFrame, short: int = SHORT) -> DataFrame:
     met = small.join(other, (F.col("t") == F.col("t2")) & (F.col("k") == F.col("k2")) & (F.col("fp") < F.col("fp2")))
     kept = met.filter(shared_bytes(F.col("fp"), F.col("fp2")) >= LEAST_BYTES).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= DISTANCE)
     large = few.filter(F.col("n") > short)
-    near = F.concat(F.array(F.col("rest")), F.array(*[F.col("rest").bitwiseXOR(F.lit(1 << b)) for b in range(32)]))
-    mids = large.select("t", "k", "fp", F.explode(near).alias("mid"))
-    least = mids.groupBy("t", "k", "mid").agg(F.min("fp").alias("least"), F.count(F.lit(1)).alias("m")).filter("m > 1").drop("m")
-    # at most 33 entries meet in a midpoint of a list, so that this join has no hot key
-    stars = mids.join(least, ["t", "k", "mid"]).filter(F.col("fp") != F.col("least")).select("least", "fp")
-    return kept.select(F.col("fp").alias("a"), F.col("fp2").alias("b")).union(stars.toDF("a", "b")).distinct()
+    return kept.select(F.col("fp").alias("a"), F.col("fp2").alias("b")).union(_midpoint_links(large)).distinct()
+
+
+#: Bits in which two fingerprints of texts with a similarity of 0.8 differ, as a share: arccos(2 * 0.8 / 1.8) / pi.
+SHARE, VIEWS = 0.1515, 16
+
+
+def similar_links(rows: DataFrame, views: int = VIEWS, share: float = SHARE, short: int = 16) -> DataFrame:
+    """Edges (a, b) between distinct fp of (fp, fps): texts that meet in a posting list of some view and differ in at most `share` of all bits.
+
+    Entries of a list longer than `short` are parted by as many bytes of the next view as its length asks
+    for; what is still longer is held against its least entry. No entry of a long list is left out:
+    those that differ in at most 2 bits of a view are linked through midpoints besides.
+    """
+    tables = list(enumerate(combinations(PAIRS, 2)))
+    each = rows.select("fp", "fps", F.posexplode("fps").alias("view", "own")).withColumn("next", F.get("fps", (F.col("view") + 1) % views))
+    own = F.col("own")
+    keyed = F.array(*[F.struct((F.col("view") * len(tables) + i).alias("t"), F.shiftleft(_pair(own, x), 16).bitwiseOR(_pair(own, y)).alias("k"), F.shiftleft(_pair(own, r), 16).bitwiseOR(_pair(own, q)).alias("rest")) for i, (x, y) in tables for r, q in [[p for p in PAIRS if p not in (x, y)]]])
+    postings = each.select("fp", "next", F.explode(keyed).alias("p")).select("fp", "next", "p.*")
+    lists = cut(postings.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "lists")
+    live = cut(postings.join(lists, ["t", "k"]), "live")
+    small = live.filter(F.col("n") <= short).select("t", "k", F.lit(0).cast("long").alias("x"), "fp")
+    more = F.least(F.lit(8), F.ceil(F.log2(F.col("n") / short) / 3)).cast("int")
+    masks = F.array(*[F.lit((1 << 8 * e) - 1 if e < 8 else -1) for e in range(1, 9)])
+    large = live.filter(F.col("n") > short).withColumn("x", F.xxhash64(F.col("next").bitwiseAND(F.element_at(masks, more))))
+    parts = large.groupBy("t", "k", "x").agg(F.count(F.lit(1)).alias("m"), F.min("fp").alias("least")).filter("m > 1")
+    parted = cut(large.select("t", "k", "x", "fp").join(parts, ["t", "k", "x"]), "parted")
+    paired = small.union(parted.filter(F.col("m") <= short).select("t", "k", "x", "fp"))
+    other = paired.toDF("t2", "k2", "x2", "fp2")
+    met = paired.join(other, (F.col("t") == F.col("t2")) & (F.col("k") == F.col("k2")) & (F.col("x") == F.col("x2")) & (F.col("fp") < F.col("fp2")))
+    held = parted.filter((F.col("m") > short) & (F.col("fp") != F.col("least"))).select("least", "fp")
+    pairs = cut(met.select("fp", "fp2").union(held).toDF("a", "b").distinct(), "pairs")
+    sides = pairs.join(rows.select(F.col("fp").alias("a"), F.col("fps").alias("u")), "a").join(rows.select(F.col("fp").alias("b"), F.col("fps").alias("v")), "b")
+    differ = F.aggregate(F.zip_with("u", "v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    kept = sides.filter(differ <= int(share * 64 * views)).select("a", "b")
+    return kept.union(_midpoint_links(large.select("t", "k", "fp", "rest"))).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -128,40 +172,31 @@ def components(edges: DataFrame) -> DataFrame:
         seen = state
 
 
-def classes(fingerprinted: DataFrame, key: str = "doc_id", short: int = SHORT) -> DataFrame:
-    """(fp, root, component_id) of each first-view fingerprint in a written table of (key, fps).
-
-    Documents are linked if their fingerprints link in any view: a fingerprint of a later view joins the
-    first-view fingerprints of its documents, where it has a link or stands for several of them.
-    """
-    entries = cut(fingerprinted.select(F.col("fps")[0].alias("fp"), key).groupBy("fp").agg(F.min(key).alias("least")), "entries")
-    seen = fingerprinted.select(F.posexplode("fps").alias("view", "fp"), F.col("fps")[0].alias("first")).groupBy("view", "fp").agg(F.min("first").alias("low"), F.max("first").alias("high"))
-    edges = cut(links(cut(seen.select("view", "fp"), "views"), short), "links")
-    later = fingerprinted.select(F.posexplode("fps").alias("view", "fp"), F.col("fps")[0].alias("first")).filter("view > 0")
-    if not later.isEmpty():
-        joining = edges.select(F.col("a").alias("fp")).union(edges.select("b")).union(seen.filter("view > 0 AND low != high").select("fp")).distinct()
-        edges = edges.union(later.select("fp", "first").distinct().join(joining, "fp").select("fp", "first"))
+def classes(fingerprinted: DataFrame, key: str = "doc_id", short: int = SHORT, similar: bool = False) -> DataFrame:
+    """(fp, root, component_id) of each first fingerprint in a written table of (key, fps): linked by `links`, or by `similar_links` over all views."""
+    entries = cut(fingerprinted.groupBy(F.col("fps")[0].alias("fp")).agg(F.min(key).alias("least"), F.min("fps").alias("fps")), "entries")
+    edges = similar_links(entries.select("fp", "fps")) if similar else links(entries.select(F.lit(0).alias("view"), "fp"), short)
     roots = components(edges)
     found = cut(entries.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "classes")
     return found.join(found.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "root", "component_id")
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", short: int = SHORT, shingle: int = 3, views: int = 1) -> DataFrame:
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", short: int = SHORT, shingle: int = 3) -> DataFrame:
     """(key, fp, component_id): component_id is the smallest key reachable over links, itself included.
 
     A null or word-less text has fingerprint 0 and links like any other. A row with a null key gets the
     smallest non-null key of its component, null if there is none. Repeated rows stay. An empty table
     gives an empty table. Other columns are dropped.
     """
-    docs = cut(with_fingerprints(df, key, text, shingle, views), "fingerprints")
+    docs = cut(with_fingerprints(df, key, text, shingle), "fingerprints")
     ids = cut(classes(docs, key, short), "components")
     return docs.select(key, F.col("fps")[0].alias("fp")).join(ids, "fp").select(key, "fp", "component_id")
 
 
-def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, views: int = 16) -> DataFrame:
-    """One row of each near-duplicate component, all columns as they are: that of the smallest key; without any key, some row."""
-    docs = cut(with_fingerprints(df, key, text, shingle, views), "fingerprints")
-    found = cut(classes(docs, key), "components")
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
+    """One row of each component of texts with a similarity of 0.8 or more, all columns as they are: that of the smallest key; without any key, some row."""
+    docs = cut(with_fingerprints(df, key, text, shingle, VIEWS), "fingerprints")
+    found = cut(classes(docs, key, similar=True), "components")
     kept = df.join(found.filter(F.col("component_id").isNotNull()).select(F.col("component_id").alias(key)).distinct(), key, "left_semi")
     if not docs.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").isEmpty():
         kept = kept.dropDuplicates([key])

@@ -312,6 +312,28 @@ def test_links_lose_nothing(spark, short):
     assert got == near
 
 
+def test_similar_texts_are_found_and_others_not(spark):
+    r = np.random.default_rng(8)
+    texts, groups = [], []
+    for g in range(40):
+        base = [f"w{x}" for x in r.integers(0, 5000, 300)]
+        for copy in range(6):
+            words = list(base)
+            for at in r.choice(300, min(copy, 3), replace=False):  # up to 3 words changed: a similarity of 0.9
+                words[int(at)] = f"v{r.integers(0, 5000)}"
+            texts.append(" ".join(words))
+            groups.append(g)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    kept = [x.doc_id for x in simhash.keep_one(df).collect()]
+    assert {groups[i] for i in kept} == set(range(40)) and len(kept) <= 48
+    # lists of one entry at most are short: all are parted, and what isn't is held against its least entry
+    fps = spark.createDataFrame([(f[0], f) for f in ([x if x < 2**63 else x - 2**64 for x in simhash.fingerprint(t, 5, 16)] for t in texts)], "fp long, fps array<long>").distinct()
+    for short in (1, 2):
+        nodes = [x.fp for x in fps.collect()]
+        root = grouped([(x.a, x.b) for x in simhash.similar_links(fps, short=short).collect()], nodes)
+        assert 40 <= len(set(root.values())) <= 60
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, 2), (3, 2), (500, 400)]
     got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}

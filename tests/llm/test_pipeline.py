@@ -37,7 +37,9 @@ def test_pipeline(spark):
 
     for a in kept:
         for b in kept:
-            if a < b and any((x ^ y).bit_count() <= 2 for x, y in zip(prints[a], prints[b], strict=True)):
+            both = [x ^ y for x, y in zip(prints[a], prints[b], strict=True)]
+            met = any(sum(x >> 16 * i & 0xFFFF == 0 for i in range(4)) >= 2 for x in both)  # two aligned byte pairs
+            if a < b and met and sum(x.bit_count() for x in both) <= int(simhash.SHARE * 64 * simhash.VIEWS):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     kept = {d for d in kept if find(d) == d}
