@@ -13,13 +13,26 @@ from pyspark.sql.window import Window
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Paths that `scratch` has given out in this process, in order.
+MADE: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that spark.checkpoint.dir names (set here only where it is unset)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="checkpoints")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    MADE.append(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return MADE[-1]
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes tables that nothing will read any more."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        MADE.remove(path)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:

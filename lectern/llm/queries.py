@@ -24,4 +24,5 @@ ORACLES = {
     "op1_mixing": mixing.ORACLE,
     "op3_secrets": secrets.ORACLE,
     "op4_sharding": sharding.ORACLE,
+    "op10_suffix_dedup": suffix_dedup.ORACLE,
 }

@@ -408,3 +408,21 @@ def remove_repeats(df: DataFrame, block_bytes: int = 2_000_000, bucket_bytes: in
 
 def query(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+ORACLE = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+w AS (SELECT doc_id, p, substr(hx, (2 * p + 1)::BIGINT, {2 * SPAN}) AS g FROM (SELECT doc_id, hx, unnest(range(0, length(hx) // 2 - {SPAN - 1})) AS p FROM d)),
+low AS (SELECT g, min(doc_id) AS low FROM w GROUP BY g HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT w.doc_id, w.p FROM w JOIN low USING (g) WHERE low.low < w.doc_id),
+marked AS (SELECT *, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + {SPAN} THEN 0 ELSE 1 END AS new FROM hit),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked),
+runs AS (SELECT doc_id, run, min(p) AS s, max(p) + {SPAN} AS e FROM numbered GROUP BY doc_id, run),
+cuts AS (SELECT *, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS before FROM runs),
+docs AS (
+  SELECT d.doc_id, any_value(d.hx) AS hx, coalesce(sum(e - s), 0)::BIGINT AS n_removed, count(e) AS n_spans, coalesce(max(e), 0) AS last,
+    coalesce(string_agg(substr(d.hx, (2 * before + 1)::BIGINT, (2 * (s - before))::BIGINT), '' ORDER BY s), '') AS head
+  FROM d LEFT JOIN cuts ON cuts.doc_id = d.doc_id GROUP BY d.doc_id
+)
+SELECT doc_id, (length(hx) // 2)::BIGINT AS n_bytes, n_removed, n_spans, sha256(unhex(head || substr(hx, (2 * last + 1)::BIGINT))) AS kept_sha256 FROM docs
+"""
