@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import ids, ordering, refs, tags, text
 from ..operators import builders, curation, quality, retrieval
 from ..operators.embedding import HashEmbedder, embed_texts
-from ..schemas import BOOKS
+from ..schemas import BOOKS, RULE_BOOKS
 from ..sinks import jsonl
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -305,6 +305,16 @@ def set_array_canonical(t: Read) -> DataFrame:
     return t("events").groupBy("user_id").agg(F.array_join(text.set_array(F.collect_set("event_type")), ",").alias("kinds"))
 
 
+@query("verse_sizes", """WITH w AS (SELECT l_suppkey % 10 AS b, l_linenumber AS c, l_quantity::INTEGER % 7 AS v, l_orderkey * 1000000 + l_partkey AS line FROM lineitem), g AS (SELECT b, c, v, count(*) AS words, min(line) AS first_line FROM w GROUP BY ALL)
+  SELECT 'B' || b AS book, c AS chapter, v AS verse, words, v = 0 AS has_title, first_line, min(first_line) OVER (PARTITION BY b) AS book_first FROM g""")
+def verse_sizes(t: Read) -> DataFrame:
+    """Words per verse, with books by first appearance; line items stand for word lines."""
+    from ..sources.tabular import verse_sizes as sizes
+
+    ref = F.struct(F.concat(F.lit("B"), (F.col("l_suppkey") % 10).cast("string")).alias("book"), F.lit("known").alias("status"), F.col("l_linenumber").alias("chapter"), (F.col("l_quantity").cast("int") % 7).alias("verse"))
+    return sizes(t("lineitem").select((F.col("l_orderkey") * 1_000_000 + F.col("l_partkey")).alias("line_no"), ref.alias("ref")))
+
+
 @query("partition_counts", "SELECT lang, count(*) AS n, min(doc_id) AS first, max(doc_id) AS last FROM documents GROUP BY lang")
 def partition_counts(t: Read) -> DataFrame:
     return t("documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
@@ -499,14 +509,24 @@ def report_queue(t: Read) -> DataFrame:
     return placed.select(F.col("id").alias("user_id"), "open", "degree", long(F.col("place")).alias("place"))
 
 
-@query("rule_parse")
+_CODES = "[" + ", ".join(f"'{b}'" for b in RULE_BOOKS) + "]"
+
+
+def _item_sql(verse: str) -> str:
+    return f"""'[{{"kind":"single","start":{{"book":"' || code || '","chapter":' || c || ',"verse":' || {verse} || ',"is_title":false}}}}]'"""
+
+
+@query("rule_parse", f"""WITH r AS (SELECT p_partkey AS k, {_CODES}[(p_partkey // 500) % 66 + 1] AS code, (p_partkey // 10) % 50 + 1 AS c, p_partkey % 10 + p_partkey // 33000 * 10 AS v FROM part WHERE p_partkey % 10 > 0)
+  SELECT k::INTEGER AS line_no, 'Hebrew' AS source_type, {_item_sql('v')} AS source, {_item_sql('(v + 1)')} AS standard FROM r""")
 def rule_parse(t: Read) -> DataFrame:
     """Rules synthesised from parts, read by the reference grammar."""
     rules = _rules(t, F.col("verse") + 1, F.lit("Hebrew"), F.lit(""))
     return rules.select("line_no", "source_type", F.to_json("source").alias("source"), F.to_json("standard").alias("standard"))
 
 
-@query("usfx_scan")
+@query("usfx_scan", f"""WITH v AS (SELECT *, {_BOOKS}[n_regionkey + 1] AS book, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS seq FROM nation)
+  SELECT 'verse' AS kind, book, 1 AS chapter, n_nationkey + 1 AS verse, n_nationkey + 1 AS verse_end, n_name || ' kept' AS text, seq::INTEGER AS seq FROM v
+  UNION ALL SELECT 'chapter', book, 1, NULL, max(n_nationkey) + 1, 'Title', count(*)::INTEGER FROM v GROUP BY book""")
 def usfx_scan(t: Read) -> DataFrame:
     """A milestone-marked file per region, read by SAX events."""
     from ..sources import xml
@@ -518,7 +538,9 @@ def usfx_scan(t: Read) -> DataFrame:
     return xml.rows_of(files, xml.parse_usfx, xml.USFX_ROWS)
 
 
-@query("tagged_words_scan")
+@query("tagged_words_scan", """WITH w AS (SELECT 'GEN_' || (l_orderkey % 50 + 1) || '_' || l_linenumber AS id, l_partkey, l_suppkey FROM lineitem)
+  SELECT id AS canonicalId, row_number() OVER (PARTITION BY id ORDER BY l_partkey * 1000000 + l_suppkey)::INTEGER AS position, 'word' AS lexeme, 'H' || lpad((l_partkey % 8999 + 1)::VARCHAR, 4, '0') AS strongId,
+    'H' || lpad((l_partkey % 8999 + 1)::VARCHAR, 4, '0') AS strongRaw, 'N' AS morphology, 'L' AS edition FROM w""")
 def tagged_words_scan(t: Read) -> DataFrame:
     """A tagged-word file made of orders' lines, read with its positions."""
     from ..sources.tabular import read_hebrew_words
@@ -537,7 +559,7 @@ def mixed_content_text(t: Read) -> DataFrame:
     return t("pages").select("page_id", text.collapse(F.array_join(parts, "")).alias("content"))
 
 
-@query("embed_batch")
+@query("embed_batch", "SELECT doc_id, 64 AS dims, 1.0::DOUBLE AS norm, 'hash@1' AS model FROM documents")
 def embed_batch(t: Read) -> DataFrame:
     """Texts through the deterministic test embedder; vectors as a rounded checksum."""
     embedder = HashEmbedder(64)

@@ -250,6 +250,39 @@ def test_provenance(spark, files):
     assert all(x in str(e.value) for x in ("another hash", "quarantined", "is missing", "not in the manifest"))
 
 
+def test_mappings_are_compared(spark):
+    side = lambda *rows: spark.createDataFrame(list(rows), "k string, ids array<string>")
+    left = side(("a", ["GEN_1_1"]), ("b", ["GEN_1_1", "GEN_1_2"]), ("c", ["GEN_1_1"]), ("d", ["GEN_1_1"]), ("e", ["GEN_1_1"]))
+    right = side(("a", ["GEN_1_1"]), ("b", ["GEN_1_2", "GEN_1_3"]), ("c", ["GEN_2_1"]), ("d", ["GEN_1_2"]))
+    accepted = spark.createDataFrame([("c", "conflict"), ("b", "conflict")], "k string, kind string")
+    got = {r.k: r.kind for r in versification.compare_mappings(left, right, "k", accepted).collect()}
+    assert got == {"b": "granularity", "d": "conflict", "e": "conflict"}
+
+
+def test_registered_queries_match_their_sql(spark):
+    """Each query against its SQL in DuckDB, on the smallest tables."""
+    import glob
+    import os
+
+    import duckdb
+
+    from lectern.plans import catalog
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for path in glob.glob(f"{sf}/*.parquet"):
+        con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
+    shown = lambda v: "" if v is None else repr(round(float(v), 6)) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
+    for name, query in catalog.QUERIES.items():
+        df = query(spark, sf)
+        own = sorted(tuple(shown(r[c]) for c in sorted(df.columns)) for r in df.collect())
+        cursor = con.execute(catalog.ORACLES[name])
+        names = [d[0] for d in cursor.description]
+        order = sorted(range(len(names)), key=lambda i: names[i])
+        assert [names[i] for i in order] == sorted(df.columns), name
+        assert own == sorted(tuple(shown(r[i]) for i in order) for r in cursor.fetchall()), name
+
+
 def test_manifest_keys():
     with pytest.raises(RuleError):
         jsonl.manifest_text({"version": 1})
