@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,16 +14,18 @@ from pyspark.sql.window import Window
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="checkpoints")
+
+
 #: Paths that `scratch` has given out in this process, in order.
 MADE: list[str] = []
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that spark.checkpoint.dir names (set here only where it is unset)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="checkpoints")
-        spark.conf.set("spark.checkpoint.dir", base)
+    """A fresh path in the shared folder that spark.checkpoint.dir names; where it is unset, as on a single machine, in one of our own."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
     MADE.append(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
     return MADE[-1]
 

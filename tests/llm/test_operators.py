@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -13,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lectern.llm import ann, mixing, packing, records, secrets, sharding, simhash, suffix_dedup, tokens, toxicity
+from lectern.llm import ann, common, mixing, packing, records, secrets, sharding, simhash, suffix_dedup, tokens, toxicity
 from lectern.llm import sampling_fingerprints as icws
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -51,6 +52,12 @@ def plain(t):
     return re.findall(r"[^\x20\x09-\x0D]+", t or "")
 
 
+def test_scratch_is_in_the_shared_folder(spark):
+    assert common.scratch(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))
+    assert common.scratch(unset, "x") != common.scratch(unset, "x")
+
+
 # --- 1 ---
 
 
