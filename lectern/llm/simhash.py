@@ -13,9 +13,10 @@ entry, whatever the length of the list, and loses no link.
 Components come from alternating large-star and small-star steps over written tables.
 
 The pipeline's stage asks for a similarity of texts instead of a number of bits, which 64 bits can't tell:
-of two texts that share 80 % of their five-word shingles some 10 bits differ. `similar_links` therefore
-takes `views` fingerprints of a text, of the same shingles under further hashes, finds pairs through the
-same byte-position lists in any view, and verifies them by the differing bits of all views together.
+of two texts that share 80 % of their five-word shingles some 10 bits differ. `keep_one` therefore takes
+fingerprints of samples of a text's shingles. Those of similar texts are often equal in all eight bytes, so
+that the lists are by whole fingerprints and no bytes are tallied. Texts that are reachable over lists are
+a group; inside it all pairs are held against each other by their shingles themselves.
 """
 
 from __future__ import annotations
@@ -154,6 +155,84 @@ def similar_links(rows: DataFrame, views: int = VIEWS, share: float = SHARE, sho
     return kept
 
 
+def in_cells(rows: DataFrame, entry: str, size: int) -> DataFrame:
+    """Rows of groups of `n` dealt to blocks of about `size` by a hash, once for each pair (low, high) of blocks with their own: any two rows of a group meet in one cell."""
+    blocks = F.ceil(F.col("n") / size).cast("int")
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64(entry, F.lit(3)), blocks).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return dealt.withColumn("low", F.least("block", "with")).withColumn("high", F.greatest("block", "with")).drop("with", "n")
+
+
+#: The stage's rule: shared shingles as a share of all of two texts, as a fraction. Sampled views and shingles in each:
+#: texts at the threshold have a view in common with a probability of 1 - (1 - 0.8 ** 6) ** 40, all but 1 in 190,000.
+SIMILAR, SAMPLES, SAMPLED = (4, 5), 40, 6
+#: Entries in a block of a group.
+BLOCK = 256
+
+
+def _turns() -> np.ndarray:
+    return np.random.default_rng(6).integers(0, 2**63, SAMPLES * SAMPLED, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def sampled_views(shingles: np.ndarray, turns: np.ndarray) -> np.ndarray:
+    """SimHash fingerprints of samples of a text's distinct shingles, as signed longs: a sample is the least shingle under each of six hash orders."""
+    least = np.full(len(turns), 2**64 - 1, np.uint64)
+    for at in range(0, len(shingles), 1024):
+        least = np.minimum(least, (shingles[None, at : at + 1024] * turns[:, None]).min(axis=1))
+    bits = np.unpackbits(least.view(np.uint8).reshape(SAMPLES, SAMPLED, 8), axis=2, bitorder="little").sum(axis=1, dtype=np.int64)
+    return np.packbits(bits * 2 > SAMPLED, axis=1, bitorder="little").view(np.int64).ravel()
+
+
+def groups(entries: DataFrame) -> DataFrame:
+    """(id, root, n) of entries (id, views) that share a sampled view with another one: whatever is reachable over shared views is a group of n entries."""
+    postings = entries.select("id", F.explode(F.array_distinct("views")).alias("k"))
+    lists = cut(postings.groupBy("k").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("least")).filter("m > 1").drop("m"), "lists")
+    stars = postings.join(lists, "k").filter("id != least").select(F.col("least").alias("a"), F.col("id").alias("b"))
+    below = components(stars).select(F.col("node").alias("id"), "root")
+    found = cut(below.union(below.select("root", "root").distinct()), "groups")  # the root has no row of its own
+    return found.join(found.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "root")
+
+
+def similar_pairs(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """For each of `left` the places in `right` of sets with a Jaccard similarity of SIMILAR or more, by counting all shared members."""
+    sizes = np.array([len(s) for s in right], np.int64)
+    order = np.argsort(members := np.concatenate(right), kind="stable")
+    members, owner = members[order], np.repeat(np.arange(len(right)), sizes)[order]
+    for i, s in enumerate(left):
+        first = np.searchsorted(members, s, "left")
+        many = np.searchsorted(members, s, "right") - first
+        places = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        shared = np.bincount(owner[places], minlength=len(right))
+        yield i, np.flatnonzero(shared * SIMILAR[1] >= (len(s) + sizes - shared) * SIMILAR[0])
+
+
+def verified(texts: DataFrame, shingle: int, block: int = BLOCK) -> DataFrame:
+    """Edges (a, b) whose closure is that of all similar pairs inside a group, of (id, root, n, text) with one row per entry: all pairs of a group are compared."""
+
+    def cell(rows: pa.Table) -> pa.Table:
+        ids, blocks = rows.column("id").to_numpy(), rows.column("block").to_numpy()
+        sets = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in rows.column("text")]
+        low, high = np.flatnonzero(blocks == blocks.min()), np.flatnonzero(blocks == blocks.max())
+        root = list(range(len(ids)))
+        edges = []
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        for i, near in similar_pairs([sets[x] for x in low], [sets[y] for y in high]):
+            for j in near:
+                x, y = find(int(low[i])), find(int(high[j]))
+                if x != y:  # what is connected already needs no further edge
+                    root[y] = x
+                    edges.append((ids[low[i]], ids[high[j]]))
+        return pa.table([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    cells = in_cells(texts, "id", block).select("root", "low", "high", "block", "id", "text")
+    return cells.groupBy("root", "low", "high").applyInArrow(cell, "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each component, for all nodes that have an edge (a, b)."""
     edges = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), "edges")
@@ -172,11 +251,10 @@ def components(edges: DataFrame) -> DataFrame:
         seen = state
 
 
-def classes(fingerprinted: DataFrame, key: str = "doc_id", short: int = SHORT, similar: bool = False) -> DataFrame:
-    """(fp, root, component_id) of each first fingerprint in a written table of (key, fps): linked by `links`, or by `similar_links` over all views."""
-    entries = cut(fingerprinted.groupBy(F.col("fps")[0].alias("fp")).agg(F.min(key).alias("least"), F.min("fps").alias("fps")), "entries")
-    edges = similar_links(entries.select("fp", "fps")) if similar else links(entries.select(F.lit(0).alias("view"), "fp"), short)
-    roots = components(edges)
+def classes(fingerprinted: DataFrame, key: str = "doc_id", short: int = SHORT) -> DataFrame:
+    """(fp, root, component_id) of each fingerprint in a written table of (key, fps)."""
+    entries = cut(fingerprinted.groupBy(F.col("fps")[0].alias("fp")).agg(F.min(key).alias("least")), "entries")
+    roots = components(links(entries.select(F.lit(0).alias("view"), "fp"), short))
     found = cut(entries.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "classes")
     return found.join(found.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "root", "component_id")
 
@@ -193,27 +271,37 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shor
     return docs.select(key, F.col("fps")[0].alias("fp")).join(ids, "fp").select(key, "fp", "component_id")
 
 
-def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
-    """One row of each component of texts with a similarity of 0.8 or more, all columns as they are: that of the smallest key; without any key, some row."""
-    docs = cut(with_fingerprints(df, key, text, shingle, VIEWS), "fingerprints")
-    found = cut(classes(docs, key, similar=True), "components")
-    kept = df.join(found.filter(F.col("component_id").isNotNull()).select(F.col("component_id").alias(key)).distinct(), key, "left_semi")
-    if not docs.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates([key])
-    if docs.filter(F.col(key).isNull()).isEmpty():
-        return kept
-    # rows without a key: fingerprinted beside all their columns
-    none = df.filter(F.col(key).isNull())
-    at = none.columns.index(text)
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, block: int = BLOCK) -> DataFrame:
+    """One row of each component of texts with a similarity of 0.8 or more, all columns as they are: that of the smallest key; without any key, some row.
+
+    The similarity is that of the sets of shingles (Jaccard). Null and word-less texts are copies of each other and like no other text.
+    """
+    at = df.columns.index(text)
 
     def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turns = _turns()
         for batch in batches:
-            fps = np.array([fingerprint(t.as_py(), shingle)[0] for t in batch.column(at)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps)], names=[*batch.schema.names, "__fp"])
-
-    marked = none.mapInArrow(beside, T.StructType([*none.schema.fields, T.StructField("__fp", T.LongType())]))
-    alone = marked.join(found.filter(F.col("component_id").isNull()).select(F.col("fp").alias("__fp"), F.col("root").alias("__root")), "__fp")
-    return kept.select(*df.columns).union(alone.dropDuplicates(["__root"]).select(*df.columns))
+            sets = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in batch.column(at)]
+            ids = np.array([fingerprint(t.as_py(), shingle)[0] for t in batch.column(at)], np.uint64).view(np.int64)
+            views = [sampled_views(s, turns) if len(s) else [] for s in sets]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids), pa.array(views, pa.list_(pa.int64()))], names=[*batch.schema.names, "__id", "__views"])
+
+    added = [T.StructField("__id", T.LongType()), T.StructField("__views", T.ArrayType(T.LongType()))]
+    docs = cut(df.mapInArrow(beside, T.StructType([*df.schema.fields, *added])), "fingerprints")
+    # entries: distinct first fingerprints
+    entries = cut(docs.groupBy(F.col("__id").alias("id")).agg(F.min(key).alias("least"), F.min("__views").alias("views")), "entries")
+    # names that no column of the documents has
+    own = (F.col("__id") == F.col("__entry")) & F.col(key).eqNullSafe(F.col("__least"))
+    met = cut(groups(entries).join(entries.select("id", "least"), "id").toDF("__entry", "__root", "__n", "__least"), "met")
+    texts = cut(docs.join(met, own).select("__entry", "__root", "__n", F.col(text)).toDF("id", "root", "n", "text").dropDuplicates(["id"]), "texts")
+    roots = components(verified(texts, shingle, block))
+    found = cut(entries.join(roots, F.col("id") == F.col("node"), "left").select("id", "least", F.coalesce("root", "id").alias("root")), "classes")
+    # the entry that has the smallest key of its component, null last
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "id")).alias("x")).select(F.col("x.id").alias("__entry"), F.col("x.least").alias("__least"))
+    kept = docs.join(first, own, "left_semi")
+    if not docs.groupBy("__id", key).count().filter("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["__id"])
+    return kept.select(*df.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -341,6 +341,39 @@ def test_similar_texts_are_found_and_others_not(spark):
         assert 40 <= len(set(root.values())) <= 60
 
 
+def exact_pairs(texts):
+    """Similarities over five-word shingles, counted plainly, of all pairs that share any."""
+    sets = []
+    for t in texts:
+        w = plain(t)
+        sets.append({" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    return {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(len(sets)) for j in range(i) if sets[i] & sets[j]}
+
+
+def edited(r, base, edits):
+    words = list(base)
+    for at in r.choice(len(base), edits, replace=False):
+        words[int(at)] = f"v{r.integers(0, 1 << 40)}"
+    return " ".join(words)
+
+
+def test_recall_by_band(spark):
+    r = np.random.default_rng(80)
+    texts = []
+    for g in range(400):  # pairs alone, so that no chain stands in for a missed link
+        base = [f"w{g}_{x}" for x in r.integers(0, 1 << 40, 300)]
+        texts += [" ".join(base), edited(r, base, 3 + g % 12)]
+    pairs = exact_pairs(texts)
+    kept = {x.doc_id for x in simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    bands = defaultdict(lambda: [0, 0])
+    for (i, j), similarity in pairs.items():
+        bands[int(similarity * 50 + 1e-9) / 50][0] += 1
+        bands[int(similarity * 50 + 1e-9) / 50][1] += i not in kept
+    print({b: tuple(n) for b, n in sorted(bands.items())})
+    assert sum(0.8 <= s < 0.85 for s in pairs.values()) >= 50 and sum(0.7 < s < 0.8 for s in pairs.values()) >= 50
+    assert kept == set(range(len(texts))) - {i for (i, _), s in pairs.items() if s >= 0.8}
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, 2), (3, 2), (500, 400)]
     got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
