@@ -125,11 +125,10 @@ SHARE, VIEWS = 0.1515, 16
 
 
 def similar_links(rows: DataFrame, views: int = VIEWS, share: float = SHARE, short: int = 16) -> DataFrame:
-    """Edges (a, b) between distinct fp of (fp, fps): texts that meet in a posting list of some view and differ in at most `share` of all bits.
+    """Edges (a, b) between distinct fp of (fp, fps): fingerprints that meet in a posting list of some view and differ in at most `share` of all bits.
 
-    Entries of a list longer than `short` are parted by as many bytes of a further view as its length asks
-    for, in three ways, and each is held against the least entry of its part: no entry of a long list is
-    left out, though not each pair in it is compared.
+    For fingerprints whose texts are not at hand; the pipeline's stage has them and takes `groups` and `verified`.
+    Entries of a list longer than `short` are dealt to blocks of about that size, and each two blocks meet: all pairs are compared.
     """
     tables = list(enumerate(combinations(PAIRS, 2)))
     each = rows.select("fp", F.posexplode("fps").alias("view", "own"))
@@ -137,22 +136,14 @@ def similar_links(rows: DataFrame, views: int = VIEWS, share: float = SHARE, sho
     keyed = F.array(*[F.struct((F.col("view") * len(tables) + i).alias("t"), F.shiftleft(_pair(own, x), 16).bitwiseOR(_pair(own, y)).alias("k")) for i, (x, y) in tables])
     postings = each.select("fp", F.explode(keyed).alias("p")).select("fp", "p.*")
     lists = cut(postings.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "lists")
-    live = cut(postings.join(lists, ["t", "k"]), "live")
-    small = live.filter(F.col("n") <= short).select("t", "k", "fp")
-    more = F.least(F.lit(8), F.ceil(F.log2(F.col("n") / short) / 3)).cast("int")
-    masks = F.array(*[F.lit((1 << 8 * e) - 1 if e < 8 else -1) for e in range(1, 9)])
-    ways = F.array(*[F.xxhash64(F.lit(i), F.get("fps", (F.floor(F.col("t") / len(tables)) + i).cast("int") % views).bitwiseAND(F.element_at(masks, more))) for i in (1, 2, 3)])
-    large = live.filter(F.col("n") > short).join(rows, "fp").select("t", "k", "fp", F.explode(ways).alias("x"))
-    parts = large.groupBy("t", "k", "x").agg(F.count(F.lit(1)).alias("m"), F.min("fp").alias("least")).filter("m > 1")
-    parted = cut(large.select("t", "k", "x", "fp").join(parts, ["t", "k", "x"]), "parted")
-    other = small.toDF("t2", "k2", "fp2")
-    met = small.join(other, (F.col("t") == F.col("t2")) & (F.col("k") == F.col("k2")) & (F.col("fp") < F.col("fp2")))
-    held = parted.filter(F.col("fp") != F.col("least")).select("least", "fp")
-    pairs = cut(met.select("fp", "fp2").union(held).toDF("a", "b").distinct(), "pairs")
+    cells = cut(in_cells(postings.join(lists, ["t", "k"]), "fp", short), "cells")
+    x, y = cells.alias("x"), cells.alias("y")
+    apart = F.when(F.col("x.low") == F.col("x.high"), F.col("x.fp") < F.col("y.fp")).otherwise(F.col("x.block") < F.col("y.block"))
+    met = x.join(y, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("t", "k", "low", "high")]).filter(apart)
+    pairs = cut(met.select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b")).distinct(), "pairs")
     sides = pairs.join(rows.select(F.col("fp").alias("a"), F.col("fps").alias("u")), "a").join(rows.select(F.col("fp").alias("b"), F.col("fps").alias("v")), "b")
     differ = F.aggregate(F.zip_with("u", "v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-    kept = sides.filter(differ <= int(share * 64 * views)).select("a", "b")
-    return kept
+    return sides.filter(differ <= int(share * 64 * views)).select("a", "b")
 
 
 def in_cells(rows: DataFrame, entry: str, size: int) -> DataFrame:
