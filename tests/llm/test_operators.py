@@ -392,6 +392,17 @@ def test_long_lists_lose_nothing(spark):
     assert {x.doc_id for x in simhash.keep_one(df, block=7).collect()} == set(root.values())
 
 
+def test_threshold_is_exact(spark):
+    texts = []
+    for g in range(60):  # 45 shared of 56 or 57 shingles, the least one over or under the threshold
+        shared = [f"s{g}_{x}" for x in range(49)]
+        texts += [" ".join([*shared, *[f"a{g}_{x}" for x in range(5)]]), " ".join([*shared, *[f"b{g}_{x}" for x in range(6 + g % 2)]])]
+    pairs = exact_pairs(texts)
+    assert {round(s, 4) for s in pairs.values()} == {round(45 / 56, 4), round(45 / 57, 4)}
+    kept = {x.doc_id for x in simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert kept == set(range(120)) - {4 * g + 1 for g in range(30)}
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, 2), (3, 2), (500, 400)]
     got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
