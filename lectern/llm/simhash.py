@@ -270,16 +270,18 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: in
     at = df.columns.index(text)
 
     def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         turns = _turns()
         for batch in batches:
             sets = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in batch.column(at)]
-            ids = np.array([fingerprint(t.as_py(), shingle)[0] for t in batch.column(at)], np.uint64).view(np.int64)
+            ids = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
             views = [sampled_views(s, turns) if len(s) else [] for s in sets]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids), pa.array(views, pa.list_(pa.int64()))], names=[*batch.schema.names, "__id", "__views"])
 
     added = [T.StructField("__id", T.LongType()), T.StructField("__views", T.ArrayType(T.LongType()))]
     docs = cut(df.mapInArrow(beside, T.StructType([*df.schema.fields, *added])), "fingerprints")
-    # entries: distinct first fingerprints
+    # entries: distinct sets of shingles
     entries = cut(docs.groupBy(F.col("__id").alias("id")).agg(F.min(key).alias("least"), F.min("__views").alias("views")), "entries")
     # names that no column of the documents has
     own = (F.col("__id") == F.col("__entry")) & F.col(key).eqNullSafe(F.col("__least"))

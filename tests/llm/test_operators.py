@@ -403,6 +403,14 @@ def test_threshold_is_exact(spark):
     assert kept == set(range(120)) - {4 * g + 1 for g in range(30)}
 
 
+def test_equal_fingerprints_are_not_equal_texts(spark):
+    texts = [" ".join(["x"] * 300 + [f"{n}_{i}" for i in range(30)]) for n in "ab"]
+    assert simhash.fingerprint(texts[0], 5) == simhash.fingerprint(texts[1], 5) and max(exact_pairs(texts).values()) < 0.1
+    texts.append(texts[1] + " end")  # near the second one alone
+    kept = simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {x.doc_id for x in kept} == {0, 1}
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, 2), (3, 2), (500, 400)]
     got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
