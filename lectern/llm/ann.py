@@ -119,8 +119,9 @@ def search(df: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id", vect
 
     Rows with a null key, a null or zero vector, or one with null or non-finite components take no part,
     nor do vectors of another length than the commonest (of equals the greatest). Equal vectors tie, to
-    the smaller key; a row is no neighbour of itself, but of others with its key. Fewer than k candidates give
-    fewer rows; an empty table none. Other columns are dropped.
+    the smaller key; a row is no neighbour of itself, but of others with its key and another vector. Rows that
+    repeat a key and its vector count as one; queries with one key and several vectors are ranked apart. Fewer
+    than k candidates give fewer rows; an empty table none. Other columns are dropped.
     """
     spark = df.sparkSession
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")).filter(F.col("id").isNotNull() & usable(F.col("v")))
@@ -131,6 +132,8 @@ def search(df: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id", vect
     dims = lengths["dims"]
     rows = rows.filter(F.size("v") == dims).withColumn("v", F.transform("v", lambda x: x.cast("double") + F.lit(0.0)))  # -0.0 equals 0.0
     rows = rows.withColumn("h", F.xxhash64("v"))
+    # a row per key and vector; before the exchange as well as after it
+    rows = rows.dropDuplicates(["id", "h", "v"])
 
     # distinct vectors, each with its k + 1 least ids; the limit by rank works before the exchange as well as after it
     placed = rows.withColumn("place", F.row_number().over(Window.partitionBy("h", "v").orderBy("id"))).filter(F.col("place") <= k + 1)
@@ -176,7 +179,7 @@ def search(df: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id", vect
     right = questions.join(cells, "list").withColumn("crowd", F.pmod(F.xxhash64("h", F.lit(2)), F.col("crowds"))).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).select("list", F.col("slice").cast("long").alias("slice"), "crowd", "h", "v", "bound")
 
     def cell(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        out = pa.schema([("h", pa.int64()), ("q", pa.list_(pa.float64())), ("id", pa.int64()), ("score", pa.float64())])
+        out = pa.schema([("h", pa.int64()), ("q", pa.list_(pa.float64())), ("id", pa.int64()), ("score", pa.float64()), ("same", pa.bool_())])
         if not vectors.num_rows or not queries.num_rows:
             return out.empty_table()
         vectors, queries = vectors.combine_chunks(), queries.combine_chunks()
@@ -196,20 +199,21 @@ def search(df: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id", vect
             score = (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
         if len(extreme):
             score[extreme] = (unit(a[extreme]) * unit(b[extreme])).sum(axis=1)
+        same = (a == b).all(axis=1)
         ids = vectors.column("ids").chunk(0).take(pa.array(v))
         many = np.diff(ids.offsets.to_numpy())
         row = np.repeat(np.arange(len(q)), many)
-        return pa.table([queries.column("h").take(pa.array(q[row])), queries.column("v").take(pa.array(q[row])), ids.flatten(), pa.array(score[row])], schema=out)
+        return pa.table([queries.column("h").take(pa.array(q[row])), queries.column("v").take(pa.array(q[row])), ids.flatten(), pa.array(score[row]), pa.array(same[row])], schema=out)
 
     keys = ["list", "slice", "crowd"]
-    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, "h long, q array<double>, id long, score double")
+    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, "h long, q array<double>, id long, score double, same boolean")
     best = Window.partitionBy("h", "q").orderBy(F.desc("score"), "id")
-    top = cut(near.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1).select("h", "q", "id", "score"), "nearest")
+    top = cut(near.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1).select("h", "q", "id", "score", "same"), "nearest")
 
     # each query has the k + 1 nearest of its vector, itself among them or not
     joined = asked.select(F.col("id").alias("query_id"), "h", "v").alias("a").join(top.alias("t"), (F.col("a.h") == F.col("t.h")) & (F.col("a.v") == F.col("t.q")))
-    others = joined.filter(F.col("query_id") != F.col("t.id")).select("query_id", F.col("t.id").alias("vec_id"), "score")
-    ranked = others.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+    others = joined.filter((F.col("query_id") != F.col("t.id")) | ~F.col("same")).select("query_id", F.col("a.h").alias("h"), F.col("a.v").alias("v"), F.col("t.id").alias("vec_id"), "score")
+    ranked = others.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "h", "v").orderBy(F.desc("score"), "vec_id")))
     return ranked.filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 

@@ -491,6 +491,18 @@ def test_search_equals_brute_force(spark):
     assert [(q.rank, q.vec_id) for q in sorted(few, key=lambda q: q.rank)] == [(1, 1), (2, 2)]
 
 
+def test_repeated_rows_of_vectors(spark):
+    near = [(i, [1.0, 0.01 * i]) for i in range(1, 7)]
+    rows = [(0, [1.0, 0.0])] * 7 + [(7, [1.0, 0.0])] + near + [(0, [0.0, 1.0])]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), recall=1.0).collect()
+    found = sorted((q.rank, q.vec_id) for q in got)
+    first = [7, 1, 2, 3, 4]  # 7 has the vector, and 5 of the nearest are left
+    second = [6, 5, 4, 3, 2]
+    assert found == sorted((r, v) for ids in (first, second) for r, v in enumerate(ids, 1))
+    twice = ann.search(spark.createDataFrame([(0, [1.0, 0.0]), (0, [1.0, 0.5]), (1, [0.0, 1.0])], "vec_id long, embedding array<double>"), recall=1.0).collect()
+    assert sorted((q.rank, q.vec_id) for q in twice) == [(1, 0), (1, 0), (2, 1), (2, 1)]
+
+
 def test_recall(spark):
     r = np.random.default_rng(6)
     x = r.standard_normal((6000, 32)) + 2 * r.standard_normal((12, 32))[r.integers(0, 12, 6000)]
