@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -49,6 +53,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def slices(batch: pa.RecordBatch, text: int, rows: int = 4000, size: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of so many rows and bytes of its text column at most, or of one row: what a worker makes of a part stays small."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = min(max(at + 1, int(np.searchsorted(ends, before + size, side="right"))), at + rows)
+        yield batch.slice(at, min(to, batch.num_rows) - at)
+        at = to
+
+
 def order_hash(*cols: str) -> Column:
     """A reproducible pseudo-random order key: hex MD5 of the values as text, null as the empty string."""
     return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]))

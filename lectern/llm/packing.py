@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import cut
+from .common import cut, slices
 from .tokens import encoder, with_end
 
 CAPACITY = 1024
@@ -57,8 +57,7 @@ def pieces(df: DataFrame, tokenizer: str, end: int, capacity: int = CAPACITY, te
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, seen, part = encoder(tokenizer), np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
         for batch in batches:
-            for at in range(0, batch.num_rows, 4000):
-                rows = batch.slice(at, 4000)
+            for rows in slices(batch, 1):
                 ids, ends = with_end(*tokens.encode(rows.column(1)), end)
                 sizes = np.diff(ends)
                 many = -(-sizes // capacity)

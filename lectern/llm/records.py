@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import scratch
+from .common import scratch, slices
 from .ordering import bucketed, ranges
 from .tokens import encoder, with_end
 
@@ -114,8 +114,7 @@ def write_records(df: DataFrame, folder: str, tokenizer: str, end: int, width: i
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, shard, done = encoder(tokenizer).encode, None, []
         for batch in batches:
-            for at in range(0, batch.num_rows, 4000):
-                rows = batch.slice(at, 4000)
+            for rows in slices(batch, 1):
                 ids, ends = with_end(*encode(rows.column(1)), end)
                 for i, (k, b) in enumerate(zip(rows.column(0).to_pylist(), rows.column(2).to_pylist(), strict=True)):
                     if shard is None or shard.number != b:

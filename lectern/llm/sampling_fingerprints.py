@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import slices
 from .ordering import ranges, with_tails
 
 SAMPLES = 64
@@ -97,8 +98,7 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", samples
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                rows = batch.slice(at, 1000)
+            for rows in slices(batch, 1, 1000):
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(map(hexadecimal, signatures(rows.column(1), samples)), pa.string())], names=[key, "fingerprint"])
 
     return df.select(key, text).mapInArrow(made, T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("fingerprint", T.StringType())]))

@@ -15,8 +15,8 @@ Components come from alternating large-star and small-star steps over written ta
 The pipeline's stage asks for a similarity of texts instead of a number of bits, which 64 bits can't tell:
 of two texts that share 80 % of their five-word shingles some 10 bits differ. `keep_one` therefore takes
 fingerprints of samples of a text's shingles. Those of similar texts are often equal in all eight bytes, so
-that the lists are by whole fingerprints and no bytes are tallied. Texts that are reachable over lists are
-a group; inside it all pairs are held against each other by their shingles themselves.
+that the lists are by whole fingerprints and no bytes are tallied. Pairs are verified by their shingles
+themselves: each entry against a leader first, then what is not connected yet against all of its group.
 """
 
 from __future__ import annotations
@@ -29,8 +29,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from .common import cut
+from .common import cut, slices
 
 #: Aligned byte pairs of a fingerprint, by their shift.
 PAIRS = (0, 16, 32, 48)
@@ -77,8 +78,9 @@ def with_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", sh
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t.as_py(), shingle, views) for t in batch.column(1)], np.uint64).view(np.int64).reshape(-1, views)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(fps), pa.list_(pa.int64()))], names=[key, "fps"])
+            for rows in slices(batch, 1):
+                fps = np.array([fingerprint(t.as_py(), shingle, views) for t in rows.column(1)], np.uint64).view(np.int64).reshape(-1, views)
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(list(fps), pa.list_(pa.int64()))], names=[key, "fps"])
 
     return df.select(key, text).mapInArrow(made, T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("fps", T.ArrayType(T.LongType()))]))
 
@@ -173,14 +175,16 @@ def sampled_views(shingles: np.ndarray, turns: np.ndarray) -> np.ndarray:
     return np.packbits(bits * 2 > SAMPLED, axis=1, bitorder="little").view(np.int64).ravel()
 
 
-def groups(entries: DataFrame) -> DataFrame:
-    """(id, root, n) of entries (id, views) that share a sampled view with another one: whatever is reachable over shared views is a group of n entries."""
+def postings_of(entries: DataFrame) -> DataFrame:
+    """(k, id) of entries (id, views) whose sampled view k another one has too."""
     postings = entries.select("id", F.explode(F.array_distinct("views")).alias("k"))
-    lists = cut(postings.groupBy("k").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("least")).filter("m > 1").drop("m"), "lists")
-    stars = postings.join(lists, "k").filter("id != least").select(F.col("least").alias("a"), F.col("id").alias("b"))
-    below = components(stars).select(F.col("node").alias("id"), "root")
-    found = cut(below.union(below.select("root", "root").distinct()), "groups")  # the root has no row of its own
-    return found.join(found.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "root")
+    return cut(postings.join(postings.groupBy("k").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("k"), "k"), "postings")
+
+
+def stars(postings: DataFrame) -> DataFrame:
+    """Edges (a, b) from the least entry of each list to its others."""
+    least = postings.groupBy("k").agg(F.min("id").alias("a"))
+    return postings.join(least, "k").filter("id != a").select("a", F.col("id").alias("b"))
 
 
 def similar_pairs(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
@@ -196,14 +200,14 @@ def similar_pairs(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[t
         yield i, np.flatnonzero(shared * SIMILAR[1] >= (len(s) + sizes - shared) * SIMILAR[0])
 
 
-def verified(texts: DataFrame, shingle: int, block: int = BLOCK) -> DataFrame:
-    """Edges (a, b) whose closure is that of all similar pairs inside a group, of (id, root, n, text) with one row per entry: all pairs of a group are compared."""
+def _compare(shingle: int):
+    """Rows (block, id, comp, text) of a cell to edges (a, b): all pairs of its two blocks (or of its one) are compared; rows of one comp are connected already."""
 
     def cell(rows: pa.Table) -> pa.Table:
-        ids, blocks = rows.column("id").to_numpy(), rows.column("block").to_numpy()
+        ids, blocks, comps = (rows.column(c).to_numpy() for c in ("id", "block", "comp"))
         sets = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in rows.column("text")]
         low, high = np.flatnonzero(blocks == blocks.min()), np.flatnonzero(blocks == blocks.max())
-        root = list(range(len(ids)))
+        root = np.unique(comps, return_index=True)[1][np.unique(comps, return_inverse=True)[1]].tolist()
         edges = []
 
         def find(x: int) -> int:
@@ -220,8 +224,62 @@ def verified(texts: DataFrame, shingle: int, block: int = BLOCK) -> DataFrame:
                     edges.append((ids[low[i]], ids[high[j]]))
         return pa.table([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    cells = in_cells(texts, "id", block).select("root", "low", "high", "block", "id", "text")
-    return cells.groupBy("root", "low", "high").applyInArrow(cell, "a long, b long")
+    return cell
+
+
+def weight(text: Column) -> Column:
+    """What a text counts for in a block: one, and one more for every 8 KB."""
+    return F.lit(1) + F.floor(F.coalesce(F.octet_length(text), F.lit(0)) / 8192)
+
+
+def led(texts: DataFrame, leaders: DataFrame, shingle: int, block: int) -> DataFrame:
+    """Edges (a, b) of (id, text) and (a, b): entries b whose text is similar to that of their leader a. A leader's text goes once to each block of its entries."""
+    own = texts.select("id", "text", weight(F.col("text")).alias("w"))
+    members = leaders.join(own, F.col("b") == F.col("id")).select("a", "b", "text", "w")
+    sizes = leaders.join(own.select("id", "w"), F.col("b") == F.col("id")).groupBy("a").agg(F.ceil(F.sum("w") / block).alias("blocks"))
+    placed = members.join(sizes, "a").select("a", F.pmod(F.xxhash64("b", F.lit(3)), F.col("blocks")).cast("int").alias("at"), F.lit(1).alias("block"), F.col("b").alias("id"), F.col("b").alias("comp"), "text")
+    heads = sizes.join(own, F.col("a") == F.col("id")).select("a", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("at"), F.lit(0).alias("block"), "id", F.col("id").alias("comp"), "text")
+    return placed.unionByName(heads).groupBy("a", "at").applyInArrow(_compare(shingle), "a long, b long")
+
+
+def cells_of(rows: DataFrame, block: int) -> DataFrame:
+    """Rows (root, low, high, block, id, comp, text) of (root, id, comp, w, text): any two rows of a root and different comps meet in one cell.
+
+    A comp of over `block` has blocks of its own, which need not meet each other; the others share blocks by comp.
+    """
+    large = rows.groupBy("root", "comp").agg(F.sum("w").alias("own")).withColumn("kind", F.when(F.col("own") > block, F.col("comp")))
+    kinds = large.groupBy("root", "kind").agg(F.ceil(F.sum("own") / block).cast("int").alias("blocks"))
+    # a row per large comp of a root, and one for all others
+    by_root = Window.partitionBy("root")
+    kinds = kinds.withColumn("first", F.sum("blocks").over(by_root.orderBy(F.col("kind").asc_nulls_first())) - F.col("blocks")).withColumn("all", F.sum("blocks").over(by_root))
+    kinds = kinds.filter("all > 1 OR kind IS NULL").toDF("k_root", "k_kind", "blocks", "first", "all")
+    placed = rows.join(large.select("root", "comp", "kind"), ["root", "comp"]).join(kinds, (F.col("root") == F.col("k_root")) & F.col("kind").eqNullSafe(F.col("k_kind")))
+    at = F.pmod(F.xxhash64(F.when(F.col("kind").isNull(), F.col("comp")).otherwise(F.col("id")), F.lit(3)), F.col("blocks"))
+    placed = placed.withColumn("block", (F.col("first") + at).cast("int"))
+    others = F.filter(F.sequence(F.lit(0), (F.col("all") - 1).cast("int")), lambda b: F.col("kind").isNull() | (b < F.col("first")) | (b >= F.col("first") + F.col("blocks")))
+    spread = placed.withColumn("with", F.explode(others))
+    return spread.select("root", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "id", "comp", "text")
+
+
+def similar_components(postings: DataFrame, texts: DataFrame, shingle: int, block: int = BLOCK) -> DataFrame:
+    """(node, root) of entries that are connected over pairs with a similarity of SIMILAR or more, of their lists (k, id) and (id, text).
+
+    First each entry is held against one leader, the least entry that it shares a list with: a row an
+    entry, however long the list. What a leader connects need not be compared again. Lists all of whose
+    entries are connected are done with; what is reachable over the others is a group, and in it all
+    entries that are not yet connected to each other are compared.
+    """
+    leaders = cut(stars(postings).groupBy("b").agg(F.min("a").alias("a")), "leaders")
+    near = cut(led(texts, leaders, shingle, block), "led")
+    joined = cut(components(near), "joined")
+    marked = cut(postings.join(joined, F.col("id") == F.col("node"), "left").select("k", "id", F.coalesce("root", "id").alias("comp")), "marked")
+    undone = marked.groupBy("k").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("k")
+    open_lists = cut(marked.join(undone, "k"), "open")
+    below = components(stars(open_lists.select("k", "id"))).toDF("id", "root")
+    found = below.union(below.select("root", "root").distinct())  # the root has no row of its own
+    rows = found.join(open_lists.select("id", "comp").distinct(), "id").join(texts, "id").withColumn("w", weight(F.col("text")))
+    more = cells_of(cut(rows, "groups"), block).groupBy("root", "low", "high").applyInArrow(_compare(shingle), "a long, b long")
+    return components(near.union(cut(more, "compared")))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -274,10 +332,11 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: in
 
         turns = _turns()
         for batch in batches:
-            sets = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in batch.column(at)]
-            ids = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
-            views = [sampled_views(s, turns) if len(s) else [] for s in sets]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids), pa.array(views, pa.list_(pa.int64()))], names=[*batch.schema.names, "__id", "__views"])
+            for rows in slices(batch, at):
+                sets = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in rows.column(at)]
+                ids = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
+                views = [sampled_views(s, turns) if len(s) else [] for s in sets]
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(ids), pa.array(views, pa.list_(pa.int64()))], names=[*rows.schema.names, "__id", "__views"])
 
     added = [T.StructField("__id", T.LongType()), T.StructField("__views", T.ArrayType(T.LongType()))]
     docs = cut(df.mapInArrow(beside, T.StructType([*df.schema.fields, *added])), "fingerprints")
@@ -285,9 +344,10 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: in
     entries = cut(docs.groupBy(F.col("__id").alias("id")).agg(F.min(key).alias("least"), F.min("__views").alias("views")), "entries")
     # names that no column of the documents has
     own = (F.col("__id") == F.col("__entry")) & F.col(key).eqNullSafe(F.col("__least"))
-    met = cut(groups(entries).join(entries.select("id", "least"), "id").toDF("__entry", "__root", "__n", "__least"), "met")
-    texts = cut(docs.join(met, own).select("__entry", "__root", "__n", F.col(text)).toDF("id", "root", "n", "text").dropDuplicates(["id"]), "texts")
-    roots = components(verified(texts, shingle, block))
+    postings = postings_of(entries)
+    met = postings.select("id").distinct().join(entries, "id").select(F.col("id").alias("__entry"), F.col("least").alias("__least"))
+    texts = cut(docs.join(met, own).select("__entry", F.col(text)).toDF("id", "text").dropDuplicates(["id"]), "texts")
+    roots = similar_components(postings, texts, shingle, block)
     found = cut(entries.join(roots, F.col("id") == F.col("node"), "left").select("id", "least", F.coalesce("root", "id").alias("root")), "classes")
     # the entry that has the smallest key of its component, null last
     first = found.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "id")).alias("x")).select(F.col("x.id").alias("__entry"), F.col("x.least").alias("__least"))

@@ -21,6 +21,8 @@ MARK, STOP = "\x01", "\x02"
 _SPACES = r"\s\x0b\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 #: Stretches that are encoded as one text, with a stop between them.
 _JOINED = 256
+#: Joined texts that are encoded at a time.
+_GROUPS = 64
 #: What a stretch begins with, unless it begins a text.
 _BEGINS = " .,;:!?|"
 
@@ -28,7 +30,7 @@ _BEGINS = " .,;:!?|"
 class Encoder:
     """Encodes Arrow arrays of strings; special tokens' strings in a text are ordinary text."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -57,17 +59,22 @@ class Encoder:
         return None
 
     def _one_by_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        each = self._ids(words)
-        lengths = np.fromiter(map(len, each), np.int64, len(each))
-        return np.fromiter(chain.from_iterable(each), np.uint32, int(lengths.sum())), lengths
+        parts = [(np.array([], np.uint32), np.array([], np.int64))]
+        for at in range(0, len(words), _JOINED * _GROUPS):
+            each = self._ids(words[at : at + _JOINED * _GROUPS])
+            lengths = np.fromiter(map(len, each), np.int64, len(each))
+            parts.append((np.fromiter(chain.from_iterable(each), np.uint32, int(lengths.sum())), lengths))
+        flat, lengths = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return flat, lengths
 
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and lengths of stretches that a cut begins."""
         if self.stop is None or len(words) < 2 * _JOINED or any(STOP in w for w in words):
             return self._one_by_one(words)
         stop, ids = self.stop
-        joined = [stop.join(words[at : at + _JOINED]) + stop for at in range(0, len(words), _JOINED)]
-        flat = np.concatenate([np.array(x, np.uint32) for x in self._ids(joined)])
+        groups = range(0, len(words), _JOINED * _GROUPS)  # an encoding takes far more room than its ids
+        joined = ([stop.join(words[at : at + _JOINED]) + stop for at in range(first, min(len(words), first + _JOINED * _GROUPS), _JOINED)] for first in groups)
+        flat = np.concatenate([np.array(x, np.uint32) for some in joined for x in self._ids(some)])
         last = np.flatnonzero(flat == ids[-1])
         if len(last) != len(words):
             return self._one_by_one(words)

@@ -24,8 +24,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled rows that learning takes, at most; lexicon entries that are kept, at most, and what they need.
-TRAIN_ROWS, LEXICON, LEAST_CONTEXTS, LEAST_ODDS = 20_000, 4000, 6, 2.5
+#: Labelled rows that learning takes, at most; contexts and log odds that a word needs for the lexicon.
+TRAIN_ROWS, LEAST_CONTEXTS, LEAST_ODDS = 20_000, 6, 2.5
 
 TAGS = ("other", "insult", "threat", "target", "negation", "report")
 #: Outputs of the composed machines.
@@ -145,8 +145,8 @@ def probability(x: np.ndarray | None, weights: tuple[float, ...]) -> float:
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray, penalty: float = 0.1, rounds: int = 50) -> tuple[float, ...]:
-    """Ridge logistic regression by Newton's method; no match counts in favour of a text: features that would are left out."""
+def fit_weights(x: np.ndarray, y: np.ndarray, times: np.ndarray, penalty: float = 0.1, rounds: int = 50) -> tuple[float, ...]:
+    """Ridge logistic regression by Newton's method, each row counted so many times; no match counts in favour of a text: features that would are left out."""
     x = np.hstack([x, np.ones((len(x), 1))])
     used = np.ones(x.shape[1], bool)
     while True:
@@ -154,8 +154,8 @@ def fit_weights(x: np.ndarray, y: np.ndarray, penalty: float = 0.1, rounds: int
         ridge = np.where(np.arange(used.sum()) < used.sum() - 1, penalty, 1e-3)
         for _ in range(rounds):
             p = 1 / (1 + np.exp(-np.clip(part @ w, -30, 30)))
-            hessian = (part * (p * (1 - p))[:, None]).T @ part + np.diag(ridge)
-            move = np.linalg.solve(hessian, part.T @ (p - y) + ridge * w)
+            hessian = (part * (times * p * (1 - p))[:, None]).T @ part + np.diag(ridge)
+            move = np.linalg.solve(hessian, part.T @ (times * (p - y)) + ridge * w)
             w = w - move
             if np.abs(move).max() < 1e-6:
                 break
@@ -198,7 +198,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     if not counts[0] or not counts[1]:
         return Model({}, (0.0,) * FEATURES + (-3.0,))
     odds = F.log((F.col("bad") + 0.5) / float(counts[0])) - F.log((F.col("good") + 0.5) / float(counts[1]))
-    found = words.select("word", odds.alias("odds")).filter(F.col("odds") >= LEAST_ODDS).orderBy(F.desc("odds"), "word").limit(LEXICON).collect()
+    found = words.select("word", odds.alias("odds")).filter(F.col("odds") >= LEAST_ODDS).orderBy(F.desc("odds"), "word").collect()  # words of the sample
     model = Model({r["word"]: round(r["odds"], 3) for r in found})
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         return Model(model.insults, (0.0,) * FEATURES + (-3.0,))
     x = np.array([r["x"] or [0.0] * FEATURES for r in pairs])
     y, times = np.array([r["toxic"] for r in pairs]), np.array([r["count"] for r in pairs])
-    return Model(model.insults, fit_weights(np.repeat(x, times, axis=0), np.repeat(y, times)))
+    return Model(model.insults, fit_weights(x, y, times))
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
