@@ -18,6 +18,10 @@ from pyspark.sql.window import Window
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Ranges grow beyond this number of them.
+MOST_RANGES = 100_000
+
+
 @lru_cache(maxsize=1)
 def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="checkpoints")
@@ -69,23 +73,20 @@ def order_hash(*cols: str) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]))
 
 
-def hash_bucket(h: Column, n: int) -> Column:
-    """floor(first 32 bits * n / 2**32): monotone in the hash, so that buckets keep its order."""
-    return F.floor(F.conv(F.substring(h, 1, 8), 16, 10).cast("long") * F.lit(n) / F.lit(2**32)).cast("long")
-
-
-def row_numbers(df: DataFrame, key: list[str], ties: list[str], out: str, bucket_rows: int = 8192) -> tuple[DataFrame, int]:
-    """Adds the global row number (long, from 0) in the order of MD5(key), then key and ties; returns the table and its number of rows.
+def row_numbers(df: DataFrame, order: list[Column], out: str, bucket_rows: int = 50_000) -> tuple[DataFrame, int]:
+    """Adds the global row number (long, from 0) in the given order, ties in the order of reading; returns the table and its number of rows.
 
-    Rows are counted per hash bucket, the counts are summed up over buckets, and only the numbering
-    inside one bucket sorts rows: one exchange of the rows, no task over all of them.
+    The rows are sorted by ranges and written: a row's number is its place in its range plus the rows of
+    the ranges before it, of which there is one row each. Rows that tie are told apart by their place in
+    the input, so that a value that many rows have falls into several ranges like any other. A range has
+    about `bucket_rows` rows, more where there would be over MOST_RANGES of them.
     """
     n = df.count()
-    buckets = n // bucket_rows + 1
-    keyed = df.withColumn("__h", order_hash(*key)).withColumn("__b", hash_bucket(F.col("__h"), buckets))
-    sizes = keyed.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
-    before = sizes.select("__b", (F.sum("__n").over(Window.orderBy("__b")) - F.col("__n")).alias("__before"))
-    order = [F.col("__h"), *[F.col(c) for c in [*key, *ties]]]
-    numbered = keyed.withColumn("__r", F.row_number().over(Window.partitionBy("__b").orderBy(*order)))
-    joined = numbered.join(before, "__b")
-    return joined.withColumn(out, F.col("__before") + F.col("__r") - 1).drop("__h", "__b", "__r", "__before"), n
+    parts = n // max(bucket_rows, n // MOST_RANGES) + 1
+    keyed = df.withColumn("__at", F.monotonically_increasing_id())
+    keys = [*order, F.col("__at")]
+    placed = cut(keyed.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).drop("__at").withColumn("__m", F.monotonically_increasing_id()), "numbered")
+    rows = placed.withColumn("__p", F.shiftright("__m", 33))
+    before = rows.groupBy("__p").agg(F.count(F.lit(1)).alias("__n")).select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__before"))
+    numbered = rows.join(before, "__p").withColumn(out, F.col("__before") + F.col("__m").bitwiseAND((1 << 33) - 1))
+    return numbered.drop("__m", "__p", "__before"), n

@@ -5,8 +5,8 @@ Documents are laid out within their source, the expected copies are summed up al
 random offset per source is added, and a document is taken once per integer that its stretch crosses.
 The order goes by size class first, so that the words taken stay within about two documents of the target.
 
-The prefix sum has three levels, none of which puts a hot source in one task: rows inside (source,
-class, bucket), buckets inside (source, class), classes inside a source.
+The prefix sum follows from global row numbers in the order of source and class: a row's place in its
+source is its number less that of the source's first row, so that a hot source is many tasks.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, cut, hash_bucket, order_hash
+from .common import WORD, cut, order_hash, row_numbers
 
 #: Largest number of copies of a document, and of a target as a multiple of its source's size.
 CAP = 3
@@ -65,37 +65,33 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> Da
     return w.select("source", "source_size", target.alias("target"))
 
 
-def mix(df: DataFrame, size: Column, source: str = "source", key: str = "doc_id", weights: tuple[int, ...] = (1, 2, 3), seed: int = 1, bucket_rows: int = 8192) -> DataFrame:
+def mix(df: DataFrame, size: Column, source: str = "source", key: str = "doc_id", weights: tuple[int, ...] = (1, 2, 3), seed: int = 1, bucket_rows: int = 50_000) -> DataFrame:
     """Adds size, source_size, target, copies and taken (copies * size) to every row; the caller repeats rows by `copies`.
 
     A null source is a source of its own, after all others. A null or word-less text has size 0 and
     takes no words. Rows with the same key (null too) keep one place in the order; full duplicates are
-    told apart only by their row number, so that which of them is taken makes no difference. An empty
-    table gives an empty table. Columns named like the outputs are replaced.
+    told apart only by their row number, so that which of them is taken makes no difference. However
+    many rows have one key or source, they fall into several ranges. A very long text counts with all
+    its words. An empty table gives an empty table. Columns named like the outputs are replaced; names
+    that begin with two underscores are reserved.
     """
-    named = cut(df.withColumn("size", size), "sized")  # sizes are used in several places, and read once
-    buckets = named.count() // bucket_rows + 1
-    keyed = named.withColumn("__s", F.col(source)).withColumn("__c", size_class(F.col("size"))).withColumn("__h", order_hash(key)).withColumn("__b", hash_bucket(F.col("__h"), buckets))
-
-    counts = keyed.groupBy("__s", "__c", "__b").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"))
-    in_class = Window.partitionBy("__s", "__c").orderBy("__b")
-    counts = counts.withColumn("b_before", F.sum("n").over(in_class) - F.col("n"))
-    classes = counts.groupBy("__s", "__c").agg(F.sum("n").alias("cn"), F.sum("words").alias("words"))
-    classes = classes.withColumn("c_before", F.sum("cn").over(Window.partitionBy("__s").orderBy("__c")) - F.col("cn"))
-    targets = source_targets(classes.groupBy(F.col("__s").alias("source")).agg(F.sum("words").alias("source_size")), weights)
-    targets = targets.withColumnRenamed("source", "t_s")
-    classes = classes.join(targets, F.col("__s").eqNullSafe(F.col("t_s"))).select(F.col("__s").alias("c_s"), F.col("__c").alias("c_c"), "c_before", "source_size", "target")
-    offsets = counts.join(classes, F.col("__s").eqNullSafe(F.col("c_s")) & (F.col("__c") == F.col("c_c"))).select(
-        F.col("__s").alias("o_s"), F.col("__c").alias("o_c"), F.col("__b").alias("o_b"), (F.col("b_before") + F.col("c_before")).alias("__before"), F.col("source_size").alias("__size"), F.col("target").alias("__target")
-    )
-    place = Window.partitionBy("__s", "__c", "__b").orderBy("__h", F.col(key), "size")
-    placed = keyed.withColumn("__r", F.row_number().over(place))
-    joined = placed.join(offsets, F.col("__s").eqNullSafe(F.col("o_s")) & (F.col("__c") == F.col("o_c")) & (F.col("__b") == F.col("o_b")))
+    # sizes are used in several places and read once; only keys and sizes are sorted, and find their rows again by number
+    named = cut(df.withColumn("size", size).withColumn("__row", F.monotonically_increasing_id()), "sized")
+    narrow = named.select("__row", F.col(source).alias("__s"), F.col(key).alias("__k"), F.col("size").alias("__z"))
+    order = [F.col("__s").asc_nulls_last(), size_class(F.col("__z")), order_hash("__k"), F.col("__k"), F.col("__z")]
+    numbered, _ = row_numbers(narrow, order, "__n", bucket_rows)
+    sources = named.groupBy(F.col(source).alias("source")).agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
+    firsts = sources.select(F.col("source").alias("f_s"), (F.sum("rows").over(Window.orderBy(F.col("source").asc_nulls_last())) - F.col("rows")).alias("first"))
+    # a row per source
+    targets = source_targets(sources.select("source", "source_size"), weights).join(firsts, F.col("source").eqNullSafe(F.col("f_s"))).select(F.col("source").alias("__t"), F.col("source_size").alias("__size"), F.col("target").alias("__target"), F.col("first").alias("__first"))
+    placed = numbered.join(targets, F.col("__s").eqNullSafe(F.col("__t")))
+    place = F.col("__n") - F.col("__first")
     each = F.when(F.col("__size") > 0, F.col("__target") / F.col("__size")).otherwise(0.0)
-    upto = F.floor(source_offset(F.col("__s"), seed) + each * (F.col("__before") + F.col("__r")))
-    below = F.floor(source_offset(F.col("__s"), seed) + each * (F.col("__before") + F.col("__r") - 1))
-    out = joined.withColumn("copies", F.least(upto - below, F.lit(CAP)).cast("long")).withColumn("taken", F.col("copies") * F.col("size"))
-    return out.withColumn("source_size", F.col("__size")).withColumn("target", F.col("__target")).drop("__s", "__c", "__h", "__b", "__r", "__before", "__size", "__target", "o_s", "o_c", "o_b")
+    upto = F.floor(source_offset(F.col("__s"), seed) + each * (place + 1))
+    below = F.floor(source_offset(F.col("__s"), seed) + each * place)
+    decided = placed.select("__row", F.col("__size"), F.col("__target"), F.least(upto - below, F.lit(CAP)).cast("long").alias("__copies"))
+    out = named.join(decided, "__row").withColumn("source_size", F.col("__size")).withColumn("target", F.col("__target")).withColumn("copies", F.col("__copies"))
+    return out.withColumn("taken", F.col("copies") * F.col("size")).drop("__row", "__size", "__target", "__copies")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -1,59 +1,78 @@
-"""Rows in ascending key order over many tasks: key ranges (buckets), each sorted by itself."""
+"""Rows in ascending key order over many tasks: ranges (buckets) of about equal bytes, each sorted by itself.
+
+Rows with equal keys follow each other by the first PREFIX characters of their texts, then by a hash of
+it; rows that are the same in all of that have equal texts and are spread over the buckets that they
+span. Bounds come from a sample; they decide how even the buckets are, never which rows come first.
+"""
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Most key ranges: their bounds go to the driver and to every task (8 bytes each).
-MOST_BUCKETS = 20_000
+#: Characters of a text that order rows with equal keys.
+PREFIX = 32
+#: Buckets grow beyond this number of them; sampled rows for each.
+MOST_BUCKETS, SAMPLED = 50_000, 20
+
+
+def places(key: str, text: str) -> list[Column]:
+    """What rows are ordered by: null keys last, then key, the text's beginning, the text's hash."""
+    k = F.col(key).cast("long")
+    return [k.isNull().alias("o_null"), F.coalesce(k, F.lit(0)).alias("o_key"), F.coalesce(F.substring(text, 1, PREFIX), F.lit("")).alias("o_begin"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("o_hash")]
 
 
 @dataclass(frozen=True)
 class Ranges:
-    """Upper bounds of all buckets but the last, ascending; null keys come after all others, in the last bucket."""
+    """Ascending lower bounds of all buckets but the first, as tuples of places; a bound that stands several times has that many buckets for its rows alone."""
 
-    bounds: np.ndarray
+    bounds: list[tuple]
 
-    def of(self, keys: pd.Series) -> np.ndarray:
-        none = keys.isna().to_numpy()
-        at = np.searchsorted(self.bounds, keys.fillna(0).to_numpy(np.int64), side="right")
-        return np.where(none, len(self.bounds), at).astype(np.int64)
+    def of(self, place: tuple, turn: int) -> int:
+        """The bucket of a row; `turn` deals rows that equal a repeated bound."""
+        low, high = bisect_left(self.bounds, place), bisect_right(self.bounds, place)
+        return high if high - low < 2 else low + 1 + turn % (high - low)
 
 
-def ranges(df: DataFrame, key: str = "doc_id", bucket_rows: int = 1000) -> Ranges:
-    """Key ranges of about `bucket_rows` rows, from approximate quantiles of the key column alone."""
-    n = df.count()
-    buckets = min(MOST_BUCKETS, n // bucket_rows + 1)
+def ranges(df: DataFrame, key: str = "doc_id", text: str = "text", bucket_bytes: int = 32 << 20, bucket_rows: int | None = None) -> Ranges:
+    """Ranges of about `bucket_bytes` of text (or of `bucket_rows` rows), by places that a sample of rows has."""
+    size = F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 64)
+    n, total = df.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    buckets = n // bucket_rows + 1 if bucket_rows else total // max(bucket_bytes, total // MOST_BUCKETS) + 1
     if buckets == 1:
-        return Ranges(np.array([], np.int64))
-    shares = [i / buckets for i in range(1, buckets)]
-    got = df.select(F.percentile_approx(F.col(key).cast("long"), shares, max(10_000, 10 * buckets)).alias("q")).first()["q"]
-    return Ranges(np.unique(np.array(got or [], np.int64)))
+        return Ranges([])
+    share = SAMPLED * buckets / n
+    some = df if share >= 1 else df.filter(F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30)))
+    got = sorted(tuple(r) for r in some.select(*places(key, text)).collect())  # SAMPLED rows a bucket, without their texts
+    return Ranges([got[len(got) * i // buckets] for i in range(1, buckets)] if got else [])
+
 
+def bucketed(df: DataFrame, cuts: Ranges, key: str = "doc_id", text: str = "text", out: str = "bucket") -> DataFrame:
+    """Adds the bucket, and the columns of `places` to sort by."""
 
-def bucketed(df: DataFrame, cuts: Ranges, key: str = "doc_id", out: str = "bucket") -> DataFrame:
     @F.pandas_udf("long")
-    def bucket(keys: pd.Series) -> pd.Series:
-        return pd.Series(cuts.of(keys))
+    def bucket(null: pd.Series, k: pd.Series, begin: pd.Series, digest: pd.Series, turn: pd.Series) -> pd.Series:
+        rows = zip(null.tolist(), k.tolist(), begin.tolist(), digest.tolist(), turn.tolist(), strict=True)
+        return pd.Series([cuts.of(row[:4], row[4]) for row in rows], dtype="int64")
 
-    return df.withColumn(out, bucket(F.col(key).cast("long")))
+    turn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30))
+    return df.select("*", *places(key, text), turn.alias("o_turn")).withColumn(out, bucket("o_null", "o_key", "o_begin", "o_hash", "o_turn")).drop("o_turn")
 
 
-def with_tails(df: DataFrame, cuts: Ranges, key: str = "doc_id") -> DataFrame:
-    """Adds bucket and tail: every row stands in its bucket, and the rows with a bucket's least key once more, as tails of the bucket before (of the last one for the first)."""
-    firsts = bucketed(df.select(key), cuts, key).groupBy("bucket").agg(F.min(key).alias("least")).orderBy("bucket").collect()
-    before = {r["least"]: firsts[i - 1]["bucket"] for i, r in enumerate(firsts)}  # a row per bucket
+#: The columns that rows of a bucket are sorted by.
+ORDER = ("bucket", "o_null", "o_key", "o_begin", "o_hash")
 
-    @F.pandas_udf("array<struct<bucket:long,tail:boolean>>")
-    def places(keys: pd.Series) -> pd.Series:
-        own = cuts.of(keys)
-        keys = [None if pd.isna(k) else int(k) for k in keys]
-        return pd.Series([[{"bucket": b, "tail": False}, {"bucket": before[k], "tail": True}] if k in before else [{"bucket": b, "tail": False}] for k, b in zip(keys, own.tolist(), strict=True)])
 
-    placed = df.withColumn("__p", F.explode(places(F.col(key).cast("long"))))
-    return placed.withColumn("bucket", F.col("__p.bucket")).withColumn("tail", F.col("__p.tail")).drop("__p")
+def with_tails(df: DataFrame, cuts: Ranges, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Adds bucket and tail: every row stands in its bucket, and a row like a bucket's first once more, as the tail of the bucket before (of the last one for the first)."""
+    placed = bucketed(df, cuts, key, text)
+    first = F.min(F.struct("o_null", "o_key", "o_begin", "o_hash", F.coalesce(text, F.lit("")).alias("first_text")))
+    firsts = placed.groupBy("bucket").agg(first.alias("f"))  # a row per bucket, with one text each
+    present = sorted(r[0] for r in placed.select("bucket").distinct().collect()) if cuts.bounds else [0]
+    before = df.sparkSession.createDataFrame([(b, present[i - 1]) for i, b in enumerate(present)], "f_bucket long, f_before long")
+    tails = firsts.join(before, F.col("bucket") == F.col("f_bucket")).select(F.col("f.o_key").alias(key), F.col("f.first_text").alias(text), F.lit(False).alias("o_null"), F.col("f.o_key").alias("o_key"), F.lit("").alias("o_begin"), F.lit(0).cast("long").alias("o_hash"), F.col("f_before").alias("bucket"), F.lit(True).alias("tail"))
+    return placed.withColumn("tail", F.lit(False)).unionByName(tails)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import scratch, slices
-from .ordering import bucketed, ranges
+from .ordering import ORDER, bucketed, ranges
 from .tokens import encoder, with_end
 
 _HEAD = struct.Struct("<QI")
@@ -39,6 +39,8 @@ def masked(data: bytes) -> int:
 
 
 def record(key: int | None, ids: np.ndarray, width: int) -> bytes:
+    if width < 4 and ids.max(initial=0) >> 8 * width:
+        raise ValueError(f"an id takes more than {width} bytes")
     payload = _KEY.pack(key or 0, key is None, width) + ids.astype(f"<u{width}").tobytes()
     size = struct.pack("<Q", len(payload))
     return b"".join((size, _CRC.pack(masked(size)), payload, _CRC.pack(masked(payload))))
@@ -104,11 +106,13 @@ class _Shard:
         return self.number, len(self.offsets), self.ids
 
 
-def write_records(df: DataFrame, folder: str, tokenizer: str, end: int, width: int = 2, key: str = "doc_id", text: str = "text", bucket_rows: int = 1000) -> list[tuple[int, int, int]]:
+def write_records(df: DataFrame, folder: str, tokenizer: str, end: int, width: int = 2, key: str = "doc_id", text: str = "text", bucket_rows: int | None = None) -> list[tuple[int, int, int]]:
     """Encodes and writes all rows; returns (shard, records, ids) of each shard, in order (a row per key range).
 
     Null texts count as empty: a record with the end id alone. Rows with equal keys follow each other by
-    text; null keys come last. An empty table writes no shard. `width`: bytes per id.
+    the beginning of their texts, then by a hash; null keys come last; identical rows are spread over
+    shards. A very long text is one record. An empty table writes no shard; other columns are dropped.
+    `width`: bytes per id; an id that does not fit is an error.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,9 +130,10 @@ def write_records(df: DataFrame, folder: str, tokenizer: str, end: int, width: i
 
     fs, base = pyarrow.fs.FileSystem.from_uri(folder)
     fs.create_dir(base, recursive=True)
-    placed = bucketed(df.select(F.col(key).cast("long").alias(key), text), ranges(df.select(key), key, bucket_rows), key)
-    ordered = placed.repartition("bucket").sortWithinPartitions("bucket", F.col(key).asc_nulls_last(), text)
-    found = ordered.mapInArrow(write, "shard long, records long, ids long").collect()
+    rows = df.select(F.col(key).cast("long").alias(key), text)
+    cuts = ranges(rows, key, text, bucket_rows=bucket_rows)
+    ordered = bucketed(rows, cuts, key, text).repartition(len(cuts.bounds) + 1, "bucket").sortWithinPartitions(*ORDER)
+    found = ordered.select(key, text, "bucket").mapInArrow(write, "shard long, records long, ids long").collect()
     return sorted(tuple(r) for r in found)
 
 

@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import slices
-from .ordering import ranges, with_tails
+from .ordering import ORDER, ranges, with_tails
 
 SAMPLES = 64
+#: (term, count) pairs whose samples are held at a time (8 bytes a sample).
+MOST_PAIRS = 200_000
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -71,14 +73,16 @@ def signatures(texts: pa.Array, samples: int = SAMPLES) -> np.ndarray:
     rows, terms = np.divmod(keys, max(1, len(vocabulary)))
     pairs, index = np.unique(terms * (int(counts.max(initial=1)) + 1) + counts, return_inverse=True)
     terms, counts = np.divmod(pairs, int(counts.max(initial=1)) + 1)
-    table = _table(hashes[terms] if len(terms) else np.array([], np.uint64), counts, samples)
+    drawn = hashes[terms] if len(terms) else np.array([], np.uint64)
+    table = _table(drawn, counts, samples) if len(pairs) <= MOST_PAIRS else None  # shared by texts, unless too large
     out = np.zeros((len(texts), samples), np.uint16)
     starts = np.searchsorted(rows, np.arange(len(texts) + 1))
     for i in np.flatnonzero(np.diff(starts)).tolist():
         own = index[starts[i] : starts[i + 1]]
-        least = table[own[:4096]].min(axis=0)
-        for at in range(4096, len(own), 4096):
-            least = np.minimum(least, table[own[at : at + 4096]].min(axis=0))
+        least = np.full(samples, 2**64 - 1, np.uint64)
+        for at in range(0, len(own), 4096):
+            part = own[at : at + 4096]
+            least = np.minimum(least, (_table(drawn[part], counts[part], samples) if table is None else table[part]).min(axis=0))
         out[i] = least & np.uint64(0xFFFF)
     return out
 
@@ -110,12 +114,13 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-def compare_edited(df: DataFrame, samples: int = SAMPLES, bucket_rows: int = 1000) -> DataFrame:
+def compare_edited(df: DataFrame, samples: int = SAMPLES, bucket_rows: int | None = None) -> DataFrame:
     """Fingerprints each text of (doc_id, text) and its edited text, and compares it to that and to the next document's.
 
-    Next is ascending doc_id, after the last the first; equal doc_ids follow each other by text, null
-    doc_ids come last; a null text counts as empty. A single document follows itself. An empty table
-    gives an empty table. Other columns are dropped.
+    Next is ascending doc_id, after the last the first; equal doc_ids follow each other by the beginning
+    of their texts, then by a hash, null doc_ids come last; identical rows are spread over tasks. A null
+    text counts as empty. A very long text is one row, its distinct words' samples being made in parts.
+    A single document follows itself. An empty table gives an empty table. Other columns are dropped.
     """
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,8 +159,8 @@ def compare_edited(df: DataFrame, samples: int = SAMPLES, bucket_rows: int = 100
             raise ValueError("a bucket has no tail")
 
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    placed = with_tails(docs, ranges(docs, bucket_rows=bucket_rows))
-    ordered = placed.repartition("bucket").sortWithinPartitions("bucket", "tail", F.col("doc_id").asc_nulls_last(), "text")
+    cuts = ranges(docs, bucket_rows=bucket_rows)
+    ordered = with_tails(docs, cuts).repartition(len(cuts.bounds) + 1, "bucket").sortWithinPartitions("bucket", "tail", *ORDER[1:])
     return ordered.select("doc_id", "text", "bucket", "tail").mapInArrow(compared, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 

@@ -4,7 +4,8 @@
    satisfies (read off its parse tree; ASCII letters folded to lower case).
 2. The index has one posting (trigram, row key) per trigram of any query and text that holds it.
 3. Postings are intersected by row key and the queries answered: these are a rule's candidates.
-4. Candidates are verified with the expression itself. A rule without mandatory trigrams scans every text.
+4. Candidates are verified with the expression itself. A rule without mandatory trigrams scans every text
+   as the index is made; the texts it matches are its candidates.
 """
 
 from __future__ import annotations
@@ -117,10 +118,10 @@ def _sequence(parsed) -> set[str] | None:
     return strings
 
 
-def trigram_index(df: DataFrame, key: str, text: str, grams: list[str]) -> DataFrame:
-    """Postings (gram: int, key) of the given lower-case trigrams."""
-    low = df.select(F.col(key), F.lower(F.col(text)).alias("__low"))
-    found = [F.when(F.contains(F.col("__low"), F.lit(g)), F.lit(i)) for i, g in enumerate(grams)]
+def trigram_index(df: DataFrame, key: str, text: str, grams: list[str], scans: dict[str, str]) -> DataFrame:
+    """Postings (gram: int, key) of the given lower-case trigrams; a rule without any scans the text here, and its kind stands for a gram."""
+    low = df.select(F.col(key), F.col(text), F.lower(F.col(text)).alias("__low"))
+    found = [F.when(F.rlike(F.col(text), F.lit(scans[g])) if g in scans else F.contains(F.col("__low"), F.lit(g)), F.lit(i)) for i, g in enumerate(grams)]
     return low.select(key, F.explode(F.array_compact(F.array(*found))).alias("gram"))
 
 
@@ -157,23 +158,31 @@ def _spans(rule: Rule, order: int) -> Column:
 def find_secrets(df: DataFrame, text: str = "text", key: str = "doc_id", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Adds `secrets`: all spans array<struct<start, k, end>> (code points, end exclusive, k the rule's place), sorted.
 
-    A null or empty text has none. Rows with the same key and text (null keys too) share their postings,
-    which changes nothing. An empty table gives an empty table. A column named `secrets` is replaced.
+    A null or empty text has none. Rows with the same key and text (null keys too) share their postings
+    and spans. A very long text is searched whole. An empty table gives an empty table. A column named
+    `secrets` is replaced; names that begin with two underscores are reserved.
+
+    Texts stay where they are: only those of candidates go to the join with their rules, and the spans
+    come back by key.
     """
-    queries = {r.kind: q for r in rules if (q := trigram_query(r.pattern)) is not None}
+    scans = {r.kind: r.pattern for r in rules if trigram_query(r.pattern) is None}
+    queries = {r.kind: [frozenset({r.kind})] if r.kind in scans else trigram_query(r.pattern) for r in rules}
     grams = sorted({g for q in queries.values() for clause in q for g in clause})
-    rows = df.withColumn("__t", F.coalesce(F.col(text), F.lit(""))).withColumn("__k", F.xxhash64(F.col(key), F.col(text)))
-    postings = cut(trigram_index(rows.filter(F.length("__t") > 2), "__k", "__t", grams), "postings")
+    rows = df.drop("secrets").withColumn("__k", F.xxhash64(F.col(key), F.col(text))).withColumn("__j", F.hash(F.col(key), F.col(text)))
+    texts = rows.select("__k", "__j", F.coalesce(F.col(text), F.lit("")).alias("__t")).filter(F.length("__t") > 2)
+    postings = cut(trigram_index(texts, "__k", "__t", grams, scans), "postings")
     found = cut(candidates(postings, "__k", queries, grams), "candidates")
-    rows = rows.join(found.withColumnRenamed("rules", "__rules"), "__k", "left")
+    wanted = texts.join(found, "__k")
     none = F.array().cast("array<string>")
     for i, rule in enumerate(rules):
-        scan = F.array_contains("__rules", rule.kind) if rule.kind in queries else F.rlike("__t", F.lit(rule.pattern))
-        rows = rows.withColumn(f"__m{i}", F.when(scan, F.regexp_extract_all("__t", F.lit(rule.pattern), F.lit(0))).otherwise(none))
+        wanted = wanted.withColumn(f"__m{i}", F.when(F.array_contains("rules", rule.kind), F.regexp_extract_all("__t", F.lit(rule.pattern), F.lit(0))).otherwise(none))
     for i, rule in enumerate(rules):
-        rows = rows.withColumn(f"__p{i}", F.when(F.size(f"__m{i}") > 0, F.split("__t", rule.pattern, -1)).otherwise(none))
+        wanted = wanted.withColumn(f"__p{i}", F.when(F.size(f"__m{i}") > 0, F.split("__t", rule.pattern, -1)).otherwise(none))
     spans = F.array_sort(F.concat(*[_spans(rule, i) for i, rule in enumerate(rules)]))
-    return rows.withColumn("secrets", spans).drop("__t", "__k", "__rules", *[f"__{x}{i}" for x in "mp" for i in range(len(rules))])
+    verified = cut(wanted.select("__k", "__j", spans.alias("__s")).filter(F.size("__s") > 0), "spans")
+    once = verified.groupBy("__k", "__j").agg(F.first("__s").alias("__s"))
+    empty = F.array().cast("array<struct<start:int,k:int,end:int>>")
+    return rows.join(once, ["__k", "__j"], "left").withColumn("secrets", F.coalesce("__s", empty)).drop("__k", "__j", "__s")
 
 
 def redact(df: DataFrame, text: str = "text") -> DataFrame:

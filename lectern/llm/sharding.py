@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_numbers
+from .common import cut, order_hash, row_numbers
 
 #: A Mersenne prime: products of two residues fit in 63 bits.
 PRIME = 2**31 - 1
@@ -81,10 +81,12 @@ def shard(df: DataFrame, shards: int = 24, key: str = "doc_id", ties: tuple[str,
     """Adds row_number, shard (int) and slot (long, gapless from 0 in each shard) to every row.
 
     Row numbers go by the MD5 of the key; rows with equal keys (null too) are told apart by `ties`, and
-    full duplicates stand next to each other in any order, which leaves the result the same. An empty
-    table gives an empty table. Columns named like the outputs are replaced.
+    full duplicates stand next to each other in any order, which leaves the result the same. However
+    many rows have one key, they fall into several ranges. A very long text is a row like any other. An
+    empty table gives an empty table. Columns named like the outputs are replaced; names that begin with
+    two underscores are reserved.
     """
-    numbered, n = row_numbers(df, [key], list(ties), "row_number")
+    numbered, n = row_numbers(df, [order_hash(key), F.col(key), *map(F.col, ties)], "row_number")
     out = permute(numbered, "row_number", n, "__p", seed)
     return out.withColumn("shard", (F.col("__p") % shards).cast("int")).withColumn("slot", F.floor(F.col("__p") / shards).cast("long")).drop("__p")
 
@@ -92,7 +94,7 @@ def shard(df: DataFrame, shards: int = 24, key: str = "doc_id", ties: tuple[str,
 def query(spark, sf_dir: str) -> DataFrame:
     raw = F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", (F.length(raw) + 8).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"))
-    out = shard(docs, 24, ties=("text_crc32", "size"))
+    out = shard(cut(docs, "hashed"), 24, ties=("text_crc32", "size"))  # texts are read once
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
