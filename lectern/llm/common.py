@@ -53,6 +53,12 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def gathered(df: DataFrame, by: str, size: int, task: int = 64 << 20) -> DataFrame:
+    """Rows of equal `by` together, in the session's number of tasks (which the planner may coalesce), or in more if `size` bytes need them."""
+    tasks = size // task + 1
+    return df.repartition(tasks, by) if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(by)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

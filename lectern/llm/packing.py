@@ -97,7 +97,8 @@ def pack_documents(df: DataFrame, tokenizer: str, end: int = 0, capacity: int =
     """Encodes (doc_id, text), cuts and packs: one row per piece.
 
     A null or empty text is one piece with the end id alone. Null and repeated doc_ids are rows like any
-    other: each row has pieces of its own. An empty table gives an empty table; other columns are dropped.
+    other: each row has pieces of its own. A very long text is encoded whole and cut into as many pieces as
+    it takes. An empty table gives an empty table; other columns are dropped.
     """
     done = pack(cut(pieces(df, tokenizer, end, capacity), "pieces"), capacity)
     return done.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-
-from . import ann, mixing, packing, records, sampling_fingerprints, secrets, sharding, simhash, suffix_dedup, toxicity
+from . import ann, mixing, packing, pipeline, records, sampling_fingerprints, secrets, sharding, simhash, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -17,7 +15,7 @@ QUERIES = {
     "op8_ann": ann.query,
     "op9_toxicity": toxicity.query,
     "op10_suffix_dedup": suffix_dedup.query,
-    "pipeline": corpus_pipeline.run,
+    "pipeline": pipeline.run,
 }
 
 ORACLES = {

@@ -176,15 +176,16 @@ def sampled_views(shingles: np.ndarray, turns: np.ndarray) -> np.ndarray:
 
 
 def postings_of(entries: DataFrame) -> DataFrame:
-    """(k, id) of entries (id, views) whose sampled view k another one has too."""
+    """(k, id, least) of entries (id, views) whose sampled view k another one has too; least is the least of them."""
     postings = entries.select("id", F.explode(F.array_distinct("views")).alias("k"))
-    return cut(postings.join(postings.groupBy("k").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("k"), "k"), "postings")
+    # written, so that the planner joins by its size: without moving postings, or with long lists split
+    lists = cut(postings.groupBy("k").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("least")).filter("m > 1").drop("m"), "lists")
+    return cut(postings.join(lists, "k"), "postings")
 
 
 def stars(postings: DataFrame) -> DataFrame:
     """Edges (a, b) from the least entry of each list to its others."""
-    least = postings.groupBy("k").agg(F.min("id").alias("a"))
-    return postings.join(least, "k").filter("id != a").select("a", F.col("id").alias("b"))
+    return postings.filter("id != least").select(F.col("least").alias("a"), F.col("id").alias("b"))
 
 
 def similar_pairs(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
@@ -262,7 +263,7 @@ def cells_of(rows: DataFrame, block: int) -> DataFrame:
 
 
 def similar_components(postings: DataFrame, texts: DataFrame, shingle: int, block: int = BLOCK) -> DataFrame:
-    """(node, root) of entries that are connected over pairs with a similarity of SIMILAR or more, of their lists (k, id) and (id, text).
+    """(node, root) of entries that are connected over pairs with a similarity of SIMILAR or more, of their lists (k, id, least) and (id, text).
 
     First each entry is held against one leader, the least entry that it shares a list with: a row an
     entry, however long the list. What a leader connects need not be compared again. Lists all of whose
@@ -272,10 +273,10 @@ def similar_components(postings: DataFrame, texts: DataFrame, shingle: int, bloc
     leaders = cut(stars(postings).groupBy("b").agg(F.min("a").alias("a")), "leaders")
     near = cut(led(texts, leaders, shingle, block), "led")
     joined = cut(components(near), "joined")
-    marked = cut(postings.join(joined, F.col("id") == F.col("node"), "left").select("k", "id", F.coalesce("root", "id").alias("comp")), "marked")
-    undone = marked.groupBy("k").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("k")
+    marked = cut(postings.join(joined, F.col("id") == F.col("node"), "left").select("k", "id", "least", F.coalesce("root", "id").alias("comp")), "marked")
+    undone = cut(marked.groupBy("k").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("k"), "undone")
     open_lists = cut(marked.join(undone, "k"), "open")
-    below = components(stars(open_lists.select("k", "id"))).toDF("id", "root")
+    below = components(stars(open_lists)).toDF("id", "root")
     found = below.union(below.select("root", "root").distinct())  # the root has no row of its own
     rows = found.join(open_lists.select("id", "comp").distinct(), "id").join(texts, "id").withColumn("w", weight(F.col("text")))
     more = cells_of(cut(rows, "groups"), block).groupBy("root", "low", "high").applyInArrow(_compare(shingle), "a long, b long")
@@ -312,8 +313,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shor
     """(key, fp, component_id): component_id is the smallest key reachable over links, itself included.
 
     A null or word-less text has fingerprint 0 and links like any other. A row with a null key gets the
-    smallest non-null key of its component, null if there is none. Repeated rows stay. An empty table
-    gives an empty table. Other columns are dropped.
+    smallest non-null key of its component, null if there is none. Repeated rows stay. A very long text
+    counts with all its shingles. An empty table gives an empty table. Other columns are dropped.
     """
     docs = cut(with_fingerprints(df, key, text, shingle), "fingerprints")
     ids = cut(classes(docs, key, short), "components")
@@ -324,6 +325,8 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: in
     """One row of each component of texts with a similarity of 0.8 or more, all columns as they are: that of the smallest key; without any key, some row.
 
     The similarity is that of the sets of shingles (Jaccard). Null and word-less texts are copies of each other and like no other text.
+    Of rows with the smallest key and the same shingles some one stays; rows with one key and other shingles are rows of their own.
+    A very long text counts with all its shingles. An empty table gives an empty table. Names that begin with two underscores are reserved.
     """
     at = df.columns.index(text)
 

@@ -31,6 +31,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import gathered
+
 SPAN, GRAM = 50, 16
 #: Bytes to the left of an anchor that its windows can reach; bytes of an entry, padded to whole tokens with its two offsets.
 LEFT = SPAN - GRAM
@@ -386,22 +388,31 @@ def sample_splitters(docs: DataFrame, n: int, buckets: int) -> np.ndarray:
     return np.unique(np.quantile(got, np.arange(1, buckets) / buckets, method="lower")) if len(got) else np.array([], np.uint64)
 
 
-def remove_repeats(df: DataFrame, block_bytes: int = 2_000_000, bucket_bytes: int = 8_000_000, keep_text: bool = False) -> DataFrame:
+#: Blocks and buckets grow with the corpus between these sizes: fewer messages between them, but each still in one task's memory.
+BLOCK_BYTES, BUCKET_BYTES, MOST_BLOCKS = (2_000_000, 32_000_000), (8_000_000, 128_000_000), 5000
+
+
+def remove_repeats(df: DataFrame, block_bytes: int | None = None, bucket_bytes: int | None = None, keep_text: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept]) of each row of (doc_id, text).
 
     Texts are UTF-8 bytes, null counts as empty. Rows with equal ids take nothing from each other; a null
     id is neither smaller nor greater than any, so that its row stays whole and takes nothing from
-    others. An empty table gives an empty table. Other columns are dropped.
+    others. Identical rows are one entry each of their block, which is dealt by id and text. A very long
+    text is one row of its block, its anchors being found in stretches. An empty table gives an empty
+    table. Other columns are dropped.
     """
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = docs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
-    blocks, buckets = int(total["bytes"]) // block_bytes + 1, int(total["bytes"]) // bucket_bytes + 1
+    size = int(total["bytes"])
+    sized = lambda given, bounds: given or min(max(bounds[0], size // MOST_BLOCKS), bounds[1])
+    blocks, buckets = size // sized(block_bytes, BLOCK_BYTES) + 1, size // sized(bucket_bytes, BUCKET_BYTES) + 1
     splitters = sample_splitters(docs, total["n"], buckets)
-    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).repartition("block")
+    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
+    dealt = gathered(dealt, "block", size)
     grams = dealt.groupBy("block").applyInArrow(_announce(buckets), "bucket long, block long, grams binary")
-    met = grams.groupBy("bucket").applyInArrow(meet, "block long, bucket long, bits binary")
+    met = gathered(grams, "bucket", size // 4).groupBy("bucket").applyInArrow(meet, "block long, bucket long, bits binary")
     entries = dealt.groupBy("block").cogroup(met.groupBy("block")).applyInArrow(_send(splitters, buckets), "bucket long, block long, entries binary")
-    answers = entries.groupBy("bucket").applyInArrow(compare, "block long, bucket long, answers binary")
+    answers = gathered(entries, "bucket", size).groupBy("bucket").applyInArrow(compare, "block long, bucket long, answers binary")
     out = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_cut(keep_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out if keep_text else out.drop("kept")
 

@@ -215,7 +215,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, score) of every row; a null or empty text matches nothing. An empty table gives an empty table."""
+    """(key, score) of every row; a null or empty text matches nothing, a very long one is read whole. Repeated rows stay. An empty table gives an empty table, other columns are dropped."""
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,7 +226,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
 
 def keep_clean(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows whose text scores below the threshold, all columns as they are."""
+    """The rows whose text scores below the threshold, all columns as they are: nulls, ties and repeated rows too. An empty table gives an empty table."""
     at = docs.columns.index(text)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
