@@ -145,3 +145,15 @@ def test_line_numbers(spark):
 
 def test_native_lines_stay_lazy(spark):
     assert "line" in lines(spark, "x").select(F.col("line")).columns
+
+
+def test_lists_inherit_from_segments():
+    at = lambda i: tuple(i[k][f] for k in ("start", "end") if i[k] for f in ("book", "chapter", "verse", "subverse"))
+    assert [at(i) for i in grammar.parse_refs("Gen.1:2-2:3,5")] == [("Gen", 1, 2, None, "Gen", 2, 3, None), ("Gen", 1, 5, None)]
+    assert [at(i) for i in grammar.parse_refs("1Ki.12:24; 11:19, 21-22;; ,3")] == [("1Ki", 12, 24, None), ("1Ki", 11, 19, None), ("1Ki", 11, 21, None, "1Ki", 11, 22, None), ("1Ki", 11, 3, None)]
+    assert [at(i) for i in grammar.parse_refs("Dan.4:34; 4:37a-c2,38")] == [("Dan", 4, 34, None), ("Dan", 4, 37, "a", "Dan", 4, 37, "c2"), ("Dan", 4, 38, None)]
+    assert [at(i) for i in grammar.parse_refs("Gen.1:35*a,1!0,1.2,7-9!b")] == [("Gen", 1, 35, "a"), ("Gen", 1, 1, "0"), ("Gen", 1, 1, "2"), ("Gen", 1, 7, None, "Gen", 1, 9, "b")]
+    assert grammar.parse_refs("Ade.10:4-13: 11:1")[0]["raw"] == "Ade.10:4-13: 11:1"
+    for bad in ("Gen.1:5*", "Gen.1:5!A", "Gen.1:2,2:3", "Gen.1:", "Gen.1:2x3!", ";", "Gen.1:2-3:", "Esg.1"):
+        with pytest.raises(grammar.GrammarError):
+            grammar.parse_refs(bad)
