@@ -565,3 +565,6 @@ def embed_batch(t: Read) -> DataFrame:
     embedder = HashEmbedder(64)
     rows = embed_texts(t("documents").select("doc_id", "text"), embedder, "hash", "1", 64, keys=("doc_id",))
     return rows.select("doc_id", F.size("embedding").alias("dims"), F.round(retrieval.norm(F.col("embedding")), 6).alias("norm"), F.col("embeddingModel").alias("model"))
+
+
+from . import catalog_sources  # noqa: E402, F401  (registers its queries)
