@@ -22,40 +22,68 @@ def _number(text: Column, pattern: str, group: int) -> Column:
     return _part(text, pattern, group).try_cast("int")
 
 
+def _let(value: Column, use) -> Column:
+    """use(value), with the value worked out once a row however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+#: Stands between the groups of a match; no source holds it.
+_CUT = "\u0001"
+
+
+def _groups(text: Column, pattern: str, count: int) -> Column:
+    """All groups by one match, as an array; of another size where the pattern doesn't match."""
+    return F.split(F.regexp_replace(text, pattern, _CUT.join(f"${i}" for i in range(1, count + 1))), _CUT, -1)
+
+
 def text_type(field: Column) -> Column:
     """struct(raw, base, marker, error): a base of the closed list and an optional (marker)."""
-    pattern = r"^([A-Z]+)(?:\((.*)\))?$"
-    base = _part(field, pattern, 1)
-    known = F.coalesce(base.isin(*HEBREW_TEXT_TYPES), F.lit(False))
-    return F.struct(field.alias("raw"), F.when(known, base).alias("base"), _part(field, pattern, 2).alias("marker"), F.when(~known, "text type").alias("error"))
+    base = F.substring_index(field, "(", 1)
+    bare = F.length(base) == F.length(field)
+    known = F.coalesce(base.isin(*HEBREW_TEXT_TYPES) & (bare | field.endswith(")")), F.lit(False))
+    marker = F.when(known & ~bare, F.nullif(F.substring(field, F.length(base) + 2, F.length(field) - F.length(base) - 2), F.lit("")))
+    return F.struct(field.alias("raw"), F.when(known, base).alias("base"), marker.alias("marker"), F.when(~known, "text type").alias("error"))
 
 
 def hebrew_ref(cell: Column) -> Column:
     """struct(book, status, chapter, verse, other_chapter, other_verse, position, type, error)."""
-    book = rule_book(_part(cell, _HEBREW, 1))
-    kind = text_type(_part(cell, _HEBREW, 7))
-    error = F.when(~F.coalesce(cell.rlike(_HEBREW), F.lit(False)), "form").when(book["status"] == "unknown", "book").otherwise(kind["error"])
-    return F.struct(
-        book["book"].alias("book"), book["status"].alias("status"), _number(cell, _HEBREW, 2).alias("chapter"), _number(cell, _HEBREW, 3).alias("verse"),
-        _number(cell, _HEBREW, 4).alias("other_chapter"), _number(cell, _HEBREW, 5).alias("other_verse"), _number(cell, _HEBREW, 6).alias("position"), kind.alias("type"), error.alias("error"),
-    )
+
+    def made(parts: Column) -> Column:
+        matched = F.coalesce(F.size(parts) == 7, F.lit(False))
+        part = lambda i: F.when(matched, F.nullif(F.get(parts, F.lit(i)), F.lit("")))
+        number = lambda i: part(i).try_cast("int")
+        book, kind = rule_book(part(0)), text_type(part(6))
+        error = F.when(~matched, "form").when(book["status"] == "unknown", "book").when(number(1).isNull() | number(2).isNull(), "number").otherwise(kind["error"])
+        return F.struct(
+            book["book"].alias("book"), book["status"].alias("status"), number(1).alias("chapter"), number(2).alias("verse"),
+            number(3).alias("other_chapter"), number(4).alias("other_verse"), number(5).alias("position"), kind.alias("type"), error.alias("error"),
+        )
+
+    return _let(_groups(cell, _HEBREW, 7), made)
 
 
 def greek_ref(cell: Column) -> Column:
-    """struct(book, status, chapter, verse, kjv_*, na_*, other_*, position, type, error): [kjv], (na) and {other} in any order, each once."""
-    alternatives = F.regexp_extract(cell, _GREEK, 4)
-    book = rule_book(_part(cell, _GREEK, 1))
-    fields, counts, left = [], [], alternatives
-    for name, opening, closing in (("kjv", r"\[", r"\]"), ("na", r"\(", r"\)"), ("alt", r"\{", r"\}")):
-        pattern = rf"{opening}([0-9]+)\.([0-9]+){closing}"
-        fields += [_number(alternatives, pattern, 1).alias(f"{name}_chapter"), _number(alternatives, pattern, 2).alias(f"{name}_verse")]
-        counts.append(F.regexp_count(alternatives, F.lit(pattern)))
-        left = F.regexp_replace(left, pattern, "")
-    error = (
-        F.when(~F.coalesce(cell.rlike(_GREEK), F.lit(False)), "form").when(left != "", "leftover")
-        .when((counts[0] > 1) | (counts[1] > 1) | (counts[2] > 1), "repeat").when(book["status"] == "unknown", "book")
-    )
-    return F.struct(book["book"].alias("book"), book["status"].alias("status"), _number(cell, _GREEK, 2).alias("chapter"), _number(cell, _GREEK, 3).alias("verse"), *fields, _number(cell, _GREEK, 5).alias("position"), _part(cell, _GREEK, 6).alias("type"), error.alias("error"))
+    """struct(book, status, chapter, verse, kjv_*, na_*, alt_*, position, type, error): [kjv], (na) and {other} in any order, each once."""
+
+    def made(parts: Column) -> Column:
+        matched = F.coalesce(F.size(parts) == 6, F.lit(False))
+        part = lambda i: F.when(matched, F.nullif(F.get(parts, F.lit(i)), F.lit("")))
+        number = lambda i: part(i).try_cast("int")
+        book, alternatives = rule_book(part(0)), F.coalesce(part(3), F.lit(""))
+        some = alternatives != ""  # most cells have none, and nothing is searched then
+        fields, counts, left = [], [], alternatives
+        for name, opening, closing in (("kjv", r"\[", r"\]"), ("na", r"\(", r"\)"), ("alt", r"\{", r"\}")):
+            pattern = rf"{opening}([0-9]+)\.([0-9]+){closing}"
+            fields += [F.when(some, _number(alternatives, pattern, 1)).alias(f"{name}_chapter"), F.when(some, _number(alternatives, pattern, 2)).alias(f"{name}_verse")]
+            counts.append(F.regexp_count(alternatives, F.lit(pattern)))
+            left = F.regexp_replace(left, pattern, "")
+        error = (
+            F.when(~matched, "form").when(some & (left != ""), "leftover")
+            .when(some & ((counts[0] > 1) | (counts[1] > 1) | (counts[2] > 1)), "repeat").when(book["status"] == "unknown", "book").when(number(1).isNull() | number(2).isNull(), "number")
+        )
+        return F.struct(book["book"].alias("book"), book["status"].alias("status"), number(1).alias("chapter"), number(2).alias("verse"), *fields, number(4).alias("position"), part(5).alias("type"), error.alias("error"))
+
+    return _let(_groups(cell, _GREEK, 6), made)
 
 
 def canonical_ref(ref: Column, greek: bool) -> Column:
@@ -67,7 +95,17 @@ def canonical_ref(ref: Column, greek: bool) -> Column:
 
 def xref(token: Column) -> Column:
     """struct(book, status, chapter, verse, error); a chapter or verse of zero is an error."""
-    book = xref_book(_part(token, _XREF, 1))
-    chapter, verse = _number(token, _XREF, 2), _number(token, _XREF, 3)
-    error = F.when(~F.coalesce(token.rlike(_XREF), F.lit(False)), "form").when(book["status"] == "unknown", "book").when((chapter == 0) | (verse == 0), "zero")
-    return F.struct(book["book"].alias("book"), book["status"].alias("status"), chapter.alias("chapter"), verse.alias("verse"), error.alias("error"))
+
+    def made(parts: Column) -> Column:
+        matched = F.coalesce(F.size(parts) == 3, F.lit(False))
+        part = lambda i: F.when(matched, F.get(parts, F.lit(i)))
+        book, chapter, verse = xref_book(part(0)), part(1).try_cast("int"), part(2).try_cast("int")
+        error = F.when(~matched, "form").when(book["status"] == "unknown", "book").when(chapter.isNull() | verse.isNull(), "number").when((chapter == 0) | (verse == 0), "zero")
+        return F.struct(book["book"].alias("book"), book["status"].alias("status"), chapter.alias("chapter"), verse.alias("verse"), error.alias("error"))
+
+    return F.when(token.isNotNull(), _let(_groups(token, _XREF, 3), made)).otherwise(_no_ref())
+
+
+def _no_ref() -> Column:
+    none = F.lit(None)
+    return F.struct(none.cast("string").alias("book"), F.lit("unknown").alias("status"), none.cast("int").alias("chapter"), none.cast("int").alias("verse"), F.lit("form").alias("error"))

@@ -1,6 +1,6 @@
 """Integrity rules. A guard is an action of its own: an assertion inside a projection could be pruned away.
 
-Rules give violations as DataFrames; `enforce` counts all of them in one pass and reports them together.
+Rules give violations as DataFrames; `enforce` counts all of them in one job and reports them together.
 """
 
 from __future__ import annotations
@@ -81,16 +81,14 @@ def violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
 
 def enforce(checks: dict[str, DataFrame]) -> None:
-    """Raises one error for all checks that have rows, with how many and a few of them."""
-    problems = []
-    for name, df in checks.items():
-        rows = df.limit(SAMPLE).collect()
-        if rows:
-            problems.append((name, df.count(), [r.asDict(recursive=True) for r in rows]))
-    if problems:
-        name, count, sample = problems[0]
-        detail = "; ".join(f"{n}: {c} rows" for n, c, _ in problems)
-        raise RuleError(name, detail, count, sample)
+    """Raises one error for all checks that have rows, with how many and a few of them. All are counted in one job; only a broken one is read again."""
+    marked = [df.select(F.lit(i).alias("nth")) for i, df in enumerate(checks.values())]
+    broken = {r["nth"]: r["count"] for r in reduce(DataFrame.union, marked).groupBy("nth").count().collect()}
+    if broken:
+        problems = [(name, broken[i], df) for i, (name, df) in enumerate(checks.items()) if i in broken]
+        name, count, df = problems[0]
+        sample = [r.asDict(recursive=True) for r in df.limit(SAMPLE).collect()]
+        raise RuleError(name, "; ".join(f"{n}: {c} rows" for n, c, _ in problems), count, sample)
 
 
 def validate(df: DataFrame, table: str) -> None:

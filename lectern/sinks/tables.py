@@ -7,7 +7,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import RuleError
 from ..operators.quality import cross_check, duplicates, enforce
 from ..schemas import BUILT, KEYS, TABLES
 
@@ -56,23 +55,39 @@ def add_column(spark: SparkSession, table: str, column: str, kind: str) -> bool:
 
 
 def load(spark: SparkSession, database: str, tables: dict[str, DataFrame], embeddings: DataFrame | None = None, stamp: str | None = None) -> dict[str, int]:
-    """Checks everything, stages all tables, then swaps them in; returns their row counts. Loading twice gives the same."""
-    checks = {"references are whole": cross_check(tables)} | {f"{t}: the key is unique": duplicates(tables[t], KEYS[t]) for t in BUILT}
-    enforce(checks)
+    """Stages all tables, checks and counts them as they were written, then swaps them in; returns their row counts. Loading twice gives the same.
+
+    Nothing that readers see changes before all is staged and checked. A swap that fails half-way is
+    turned back; old tables go only after the last one is in its place.
+    """
     texts = with_embeddings(tables["verse_texts"], embeddings, stamp)
     create(spark, database)
-    counts = {}
-    for table in BUILT:
-        df = texts if table == "verse_texts" else tables[table]
-        columns = df.select(*[F.col(c).alias(snake(c)) for c in [*TABLES[table].fieldNames(), *(["embedding"] if table == "verse_texts" else [])]])
-        columns.write.mode("overwrite").saveAsTable(f"{database}.{table}__staged")
-    for table in BUILT:
-        old, new = f"{database}.{table}", f"{database}.{table}__staged"
-        spark.sql(f"DROP TABLE IF EXISTS {old}__old")
-        spark.sql(f"ALTER TABLE {old} RENAME TO {old}__old")
-        spark.sql(f"ALTER TABLE {new} RENAME TO {old}")
-        spark.sql(f"DROP TABLE {old}__old")
-        counts[table] = spark.table(old).count()
-    if any(counts[t] == 0 for t in BUILT if not tables[t].isEmpty()):
-        raise RuleError("loaded tables have rows", str(counts))
+    name = {t: f"{database}.{t}" for t in BUILT}
+    try:
+        staged = {}
+        for table in BUILT:
+            fields = [*TABLES[table].fieldNames(), *(["embedding"] if table == "verse_texts" else [])]
+            df = texts if table == "verse_texts" else tables[table]
+            df.select(*[F.col(c).alias(snake(c)) for c in fields]).write.mode("overwrite").saveAsTable(f"{name[table]}__staged")
+            staged[table] = spark.table(f"{name[table]}__staged").toDF(*fields)
+        enforce({"references are whole": cross_check(staged)} | {f"{t}: the key is unique": duplicates(staged[t], KEYS[t]) for t in BUILT})
+        counts = {t: df.count() for t, df in staged.items()}
+        swapped: list[str] = []
+        try:
+            for table in BUILT:
+                spark.sql(f"DROP TABLE IF EXISTS {name[table]}__old")
+                spark.sql(f"ALTER TABLE {name[table]} RENAME TO {name[table]}__old")
+                swapped.append(table)
+                spark.sql(f"ALTER TABLE {name[table]}__staged RENAME TO {name[table]}")
+        except Exception:
+            for table in swapped:
+                if spark.catalog.tableExists(name[table]):
+                    spark.sql(f"DROP TABLE {name[table]}")
+                spark.sql(f"ALTER TABLE {name[table]}__old RENAME TO {name[table]}")
+            raise
+        for table in BUILT:
+            spark.sql(f"DROP TABLE {name[table]}__old")
+    finally:
+        for table in BUILT:
+            spark.sql(f"DROP TABLE IF EXISTS {name[table]}__staged")
     return counts

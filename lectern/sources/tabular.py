@@ -6,7 +6,7 @@ fails loudly on what is outside the known vocabulary, and counts what is known a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -48,38 +48,43 @@ def read_rules(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 WORD_LINE = r"#[0-9]+="
 
 
+def _counted(rows: DataFrame, rule: str, wrong: Column, *shown: Column, **counts: Column) -> dict[str, int]:
+    """Counts of rows in one pass, none of which may be wrong."""
+    found = rows.agg(F.count(F.lit(1)).alias("word_lines"), F.count_if(wrong).alias("wrong"), *[F.count_if(c).alias(n) for n, c in counts.items()]).first().asDict()
+    if found.pop("wrong"):
+        enforce({rule: rows.filter(wrong).select("line_no", *shown).orderBy("line_no")})
+    return found
+
+
 def read_hebrew_words(lines: DataFrame) -> tuple[DataFrame, dict[str, int]]:
     """(tagged words, counts): a word line has the word mark in its first cell and 17 cells; an empty lexeme is left out and counted."""
     words = cells(lines.filter(F.substring_index("line", "\t", 1).rlike(WORD_LINE)))
-    enforce({"a word line has 17 cells": words.filter(F.size("cells") != 17).select("line_no", F.size("cells").alias("cells")).orderBy("line_no")})
     cell = lambda i: F.trim(F.get("cells", F.lit(i)))
-    rows = words.select("line_no", refs.hebrew_ref(cell(0)).alias("ref"), cell(1).alias("lexeme"), F.nullif(cell(4), F.lit("")).alias("strongRaw"), F.nullif(cell(5), F.lit("")).alias("morphology"))
-    rows = rows.withColumn("tag", tags.hebrew_roots(F.col("strongRaw"))).cache()
-    enforce({"words can be read": rows.filter("ref.error IS NOT NULL OR tag.error IS NOT NULL").select("line_no", F.coalesce("ref.error", "tag.error").alias("error")).orderBy("line_no")})
-    stats = rows.agg(
-        F.count(F.lit(1)).alias("word_lines"), F.count_if(F.col("ref.status") == "excluded").alias("skipped_books"),
-        F.count_if((F.col("ref.status") == "known") & (F.col("lexeme") == "")).alias("skipped_empty"),
-    ).first().asDict()
-    kept = rows.filter((F.col("ref.status") == "known") & (F.col("lexeme") != ""))
-    kept = kept.withColumn("canonicalId", refs.canonical_ref(F.col("ref"), greek=False))
-    placed = dense_position(kept, "canonicalId", "line_no")
-    out = placed.select("canonicalId", "position", "lexeme", F.col("tag.root").alias("strongId"), "strongRaw", "morphology", F.col("ref.type.raw").alias("edition"))
+    rows = words.select("line_no", F.size("cells").alias("n"), refs.hebrew_ref(cell(0)).alias("ref"), cell(1).alias("lexeme"), F.nullif(cell(4), F.lit("")).alias("strongRaw"), F.nullif(cell(5), F.lit("")).alias("morphology"))
+    rows = rows.withColumn("tag", tags.hebrew_roots(F.col("strongRaw")))
+    error = F.coalesce(F.when(F.col("n") != 17, F.concat(_text("n"), F.lit(" cells in place of 17"))), F.col("ref.error"), F.col("tag.error"))
+    known, empty = F.col("ref.status") == "known", F.col("lexeme") == ""
+    stats = _counted(rows, "words can be read", error.isNotNull(), error.alias("error"), skipped_books=F.col("ref.status") == "excluded", skipped_empty=known & empty)
+    kept = rows.filter(known & ~empty).withColumn("canonicalId", refs.canonical_ref(F.col("ref"), greek=False))
+    placed = dense_position(kept.select("line_no", "canonicalId", "lexeme", F.col("tag.root").alias("strongId"), "strongRaw", "morphology", F.col("ref.type.raw").alias("edition")), "canonicalId", "line_no")
+    out = placed.select("canonicalId", "position", "lexeme", "strongId", "strongRaw", "morphology", "edition")
     return out, {**stats, "produced": stats["word_lines"] - stats["skipped_books"] - stats["skipped_empty"]}
 
 
+def _text(column: str) -> Column:
+    return F.col(column).cast("string")
+
+
 def read_greek_words(lines: DataFrame) -> tuple[DataFrame, dict[str, int]]:
     """(tagged words, counts): unlike Hebrew ones, an empty lexeme or tag on a word line is an error."""
     words = cells(lines.filter(F.substring_index("line", "\t", 1).rlike(WORD_LINE)))
     cell = lambda i: F.trim(F.coalesce(F.get("cells", F.lit(i)), F.lit("")))
-    rows = words.select("line_no", refs.greek_ref(cell(0)).alias("ref"), cell(1).alias("lexeme"), cell(3).alias("cell"))
-    rows = rows.withColumn("tag", tags.greek_tag(F.col("cell"))).withColumn("type", tags.word_type(F.col("ref.type")))
-    error = F.coalesce("ref.error", F.when(F.col("lexeme") == "", "lexeme"), F.when(F.col("cell") == "", "tag"), "tag.error", "type.error")
-    rows = rows.withColumn("error", error).cache()
-    enforce({"words can be read": rows.filter("error IS NOT NULL").select("line_no", "error").orderBy("line_no")})
-    stats = rows.agg(F.count(F.lit(1)).alias("word_lines"), F.count_if(F.col("ref.status") == "excluded").alias("skipped_books")).first().asDict()
+    rows = words.select("line_no", refs.greek_ref(cell(0)).alias("ref"), cell(1).alias("lexeme"), cell(3).alias("cell")).withColumn("tag", tags.greek_tag(F.col("cell")))
+    error = F.coalesce("ref.error", F.when(F.col("lexeme") == "", "lexeme"), F.when(F.col("cell") == "", "tag"), "tag.error", tags.word_type(F.col("ref.type"))["error"])
+    stats = _counted(rows, "words can be read", error.isNotNull(), error.alias("error"), skipped_books=F.col("ref.status") == "excluded")
     kept = rows.filter(F.col("ref.status") == "known").withColumn("canonicalId", refs.canonical_ref(F.col("ref"), greek=True))
-    placed = dense_position(kept, "canonicalId", "line_no")
-    out = placed.select("canonicalId", "position", "lexeme", F.col("tag.root").alias("strongId"), F.col("tag.raw").alias("strongRaw"), F.col("tag.grammar").alias("morphology"), F.col("ref.type").alias("edition"))
+    placed = dense_position(kept.select("line_no", "canonicalId", "lexeme", F.col("tag.root").alias("strongId"), F.col("tag.raw").alias("strongRaw"), F.col("tag.grammar").alias("morphology"), F.col("ref.type").alias("edition")), "canonicalId", "line_no")
+    out = placed.select("canonicalId", "position", "lexeme", "strongId", "strongRaw", "morphology", "edition")
     return out, {**stats, "produced": stats["word_lines"] - stats["skipped_books"]}
 
 
