@@ -16,10 +16,16 @@ def literal_map(pairs: dict) -> Column:
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(pairs.items())])
 
 
+def place_of(code: Column, codes: tuple[str, ...]) -> Column:
+    """The place of a code among others of three characters, from 0; null for one that isn't there. One search of a string, where a map would compare entry by entry."""
+    at = F.instr(F.lit("".join(f",{c}" for c in codes)), F.concat(F.lit(","), code))
+    return F.when((at > 0) & (F.length(code) == 3) & ~F.contains(code, F.lit(",")), F.floor((at - 1) / 4).cast("int"))
+
+
 def make_id(book: Column, chapter: Column, verse: Column) -> Column:
     """The id; null where a part is out of range or the book unknown."""
-    made = F.concat_ws("_", book, chapter.cast("string"), verse.cast("string"))
-    return F.when(valid_id(made), made)
+    known = place_of(book, BOOKS).isNotNull() & chapter.between(0, 999) & verse.between(0, 999)
+    return F.when(known, F.concat_ws("_", book, chapter.cast("string"), verse.cast("string")))
 
 
 def valid_id(value: Column) -> Column:
@@ -35,7 +41,7 @@ def parse_id(value: Column) -> Column:
 
 def book_ordinal(book: Column) -> Column:
     """The book's place in canonical order, from 0; null for an unknown code."""
-    return F.element_at(literal_map({b: i for i, b in enumerate(BOOKS)}), book)
+    return place_of(book, BOOKS)
 
 
 def ref_key(book: Column, chapter: Column, verse: Column) -> Column:
@@ -50,8 +56,10 @@ def id_key(value: Column) -> Column:
 
 def _translated(code: Column, known: tuple[str, ...], excluded: tuple[str, ...]) -> Column:
     """struct(book, status): known, excluded (book null) or unknown."""
-    found = F.element_at(literal_map(dict(zip(known, BOOKS, strict=True))), code)
-    status = F.when(found.isNotNull(), "known").when(code.isin(*excluded), "excluded").otherwise("unknown")
+    table = "".join(f",{c}={b}" for c, b in zip(known, BOOKS, strict=True)) + ","
+    at = F.instr(F.lit(table), F.concat(F.lit(","), code, F.lit("=")))
+    found = F.when((at > 0) & ~F.contains(code, F.lit("=")), F.substring(F.lit(table), at + F.length(code) + 2, F.lit(3)))
+    status = F.when((at > 0) & ~F.contains(code, F.lit("=")), "known").when(code.isin(*excluded), "excluded").otherwise("unknown")
     return F.struct(found.alias("book"), status.alias("status"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import EDGE_KINDS, LANGUAGES
+from ..scratch import fresh_path
 from .ids import id_key, literal_map
 
 
@@ -47,16 +48,12 @@ def global_position(df: DataFrame, *order: str, out: str = "position", small: in
     A large table is sorted by ranges: a row's number is its place in its range plus the rows of the
     ranges before it. The sorted rows are written once, so that ranges are the same for all readers.
     """
-    from tempfile import mkdtemp
-    from uuid import uuid4
-
     from pyspark.sql.window import Window
 
     if df.count() <= small:
         return df.withColumn(out, F.row_number().over(Window.orderBy(*order)))
     spark = df.sparkSession
-    shared = spark.conf.get("spark.checkpoint.dir", None) or mkdtemp(prefix="sorted")  # unset on a single machine only
-    place = f"{shared.rstrip('/')}/sorted-{uuid4().hex}"
+    place = fresh_path(spark, "sorted")
     marked = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__m", F.monotonically_increasing_id())
     marked.write.parquet(place)
     rows = spark.read.parquet(place).withColumn("__r", F.shiftright("__m", 33))

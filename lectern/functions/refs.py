@@ -36,6 +36,20 @@ def _groups(text: Column, pattern: str, count: int) -> Column:
     return F.split(F.regexp_replace(text, pattern, _CUT.join(f"${i}" for i in range(1, count + 1))), _CUT, -1)
 
 
+#: How a cell begins that has nothing but a book, a chapter and a verse.
+_PLAIN = r"^[0-9A-Za-z]{3}\.[0-9]{1,6}\.[0-9]{1,6}"
+
+
+def _plain(cell: Column) -> tuple[Column, Column, Column]:
+    """Book, chapter and verse of a cell that begins like that."""
+    place = F.substring_index(cell, "#", 1)
+    return F.substring_index(place, ".", 1), F.substring_index(F.substring_index(place, ".", 2), ".", -1).try_cast("int"), F.substring_index(place, ".", -1).try_cast("int")
+
+
+def _position(cell: Column) -> Column:
+    return F.substring_index(F.substring_index(cell, "=", 1), "#", -1).try_cast("int")
+
+
 def text_type(field: Column) -> Column:
     """struct(raw, base, marker, error): a base of the closed list and an optional (marker)."""
     base = F.substring_index(field, "(", 1)
@@ -52,14 +66,28 @@ def hebrew_ref(cell: Column) -> Column:
         matched = F.coalesce(F.size(parts) == 7, F.lit(False))
         part = lambda i: F.when(matched, F.nullif(F.get(parts, F.lit(i)), F.lit("")))
         number = lambda i: part(i).try_cast("int")
-        book, kind = rule_book(part(0)), text_type(part(6))
-        error = F.when(~matched, "form").when(book["status"] == "unknown", "book").when(number(1).isNull() | number(2).isNull(), "number").otherwise(kind["error"])
-        return F.struct(
-            book["book"].alias("book"), book["status"].alias("status"), number(1).alias("chapter"), number(2).alias("verse"),
-            number(3).alias("other_chapter"), number(4).alias("other_verse"), number(5).alias("position"), kind.alias("type"), error.alias("error"),
-        )
-
-    return _let(_groups(cell, _HEBREW, 7), made)
+        read = F.struct(matched.alias("ok"), rule_book(part(0)).alias("book"), number(1).alias("chapter"), number(2).alias("verse"), text_type(part(6)).alias("type"))
+
+        def checked(r: Column) -> Column:
+            error = F.when(~r["ok"], "form").when(r["book"]["status"] == "unknown", "book").when(r["chapter"].isNull() | r["verse"].isNull(), "number").otherwise(r["type"]["error"])
+            return F.struct(
+                r["book"]["book"].alias("book"), r["book"]["status"].alias("status"), r["chapter"].alias("chapter"), r["verse"].alias("verse"),
+                number(3).alias("other_chapter"), number(4).alias("other_verse"), number(5).alias("position"), r["type"].alias("type"), error.alias("error"),
+            )
+
+        return _let(read, checked)
+
+    # a plain cell, as most are, comes apart at its marks
+    book, chapter, verse = _plain(cell)
+    read, field = rule_book(book), F.substring_index(cell, "=", -1)
+    known = field.isin(*HEBREW_TEXT_TYPES)
+    none, wrong = F.lit(None), F.when(~known, "text type")
+    kind = F.struct(field.alias("raw"), F.when(known, field).alias("base"), none.cast("string").alias("marker"), wrong.alias("error"))
+    plain = F.struct(
+        read["book"].alias("book"), read["status"].alias("status"), chapter.alias("chapter"), verse.alias("verse"), none.cast("int").alias("other_chapter"), none.cast("int").alias("other_verse"),
+        _position(cell).alias("position"), kind.alias("type"), F.when(read["status"] == "unknown", "book").otherwise(wrong).alias("error"),
+    )
+    return F.when(F.coalesce(cell.rlike(_PLAIN + r"#[0-9]{1,6}=[A-Z]+$"), F.lit(False)), plain).otherwise(_let(_groups(cell, _HEBREW, 7), made))
 
 
 def greek_ref(cell: Column) -> Column:
@@ -69,21 +97,29 @@ def greek_ref(cell: Column) -> Column:
         matched = F.coalesce(F.size(parts) == 6, F.lit(False))
         part = lambda i: F.when(matched, F.nullif(F.get(parts, F.lit(i)), F.lit("")))
         number = lambda i: part(i).try_cast("int")
-        book, alternatives = rule_book(part(0)), F.coalesce(part(3), F.lit(""))
-        some = alternatives != ""  # most cells have none, and nothing is searched then
-        fields, counts, left = [], [], alternatives
-        for name, opening, closing in (("kjv", r"\[", r"\]"), ("na", r"\(", r"\)"), ("alt", r"\{", r"\}")):
-            pattern = rf"{opening}([0-9]+)\.([0-9]+){closing}"
-            fields += [F.when(some, _number(alternatives, pattern, 1)).alias(f"{name}_chapter"), F.when(some, _number(alternatives, pattern, 2)).alias(f"{name}_verse")]
-            counts.append(F.regexp_count(alternatives, F.lit(pattern)))
-            left = F.regexp_replace(left, pattern, "")
-        error = (
-            F.when(~matched, "form").when(some & (left != ""), "leftover")
-            .when(some & ((counts[0] > 1) | (counts[1] > 1) | (counts[2] > 1)), "repeat").when(book["status"] == "unknown", "book").when(number(1).isNull() | number(2).isNull(), "number")
-        )
-        return F.struct(book["book"].alias("book"), book["status"].alias("status"), number(1).alias("chapter"), number(2).alias("verse"), *fields, number(4).alias("position"), part(5).alias("type"), error.alias("error"))
-
-    return _let(_groups(cell, _GREEK, 6), made)
+        read = F.struct(matched.alias("ok"), rule_book(part(0)).alias("book"), number(1).alias("chapter"), number(2).alias("verse"), F.coalesce(part(3), F.lit("")).alias("others"))
+
+        def checked(r: Column) -> Column:
+            some = r["others"] != ""  # most cells have none, and nothing is searched then
+            fields, counts, left = [], [], r["others"]
+            for name, opening, closing in (("kjv", r"\[", r"\]"), ("na", r"\(", r"\)"), ("alt", r"\{", r"\}")):
+                pattern = rf"{opening}([0-9]+)\.([0-9]+){closing}"
+                fields += [F.when(some, _number(r["others"], pattern, 1)).alias(f"{name}_chapter"), F.when(some, _number(r["others"], pattern, 2)).alias(f"{name}_verse")]
+                counts.append(F.regexp_count(r["others"], F.lit(pattern)))
+                left = F.regexp_replace(left, pattern, "")
+            error = (
+                F.when(~r["ok"], "form").when(some & (left != ""), "leftover").when(some & ((counts[0] > 1) | (counts[1] > 1) | (counts[2] > 1)), "repeat")
+                .when(r["book"]["status"] == "unknown", "book").when(r["chapter"].isNull() | r["verse"].isNull(), "number")
+            )
+            return F.struct(r["book"]["book"].alias("book"), r["book"]["status"].alias("status"), r["chapter"].alias("chapter"), r["verse"].alias("verse"), *fields, number(4).alias("position"), part(5).alias("type"), error.alias("error"))
+
+        return _let(read, checked)
+
+    book, chapter, verse = _plain(cell)
+    read, none = rule_book(book), F.lit(None).cast("int")
+    others = [none.alias(f"{name}_{part}") for name in ("kjv", "na", "alt") for part in ("chapter", "verse")]
+    plain = F.struct(read["book"].alias("book"), read["status"].alias("status"), chapter.alias("chapter"), verse.alias("verse"), *others, _position(cell).alias("position"), F.substring_index(cell, "=", -1).alias("type"), F.when(read["status"] == "unknown", "book").alias("error"))
+    return F.when(F.coalesce(cell.rlike(_PLAIN + r"#[0-9]{1,6}=[A-Za-z()]+$"), F.lit(False)), plain).otherwise(_let(_groups(cell, _GREEK, 6), made))
 
 
 def canonical_ref(ref: Column, greek: bool) -> Column:
@@ -99,11 +135,19 @@ def xref(token: Column) -> Column:
     def made(parts: Column) -> Column:
         matched = F.coalesce(F.size(parts) == 3, F.lit(False))
         part = lambda i: F.when(matched, F.get(parts, F.lit(i)))
-        book, chapter, verse = xref_book(part(0)), part(1).try_cast("int"), part(2).try_cast("int")
-        error = F.when(~matched, "form").when(book["status"] == "unknown", "book").when(chapter.isNull() | verse.isNull(), "number").when((chapter == 0) | (verse == 0), "zero")
-        return F.struct(book["book"].alias("book"), book["status"].alias("status"), chapter.alias("chapter"), verse.alias("verse"), error.alias("error"))
+        read = F.struct(matched.alias("ok"), xref_book(part(0)).alias("book"), part(1).try_cast("int").alias("chapter"), part(2).try_cast("int").alias("verse"))
+
+        def checked(r: Column) -> Column:
+            error = F.when(~r["ok"], "form").when(r["book"]["status"] == "unknown", "book").when(r["chapter"].isNull() | r["verse"].isNull(), "number").when((r["chapter"] == 0) | (r["verse"] == 0), "zero")
+            return F.struct(r["book"]["book"].alias("book"), r["book"]["status"].alias("status"), r["chapter"].alias("chapter"), r["verse"].alias("verse"), error.alias("error"))
+
+        return _let(read, checked)
 
-    return F.when(token.isNotNull(), _let(_groups(token, _XREF, 3), made)).otherwise(_no_ref())
+    book, chapter, verse = _plain(token)
+    read = xref_book(book)
+    plain = F.struct(read["book"].alias("book"), read["status"].alias("status"), chapter.alias("chapter"), verse.alias("verse"), F.when(read["status"] == "unknown", "book").when((chapter == 0) | (verse == 0), "zero").alias("error"))
+    sound = F.coalesce(token.rlike(r"^[0-9A-Za-z]{2,8}\.[0-9]{1,6}\.[0-9]{1,6}$"), F.lit(False))
+    return F.when(sound, plain).when(token.isNotNull(), _let(_groups(token, _XREF, 3), made)).otherwise(_no_ref())
 
 
 def _no_ref() -> Column:

@@ -6,7 +6,6 @@ Each calls the library's own function; the SQL says what must come out.
 from __future__ import annotations
 
 import json
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,21 +15,16 @@ from ..errors import RuleError
 from ..functions import ids, ordering, tags, text
 from ..operators import builders, quality, retrieval, versification
 from ..schemas import BOOKS, BUILT, RULE_BOOKS, key_order
+from ..scratch import fresh_path
 from ..sinks import jsonl, tables
 from ..sources import jsonl as json_source
 from ..sources import lines, provenance, tabular, xml
 from .catalog import _BOOKS, _CODES, _DISTANCE, Read, _vector, long, query
 
 
-def _folder(spark: SparkSession) -> str:
-    """A fresh path in the shared folder, or in one of our own where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="files")
-    return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
-
-
 def _one_file(df: DataFrame, column: str) -> str:
     """A text file of one row."""
-    path = _folder(df.sparkSession)
+    path = fresh_path(df.sparkSession, "files")
     df.select(column).coalesce(1).write.text(path)
     return path
 
@@ -41,9 +35,8 @@ def _text(c: Column) -> Column:
 
 # --- the stand-in corpus: a verse per part ---------------------------------------------------------
 
-_K = F.col("p_partkey")
-_ORDINAL, _CHAPTER = F.floor(_K / 500) % 66, (F.floor(_K / 10) % 50 + 1).cast("int")
-_VERSE = (_K % 10 + 1 + F.floor(_K / 33000) * 10).cast("int")
+def _k() -> Column:
+    return F.col("p_partkey")
 
 
 def _of(names: tuple[str, ...], at: Column) -> Column:
@@ -51,7 +44,9 @@ def _of(names: tuple[str, ...], at: Column) -> Column:
 
 
 def _parts(t: Read) -> DataFrame:
-    return t("part").select(_K, "p_name", _of(BOOKS, _ORDINAL).alias("book"), _of(RULE_BOOKS, _ORDINAL).alias("code"), _CHAPTER.alias("c"), _VERSE.alias("v")).withColumn("id", ids.make_id(F.col("book"), F.col("c"), F.col("v")))
+    ordinal, chapter = F.floor(_k() / 500) % 66, (F.floor(_k() / 10) % 50 + 1).cast("int")
+    verse = (_k() % 10 + 1 + F.floor(_k() / 33000) * 10).cast("int")
+    return t("part").select(_k(), "p_name", _of(BOOKS, ordinal).alias("book"), _of(RULE_BOOKS, ordinal).alias("code"), chapter.alias("c"), verse.alias("v")).withColumn("id", ids.make_id(F.col("book"), F.col("c"), F.col("v")))
 
 
 _PARTS = f"""parts AS (SELECT *, book || '_' || c || '_' || v AS id, o * 1000000 + c * 1000 + v AS rk FROM (SELECT p_partkey AS k, p_name AS name, {_BOOKS}[(p_partkey // 500) % 66 + 1] AS book, {_CODES}[(p_partkey // 500) % 66 + 1] AS code,
@@ -61,7 +56,7 @@ _PARTS = f"""parts AS (SELECT *, book || '_' || c || '_' || v AS id, o * 1000000
 def _edition(t: Read) -> DataFrame:
     """Every 11th verse is empty, chapters of even number have titles."""
     rows = _parts(t)
-    verses = rows.select(F.lit("verse").alias("kind"), "book", F.col("c").alias("chapter"), F.col("v").alias("verse"), F.col("v").alias("verse_end"), F.when(_K % 11 == 0, "").otherwise(F.col("p_name")).alias("text"))
+    verses = rows.select(F.lit("verse").alias("kind"), "book", F.col("c").alias("chapter"), F.col("v").alias("verse"), F.col("v").alias("verse_end"), F.when(_k() % 11 == 0, "").otherwise(F.col("p_name")).alias("text"))
     chapters = verses.groupBy("book", "chapter").agg(F.max("verse").alias("verse_end")).select(F.lit("chapter").alias("kind"), "book", "chapter", F.lit(None).cast("int").alias("verse"), "verse_end", F.when(F.col("chapter") % 2 == 0, "A title").alias("text"))
     return verses.unionByName(chapters)
 
@@ -115,7 +110,7 @@ def _ref(*parts: str | Column) -> Column:
   CASE WHEN k % 6 = 3 THEN NULL WHEN k % 2 = 0 THEN 'Keep verse' ELSE 'Renumber verse' END AS action, CASE WHEN k % 6 <> 3 THEN k % 6 = 5 END AS starred FROM parts""")
 def rules_scan(t: Read) -> DataFrame:
     """A rule table: singles, lists that inherit, ranges within and across chapters, parts, titles, and books left out."""
-    m = _K % 6
+    m = _k() % 6
     here = _ref(F.col("code"), ".", F.col("c"), ":")
     v = F.col("v")
     source = (
@@ -126,8 +121,8 @@ def rules_scan(t: Read) -> DataFrame:
         F.when(m == 0, _ref(here, v, "-", v + 2)).when(m == 1, _ref(here, v, "; ", F.col("c") + 1, ":1, 2,")).when(m == 2, _ref(here, v)).when(m == 3, _ref("Tob.1:1"))
         .when(m == 4, _ref(here, "Title")).otherwise(_ref(here, v, ".2"))
     )
-    action = F.concat(F.when(_K % 2 == 0, "Keep verse").otherwise("Renumber verse"), F.when(m == 5, "*").otherwise(""))
-    rules, skipped = tabular.read_rules(_rule_lines(_parts(t), _K + 10, F.lit("Hebrew"), source, standard, action))
+    action = F.concat(F.when(_k() % 2 == 0, "Keep verse").otherwise("Renumber verse"), F.when(m == 5, "*").otherwise(""))
+    rules, skipped = tabular.read_rules(_rule_lines(_parts(t), _k() + 10, F.lit("Hebrew"), source, standard, action))
     kept = rules.select("line_no", F.lit("kept").alias("status"), _shown(F.col("source")).alias("source"), _shown(F.col("standard")).alias("standard"), "action", "starred")
     return kept.unionByName(skipped.select("line_no", F.col("reason").alias("status")), allowMissingColumns=True)
 
@@ -137,7 +132,7 @@ def rules_scan(t: Read) -> DataFrame:
 def rule_targets(t: Read) -> DataFrame:
     """Ranges into the next chapter, written out by the last verse of the first."""
     here = _ref(F.col("code"), ".", F.col("c"), ":")
-    rules, _ = tabular.read_rules(_rule_lines(_parts(t), _K + 10, F.lit("Hebrew"), _ref(here, F.col("v")), _ref(here, F.col("v"), "-", F.col("c") + 1, ":2"), F.lit("Renumber verse")))
+    rules, _ = tabular.read_rules(_rule_lines(_parts(t), _k() + 10, F.lit("Hebrew"), _ref(here, F.col("v")), _ref(here, F.col("v"), "-", F.col("c") + 1, ":2"), F.lit("Renumber verse")))
     return versification.standard_targets(rules, versification.last_verses(_edition(t))).select("line_no", "book", "chapter", "verse")
 
 
@@ -145,12 +140,12 @@ def rule_targets(t: Read) -> DataFrame:
 def map_two_traditions(t: Read) -> DataFrame:
     """Each verse has rules of two traditions, which agree or not: then those with the wanted label decide. Every fifth has one of another tradition alone."""
     here, v = _ref(F.col("code"), ".", F.col("c"), ":"), F.col("v")
-    rows = _parts(t).withColumn("own", F.explode(F.when(_K % 5 == 0, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1), F.lit(2)))))
+    rows = _parts(t).withColumn("own", F.explode(F.when(_k() % 5 == 0, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1), F.lit(2)))))
     # lines of one tradition add up: the whole verse, and a part of it that it covers
     kind = F.when(F.col("own") == 0, "Latin").otherwise("Eng+Hebrew")
-    target = F.when(F.col("own") == 2, _ref(here, v + 1, "!a")).when(F.col("own") == 1, _ref(here, v + 1)).otherwise(_ref(here, v + F.when(_K % 5 == 0, 2).when(_K % 2 == 0, 1).otherwise(0)))
+    target = F.when(F.col("own") == 2, _ref(here, v + 1, "!a")).when(F.col("own") == 1, _ref(here, v + 1)).otherwise(_ref(here, v + F.when(_k() % 5 == 0, 2).when(_k() % 2 == 0, 1).otherwise(0)))
     edition = _edition(t)
-    rules, _ = tabular.read_rules(_rule_lines(rows, _K * 3 + 10 + F.col("own"), kind, _ref(here, v), target, F.lit("Renumber verse")))
+    rules, _ = tabular.read_rules(_rule_lines(rows, _k() * 3 + 10 + F.col("own"), kind, _ref(here, v), target, F.lit("Renumber verse")))
     verses = edition.filter("kind = 'verse'").select("book", "chapter", "verse")
     mapped = versification.map_verses(verses, rules, versification.features(edition), versification.last_verses(edition), "Hebrew")
     shown = F.array_join(F.transform("targets", lambda x: F.concat_ws("_", x["book"], _text(x["chapter"]), _text(x["verse"]))), ";")
@@ -159,10 +154,10 @@ def map_two_traditions(t: Read) -> DataFrame:
 
 def _verse_texts(t: Read) -> tuple[DataFrame, dict]:
     """Every seventh verse goes outside the inventory, and of two of seven a copy too."""
-    m, here, v = _K % 7, _ref(F.col("code"), ".", F.col("c"), ":"), F.col("v")
+    m, here, v = _k() % 7, _ref(F.col("code"), ".", F.col("c"), ":"), F.col("v")
     edition = _edition(t)
     made = _parts(t).filter(m.isin(0, 2))
-    rules, _ = tabular.read_rules(_rule_lines(made, _K + 10, F.lit("Hebrew"), _ref(here, v), F.when(m == 0, _ref(here, "150")).otherwise(_ref(here, v, ",150")), F.lit("Renumber verse")))
+    rules, _ = tabular.read_rules(_rule_lines(made, _k() + 10, F.lit("Hebrew"), _ref(here, v), F.when(m == 0, _ref(here, "150")).otherwise(_ref(here, v, ",150")), F.lit("Renumber verse")))
     inventory = builders.canonical_verses(edition)
     return builders.verse_texts(edition, "one", "Hebrew", rules, versification.features(edition), versification.last_verses(edition), inventory, ceiling=1.0)
 
@@ -248,13 +243,13 @@ def xref_counts(t: Read) -> DataFrame:
   UNION ALL SELECT 'G' || lpad((p_partkey % 9999 + 1)::VARCHAR, 4, '0'), 'greek', CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE 'def ' || p_name END, CASE WHEN p_partkey % 2 = 0 THEN 't' || p_partkey END, 'def ' || p_name FROM part""")
 def lexicon_scan(t: Read) -> DataFrame:
     """Both lexicons as whole files; every second Greek entry has no headword of its own."""
-    n, name = _text(_K % 9999 + 1), F.col("p_name")
-    hebrew = F.concat(F.lit('<div type="entry"><w ID="H'), n, F.lit('" lemma="'), name, F.lit('" xlit="x'), _text(_K), F.lit('" xml:lang="arc"/>to  <foreign>gone</foreign><list><item>'), name, F.lit('</item></list><note type="x-typo">no <hi>more</hi></note> end</div>'))
-    head = F.when(_K % 2 == 0, F.concat(F.lit('<greek unicode="'), name, F.lit('" translit="t'), _text(_K), F.lit('"/>'))).otherwise("")
+    n, name = _text(_k() % 9999 + 1), F.col("p_name")
+    hebrew = F.concat(F.lit('<div type="entry"><w ID="H'), n, F.lit('" lemma="'), name, F.lit('" xlit="x'), _text(_k()), F.lit('" xml:lang="arc"/>to  <foreign>gone</foreign><list><item>'), name, F.lit('</item></list><note type="x-typo">no <hi>more</hi></note> end</div>'))
+    head = F.when(_k() % 2 == 0, F.concat(F.lit('<greek unicode="'), name, F.lit('" translit="t'), _text(_k()), F.lit('"/>'))).otherwise("")
     greek = F.concat(F.lit('<entry strongs="'), n, F.lit('"><strongs>5</strongs> '), head, F.lit(' def <see language="GREEK"/><strongs_def>'), name, F.lit("</strongs_def></entry>"))
     paths = []
     for tag, entry in (("osis", hebrew), ("lexicon", greek)):
-        body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(_K, entry.alias("x")))), lambda r: r["x"]), "")
+        body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(_k(), entry.alias("x")))), lambda r: r["x"]), "")
         paths.append(_one_file(t("part").agg(F.concat(F.lit(f"<{tag}>"), body, F.lit(f"</{tag}>")).alias("file")), "file"))
     return xml.read_lexicon(t("part").sparkSession, *paths)
 
@@ -306,10 +301,10 @@ def _graph(t: Read) -> tuple[DataFrame, dict, DataFrame]:
     """Direct pairs of line items, and a range from each part over the 23 next; titles are in the inventory and outside parts are not."""
     inventory = builders.canonical_verses(_edition(t))
     rows = _parts(t).select("p_partkey", "id")
-    ends = rows.select((_K - 23).alias("p_partkey"), F.col("id").alias("endId"))
+    ends = rows.select((_k() - 23).alias("p_partkey"), F.col("id").alias("endId"))
     ranges = rows.select("p_partkey", F.col("id").alias("sourceId"), F.col("id").alias("startId")).join(ends, "p_partkey").filter(ids.id_key(F.col("startId")) <= ids.id_key(F.col("endId")))
     pairs = t("lineitem").select((F.col("l_partkey") % 400).alias("p_partkey"), F.when(F.col("l_linenumber") == 1, F.col("l_partkey") % 400).otherwise(F.col("l_suppkey") * 97 % 4000).alias("to")).distinct()
-    away = rows.select(_K.alias("to"), F.col("id").alias("targetId"))
+    away = rows.select(_k().alias("to"), F.col("id").alias("targetId"))
     direct = pairs.join(rows.withColumnRenamed("id", "sourceId"), "p_partkey").join(away, "to", "left").select("sourceId", F.coalesce("targetId", _ref("REV_99_", F.col("to") % 900)).alias("targetId"))
     made, counts = builders.edges(direct, ranges.select("sourceId", "startId", "endId"), inventory, ceiling=1.0)
     return made, counts, inventory
@@ -346,13 +341,13 @@ def table_orders(t: Read) -> DataFrame:
     """The total order of each table."""
     parts = _parts(t).select("p_partkey", "id")
     other = lambda column, *values: F.explode(F.array(*map(F.lit, values))).alias(column)
-    target = parts.select(_K.alias("half"), F.col("id").alias("targetId"))
+    target = parts.select(_k().alias("half"), F.col("id").alias("targetId"))
     made = {
         "canonical_verses": (parts, F.col("id")),
         "verse_texts": (parts.select(F.col("id").alias("canonicalId"), other("translation", "b", "a")), F.concat("canonicalId", "translation")),
         "original_words": (parts.select(F.col("id").alias("canonicalId"), other("position", 10, 9)), F.concat("canonicalId", _text(F.col("position")))),
-        "strongs": (parts.select(_ref("X", F.lpad(_text(_K), 6, "0")).alias("id"), F.when(_K % 2 == 0, "greek").otherwise("hebrew").alias("language")), F.col("id")),
-        "edges": (parts.withColumn("half", F.floor(_K / 2)).join(target, "half").select(F.col("id").alias("sourceId"), "targetId", other("kind", "manual", "thematic", "tsk")), F.concat("sourceId", "kind")),
+        "strongs": (parts.select(_ref("X", F.lpad(_text(_k()), 6, "0")).alias("id"), F.when(_k() % 2 == 0, "greek").otherwise("hebrew").alias("language")), F.col("id")),
+        "edges": (parts.withColumn("half", F.floor(_k() / 2)).join(target, "half").select(F.col("id").alias("sourceId"), "targetId", other("kind", "manual", "thematic", "tsk")), F.concat("sourceId", "kind")),
     }
     placed = [ordering.global_position(df, *ordering.order_columns(name), out="place").select(F.lit(name).alias("name"), key.alias("key"), long(F.col("place")).alias("place")) for name, (df, key) in made.items()]
     out = placed[0]
@@ -369,7 +364,7 @@ def _texts(t: Read) -> DataFrame:
     rows = _parts(t).withColumn("translation", F.explode(F.array(F.lit("one"), F.lit("two"))))
     return rows.select(
         F.col("id").alias("canonicalId"), "translation", F.concat(F.col("p_name"), F.lit(' "é" \\ '), "translation").alias("text"), none.alias("embeddingModel"), F.array(F.lit("b"), F.lit("a"), F.lit("b")).alias("thematicTags"),
-        none.alias("culturalContext"), (_K % 2 == 0).alias("humanReviewed"), none.alias("reviewedBy"), F.array(F.lit("public")).alias("authorizedLevels"),
+        none.alias("culturalContext"), (_k() % 2 == 0).alias("humanReviewed"), none.alias("reviewedBy"), F.array(F.lit("public")).alias("authorizedLevels"),
     )
 
 
@@ -381,7 +376,7 @@ def _inventory(t: Read) -> DataFrame:
 def table_roundtrip(t: Read) -> DataFrame:
     """A table written as lines, checked, and read back with its schema, checked again."""
     df = _inventory(t)
-    path = _folder(df.sparkSession)
+    path = fresh_path(df.sparkSession, "files")
     jsonl.write_table(df, path, "canonical_verses")
     return json_source.read_table(df.sparkSession, path, "canonical_verses")
 
@@ -390,7 +385,7 @@ def table_roundtrip(t: Read) -> DataFrame:
 def by_book_roundtrip(t: Read) -> DataFrame:
     """A table written by book, and read back from all of them in its order."""
     df = _texts(t)
-    path = _folder(df.sparkSession)
+    path = fresh_path(df.sparkSession, "files")
     jsonl.write_by_book(df.withColumns({c: text.set_array(F.col(c)) for c in ("thematicTags", "authorizedLevels")}), f"{path}/verse_texts", "verse_texts")
     return json_source.read_verse_texts_ordered(df.sparkSession, path).select("canonicalId", "translation", "text", F.array_join("thematicTags", ",").alias("tags"), "humanReviewed")
 
@@ -398,7 +393,7 @@ def by_book_roundtrip(t: Read) -> DataFrame:
 @query("books_written", f"WITH {_PARTS}, b AS (SELECT DISTINCT book, o FROM parts) SELECT book, row_number() OVER (ORDER BY o) AS place FROM b")
 def books_written(t: Read) -> DataFrame:
     df = _texts(t).withColumn("thematicTags", text.set_array(F.col("thematicTags")))
-    books = jsonl.write_by_book(df, _folder(df.sparkSession), "verse_texts", check=False)
+    books = jsonl.write_by_book(df, fresh_path(df.sparkSession, "files"), "verse_texts", check=False)
     return df.sparkSession.createDataFrame([(b, i) for i, b in enumerate(books, 1)], "book string, place long")
 
 
@@ -489,7 +484,7 @@ def embedding_guards(t: Read) -> DataFrame:
 def source_proof(t: Read) -> DataFrame:
     """Pinned files that are whole, missing, changed, quarantined or not listed, all reported together."""
     spark = t("region").sparkSession
-    folder = _folder(spark)
+    folder = fresh_path(spark, "files")
     files = t("region").select(F.concat(F.lit("src_"), _text(F.col("r_regionkey"))).alias("source"), F.col("r_name").alias("value"))
     files.select("source", "value").coalesce(1).write.partitionBy("source").text(folder)
     hashed = text.file_hashes(spark, f"{folder}/*/*.txt").withColumn("source", F.regexp_extract("path", "source=([^/]+)", 1)).withColumn("name", F.regexp_extract("path", "(source=[^/]+/[^/]+)$", 1)).collect()
@@ -525,8 +520,8 @@ def file_lines(t: Read) -> DataFrame:
 def canonical_violations(t: Read) -> DataFrame:
     """A table with broken rows against its own rules."""
     rows = _parts(t).select(
-        F.when(_K % 7 == 0, F.lit("XXX_1_1")).otherwise(F.col("id")).alias("id"), F.when(_K % 5 == 0, "TOB").otherwise(F.col("book")).alias("book"), F.when(_K % 8 == 0, 0).otherwise(F.col("c")).alias("chapter"), F.col("v").alias("verse"),
-        F.when(_K % 9 == 0, "other").otherwise("protestant").alias("canonStatus"), F.lit(None).cast("string").alias("theologicalCategory"),
+        F.when(_k() % 7 == 0, F.lit("XXX_1_1")).otherwise(F.col("id")).alias("id"), F.when(_k() % 5 == 0, "TOB").otherwise(F.col("book")).alias("book"), F.when(_k() % 8 == 0, 0).otherwise(F.col("c")).alias("chapter"), F.col("v").alias("verse"),
+        F.when(_k() % 9 == 0, "other").otherwise("protestant").alias("canonStatus"), F.lit(None).cast("string").alias("theologicalCategory"),
     )
     return quality.violations(rows, quality.row_rules("canonical_verses")).select("rule", "count")
 

@@ -60,17 +60,26 @@ def read_hebrew_words(lines: DataFrame) -> tuple[DataFrame, dict[str, int]]:
     """(tagged words, counts): a word line has the word mark in its first cell and 17 cells; an empty lexeme is left out and counted."""
     words = cells(lines.filter(F.substring_index("line", "\t", 1).rlike(WORD_LINE)))
     cell = lambda i: F.trim(F.get("cells", F.lit(i)))
-    rows = words.select("line_no", F.size("cells").alias("n"), refs.hebrew_ref(cell(0)).alias("ref"), cell(1).alias("lexeme"), F.nullif(cell(4), F.lit("")).alias("strongRaw"), F.nullif(cell(5), F.lit("")).alias("morphology"))
-    rows = rows.withColumn("tag", tags.hebrew_roots(F.col("strongRaw")))
+
+    def parsed(words: DataFrame) -> DataFrame:
+        rows = words.select("line_no", F.size("cells").alias("n"), refs.hebrew_ref(cell(0)).alias("ref"), cell(1).alias("lexeme"), F.nullif(cell(4), F.lit("")).alias("strongRaw"), F.nullif(cell(5), F.lit("")).alias("morphology"))
+        return rows.withColumn("tag", tags.hebrew_roots(F.col("strongRaw")))
+
+    rows = parsed(words)
     error = F.coalesce(F.when(F.col("n") != 17, F.concat(_text("n"), F.lit(" cells in place of 17"))), F.col("ref.error"), F.col("tag.error"))
     known, empty = F.col("ref.status") == "known", F.col("lexeme") == ""
     stats = _counted(rows, "words can be read", error.isNotNull(), error.alias("error"), skipped_books=F.col("ref.status") == "excluded", skipped_empty=known & empty)
-    kept = rows.filter(known & ~empty).withColumn("canonicalId", refs.canonical_ref(F.col("ref"), greek=False))
+    # every line is sound now; whether its book stays can be told from its code alone, without parsing lines twice
+    kept = parsed(words.filter(_kept_book(cell(0)) & (cell(1) != ""))).withColumn("canonicalId", refs.canonical_ref(F.col("ref"), greek=False))
     placed = dense_position(kept.select("line_no", "canonicalId", "lexeme", F.col("tag.root").alias("strongId"), "strongRaw", "morphology", F.col("ref.type.raw").alias("edition")), "canonicalId", "line_no")
     out = placed.select("canonicalId", "position", "lexeme", "strongId", "strongRaw", "morphology", "edition")
     return out, {**stats, "produced": stats["word_lines"] - stats["skipped_books"] - stats["skipped_empty"]}
 
 
+def _kept_book(cell: Column) -> Column:
+    return rule_book(F.substring_index(cell, ".", 1))["status"] == "known"
+
+
 def _text(column: str) -> Column:
     return F.col(column).cast("string")
 
@@ -79,10 +88,14 @@ def read_greek_words(lines: DataFrame) -> tuple[DataFrame, dict[str, int]]:
     """(tagged words, counts): unlike Hebrew ones, an empty lexeme or tag on a word line is an error."""
     words = cells(lines.filter(F.substring_index("line", "\t", 1).rlike(WORD_LINE)))
     cell = lambda i: F.trim(F.coalesce(F.get("cells", F.lit(i)), F.lit("")))
-    rows = words.select("line_no", refs.greek_ref(cell(0)).alias("ref"), cell(1).alias("lexeme"), cell(3).alias("cell")).withColumn("tag", tags.greek_tag(F.col("cell")))
+
+    def parsed(words: DataFrame) -> DataFrame:
+        return words.select("line_no", refs.greek_ref(cell(0)).alias("ref"), cell(1).alias("lexeme"), cell(3).alias("cell")).withColumn("tag", tags.greek_tag(F.col("cell")))
+
+    rows = parsed(words)
     error = F.coalesce("ref.error", F.when(F.col("lexeme") == "", "lexeme"), F.when(F.col("cell") == "", "tag"), "tag.error", tags.word_type(F.col("ref.type"))["error"])
     stats = _counted(rows, "words can be read", error.isNotNull(), error.alias("error"), skipped_books=F.col("ref.status") == "excluded")
-    kept = rows.filter(F.col("ref.status") == "known").withColumn("canonicalId", refs.canonical_ref(F.col("ref"), greek=True))
+    kept = parsed(words.filter(_kept_book(cell(0)))).withColumn("canonicalId", refs.canonical_ref(F.col("ref"), greek=True))
     placed = dense_position(kept.select("line_no", "canonicalId", "lexeme", F.col("tag.root").alias("strongId"), F.col("tag.raw").alias("strongRaw"), F.col("tag.grammar").alias("morphology"), F.col("ref.type").alias("edition")), "canonicalId", "line_no")
     out = placed.select("canonicalId", "position", "lexeme", "strongId", "strongRaw", "morphology", "edition")
     return out, {**stats, "produced": stats["word_lines"] - stats["skipped_books"]}
