@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..scratch import fresh_path
+
 #: Words are maximal runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -22,19 +21,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 MOST_RANGES = 100_000
 
 
-@lru_cache(maxsize=1)
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="checkpoints")
-
-
 #: Paths that `scratch` has given out in this process, in order.
 MADE: list[str] = []
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder that spark.checkpoint.dir names; where it is unset, as on a single machine, in one of our own."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
-    MADE.append(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    """A fresh path in the shared folder; see lectern.scratch."""
+    MADE.append(fresh_path(spark, name))
     return MADE[-1]
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import cut, slices
+from .common import MADE, cut, release, slices
 
 #: Aligned byte pairs of a fingerprint, by their shift.
 PAIRS = (0, 16, 32, 48)
@@ -270,6 +270,7 @@ def similar_components(postings: DataFrame, texts: DataFrame, shingle: int, bloc
     entries are connected are done with; what is reachable over the others is a group, and in it all
     entries that are not yet connected to each other are compared.
     """
+    made = len(MADE)
     leaders = cut(stars(postings).groupBy("b").agg(F.min("a").alias("a")), "leaders")
     near = cut(led(texts, leaders, shingle, block), "led")
     joined = cut(components(near), "joined")
@@ -280,11 +281,14 @@ def similar_components(postings: DataFrame, texts: DataFrame, shingle: int, bloc
     found = below.union(below.select("root", "root").distinct())  # the root has no row of its own
     rows = found.join(open_lists.select("id", "comp").distinct(), "id").join(texts, "id").withColumn("w", weight(F.col("text")))
     more = cells_of(cut(rows, "groups"), block).groupBy("root", "low", "high").applyInArrow(_compare(shingle), "a long, b long")
-    return components(near.union(cut(more, "compared")))
+    out = components(near.union(cut(more, "compared")))
+    release(postings.sparkSession, MADE[made:-1])
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each component, for all nodes that have an edge (a, b)."""
+    spark, made = edges.sparkSession, len(MADE)
     edges = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), "edges")
     seen = None
     while True:
@@ -295,6 +299,7 @@ def components(edges: DataFrame) -> DataFrame:
         step = large.join(lows, "u")
         small = step.filter("v != low").select(F.col("v").alias("u"), F.col("low").alias("v")).union(step.select("u", F.col("low").alias("v")))
         edges = cut(small.distinct(), "small")
+        release(spark, MADE[made:-1])
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -316,8 +321,10 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shor
     smallest non-null key of its component, null if there is none. Repeated rows stay. A very long text
     counts with all its shingles. An empty table gives an empty table. Other columns are dropped.
     """
+    made = len(MADE)
     docs = cut(with_fingerprints(df, key, text, shingle), "fingerprints")
     ids = cut(classes(docs, key, short), "components")
+    release(df.sparkSession, MADE[made + 1 : -1])
     return docs.select(key, F.col("fps")[0].alias("fp")).join(ids, "fp").select(key, "fp", "component_id")
 
 
@@ -342,6 +349,7 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: in
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(ids), pa.array(views, pa.list_(pa.int64()))], names=[*rows.schema.names, "__id", "__views"])
 
     added = [T.StructField("__id", T.LongType()), T.StructField("__views", T.ArrayType(T.LongType()))]
+    made = len(MADE)
     docs = cut(df.mapInArrow(beside, T.StructType([*df.schema.fields, *added])), "fingerprints")
     # entries: distinct sets of shingles
     entries = cut(docs.groupBy(F.col("__id").alias("id")).agg(F.min(key).alias("least"), F.min("__views").alias("views")), "entries")
@@ -352,6 +360,7 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: in
     texts = cut(docs.join(met, own).select("__entry", F.col(text)).toDF("id", "text").dropDuplicates(["id"]), "texts")
     roots = similar_components(postings, texts, shingle, block)
     found = cut(entries.join(roots, F.col("id") == F.col("node"), "left").select("id", "least", F.coalesce("root", "id").alias("root")), "classes")
+    release(df.sparkSession, MADE[made + 1 : -1])  # all but the rows with their entries, and the classes
     # the entry that has the smallest key of its component, null last
     first = found.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "id")).alias("x")).select(F.col("x.id").alias("__entry"), F.col("x.least").alias("__least"))
     kept = docs.join(first, own, "left_semi")
