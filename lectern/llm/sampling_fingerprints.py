@@ -24,7 +24,9 @@ from .ordering import ORDER, ranges, with_tails
 
 SAMPLES = 64
 #: (term, count) pairs whose samples are held at a time (8 bytes a sample).
-MOST_PAIRS = 200_000
+MOST_PAIRS = 100_000
+#: Rows and characters that are fingerprinted at a time, unless one text is longer.
+HELD_ROWS, HELD_CHARS = 1000, 2_000_000
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -147,14 +149,15 @@ def compare_edited(df: DataFrame, samples: int = SAMPLES, bucket_rows: int | Non
 
         size = 0
         for batch in batches:
-            for key, text, bucket, tail in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                # a bucket's rows come before its tails, of which the first is the next document
-                if held and (tail or size > 4_000_000 or held[-1][2] != bucket):
-                    yield flush(text)
-                    held, size = [], 0
-                if not tail:
-                    held.append((key, text, bucket))
-                    size += len(text)
+            for rows in slices(batch, 1, HELD_ROWS, HELD_CHARS):
+                for key, text, bucket, tail in zip(*(c.to_pylist() for c in rows.columns), strict=True):
+                    # a bucket's rows come before its tails, of which the first is the next document
+                    if held and (tail or size > HELD_CHARS or len(held) >= HELD_ROWS or held[-1][2] != bucket):
+                        yield flush(text)
+                        held, size = [], 0
+                    if not tail:
+                        held.append((key, text, bucket))
+                        size += len(text)
         if held:
             raise ValueError("a bucket has no tail")
 
