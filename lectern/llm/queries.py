@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, mixing, packing, pipeline, records, sampling_fingerprints, secrets, sharding, simhash, suffix_dedup, toxicity
+from . import ann, importance, mixing, packing, pipeline, records, sampling_fingerprints, secrets, sharding, simhash, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_ann": ann.query,
     "op9_toxicity": toxicity.query,
     "op10_suffix_dedup": suffix_dedup.query,
+    "op11_importance": importance.query,
     "pipeline": pipeline.run,
 }
 
@@ -23,4 +24,5 @@ ORACLES = {
     "op3_secrets": secrets.ORACLE,
     "op4_sharding": sharding.ORACLE,
     "op10_suffix_dedup": suffix_dedup.ORACLE,
+    "op11_importance": importance.ORACLE,
 }
