@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, importance, mixing, packing, pipeline, records, sampling_fingerprints, secrets, sharding, simhash, suffix_dedup, toxicity
+from . import ann, filter_audit, importance, mixing, packing, pipeline, records, sampling_fingerprints, secrets, sharding, simhash, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_toxicity": toxicity.query,
     "op10_suffix_dedup": suffix_dedup.query,
     "op11_importance": importance.query,
+    "op12_filter_audit": filter_audit.query,
     "pipeline": pipeline.run,
 }
 
@@ -25,4 +26,5 @@ ORACLES = {
     "op4_sharding": sharding.ORACLE,
     "op10_suffix_dedup": suffix_dedup.ORACLE,
     "op11_importance": importance.ORACLE,
+    "op12_filter_audit": filter_audit.ORACLE,
 }
