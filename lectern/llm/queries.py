@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, filter_audit, importance, mixing, packing, pipeline, records, sampling_fingerprints, secrets, sharding, simhash, suffix_dedup, toxicity
+from . import ann, filter_audit, importance, mixing, packing, pipeline, records, sampling_fingerprints, secrets, sharding, simhash, suffix_dedup, toxicity, window_dedup
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_suffix_dedup": suffix_dedup.query,
     "op11_importance": importance.query,
     "op12_filter_audit": filter_audit.query,
+    "op13_window_dedup": window_dedup.query,
     "pipeline": pipeline.run,
 }
 
@@ -27,4 +28,5 @@ ORACLES = {
     "op10_suffix_dedup": suffix_dedup.ORACLE,
     "op11_importance": importance.ORACLE,
     "op12_filter_audit": filter_audit.ORACLE,
+    "op13_window_dedup": window_dedup.ORACLE,
 }
