@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in queries.QUERIES) == 1
     assert queries.QUERIES["pipeline"] is corpus_pipeline.run and set(queries.ORACLES) <= set(queries.QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "secrets", "mixing", "packing"]
