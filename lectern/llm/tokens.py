@@ -3,8 +3,9 @@
 Both vocabularies used here cut a text before they merge: a cut always falls before a space that a
 non-space follows, and between a letter and the punctuation after it, whatever stands around. Texts are
 cut there, distinct stretches are encoded once, and their ids are laid out again; the result equals
-encoding each text by itself. Stretches that repeat are kept from batch to batch and from task to task
-of a worker process, up to `most`.
+encoding each text by itself. The strings of a tokenizer's added tokens, such as its end of text, are
+stretches of their own and get these tokens' ids, as the library gives them. Stretches that repeat are
+kept from batch to batch and from task to task of a worker process, up to `most`.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 MARK, STOP = "\x01", "\x02"
+#: Characters that stand for added tokens while texts are cut; texts that hold one are encoded by themselves.
+ADDED = "\x03\x04\x05\x06\x0e\x0f\x10\x11\x12\x13\x14\x15\x16\x17\x18\x19"
 _SPACES = r"\s\x0b\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 #: Stretches that are encoded as one text, with a stop between them.
 _JOINED = 256
@@ -28,14 +31,19 @@ _BEGINS = " .,;:!?|"
 
 
 class Encoder:
-    """Encodes Arrow arrays of strings; special tokens' strings in a text are ordinary text."""
+    """Encodes Arrow arrays of strings, each as the library encodes it alone."""
 
     def __init__(self, path: str, most: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = list(self.tokenizer.get_added_tokens_decoder().values())
+        # plain strings that are found anywhere, none of which can overlap another
+        apart = not any(a.content.endswith(b.content[:n]) for a in added for b in added for n in range(1, len(b.content)))
+        plain = apart and len(added) <= len(ADDED) and not any(a.lstrip or a.rstrip or a.single_word or a.normalized for a in added)
+        self.added = dict(zip(ADDED, [a.content for a in added], strict=False)) if plain else {}
+        self.whole = [MARK, *self.added] if plain else [MARK, *(a.content for a in added)]
         self.most = most
         self._forget()
         self.stop = self._find_stop()
@@ -87,15 +95,17 @@ class Encoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat uint32 ids and offsets (n + 1); null counts as empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        if pc.any(pc.match_substring(texts, MARK)).as_py():
+        if any(pc.any(pc.match_substring(texts, s)).as_py() for s in self.whole):
             flat, lengths = self._one_by_one(texts.to_pylist())
             return flat, np.concatenate([[0], np.cumsum(lengths)])
+        for sign, content in self.added.items():
+            texts = pc.replace_substring(texts, content, f"{MARK}{sign}{MARK}")
         cut = pc.replace_substring_regex(texts, "([A-Za-zÀ-ÿ])([.,;:!?|])", rf"\1{MARK}\2")
-        cut = pc.replace_substring_regex(cut, f" ([^{_SPACES}])", rf"{MARK} \1")
+        cut = pc.replace_substring_regex(cut, rf" ([^{_SPACES}\x01])", rf"{MARK} \1")
         lists = pc.split_pattern(cut, MARK)
         bounds = lists.offsets.to_numpy()
         coded = lists.flatten().dictionary_encode()
-        codes, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        codes, words = coded.indices.to_numpy(), [self.added.get(w, w) for w in coded.dictionary.to_pylist()]
 
         if len(self.slots) > self.most:
             self._forget()

@@ -63,7 +63,6 @@ def test_pipeline_by_shingles(spark):
     changed = spark.createDataFrame([(d, blotted[d], rows[d].lang, rows[d].source, rows[d].n_chars) for d in sorted(kept)], docs.schema)
     copies = Counter(r.doc_id for r in corpus_pipeline.mix_sources(spark, changed, SF).collect())
     own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    own.encode_special_tokens = True
     got, filled = defaultdict(int), defaultdict(int)
     for r in corpus_pipeline.run(spark, SF).collect():
         got[r.doc_id] += r.length

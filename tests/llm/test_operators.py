@@ -29,7 +29,7 @@ def prose(seed: int, n: int) -> str:
 ROWS = (
     [(i, prose(i, 30 + i % 7 * 20), f"s{i % 4}") for i in range(40)]
     + [(100 + i, prose(3, 90), "s0") for i in range(12)]
-    + [(200, None, "s1"), (201, "", "s2"), (202, " \t\n\x0b\x0c\r ", None), (203, "élan ÀÉ 漢字 😀 x", "é"), (204, prose(9, 20_000), "s3"), (-5, "one", ""), (None, prose(77, 40), None), (None, prose(3, 90), "s1"), (205, "dup row", "s1"), (205, "dup row", "s1"), (206, "a\x01b \x02 c", "s1")]
+    + [(200, None, "s1"), (201, "", "s2"), (202, " \t\n\x0b\x0c\r ", None), (203, "élan ÀÉ 漢字 😀 x", "é"), (204, prose(9, 20_000), "s3"), (-5, "one", ""), (None, prose(77, 40), None), (None, prose(3, 90), "s1"), (205, "dup row", "s1"), (205, "dup row", "s1"), (206, "a\x01b \x02 c", "s1"), (207, "one <|endoftext|> two<|startoftext|>.<|endoftext|><|endoftext|>  x <|endoftext|", "s2")]
 )
 SCHEMA = "doc_id long, text string, source string"
 
@@ -113,13 +113,12 @@ def test_targets(spark, seed):
 def test_encoder_equals_whole_texts(name):
     path = public_tokenizers.path(name)
     plainly = Tokenizer.from_file(path)
-    plainly.encode_special_tokens = True
     r = np.random.default_rng(0)
-    pieces = [*WORDS, " ", "  ", "\n", " \n ", ".", "...", ",", "'s", "don't", "É", "é", "́x", "漢字", "😀", " ", "　", "12", "|", "!!", "<|endoftext|>", "\x1c", "\t", "A.B", "ΟΔΟΣ"]
-    texts = ["".join(r.choice(pieces, int(r.integers(0, 60)))) for _ in range(400)] + [" ".join(r.choice(pieces, 400)) for _ in range(60)] + ["a\x01b", "\x02 x", None, ""]
+    pieces = [*WORDS, " ", "  ", "\n", " \n ", ".", "...", ",", "'s", "don't", "É", "é", "́x", "漢字", "😀", " ", "　", "12", "|", "!!", "<|endoftext|>", "<|startoftext|>", "<|endoftext|", "text|>", "\x1c", "\t", "A.B", "ΟΔΟΣ"]
+    texts = ["".join(r.choice(pieces, int(r.integers(0, 60)))) for _ in range(400)] + [" ".join(r.choice(pieces, 400)) for _ in range(60)] + ["a\x01b", "\x02 x", "a\x03 <|endoftext|>", None, ""]
     own = tokens.Encoder(path)
     assert own.stop is not None
-    for part in (texts[:-4], texts[:-4], texts):
+    for part in (texts[:-5], texts[:-5], texts):
         ids, ends = own.encode(pa.array(part, pa.string()))
         for i, t in enumerate(part):
             assert ids[ends[i] : ends[i + 1]].tolist() == plainly.encode(t or "", add_special_tokens=False).ids, t
@@ -127,7 +126,6 @@ def test_encoder_equals_whole_texts(name):
 
 def encoded(name, end):
     own = Tokenizer.from_file(public_tokenizers.path(name))
-    own.encode_special_tokens = True
     return lambda t: np.array([*own.encode(t or "", add_special_tokens=False).ids, end], "<u4")
 
 
