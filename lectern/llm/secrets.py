@@ -17,6 +17,7 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import cut
 
@@ -139,28 +140,28 @@ def candidates(postings: DataFrame, key: str, queries: dict[str, list[frozenset[
     return sets.select(key, F.array_compact(F.array(*rules)).alias("rules")).filter(F.size("rules") > 0)
 
 
-def _spans(rule: Rule, order: int) -> Column:
-    """Spans of a rule's matches, from the matches and the stretches between them (columns __m, __p of structs)."""
-    m, p = F.col(f"__m{order}"), F.col(f"__p{order}")
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,k:int,end:int>>").alias("out"))
+def let(value: Column, use) -> Column:
+    """use(value), with the value worked out once, however often it is used and within whatever lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-    def step(acc, i):
-        begin = acc["at"] + F.length(F.get(p, i))
-        end = begin + F.length(F.get(m, i))
-        kept = F.length(F.regexp_extract(F.get(m, i), rule.pattern, rule.group)) >= rule.least
-        found = F.array(F.struct(begin.alias("start"), F.lit(order).alias("k"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(kept, F.concat(acc["out"], found)).otherwise(acc["out"]).alias("out"))
 
-    none = start["out"]
-    return F.when(F.size(m) > 0, F.aggregate(F.sequence(F.lit(0), F.size(m) - 1), start, step)["out"]).otherwise(none)
+def _matches(rule: Rule, order: int, text: Column) -> Column:
+    """All matches of a rule in the order of the text: the rule's place, their number, the characters since the match before, their length, and whether they count."""
+    between = F.transform(F.split(text, rule.pattern, -1), F.length)
+    size = lambda m: F.struct(F.length(m).alias("own"), (F.length(F.regexp_extract(m, rule.pattern, rule.group)) >= rule.least).alias("kept"))
+    found = F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), size)
+    both = F.zip_with(found, between, lambda m, gap: F.struct(gap.alias("gap"), m["own"].alias("own"), m["kept"].alias("kept")))
+    numbered = F.transform(both, lambda x, i: F.struct(F.lit(order).alias("k"), i.alias("nth"), x["gap"].alias("gap"), x["own"].alias("own"), x["kept"].alias("kept")))
+    return F.filter(numbered, lambda x: x["own"].isNotNull())  # the stretch after the last match has none
 
 
 def find_secrets(df: DataFrame, text: str = "text", key: str = "doc_id", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Adds `secrets`: all spans array<struct<start, k, end>> (code points, end exclusive, k the rule's place), sorted.
+    """Adds `secrets`: all spans array<struct<start, k, end>> (code points, end exclusive, k the rule's place), sorted; and `secrets_before`: where the spans before each of them end, 0 for the first.
 
     A null or empty text has none. Rows with the same key and text (null keys too) share their postings
-    and spans. A very long text is searched whole. An empty table gives an empty table. A column named
-    `secrets` is replaced; names that begin with two underscores are reserved.
+    and spans. A very long text is searched whole; its matches are rows until their places are summed up, so
+    that the work is linear in their number. An empty table gives an empty table. Columns of
+    these two names are replaced; names that begin with two underscores are reserved.
 
     Texts stay where they are: only those of candidates go to the join with their rules, and the spans
     come back by key.
@@ -168,34 +169,39 @@ def find_secrets(df: DataFrame, text: str = "text", key: str = "doc_id", rules:
     scans = {r.kind: r.pattern for r in rules if trigram_query(r.pattern) is None}
     queries = {r.kind: [frozenset({r.kind})] if r.kind in scans else trigram_query(r.pattern) for r in rules}
     grams = sorted({g for q in queries.values() for clause in q for g in clause})
-    rows = df.drop("secrets").withColumn("__k", F.xxhash64(F.col(key), F.col(text))).withColumn("__j", F.hash(F.col(key), F.col(text)))
+    rows = df.drop("secrets", "secrets_before").withColumn("__k", F.xxhash64(F.col(key), F.col(text))).withColumn("__j", F.hash(F.col(key), F.col(text)))
     texts = rows.select("__k", "__j", F.coalesce(F.col(text), F.lit("")).alias("__t")).filter(F.length("__t") > 2)
     postings = cut(trigram_index(texts, "__k", "__t", grams, scans), "postings")
     found = cut(candidates(postings, "__k", queries, grams), "candidates")
     wanted = texts.join(found, "__k")
-    none = F.array().cast("array<string>")
-    for i, rule in enumerate(rules):
-        wanted = wanted.withColumn(f"__m{i}", F.when(F.array_contains("rules", rule.kind), F.regexp_extract_all("__t", F.lit(rule.pattern), F.lit(0))).otherwise(none))
-    for i, rule in enumerate(rules):
-        wanted = wanted.withColumn(f"__p{i}", F.when(F.size(f"__m{i}") > 0, F.split("__t", rule.pattern, -1)).otherwise(none))
-    spans = F.array_sort(F.concat(*[_spans(rule, i) for i, rule in enumerate(rules)]))
-    verified = cut(wanted.select("__k", "__j", spans.alias("__s")).filter(F.size("__s") > 0), "spans")
-    once = verified.groupBy("__k", "__j").agg(F.first("__s").alias("__s"))
-    empty = F.array().cast("array<struct<start:int,k:int,end:int>>")
-    return rows.join(once, ["__k", "__j"], "left").withColumn("secrets", F.coalesce("__s", empty)).drop("__k", "__j", "__s")
+    none = F.array().cast("array<struct<k:int,nth:int,gap:int,own:int,kept:boolean>>")
+    each = F.concat(*[F.when(F.array_contains("rules", rule.kind), _matches(rule, i, F.col("__t"))).otherwise(none) for i, rule in enumerate(rules)])
+    matches = wanted.select("__k", "__j", F.explode(each).alias("m")).select("__k", "__j", "m.*").distinct()  # rows that repeat have the same matches
+    so_far = Window.partitionBy("__k", "__j", "k").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
+    placed = matches.withColumn("end", F.sum(F.col("gap") + F.col("own")).over(so_far).cast("int")).filter("kept")
+    earlier = Window.partitionBy("__k", "__j").orderBy("start", "k").rowsBetween(Window.unboundedPreceding, -1)
+    spans = placed.select("__k", "__j", (F.col("end") - F.col("own")).alias("start"), "k", "end").withColumn("before", F.coalesce(F.max("end").over(earlier), F.lit(0)))
+    once = cut(spans.groupBy("__k", "__j").agg(F.array_sort(F.collect_list(F.struct("start", "k", "end", "before"))).alias("__s")), "spans")
+    empty = F.array().cast("array<struct<start:int,k:int,end:int,before:int>>")
+    out = rows.join(once, ["__k", "__j"], "left").withColumn("__s", F.coalesce("__s", empty))
+    out = out.withColumn("secrets", F.transform("__s", lambda s: F.struct(s["start"].alias("start"), s["k"].alias("k"), s["end"].alias("end"))))
+    return out.withColumn("secrets_before", F.col("__s.before")).drop("__k", "__j", "__s")
 
 
 def redact(df: DataFrame, text: str = "text") -> DataFrame:
-    """Replaces each stretch covered by `secrets` by [kind] (by the first kind where spans overlap)."""
-    t, none = F.col(text), F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    names = F.array(*[F.lit(f"[{r.kind}]") for r in RULES])
-
-    def step(acc, s):
-        fresh = F.concat(acc["out"], F.substring(t, acc["at"] + 1, s["start"] - acc["at"]), F.get(names, s["k"]))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"))
-
-    done = F.aggregate("secrets", none, step, lambda acc: F.concat(acc["out"], F.substring(t, acc["at"] + 1, F.length(t))))
-    return df.withColumn(text, F.when(F.size("secrets") > 0, done).otherwise(t))
+    """Replaces each stretch covered by `secrets` by [kind] (by the first kind where spans overlap), in what `find_secrets` returns."""
+    t, names = F.col(text), F.array(*[F.lit(f"[{r.kind}]") for r in RULES])
+    both = F.zip_with("secrets", "secrets_before", lambda s, before: F.struct(s["start"].alias("start"), s["k"].alias("k"), before.alias("before")))
+    fresh = F.filter(both, lambda s: s["start"] >= s["before"])
+
+    def replaced(wide: Column) -> Column:
+        """Of a text at four bytes a character, so that a stretch is found without counting from the start."""
+        stretch = lambda at, n: F.decode(F.substring(wide, at * 4 + 1, n * 4), "UTF-32")
+        pieces = F.transform(fresh, lambda s: F.concat(stretch(s["before"], s["start"] - s["before"]), F.get(names, s["k"])))
+        last = F.array_max(F.transform("secrets", lambda s: s["end"]))
+        return F.concat(F.array_join(pieces, ""), stretch(last, F.length(t) - last))
+
+    return df.withColumn(text, F.when(F.size("secrets") > 0, let(F.encode(t, "UTF-32"), replaced)).otherwise(t))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

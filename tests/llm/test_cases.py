@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -272,3 +273,15 @@ def test_block_sizes_change_nothing(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     a, b = (sorted(map(tuple, suffix_dedup.remove_repeats(docs, *s).collect())) for s in ((None, None), (20_000, 30_000)))
     assert a == b and zlib.crc32(b"") == 0
+
+
+def test_secrets_of_a_text_with_very_many(spark):
+    """100,000 matches in one text, some overlapping, are found and blotted out in seconds."""
+    part = ["é%032x " % i for i in range(99_990)] + ["token=" + "%032x" % 7 + " AKIAABCDEFGHIJKL "] * 5
+    texts = ["".join(part), "😀 secret = 12345678 é", None]
+    df = spark.createDataFrame(list(enumerate(texts)) * 2, "doc_id long, text string")
+    secrets.find_secrets(df.limit(3)).collect()
+    began = time.time()
+    out = secrets.redact(secrets.find_secrets(df)).select("doc_id", "text", F.size("secrets").alias("n")).collect()
+    assert time.time() - began < 10
+    assert Counter((r.doc_id, r.n, r.text) for r in out) == Counter({(i, n, None if t is None else plain_blot(t)): 2 for i, (t, n) in enumerate(zip(texts, (100_005, 1, 0), strict=True))})
