@@ -63,26 +63,21 @@ def _majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(ones * 2 > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def fingerprint(text: str | None, shingle: int = 3, views: int = 1) -> list[int]:
-    """SimHash of the shingles' hashes; further views, of the hashes mixed anew. 0 for a text without words."""
-    hashes = shingle_hashes(text, shingle)
-    out = [_majority(hashes)]
-    for view in range(1, views):
-        mixed = (hashes ^ hashes >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15 + 2 * view)
-        out.append(_majority((mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)))
-    return out
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """SimHash of the shingles' hashes, 0 for a text without words."""
+    return _majority(shingle_hashes(text, shingle))
 
 
-def with_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, views: int = 1) -> DataFrame:
-    """(key, fps): fps are the fingerprints as signed longs, one per view."""
+def with_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
+    """(key, fp): the fingerprint as a signed long."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, 1):
-                fps = np.array([fingerprint(t.as_py(), shingle, views) for t in rows.column(1)], np.uint64).view(np.int64).reshape(-1, views)
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(list(fps), pa.list_(pa.int64()))], names=[key, "fps"])
+                fps = np.array([fingerprint(t.as_py(), shingle) for t in rows.column(1)], np.uint64)
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(fps.view(np.int64))], names=[key, "fp"])
 
-    return df.select(key, text).mapInArrow(made, T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("fps", T.ArrayType(T.LongType()))]))
+    return df.select(key, text).mapInArrow(made, T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("fp", T.LongType())]))
 
 
 def _pair(fp: Column, shift: int) -> Column:
@@ -122,39 +117,6 @@ def links(fps: DataFrame, short: int = SHORT) -> DataFrame:
     return kept.select(F.col("fp").alias("a"), F.col("fp2").alias("b")).union(_midpoint_links(large)).distinct()
 
 
-#: Bits in which two fingerprints of texts with a similarity of 0.8 differ, as a share: arccos(2 * 0.8 / 1.8) / pi.
-SHARE, VIEWS = 0.1515, 16
-
-
-def similar_links(rows: DataFrame, views: int = VIEWS, share: float = SHARE, short: int = 16) -> DataFrame:
-    """Edges (a, b) between distinct fp of (fp, fps): fingerprints that meet in a posting list of some view and differ in at most `share` of all bits.
-
-    For fingerprints whose texts are not at hand; the pipeline's stage has them and takes `groups` and `verified`.
-    Entries of a list longer than `short` are dealt to blocks of about that size, and each two blocks meet: all pairs are compared.
-    """
-    tables = list(enumerate(combinations(PAIRS, 2)))
-    each = rows.select("fp", F.posexplode("fps").alias("view", "own"))
-    own = F.col("own")
-    keyed = F.array(*[F.struct((F.col("view") * len(tables) + i).alias("t"), F.shiftleft(_pair(own, x), 16).bitwiseOR(_pair(own, y)).alias("k")) for i, (x, y) in tables])
-    postings = each.select("fp", F.explode(keyed).alias("p")).select("fp", "p.*")
-    lists = cut(postings.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "lists")
-    cells = cut(in_cells(postings.join(lists, ["t", "k"]), "fp", short), "cells")
-    x, y = cells.alias("x"), cells.alias("y")
-    apart = F.when(F.col("x.low") == F.col("x.high"), F.col("x.fp") < F.col("y.fp")).otherwise(F.col("x.block") < F.col("y.block"))
-    met = x.join(y, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("t", "k", "low", "high")]).filter(apart)
-    pairs = cut(met.select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b")).distinct(), "pairs")
-    sides = pairs.join(rows.select(F.col("fp").alias("a"), F.col("fps").alias("u")), "a").join(rows.select(F.col("fp").alias("b"), F.col("fps").alias("v")), "b")
-    differ = F.aggregate(F.zip_with("u", "v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-    return sides.filter(differ <= int(share * 64 * views)).select("a", "b")
-
-
-def in_cells(rows: DataFrame, entry: str, size: int) -> DataFrame:
-    """Rows of groups of `n` dealt to blocks of about `size` by a hash, once for each pair (low, high) of blocks with their own: any two rows of a group meet in one cell."""
-    blocks = F.ceil(F.col("n") / size).cast("int")
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64(entry, F.lit(3)), blocks).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    return dealt.withColumn("low", F.least("block", "with")).withColumn("high", F.greatest("block", "with")).drop("with", "n")
-
-
 #: The stage's rule: shared shingles as a share of all of two texts, as a fraction. Sampled views and shingles in each:
 #: texts at the threshold have a view in common with a probability of 1 - (1 - 0.8 ** 6) ** 40, all but 1 in 190,000.
 SIMILAR, SAMPLES, SAMPLED = (4, 5), 40, 6
@@ -307,8 +269,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classes(fingerprinted: DataFrame, key: str = "doc_id", short: int = SHORT) -> DataFrame:
-    """(fp, root, component_id) of each fingerprint in a written table of (key, fps)."""
-    entries = cut(fingerprinted.groupBy(F.col("fps")[0].alias("fp")).agg(F.min(key).alias("least")), "entries")
+    """(fp, root, component_id) of each fingerprint in a written table of (key, fp)."""
+    entries = cut(fingerprinted.groupBy("fp").agg(F.min(key).alias("least")), "entries")
     roots = components(links(entries.select(F.lit(0).alias("view"), "fp"), short))
     found = cut(entries.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "classes")
     return found.join(found.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "root", "component_id")
@@ -325,7 +287,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shor
     docs = cut(with_fingerprints(df, key, text, shingle), "fingerprints")
     ids = cut(classes(docs, key, short), "components")
     release(df.sparkSession, MADE[made + 1 : -1])
-    return docs.select(key, F.col("fps")[0].alias("fp")).join(ids, "fp").select(key, "fp", "component_id")
+    return docs.join(ids, "fp").select(key, "fp", "component_id")
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, block: int = BLOCK) -> DataFrame:

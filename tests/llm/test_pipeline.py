@@ -8,7 +8,8 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lectern.llm import mixing, queries, secrets, simhash, toxicity
+from lectern.llm import mixing, queries, secrets, toxicity
+from test_cases import representatives
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,22 +28,9 @@ def test_pipeline(spark):
     kept = {d for d, r in rows.items() if toxicity.probability(toxicity.features(r.text, model), model.weights) < 0.5}
     assert 0 < len(kept) < len(rows)
 
-    prints = {d: simhash.fingerprint(rows[d].text, 5, 16) for d in kept}
-    root = {d: d for d in kept}
-
-    def find(d):
-        while root[d] != d:
-            d = root[d]
-        return d
-
-    for a in kept:
-        for b in kept:
-            both = [x ^ y for x, y in zip(prints[a], prints[b], strict=True)]
-            met = any(sum(x >> 16 * i & 0xFFFF == 0 for i in range(4)) >= 2 for x in both)  # two aligned byte pairs
-            if a < b and met and sum(x.bit_count() for x in both) <= int(simhash.SHARE * 64 * simhash.VIEWS):
-                x, y = find(a), find(b)
-                root[max(x, y)] = min(x, y)
-    kept = {d for d in kept if find(d) == d}
+    kept = representatives({d: rows[d].text for d in kept})  # by the exact similarity of shingles, all pairs compared
+    stage = corpus_pipeline.drop_near_duplicates(spark, corpus_pipeline.drop_toxic(spark, docs, SF), SF)
+    assert {r.doc_id for r in stage.collect()} == kept
 
     clean = {r.doc_id: r for r in corpus_pipeline.blot_secrets(spark, docs, SF).collect()}
     for d, r in clean.items():
