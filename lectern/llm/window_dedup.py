@@ -134,7 +134,8 @@ def shared_runs(found: DataFrame) -> DataFrame:
     grams = found.groupBy("gram").agg(least, most, (F.min("entry") == F.max("entry")).alias("alike")).filter("least < most").drop("most")
     live = cut(found.join(cut(grams, "grams"), "gram"), "live")
     several = live.filter("NOT alike").groupBy("gram", "entry").agg(F.min("id").alias("own_least"))
-    known = live.join(several, ["gram", "entry"], "left").withColumn("open", F.coalesce("own_least", "least") >= F.col("id")).filter("NOT (open AND alike)")
+    # written, so that the planner can split an entry that very many texts have
+    known = live.join(cut(several, "several"), ["gram", "entry"], "left").withColumn("open", F.coalesce("own_least", "least") >= F.col("id")).filter("NOT (open AND alike)")
     return known.groupBy("id", "twin").agg(F.collect_set(F.struct("gram", "first", "last", "open")).alias("runs"))
 
 
