@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
+from functools import cached_property
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,11 +34,23 @@ class Ranges:
 
     bounds: list[tuple]
 
+    @cached_property
+    def keys(self) -> np.ndarray:
+        """The keys of bounds, which null ones follow."""
+        return np.array([b[1] for b in self.bounds if not b[0]], np.int64)
+
     def of(self, place: tuple, turn: int) -> int:
         """The bucket of a row; `turn` deals rows that equal a repeated bound."""
         low, high = bisect_left(self.bounds, place), bisect_right(self.bounds, place)
         return high if high - low < 2 else low + 1 + turn % (high - low)
 
+    def of_all(self, null: np.ndarray, key: np.ndarray, begin: pd.Series, digest: np.ndarray, turn: np.ndarray) -> np.ndarray:
+        """The buckets of rows: by their keys alone, unless a bound has the key too."""
+        out = np.searchsorted(self.keys, key, side="left")
+        for i in np.flatnonzero(null | (out != np.searchsorted(self.keys, key, side="right"))).tolist():
+            out[i] = self.of((bool(null[i]), int(key[i]), begin.iat[i], int(digest[i])), int(turn[i]))
+        return out
+
 
 def ranges(df: DataFrame, key: str = "doc_id", text: str = "text", bucket_bytes: int = 32 << 20, bucket_rows: int | None = None) -> Ranges:
     """Ranges of about `bucket_bytes` of text (or of `bucket_rows` rows), by places that a sample of rows has."""
@@ -56,8 +70,7 @@ def bucketed(df: DataFrame, cuts: Ranges, key: str = "doc_id", text: str = "text
 
     @F.pandas_udf("long")
     def bucket(null: pd.Series, k: pd.Series, begin: pd.Series, digest: pd.Series, turn: pd.Series) -> pd.Series:
-        rows = zip(null.tolist(), k.tolist(), begin.tolist(), digest.tolist(), turn.tolist(), strict=True)
-        return pd.Series([cuts.of(row[:4], row[4]) for row in rows], dtype="int64")
+        return pd.Series(cuts.of_all(null.to_numpy(bool), k.to_numpy(), begin, digest.to_numpy(), turn.to_numpy()))
 
     turn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30))
     return df.select("*", *places(key, text), turn.alias("o_turn")).withColumn(out, bucket("o_null", "o_key", "o_begin", "o_hash", "o_turn")).drop("o_turn")
@@ -68,11 +81,17 @@ ORDER = ("bucket", "o_null", "o_key", "o_begin", "o_hash")
 
 
 def with_tails(df: DataFrame, cuts: Ranges, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Adds bucket and tail: every row stands in its bucket, and a row like a bucket's first once more, as the tail of the bucket before (of the last one for the first)."""
+    """Adds bucket and tail: every row stands in its bucket, and a row like a bucket's first once more, as the tail of the bucket before (of the last one for the first).
+
+    Which row is a bucket's first is found among places, without texts; the texts of firsts are looked up then.
+    """
     placed = bucketed(df, cuts, key, text)
-    first = F.min(F.struct("o_null", "o_key", "o_begin", "o_hash", F.coalesce(text, F.lit("")).alias("first_text")))
-    firsts = placed.groupBy("bucket").agg(first.alias("f"))  # a row per bucket, with one text each
-    present = sorted(r[0] for r in placed.select("bucket").distinct().collect()) if cuts.bounds else [0]
-    before = df.sparkSession.createDataFrame([(b, present[i - 1]) for i, b in enumerate(present)], "f_bucket long, f_before long")
-    tails = firsts.join(before, F.col("bucket") == F.col("f_bucket")).select(F.col("f.o_key").alias(key), F.col("f.first_text").alias(text), F.lit(False).alias("o_null"), F.col("f.o_key").alias("o_key"), F.lit("").alias("o_begin"), F.lit(0).cast("long").alias("o_hash"), F.col("f_before").alias("bucket"), F.lit(True).alias("tail"))
+    at = ("o_null", "o_key", "o_begin", "o_hash")
+    firsts = placed.groupBy("bucket").agg(F.min(F.struct(*at)).alias("f")).collect()  # a row per bucket, without texts
+    present = sorted((r["bucket"], *r["f"]) for r in firsts)
+    rows = [(present[i - 1][0], *first) for i, (_, *first) in enumerate(present)]
+    before = F.broadcast(df.sparkSession.createDataFrame(rows, "f_before long, f_null boolean, f_key long, f_begin string, f_hash long"))
+    own = df.select(text, *places(key, text))
+    same = [F.col(f"o_{c}") == F.col(f"f_{c}") for c in ("null", "key", "begin", "hash")]
+    tails = own.join(before, same).dropDuplicates(["f_before"]).select(F.col("o_key").alias(key), text, F.lit(False).alias("o_null"), "o_key", F.lit("").alias("o_begin"), F.lit(0).cast("long").alias("o_hash"), F.col("f_before").alias("bucket"), F.lit(True).alias("tail"))
     return placed.withColumn("tail", F.lit(False)).unionByName(tails)

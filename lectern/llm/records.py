@@ -20,12 +20,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import scratch, slices
-from .ordering import ORDER, bucketed, ranges
+from .ordering import MOST_BUCKETS, places
 from .tokens import encoder, with_end
 
 _HEAD = struct.Struct("<QI")
@@ -106,6 +107,10 @@ class _Shard:
         return self.number, len(self.offsets), self.ids
 
 
+#: Text of a shard, unless there would be over MOST_BUCKETS of them.
+SHARD_BYTES = 32 << 20
+
+
 def write_records(df: DataFrame, folder: str, tokenizer: str, end: int, width: int = 2, key: str = "doc_id", text: str = "text", bucket_rows: int | None = None) -> list[tuple[int, int, int]]:
     """Encodes and writes all rows; returns (shard, records, ids) of each shard, in order (a row per key range).
 
@@ -116,24 +121,27 @@ def write_records(df: DataFrame, folder: str, tokenizer: str, end: int, width: i
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard, done = encoder(tokenizer).encode, None, []
+        encode, shard = encoder(tokenizer).encode, None
         for batch in batches:
             for rows in slices(batch, 1):
                 ids, ends = with_end(*encode(rows.column(1)), end)
-                for i, (k, b) in enumerate(zip(rows.column(0).to_pylist(), rows.column(2).to_pylist(), strict=True)):
-                    if shard is None or shard.number != b:
-                        done += [shard.close()] if shard else []
-                        shard = _Shard(folder, b)
+                shard = shard or _Shard(folder, TaskContext.get().partitionId())
+                for i, k in enumerate(rows.column(0).to_pylist()):
                     shard.add(k, ids[ends[i] : ends[i + 1]], width)
-        done += [shard.close()] if shard else []
+        done = [shard.close()] if shard else []
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in done], pa.int64()) for i in range(3)], names=["shard", "records", "ids"])
 
     fs, base = pyarrow.fs.FileSystem.from_uri(folder)
     fs.create_dir(base, recursive=True)
     rows = df.select(F.col(key).cast("long").alias(key), text)
-    cuts = ranges(rows, key, text, bucket_rows=bucket_rows)
-    ordered = bucketed(rows, cuts, key, text).repartition(len(cuts.bounds) + 1, "bucket").sortWithinPartitions(*ORDER)
-    found = ordered.select(key, text, "bucket").mapInArrow(write, "shard long, records long, ids long").collect()
+    size = F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 64)
+    n, total = rows.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    shards = n // bucket_rows + 1 if bucket_rows else total // max(SHARD_BYTES, total // MOST_BUCKETS) + 1
+    # a task's number is its range's; rows that are the same are told apart by their place in the input, so that they fall into several ranges
+    order = ["o_null", "o_key", "o_begin", "o_hash", "o_at"]
+    placed = rows.select("*", *places(key, text), F.monotonically_increasing_id().alias("o_at"))
+    ordered = placed.repartitionByRange(shards, *order).sortWithinPartitions(*order)
+    found = ordered.select(key, text).mapInArrow(write, "shard long, records long, ids long").collect()
     return sorted(tuple(r) for r in found)
 
 
