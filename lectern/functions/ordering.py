@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import EDGE_KINDS, LANGUAGES
-from ..scratch import fresh_path
+from ..scratch import fresh_path, staged
 from .ids import id_key, literal_map
 
 
@@ -63,6 +63,21 @@ def global_position(df: DataFrame, *order: str, out: str = "position", small: in
     return rows.join(before, "__r").withColumn(out, number).drop("__m", "__r", "__before")
 
 
+def counts_up_to(df: DataFrame, key: str, flag: str, out: str) -> DataFrame:
+    """(key, out) of each distinct key: how many keys up to it, itself included, have the flag in some row.
+
+    Keys are sorted by ranges, which are written once; a range's own running count is added to the
+    counts of the ranges before it, of which there is a row each.
+    """
+    from pyspark.sql.window import Window
+
+    keys = df.groupBy(key).agg(F.max(F.col(flag).cast("int")).alias("__f"))
+    rows = staged(keys.repartitionByRange(key).withColumn("__r", F.spark_partition_id()), "ranked")
+    before = rows.groupBy("__r").agg(F.sum("__f").alias("__n")).select("__r", (F.sum("__n").over(Window.orderBy("__r")) - F.col("__n")).alias("__before"))
+    own = F.sum("__f").over(Window.partitionBy("__r").orderBy(key))
+    return rows.join(before, "__r").select(key, (F.col("__before") + own).alias(out))
+
+
 def first_appearance(df: DataFrame, group: str, place: str, out: str = "first_place") -> DataFrame:
     """Adds to each row its group's first place."""
     from pyspark.sql.window import Window

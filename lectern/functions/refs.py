@@ -13,15 +13,6 @@ _GREEK = r"^([0-9A-Za-z]{3})\.([0-9]+)\.([0-9]+)((?:[\[({][^\])}]*[\])}])*)#([0-
 _XREF = r"^([0-9A-Za-z]+)\.([0-9]+)\.([0-9]+)$"
 
 
-def _part(text: Column, pattern: str, group: int) -> Column:
-    """A group, null where it is empty or missing."""
-    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
-
-
-def _number(text: Column, pattern: str, group: int) -> Column:
-    return _part(text, pattern, group).try_cast("int")
-
-
 def _let(value: Column, use) -> Column:
     """use(value), with the value worked out once a row however often it is used."""
     return F.transform(F.array(value), use)[0]
@@ -90,28 +81,41 @@ def hebrew_ref(cell: Column) -> Column:
     return F.when(F.coalesce(cell.rlike(_PLAIN + r"#[0-9]{1,6}=[A-Z]+$"), F.lit(False)), plain).otherwise(_let(_groups(cell, _HEBREW, 7), made))
 
 
+#: A word's place in other editions.
+_OTHERS = r"\[[0-9]+\.[0-9]+\]|\([0-9]+\.[0-9]+\)|\{[0-9]+\.[0-9]+\}"
+
+
+def _beginning(groups: Column, mark: str) -> Column:
+    return F.filter(groups, lambda g: g.startswith(mark))
+
+
 def greek_ref(cell: Column) -> Column:
     """struct(book, status, chapter, verse, kjv_*, na_*, alt_*, position, type, error): [kjv], (na) and {other} in any order, each once."""
 
     def made(parts: Column) -> Column:
         matched = F.coalesce(F.size(parts) == 6, F.lit(False))
         part = lambda i: F.when(matched, F.nullif(F.get(parts, F.lit(i)), F.lit("")))
-        number = lambda i: part(i).try_cast("int")
-        read = F.struct(matched.alias("ok"), rule_book(part(0)).alias("book"), number(1).alias("chapter"), number(2).alias("verse"), F.coalesce(part(3), F.lit("")).alias("others"))
+        number_at = lambda i: part(i).try_cast("int")
+        read = F.struct(matched.alias("ok"), rule_book(part(0)).alias("book"), number_at(1).alias("chapter"), number_at(2).alias("verse"), F.coalesce(part(3), F.lit("")).alias("others"))
 
         def checked(r: Column) -> Column:
             some = r["others"] != ""  # most cells have none, and nothing is searched then
-            fields, counts, left = [], [], r["others"]
-            for name, opening, closing in (("kjv", r"\[", r"\]"), ("na", r"\(", r"\)"), ("alt", r"\{", r"\}")):
-                pattern = rf"{opening}([0-9]+)\.([0-9]+){closing}"
-                fields += [F.when(some, _number(r["others"], pattern, 1)).alias(f"{name}_chapter"), F.when(some, _number(r["others"], pattern, 2)).alias(f"{name}_verse")]
-                counts.append(F.regexp_count(r["others"], F.lit(pattern)))
-                left = F.regexp_replace(left, pattern, "")
-            error = (
-                F.when(~r["ok"], "form").when(some & (left != ""), "leftover").when(some & ((counts[0] > 1) | (counts[1] > 1) | (counts[2] > 1)), "repeat")
-                .when(r["book"]["status"] == "unknown", "book").when(r["chapter"].isNull() | r["verse"].isNull(), "number")
-            )
-            return F.struct(r["book"]["book"].alias("book"), r["book"]["status"].alias("status"), r["chapter"].alias("chapter"), r["verse"].alias("verse"), *fields, number(4).alias("position"), part(5).alias("type"), error.alias("error"))
+
+            def told_apart(groups: Column) -> Column:
+                fields, repeated = [], F.lit(False)
+                for name, opening in (("kjv", "["), ("na", "("), ("alt", "{")):
+                    own = _beginning(groups, opening)
+                    place = F.regexp_replace(F.get(own, F.lit(0)), r"[^0-9.]", "")
+                    fields += [F.substring_index(place, ".", at).try_cast("int").alias(f"{name}_{part}") for part, at in (("chapter", 1), ("verse", -1))]
+                    repeated = repeated | (F.size(own) > 1)
+                left = F.length(r["others"]) != F.length(F.array_join(groups, ""))
+                error = (
+                    F.when(~r["ok"], "form").when(some & left, "leftover").when(some & repeated, "repeat")
+                    .when(r["book"]["status"] == "unknown", "book").when(r["chapter"].isNull() | r["verse"].isNull(), "number")
+                )
+                return F.struct(r["book"]["book"].alias("book"), r["book"]["status"].alias("status"), r["chapter"].alias("chapter"), r["verse"].alias("verse"), *fields, number_at(4).alias("position"), part(5).alias("type"), error.alias("error"))
+
+            return _let(F.when(some, F.regexp_extract_all(r["others"], F.lit(_OTHERS), F.lit(0))), told_apart)
 
         return _let(read, checked)
 

@@ -6,6 +6,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..errors import RuleError
+from ..files import Store
 from ..operators import builders, versification
 from ..operators.quality import validate
 from ..schemas import BUILT
@@ -34,6 +36,8 @@ class Sources:
     ceiling: float = 0.005
     manifest: str | None = None
     pinned: tuple[str, ...] = field(default=())
+    #: Sources are read without a manifest only if asked for.
+    unpinned: bool = False
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -45,6 +49,8 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 def build(spark: SparkSession, sources: Sources, folder: str = "") -> tuple[dict[str, DataFrame], dict]:
     """(tables, manifest) of checked tables."""
+    if sources.manifest is None and not sources.unpinned:
+        raise RuleError("sources are pinned by a manifest", "none is given")
     proof = provenance.verify_sources(spark, folder, provenance.read_manifest(spark, sources.manifest), list(sources.pinned)) if sources.manifest else []
     parsed = {e: xml.read_usfx(spark, e.path).cache() for e in sources.editions}
     master = parsed[sources.editions[0]]
@@ -67,17 +73,16 @@ def build(spark: SparkSession, sources: Sources, folder: str = "") -> tuple[dict
 
 def write(spark: SparkSession, tables: dict[str, DataFrame], made: dict, out: str) -> None:
     """Writes beside the old output, then swaps: a failed write leaves the old one whole."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(out).getFileSystem(spark._jsc.hadoopConfiguration())
-    staged, old = f"{out.rstrip('/')}__staged", f"{out.rstrip('/')}__old"
+    store, staged, old = Store(spark, out), f"{out.rstrip('/')}__staged", f"{out.rstrip('/')}__old"
     for p in (staged, old):
-        fs.delete(path(p), True)
+        store.delete(p)
+    store.make(staged)
     for name in ("canonical_verses", "strongs", "edges"):
         jsonl.write_table(tables[name], f"{staged}/{name}.jsonl", name, check=False)
     for name in ("verse_texts", "original_words"):
         jsonl.write_by_book(tables[name], f"{staged}/{name}", name, check=False)
-    spark.createDataFrame([(jsonl.manifest_text(made).rstrip("\n"),)], "value string").coalesce(1).write.text(f"{staged}/manifest")
-    if fs.exists(path(out)):
-        fs.rename(path(out), path(old))
-    fs.rename(path(staged), path(out))
-    fs.delete(path(old), True)
+    store.write(f"{staged}/manifest.json", jsonl.manifest_text(made))
+    if store.exists(out):
+        store.rename(out, old)
+    store.rename(staged, out)
+    store.delete(old)

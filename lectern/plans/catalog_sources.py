@@ -18,7 +18,7 @@ from ..schemas import BOOKS, BUILT, RULE_BOOKS, key_order
 from ..scratch import fresh_path
 from ..sinks import jsonl, tables
 from ..sources import jsonl as json_source
-from ..sources import lines, provenance, tabular, xml
+from ..sources import hashes, lines, provenance, tabular, xml
 from .catalog import _BOOKS, _CODES, _DISTANCE, Read, _vector, long, query
 
 
@@ -487,7 +487,7 @@ def source_proof(t: Read) -> DataFrame:
     folder = fresh_path(spark, "files")
     files = t("region").select(F.concat(F.lit("src_"), _text(F.col("r_regionkey"))).alias("source"), F.col("r_name").alias("value"))
     files.select("source", "value").coalesce(1).write.partitionBy("source").text(folder)
-    hashed = text.file_hashes(spark, f"{folder}/*/*.txt").withColumn("source", F.regexp_extract("path", "source=([^/]+)", 1)).withColumn("name", F.regexp_extract("path", "(source=[^/]+/[^/]+)$", 1)).collect()
+    hashed = hashes.file_hashes(spark, f"{folder}/*/*.txt").withColumn("source", F.regexp_extract("path", "source=([^/]+)", 1)).withColumn("name", F.regexp_extract("path", "(source=[^/]+/[^/]+)$", 1)).collect()
     found = {r["source"]: (r["name"], r["sha256"]) for r in hashed}
     sources = {}
     for i, (source, (name, sha256)) in enumerate(sorted(found.items())):

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 @lru_cache(maxsize=1)
@@ -14,6 +14,13 @@ def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="scratch")
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Written once in the shared folder and read from there: what several jobs read is worked out once, and in the same way for all."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder that spark.checkpoint.dir names. On a single machine it may be unset; on a cluster that is an error, as a local folder isn't shared."""
     base = spark.conf.get("spark.checkpoint.dir", None)

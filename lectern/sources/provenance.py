@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import json
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
 from ..errors import RuleError
-from ..functions.text import file_hashes
+from ..files import Store
+from .hashes import file_hashes
 
 
 def read_manifest(spark: SparkSession, path: str) -> dict:
@@ -18,8 +21,13 @@ def read_manifest(spark: SparkSession, path: str) -> dict:
     return made
 
 
+def _plain(path: str) -> str:
+    """A path in one spelling, whatever named it."""
+    return unquote(re.sub(r"^(\w+):/*", r"\1:/", path))
+
+
 def verify_sources(spark: SparkSession, folder: str, manifest: dict, wanted: list[str]) -> list[tuple[str, dict]]:
-    """(source, {path: sha256}) of the wanted sources. A missing entry or file, a wrong hash and a quarantined source (any status) are all reported together."""
+    """(source, {path: sha256}) of the wanted sources. A missing entry or file, a wrong hash and a quarantined source (any status) are all reported together; all files are hashed in one job."""
     problems, found = [], []
     pinned: dict[str, tuple[str, str]] = {}
     for source in wanted:
@@ -32,14 +40,13 @@ def verify_sources(spark: SparkSession, folder: str, manifest: dict, wanted: lis
         files = entry["files"] if "files" in entry else {entry["file"]: entry["sha256"]}
         found.append((source, dict(sorted(files.items()))))
         pinned |= {f"{folder.rstrip('/')}/{p}": (source, h) for p, h in files.items()}
+    store = Store(spark, folder or ".")
+    there = {path: _plain(store.qualified(path)) for path in pinned if store.exists(path)}
+    hashes = {_plain(r["path"]): r["sha256"] for r in file_hashes(spark, *there).collect()} if there else {}  # a row for each pinned file
     for path, (source, wanted_hash) in sorted(pinned.items()):
-        try:
-            got = file_hashes(spark, path).collect()
-        except Exception:
-            got = []
-        if not got:
+        if path not in there:
             problems.append(f"{source}: {path} is missing")
-        elif got[0]["sha256"] != wanted_hash:
+        elif hashes.get(there[path]) != wanted_hash:
             problems.append(f"{source}: {path} has another hash")
     if problems:
         raise RuleError("sources are what the manifest pins", "; ".join(problems), len(problems))

@@ -10,11 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..errors import RuleError
 from ..functions import grammar, refs, tags
-from ..functions.ids import rule_book
+from ..functions.ids import id_key, make_id, ref_key, rule_book
 from ..functions.ordering import dense_position
 from ..operators.quality import CEILING, check_rate, enforce, require_rows
 from ..schemas import RULE_ACTIONS
+from ..scratch import staged
 from .lines import cells
 
 START, END = "#DataStart(Expanded)", "#DataEnd(Expanded)"
@@ -27,7 +29,7 @@ def read_rules(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     marks = lines.agg(F.min(F.when(F.trim("line").startswith(START), F.col("line_no"))).alias("start"), F.min(F.when(F.trim("line").startswith(END), F.col("line_no"))).alias("end")).first()
     if marks["start"] is None or marks["end"] is None:
-        enforce({"the expanded section has both marks": lines.limit(1)})
+        raise RuleError("the expanded section has both marks", ", ".join(m for m, at in ((START, marks["start"]), (END, marks["end"])) if at is None))
     inside = lines.filter((F.col("line_no") > marks["start"]) & (F.col("line_no") < marks["end"]))
     body = cells(inside.filter(~F.col("line").startswith("'") & ~F.col("line").startswith("#") & ~F.col("line").startswith("SourceType\t")))
     cell = lambda i: F.trim(F.coalesce(F.get("cells", F.lit(i)), F.lit("")))
@@ -36,7 +38,7 @@ def read_rules(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     parsed = rows.withColumn("s", grammar.refs_column("source_text")).withColumn("t", grammar.refs_column("standard_text"))
     parsed = parsed.withColumn("p", grammar.tests_column("tests_text", F.regexp_extract("source_text", r"^([0-9]?[A-Z][A-Za-z0-9]{1,3})\.", 1)))
     error = F.coalesce(F.when(~F.col("action").isin(*RULE_ACTIONS), F.concat(F.lit("unknown action "), F.col("action"))), F.col("s.error"), F.col("t.error"), F.col("p.error"))
-    parsed = parsed.withColumn("error", error).cache()
+    parsed = staged(parsed.withColumn("error", error), "rules")
     enforce({"rules can be read": parsed.filter("error IS NOT NULL").select("line_no", "error").orderBy("line_no")})
     all_items = F.concat("s.items", "t.items")
     known = F.forall(all_items, lambda i: (i["kind"] != "raw") & (rule_book(i["start"]["book"])["status"] == "known"))
@@ -48,36 +50,31 @@ def read_rules(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 WORD_LINE = r"#[0-9]+="
 
 
-def _counted(rows: DataFrame, rule: str, wrong: Column, *shown: Column, **counts: Column) -> dict[str, int]:
-    """Counts of rows in one pass, none of which may be wrong."""
-    found = rows.agg(F.count(F.lit(1)).alias("word_lines"), F.count_if(wrong).alias("wrong"), *[F.count_if(c).alias(n) for n, c in counts.items()]).first().asDict()
+def _counted(rows: DataFrame, rule: str, **counts: Column) -> dict[str, int]:
+    """Counts of staged rows in one pass, none of which may have an error."""
+    found = rows.agg(F.count(F.lit(1)).alias("word_lines"), F.count("error").alias("wrong"), *[F.count_if(c).alias(n) for n, c in counts.items()]).first().asDict()
     if found.pop("wrong"):
-        enforce({rule: rows.filter(wrong).select("line_no", *shown).orderBy("line_no")})
+        enforce({rule: rows.filter("error IS NOT NULL").select("line_no", "error").orderBy("line_no")})
     return found
 
 
+def _placed(kept: DataFrame) -> DataFrame:
+    words = kept.select("line_no", "canonicalId", "lexeme", "strongId", "strongRaw", "morphology", "edition")
+    return dense_position(words, "canonicalId", "line_no").select("canonicalId", "position", "lexeme", "strongId", "strongRaw", "morphology", "edition")
+
+
 def read_hebrew_words(lines: DataFrame) -> tuple[DataFrame, dict[str, int]]:
-    """(tagged words, counts): a word line has the word mark in its first cell and 17 cells; an empty lexeme is left out and counted."""
+    """(tagged words, counts): a word line has the word mark in its first cell and 17 cells; an empty lexeme is left out and counted. Lines are parsed once, to a staged table that counts and words are read from."""
     words = cells(lines.filter(F.substring_index("line", "\t", 1).rlike(WORD_LINE)))
     cell = lambda i: F.trim(F.get("cells", F.lit(i)))
-
-    def parsed(words: DataFrame) -> DataFrame:
-        rows = words.select("line_no", F.size("cells").alias("n"), refs.hebrew_ref(cell(0)).alias("ref"), cell(1).alias("lexeme"), F.nullif(cell(4), F.lit("")).alias("strongRaw"), F.nullif(cell(5), F.lit("")).alias("morphology"))
-        return rows.withColumn("tag", tags.hebrew_roots(F.col("strongRaw")))
-
-    rows = parsed(words)
+    rows = words.select("line_no", F.size("cells").alias("n"), refs.hebrew_ref(cell(0)).alias("ref"), cell(1).alias("lexeme"), F.nullif(cell(4), F.lit("")).alias("strongRaw"), F.nullif(cell(5), F.lit("")).alias("morphology"))
+    rows = rows.withColumn("tag", tags.hebrew_roots(F.col("strongRaw")))
     error = F.coalesce(F.when(F.col("n") != 17, F.concat(_text("n"), F.lit(" cells in place of 17"))), F.col("ref.error"), F.col("tag.error"))
-    known, empty = F.col("ref.status") == "known", F.col("lexeme") == ""
-    stats = _counted(rows, "words can be read", error.isNotNull(), error.alias("error"), skipped_books=F.col("ref.status") == "excluded", skipped_empty=known & empty)
-    # every line is sound now; whether its book stays can be told from its code alone, without parsing lines twice
-    kept = parsed(words.filter(_kept_book(cell(0)) & (cell(1) != ""))).withColumn("canonicalId", refs.canonical_ref(F.col("ref"), greek=False))
-    placed = dense_position(kept.select("line_no", "canonicalId", "lexeme", F.col("tag.root").alias("strongId"), "strongRaw", "morphology", F.col("ref.type.raw").alias("edition")), "canonicalId", "line_no")
-    out = placed.select("canonicalId", "position", "lexeme", "strongId", "strongRaw", "morphology", "edition")
-    return out, {**stats, "produced": stats["word_lines"] - stats["skipped_books"] - stats["skipped_empty"]}
-
-
-def _kept_book(cell: Column) -> Column:
-    return rule_book(F.substring_index(cell, ".", 1))["status"] == "known"
+    rows = rows.select("line_no", error.alias("error"), F.col("ref.status").alias("status"), refs.canonical_ref(F.col("ref"), greek=False).alias("canonicalId"), "lexeme", F.col("tag.root").alias("strongId"), "strongRaw", "morphology", F.col("ref.type.raw").alias("edition"))
+    rows = staged(rows, "hebrew")
+    known, empty = F.col("status") == "known", F.col("lexeme") == ""
+    stats = _counted(rows, "words can be read", skipped_books=F.col("status") == "excluded", skipped_empty=known & empty)
+    return _placed(rows.filter(known & ~empty)), {**stats, "produced": stats["word_lines"] - stats["skipped_books"] - stats["skipped_empty"]}
 
 
 def _text(column: str) -> Column:
@@ -85,20 +82,15 @@ def _text(column: str) -> Column:
 
 
 def read_greek_words(lines: DataFrame) -> tuple[DataFrame, dict[str, int]]:
-    """(tagged words, counts): unlike Hebrew ones, an empty lexeme or tag on a word line is an error."""
+    """(tagged words, counts): unlike Hebrew ones, an empty lexeme or tag on a word line is an error. Lines are parsed once, to a staged table that counts and words are read from."""
     words = cells(lines.filter(F.substring_index("line", "\t", 1).rlike(WORD_LINE)))
     cell = lambda i: F.trim(F.coalesce(F.get("cells", F.lit(i)), F.lit("")))
-
-    def parsed(words: DataFrame) -> DataFrame:
-        return words.select("line_no", refs.greek_ref(cell(0)).alias("ref"), cell(1).alias("lexeme"), cell(3).alias("cell")).withColumn("tag", tags.greek_tag(F.col("cell")))
-
-    rows = parsed(words)
+    rows = words.select("line_no", refs.greek_ref(cell(0)).alias("ref"), cell(1).alias("lexeme"), cell(3).alias("cell")).withColumn("tag", tags.greek_tag(F.col("cell")))
     error = F.coalesce("ref.error", F.when(F.col("lexeme") == "", "lexeme"), F.when(F.col("cell") == "", "tag"), "tag.error", tags.word_type(F.col("ref.type"))["error"])
-    stats = _counted(rows, "words can be read", error.isNotNull(), error.alias("error"), skipped_books=F.col("ref.status") == "excluded")
-    kept = parsed(words.filter(_kept_book(cell(0)))).withColumn("canonicalId", refs.canonical_ref(F.col("ref"), greek=True))
-    placed = dense_position(kept.select("line_no", "canonicalId", "lexeme", F.col("tag.root").alias("strongId"), F.col("tag.raw").alias("strongRaw"), F.col("tag.grammar").alias("morphology"), F.col("ref.type").alias("edition")), "canonicalId", "line_no")
-    out = placed.select("canonicalId", "position", "lexeme", "strongId", "strongRaw", "morphology", "edition")
-    return out, {**stats, "produced": stats["word_lines"] - stats["skipped_books"]}
+    rows = rows.select("line_no", error.alias("error"), F.col("ref.status").alias("status"), refs.canonical_ref(F.col("ref"), greek=True).alias("canonicalId"), "lexeme", F.col("tag.root").alias("strongId"), F.col("tag.raw").alias("strongRaw"), F.col("tag.grammar").alias("morphology"), F.col("ref.type").alias("edition"))
+    rows = staged(rows, "greek")
+    stats = _counted(rows, "words can be read", skipped_books=F.col("status") == "excluded")
+    return _placed(rows.filter("status = 'known'")), {**stats, "produced": stats["word_lines"] - stats["skipped_books"]}
 
 
 def edition_counts(words: DataFrame) -> DataFrame:
@@ -117,7 +109,7 @@ def verse_sizes(words_lines: DataFrame) -> DataFrame:
 def read_xrefs(lines: DataFrame, ceiling: float = CEILING) -> tuple[DataFrame, DataFrame, dict[str, int]]:
     """(direct edges, ranges, counts): three columns under a header; verse ranges inside a chapter become an edge per verse, longer ones are left for the inventory.
 
-    A range is inclusive and never descends. Lines that touch a book left out are dropped, up to a ceiling.
+    Both come in reference order. A range is inclusive and never descends. Lines that touch a book left out are dropped, up to a ceiling.
     """
     first = lines.filter("line_no = 1").select("line")
     enforce({"the header is known": first.filter(~F.col("line").rlike(r"^From Verse\tTo Verse\tVotes")).select("line")})
@@ -125,10 +117,9 @@ def read_xrefs(lines: DataFrame, ceiling: float = CEILING) -> tuple[DataFrame, D
     enforce({"a line has 3 columns": body.filter(F.size("cells") != 3).select("line_no", "line").orderBy("line_no"), "votes are a number": body.filter(~F.coalesce(F.get("cells", F.lit(2)).rlike(r"^-?[0-9]+$"), F.lit(False))).select("line_no", "line").orderBy("line_no")})
     target = F.split(F.get("cells", F.lit(1)), "-", -1)
     rows = body.select("line_no", refs.xref(F.get("cells", F.lit(0))).alias("source"), refs.xref(F.get(target, F.lit(0))).alias("start"), F.when(F.size(target) > 1, refs.xref(F.get(target, F.lit(1)))).alias("end"), (F.size(target) > 2).alias("odd"), F.get("cells", F.lit(2)).cast("int").alias("votes"))
-    from ..functions.ids import make_id, ref_key
-
     key = lambda c: ref_key(F.col(f"{c}.book"), F.col(f"{c}.chapter"), F.col(f"{c}.verse"))
-    rows = rows.withColumn("error", F.coalesce("source.error", "start.error", "end.error", F.when(F.col("odd"), "range"), F.when(key("end") < key("start"), "descends"))).cache()
+    rows = rows.withColumn("error", F.coalesce("source.error", "start.error", "end.error", F.when(F.col("odd"), "range"), F.when(key("end") < key("start"), "descends")))
+    rows = staged(rows, "xrefs")
     enforce({"references can be read": rows.filter("error IS NOT NULL").select("line_no", "error").orderBy("line_no")})
     out_of_canon = (F.col("source.status") == "excluded") | (F.col("start.status") == "excluded") | F.coalesce(F.col("end.status") == "excluded", F.lit(False))
     ranged = F.col("end").isNotNull()
@@ -144,4 +135,6 @@ def read_xrefs(lines: DataFrame, ceiling: float = CEILING) -> tuple[DataFrame, D
         F.sum(F.when(inside & ~out_of_canon, F.col("end.verse") - F.col("start.verse") + 1).otherwise(0)).alias("expanded"),
     ).first().asDict()
     check_rate("cross references outside the canon", stats["discarded"], stats["lines"], ceiling)
-    return direct, ranges, {**stats, "edges": direct.count(), "ranges": ranges.count()}
+    counts = {**stats, "edges": direct.count(), "ranges": ranges.count()}
+    by_id = lambda *names: [x for n in names for x in (id_key(F.col(n)), F.col(n))]
+    return direct.orderBy(*by_id("sourceId", "targetId")), ranges.orderBy(*by_id("sourceId", "startId", "endId")), counts
