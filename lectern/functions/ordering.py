@@ -14,16 +14,21 @@ def by_rank(value: Column, order: tuple[str, ...]) -> Column:
     return F.element_at(literal_map({v: i for i, v in enumerate(order)}), value)
 
 
+def units(value: Column) -> Column:
+    """What a string sorts by, unit by unit of UTF-16: bytes, which differ from Spark's own order of strings above U+FFFF."""
+    return F.encode(value, "UTF-16BE")
+
+
 def order_columns(table: str) -> list[Column]:
     """A reference sorts by book, chapter, verse (one long); equal references (leading zeros) by the id itself."""
-    c = F.col
+    c, u = F.col, lambda name: units(F.col(name))
     return {
-        "canonical_verses": [id_key(c("id")), c("id")],
-        "verse_texts": [id_key(c("canonicalId")), c("canonicalId"), c("translation")],
-        "original_words": [id_key(c("canonicalId")), c("canonicalId"), c("position")],
-        "strongs": [by_rank(c("language"), LANGUAGES), c("id")],
-        "edges": [id_key(c("sourceId")), id_key(c("targetId")), c("sourceId"), c("targetId"), by_rank(c("kind"), EDGE_KINDS)],
-        "embeddings": [id_key(c("canonicalId")), c("canonicalId"), c("translation")],
+        "canonical_verses": [id_key(c("id")), u("id")],
+        "verse_texts": [id_key(c("canonicalId")), u("canonicalId"), u("translation")],
+        "original_words": [id_key(c("canonicalId")), u("canonicalId"), c("position")],
+        "strongs": [by_rank(c("language"), LANGUAGES), u("id")],
+        "edges": [id_key(c("sourceId")), id_key(c("targetId")), u("sourceId"), u("targetId"), by_rank(c("kind"), EDGE_KINDS)],
+        "embeddings": [id_key(c("canonicalId")), u("canonicalId"), u("translation")],
     }[table]
 
 

@@ -20,6 +20,7 @@ def word_count(text: Column) -> Column:
 
 
 def set_array(values: Column) -> Column:
-    """A set-valued array in its canonical form."""
-    return F.array_sort(F.array_distinct(values))
+    """A set-valued array in its canonical form: each value once, in the order of UTF-16 units."""
+    keyed = F.transform(F.array_distinct(values), lambda v: F.struct(F.encode(v, "UTF-16BE").alias("units"), v.alias("value")))
+    return F.transform(F.array_sort(keyed), lambda x: x["value"])
 

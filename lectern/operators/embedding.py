@@ -65,9 +65,14 @@ class HttpEmbedder:
         return self._json("/health", self.health_timeout)
 
     def embed(self, texts: list[str]) -> list[list[float]]:
+        return self.answer(texts)[0]
+
+    def answer(self, texts: list[str]) -> tuple[list[list[float]], str]:
+        """Vectors, and the stamp of the build that the answer itself names."""
         if not 1 <= len(texts) <= MOST:
             raise RuleError("a batch has 1 to 512 texts", str(len(texts)))
-        return self._json("/embed", self.batch_timeout, {"texts": texts})["vectors"]
+        made = self._json("/embed", self.batch_timeout, {"texts": texts})
+        return made["vectors"], stamp(made)
 
 
 def batch_size(raw: str | None) -> int:
@@ -82,6 +87,13 @@ def stamp(health: dict) -> str:
     return f"{health['model']}@{health['revision']}"
 
 
+def answer(embedder: Embedder, texts: list[str]) -> tuple[list[list[float]], str]:
+    """Vectors and the stamp of the build that made them: the answer's own, or what an embedder without answers of that kind says of itself."""
+    if hasattr(embedder, "answer"):
+        return embedder.answer(texts)
+    return embedder.embed(texts), stamp(embedder.health())
+
+
 def check_build(health: dict, model: str, revision: str) -> None:
     if (health.get("model"), health.get("revision")) != (model, revision):
         raise RuleError("the embedder is the pinned build", stamp(health))
@@ -96,13 +108,13 @@ def embed_texts(rows: DataFrame, embedder: Embedder, model: str, revision: str,
         for batch in batches:
             for at in range(0, len(batch), size):
                 part = batch.iloc[at : at + size]
-                vectors = embedder.embed(part[text].tolist())
+                vectors, made = answer(embedder, part[text].tolist())
                 if len(vectors) != len(part):
                     raise RuleError("an answer has a vector per text", f"{len(vectors)} for {len(part)}")
                 if any(len(v) != dims for v in vectors):
                     raise RuleError("a vector has the pinned size", str(sorted({len(v) for v in vectors})))
-                if stamp(embedder.health()) != mark:
-                    raise RuleError("the build stays the same", stamp(embedder.health()))
+                if made != mark:
+                    raise RuleError("the build stays the same", made)
                 yield part[list(keys)].assign(embedding=vectors, embeddingModel=mark)
 
     kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..errors import RuleError
 from ..functions.ids import ID
 from ..schemas import BOOKS
+from .embedding import answer, check_build, stamp
 
 LIMITS, HOPS = (1, 50, 10), (1, 3, 1)
 
@@ -60,15 +61,21 @@ def nearest(rows: DataFrame, vector: str, query: Sequence[float], limit: int | N
     return found.withColumn("distance", distance).filter("distance IS NOT NULL").orderBy("distance", *order).limit(limit)
 
 
-def search_by_theme(texts: DataFrame, verses: DataFrame, embed, query: str, levels: Sequence[str], translation: str | None = None, limit: int | None = None, canon: Sequence[str] = ("protestant",)) -> DataFrame:
-    """(canonicalId, translation, text, distance): the query is embedded by the pinned build, filters come before ranking, ties by id and translation."""
+def search_by_theme(texts: DataFrame, verses: DataFrame, embed, query: str, levels: Sequence[str], translation: str | None = None, limit: int | None = None, canon: Sequence[str] = ("protestant",), pin: tuple[str, str] | None = None) -> DataFrame:
+    """(canonicalId, translation, text, distance): the query is embedded by the pinned build (model, revision; the embedder's own if none is given), only rows of that build are ranked, filters come before ranking, ties by id and translation."""
+    health = embed.health()
+    if pin is not None:
+        check_build(health, *pin)
     if len(query.strip()) < 2:
         raise RuleError("a query has 2 characters", query)
     allowed = texts.join(verses.filter(F.col("canonStatus").isin(*canon)).select(F.col("id").alias("canonicalId")), "canonicalId", "left_semi")
-    keep = may_see(F.col("authorizedLevels"), levels)
+    keep = may_see(F.col("authorizedLevels"), levels) & (F.col("embeddingModel") == stamp(health))
     if translation is not None:
         keep = keep & (F.col("translation") == translation)
-    return nearest(allowed, "embedding", embed.embed([query])[0], limit, ("canonicalId", "translation"), keep).select("canonicalId", "translation", "text", "distance")
+    (vector,), made = answer(embed, [query])
+    if made != stamp(health):
+        raise RuleError("the build stays the same", made)
+    return nearest(allowed, "embedding", vector, limit, ("canonicalId", "translation"), keep).select("canonicalId", "translation", "text", "distance")
 
 
 def search_passages(passages: DataFrame, verses: DataFrame, query: Sequence[float], limit: int | None = None) -> DataFrame:
@@ -86,25 +93,25 @@ def children(parents: DataFrame, key: str, rows: DataFrame, foreign: str, fields
     return joined.withColumn(out, F.coalesce(out, F.array().cast(kind)))
 
 
-def get_verse(canonical_id: str, levels: Sequence[str], verses: DataFrame, texts: DataFrame, words: DataFrame, interpretations: DataFrame) -> DataFrame:
-    """One row with texts, originalWords and interpretations, or none for an unknown id. Each child is filtered to the key before it is gathered."""
+def get_verse(canonical_id: str, levels: Sequence[str], verses: DataFrame, texts: DataFrame, words: DataFrame, interpretations: DataFrame, canon: Sequence[str] = ("protestant",)) -> DataFrame:
+    """One row with texts, originalWords and interpretations, or none for an unknown id or one of another canon. Each child is filtered to the key before it is gathered."""
     at = F.col("canonicalId") == check_id(canonical_id)
-    found = verses.filter(F.col("id") == canonical_id)
+    found = verses.filter((F.col("id") == canonical_id) & F.col("canonStatus").isin(*canon))
     found = children(found, "id", texts.filter(at & may_see(F.col("authorizedLevels"), levels)), "canonicalId", ("translation", "text"), "texts")
     found = children(found, "id", words.filter(at), "canonicalId", ("position", "lexeme", "strongId", "strongRaw", "morphology", "edition"), "originalWords")
     return children(found, "id", interpretations.filter(at), "canonicalId", ("viewLabel", "text", "tradition", "source"), "interpretations")
 
 
-def exegesis(canonical_id: str, levels: Sequence[str], verses: DataFrame, texts: DataFrame, words: DataFrame, lexicon: DataFrame, interpretations: DataFrame) -> DataFrame:
+def exegesis(canonical_id: str, levels: Sequence[str], verses: DataFrame, texts: DataFrame, words: DataFrame, lexicon: DataFrame, interpretations: DataFrame, canon: Sequence[str] = ("protestant",)) -> DataFrame:
     """As get_verse, with each word's entry beside it; words without one stay."""
     entries = lexicon.select(F.col("id").alias("strongId"), "lemma", "transliteration", "definition")
     own = words.filter(F.col("canonicalId") == check_id(canonical_id)).join(entries, "strongId", "left")
-    found = get_verse(canonical_id, levels, verses, texts, words.limit(0), interpretations).drop("originalWords")
+    found = get_verse(canonical_id, levels, verses, texts, words.limit(0), interpretations, canon).drop("originalWords")
     return children(found, "id", own, "canonicalId", ("position", "lexeme", "strongId", "strongRaw", "morphology", "edition", "lemma", "transliteration", "definition"), "originalWords")
 
 
 def walk(edges: DataFrame, start: Column | str | int, hops: int | None = None, allowed: DataFrame | None = None, source: str = "sourceId", target: str = "targetId", kind: str = "kind") -> DataFrame:
-    """(depth, source, target, kind): edges reached from a node within 1 to 3 hops, each once at its least depth, in total order.
+    """(depth, source, target, kind): edges reached from a node within 1 to 3 hops, each once at its least depth, in total order. A start given as a string is an id.
 
     A path never visits a node twice. `allowed` (one column, the node) is applied to every hop's targets,
     so that nothing is reached through a node that may not be seen. Hops are unrolled joins. Nodes move
@@ -113,6 +120,8 @@ def walk(edges: DataFrame, start: Column | str | int, hops: int | None = None, a
     before is barred only if there is no other way to come.
     """
     hops = _bounded(hops, HOPS, "hops")
+    if isinstance(start, str):
+        check_id(start)
     e = edges.select(F.col(source).alias("source"), F.col(target).alias("target"), F.col(kind).alias("kind"))
     if allowed is not None:
         e = e.join(allowed.select(F.col(allowed.columns[0]).alias("target")).distinct(), "target", "left_semi").select("source", "target", "kind")

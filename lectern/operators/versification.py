@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import book_ordinal, rule_book
 from ..functions.text import word_count
+from ..scratch import staged
 from .quality import enforce
 
 
@@ -61,14 +62,15 @@ def standard_targets(rules: DataFrame, last: DataFrame) -> DataFrame:
         "line_no", "source_type", F.col("i.kind").alias("kind"), rule_book(start["book"])["book"].alias("book"), rule_book(end["book"])["book"].alias("end_book"),
         start["chapter"].alias("chapter"), F.when(start["is_title"], 0).otherwise(start["verse"]).alias("verse"), start["subverse"].alias("subverse"),
         end["chapter"].alias("end_chapter"), end["verse"].alias("end_verse"), (start["chapter_letter"].isNotNull() | F.coalesce(end["chapter_letter"].isNotNull(), F.lit(False))).alias("lettered"),
-    ).cache()
+    )
+    placed = staged(placed, "targets")
     singles = placed.filter("kind = 'single'").select("line_no", "source_type", "book", "chapter", "verse", "subverse")
     ranges = placed.filter("kind = 'range'")
     per_chapter = ranges.withColumn("at", F.explode(F.when(F.col("end_chapter") >= F.col("chapter"), F.sequence("chapter", "end_chapter")).otherwise(F.array().cast("array<int>"))))
     bounded = per_chapter.join(last.select("book", F.col("chapter").alias("at"), "last_verse"), ["book", "at"], "left")
     first = F.when(F.col("at") == F.col("chapter"), F.col("verse")).otherwise(1)
     to = F.when(F.col("at") == F.col("end_chapter"), F.col("end_verse")).otherwise(F.col("last_verse"))
-    bounded = bounded.withColumn("first", first).withColumn("to", to).cache()
+    bounded = staged(bounded.withColumn("first", first).withColumn("to", to), "bounded")
     enforce({
         "a target's book is in the canon": placed.filter("book IS NULL OR kind = 'raw'").select("line_no"),
         "a target's chapter is a number": placed.filter("lettered").select("line_no"),
@@ -112,7 +114,8 @@ def map_verses(verses: DataFrame, rules: DataFrame, known: DataFrame, last: Data
     decided = outcome.groupBy(*keys).agg(
         F.count_distinct("signature").alias("all"), F.count_distinct(F.when(wanted, F.col("signature"))).alias("own"),
         F.min_by("set", "line_no").alias("any_set"), F.min_by("set", F.when(wanted, F.col("line_no"))).alias("own_set"), F.sort_array(F.collect_set("line_no")).alias("lines"),
-    ).cache()
+    )
+    decided = staged(decided, "decided")
     enforce({"a verse's rules agree": decided.filter("all > 1 AND own <> 1").select(*keys, "lines").orderBy(*keys)})
     chosen = decided.select(*keys, F.when(F.col("all") == 1, F.col("any_set")).otherwise(F.col("own_set")).alias("set"))
     itself = F.array(F.struct(F.col("book").alias("book"), F.col("chapter").alias("chapter"), F.col("verse").alias("verse"), F.lit(None).cast("string").alias("subverse")))

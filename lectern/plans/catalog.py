@@ -567,4 +567,4 @@ def embed_batch(t: Read) -> DataFrame:
     return rows.select("doc_id", F.size("embedding").alias("dims"), F.round(retrieval.norm(F.col("embedding")), 6).alias("norm"), F.col("embeddingModel").alias("model"))
 
 
-from . import catalog_sources  # noqa: E402, F401  (registers its queries)
+from . import catalog_sources  # noqa: E402, F401  (registers its queries, and those of catalog_guards)

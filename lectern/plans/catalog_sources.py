@@ -15,7 +15,7 @@ from ..errors import RuleError
 from ..functions import ids, ordering, tags, text
 from ..operators import builders, quality, retrieval, versification
 from ..schemas import BOOKS, BUILT, RULE_BOOKS, key_order
-from ..scratch import fresh_path
+from ..scratch import fresh_path, staged
 from ..sinks import jsonl, tables
 from ..sources import jsonl as json_source
 from ..sources import hashes, lines, provenance, tabular, xml
@@ -152,14 +152,14 @@ def map_two_traditions(t: Read) -> DataFrame:
     return mapped.select(ids.make_id(F.col("book"), F.col("chapter"), F.col("verse")).alias("id"), shown.alias("targets"))
 
 
-def _verse_texts(t: Read) -> tuple[DataFrame, dict]:
+def _verse_texts(t: Read, ceiling: float = 1.0) -> tuple[DataFrame, dict]:
     """Every seventh verse goes outside the inventory, and of two of seven a copy too."""
     m, here, v = _k() % 7, _ref(F.col("code"), ".", F.col("c"), ":"), F.col("v")
     edition = _edition(t)
     made = _parts(t).filter(m.isin(0, 2))
     rules, _ = tabular.read_rules(_rule_lines(made, _k() + 10, F.lit("Hebrew"), _ref(here, v), F.when(m == 0, _ref(here, "150")).otherwise(_ref(here, v, ",150")), F.lit("Renumber verse")))
     inventory = builders.canonical_verses(edition)
-    return builders.verse_texts(edition, "one", "Hebrew", rules, versification.features(edition), versification.last_verses(edition), inventory, ceiling=1.0)
+    return builders.verse_texts(edition, "one", "Hebrew", rules, versification.features(edition), versification.last_verses(edition), inventory, ceiling)
 
 
 @query("verse_texts_build", f"""WITH {_EDITION} SELECT id AS "canonicalId", 'one' AS translation, text, 'public' AS levels FROM verses WHERE text <> '' AND k % 7 <> 0 UNION ALL SELECT book || '_' || c || '_0', 'one', 'A title', 'public' FROM chapters WHERE c % 2 = 0""")
@@ -205,7 +205,7 @@ def word_counts(t: Read) -> DataFrame:
     return t("region").sparkSession.createDataFrame(rows, "language string, word_lines long, skipped_books long, skipped_empty long, produced long")
 
 
-def _xrefs(t: Read) -> tuple[DataFrame, DataFrame, dict]:
+def _xrefs(t: Read, ceiling: float = 1.0) -> tuple[DataFrame, DataFrame, dict]:
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     to = (
         F.when(k % 5 == 0, _ref("Exod.", k % 40 + 1, ".", c % 20 + 1)).when(k % 5 == 1, _ref("Exod.3.1-Exod.3.", c % 4 + 1)).when(k % 5 == 2, _ref("Exod.3.5-Exod.4.", c % 20 + 1))
@@ -213,7 +213,7 @@ def _xrefs(t: Read) -> tuple[DataFrame, DataFrame, dict]:
     )
     body = t("orders").select((k + 2).alias("line_no"), F.concat_ws("\t", _ref("Gen.", k % 50 + 1, ".", c % 30 + 1), to, F.when(k % 5 == 4, "-3").otherwise("12")).alias("line"))
     head = body.sparkSession.createDataFrame([(1, "From Verse\tTo Verse\tVotes\t#x"), (2**40, " ")], "line_no long, line string")
-    return tabular.read_xrefs(body.unionByName(head), ceiling=1.0)
+    return tabular.read_xrefs(body.unionByName(head), ceiling)
 
 
 _XREFS = """x AS (SELECT o_orderkey % 5 AS m, 'GEN_' || (o_orderkey % 50 + 1) || '_' || (o_custkey % 30 + 1) AS s, o_orderkey AS k, o_custkey AS c FROM orders),
@@ -297,7 +297,7 @@ def referenced_entries(t: Read) -> DataFrame:
     return builders.referenced_ids(_words(t)[0])
 
 
-def _graph(t: Read) -> tuple[DataFrame, dict, DataFrame]:
+def _graph(t: Read, ceiling: float = 1.0) -> tuple[DataFrame, dict, DataFrame]:
     """Direct pairs of line items, and a range from each part over the 23 next; titles are in the inventory and outside parts are not."""
     inventory = builders.canonical_verses(_edition(t))
     rows = _parts(t).select("p_partkey", "id")
@@ -306,7 +306,7 @@ def _graph(t: Read) -> tuple[DataFrame, dict, DataFrame]:
     pairs = t("lineitem").select((F.col("l_partkey") % 400).alias("p_partkey"), F.when(F.col("l_linenumber") == 1, F.col("l_partkey") % 400).otherwise(F.col("l_suppkey") * 97 % 4000).alias("to")).distinct()
     away = rows.select(_k().alias("to"), F.col("id").alias("targetId"))
     direct = pairs.join(rows.withColumnRenamed("id", "sourceId"), "p_partkey").join(away, "to", "left").select("sourceId", F.coalesce("targetId", _ref("REV_99_", F.col("to") % 900)).alias("targetId"))
-    made, counts = builders.edges(direct, ranges.select("sourceId", "startId", "endId"), inventory, ceiling=1.0)
+    made, counts = builders.edges(direct, ranges.select("sourceId", "startId", "endId"), inventory, ceiling)
     return made, counts, inventory
 
 
@@ -432,7 +432,7 @@ def load_counts(t: Read) -> DataFrame:
     """A load, a migration, and a reload, which gives the same."""
     spark = t("region").sparkSession
     database = f"load_{uuid.uuid4().hex}"
-    made = _tables(t)
+    made = {name: staged(df, name) for name, df in _tables(t).items()}  # made once, loaded twice
     try:
         first = tables.load(spark, database, made)
         added = [tables.add_column(spark, f"{database}.strongs", "note", "string") for _ in range(2)]
@@ -586,7 +586,7 @@ class _Fixed:
 @query("theme_search", f"""SELECT 'GEN_1_' || vec_id AS "canonicalId", 'tr' || label % 2 AS translation, round(d, 6) AS distance FROM (SELECT vec_id, label, {_DISTANCE} AS d FROM embeddings WHERE vec_id % 3 <> 0 AND label IN (1, 2, 3, 4) AND label % 2 = 1 AND vec_id % 7 > 0) ORDER BY d, "canonicalId" LIMIT 8""")
 def theme_search(t: Read) -> DataFrame:
     """Levels, canon status, translation and missing vectors are filtered before ranking."""
-    rows = t("embeddings").select(_ref("GEN_1_", F.col("vec_id")).alias("canonicalId"), _ref("tr", F.col("label") % 2).alias("translation"), F.lit("t").alias("text"), F.array(_text(F.col("label"))).alias("authorizedLevels"), F.when(F.col("vec_id") % 7 > 0, F.col("embedding")).alias("embedding"), "vec_id")
+    rows = t("embeddings").select(_ref("GEN_1_", F.col("vec_id")).alias("canonicalId"), _ref("tr", F.col("label") % 2).alias("translation"), F.lit("t").alias("text"), F.array(_text(F.col("label"))).alias("authorizedLevels"), F.when(F.col("vec_id") % 7 > 0, F.col("embedding")).alias("embedding"), F.lit("fixed@1").alias("embeddingModel"), "vec_id")
     verses = rows.select(F.col("canonicalId").alias("id"), F.when(F.col("vec_id") % 3 == 0, "deuterocanonical").otherwise("protestant").alias("canonStatus")).distinct()
     found = retrieval.search_by_theme(rows.drop("vec_id"), verses, _Fixed(_vector(t)), "hope", ["1", "2", "3", "4"], "tr1", 8)
     return found.select("canonicalId", "translation", F.round("distance", 6).alias("distance"))
@@ -618,3 +618,6 @@ def verse_exegesis(t: Read) -> DataFrame:
     found = _lookup(t, lambda verses, texts, words, entries, views: retrieval.exegesis("GEN_1_2", ["public"], verses, texts, words, entries, views))
     words = F.transform("originalWords", lambda w: F.concat(w["lexeme"], F.lit(":"), F.coalesce(w["lemma"], F.lit("-"))))
     return found.select("id", F.array_join("texts.translation", ",").alias("texts"), F.array_join("interpretations.viewLabel", ",").alias("views"), F.array_join(words, ",").alias("words"))
+
+
+from . import catalog_guards  # noqa: E402, F401  (registers its queries)

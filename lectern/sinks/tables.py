@@ -1,4 +1,4 @@
-"""Loading the built tables as managed tables: staged, then swapped in, so that a failed load leaves the old rows."""
+"""Loading the built tables: staged as a version, checked, then switched to in one step, so that a failed load leaves the old rows."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.quality import cross_check, duplicates, enforce
 from ..schemas import BUILT, KEYS, TABLES
+from .snapshots import Snapshots
 
 
 def snake(name: str) -> str:
@@ -36,14 +37,35 @@ def with_embeddings(texts: DataFrame, embeddings: DataFrame | None, stamp: str |
     return joined.withColumn("embeddingModel", F.coalesce("__model", "embeddingModel")).drop("__model")
 
 
+def snapshots(spark: SparkSession, database: str) -> Snapshots:
+    """The versions of a database's built tables, beside its other tables."""
+    return Snapshots(spark, f"{spark.catalog.getDatabase(database).locationUri}/snapshots")
+
+
 def create(spark: SparkSession, database: str) -> None:
-    """All tables, where they are not there yet."""
+    """All tables, where they are not there yet. The built ones stand where the current version is."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    places = snapshots(spark, database)
     for table, schema in TABLES.items():
         if table != "embeddings" and not spark.catalog.tableExists(f"{database}.{table}"):
             fields = [f"{snake(f.name)} {f.dataType.simpleString()}" for f in schema.fields]
             fields += ["embedding array<double>"] if table == "verse_texts" else []
-            spark.sql(f"CREATE TABLE {database}.{table} ({', '.join(fields)}) USING parquet")
+            at = f" LOCATION '{places.folder('none', table)}'" if table in BUILT else ""
+            spark.sql(f"CREATE TABLE {database}.{table} ({', '.join(fields)}) USING parquet{at}")
+
+
+def point(spark: SparkSession, database: str) -> None:
+    """Lets the catalogue's names follow the current version. They do so one by one; who reads several tables together takes `open_tables`."""
+    places = snapshots(spark, database)
+    version = places.current()
+    for table in BUILT if version else ():
+        spark.sql(f"ALTER TABLE {database}.{table} SET LOCATION '{places.folder(version.name, table)}'")
+        spark.catalog.refreshTable(f"{database}.{table}")
+
+
+def open_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:
+    """The five built tables, all of one version."""
+    return snapshots(spark, database).read()
 
 
 def add_column(spark: SparkSession, table: str, column: str, kind: str) -> bool:
@@ -55,39 +77,24 @@ def add_column(spark: SparkSession, table: str, column: str, kind: str) -> bool:
 
 
 def load(spark: SparkSession, database: str, tables: dict[str, DataFrame], embeddings: DataFrame | None = None, stamp: str | None = None) -> dict[str, int]:
-    """Stages all tables, checks and counts them as they were written, then swaps them in; returns their row counts. Loading twice gives the same.
+    """Stages all tables, checks and counts them as they were written, then switches to them in one step; returns their row counts. Loading twice gives the same.
 
-    Nothing that readers see changes before all is staged and checked. A swap that fails half-way is
-    turned back; old tables go only after the last one is in its place.
+    Nothing that readers see changes before all is staged and checked, and a load that dies at any point
+    leaves the old version or the new one. Two loads at a time: the second one to switch is refused.
     """
     texts = with_embeddings(tables["verse_texts"], embeddings, stamp)
     create(spark, database)
-    name = {t: f"{database}.{t}" for t in BUILT}
+    versions = snapshots(spark, database)
+    over = versions.current()
+    fields = {t: [*TABLES[t].fieldNames(), *(["embedding"] if t == "verse_texts" else [])] for t in BUILT}
+    name, written = versions.stage({t: (texts if t == "verse_texts" else tables[t]).select(*[F.col(c).alias(snake(c)) for c in fields[t]]) for t in BUILT})
     try:
-        staged = {}
-        for table in BUILT:
-            fields = [*TABLES[table].fieldNames(), *(["embedding"] if table == "verse_texts" else [])]
-            df = texts if table == "verse_texts" else tables[table]
-            df.select(*[F.col(c).alias(snake(c)) for c in fields]).write.mode("overwrite").saveAsTable(f"{name[table]}__staged")
-            staged[table] = spark.table(f"{name[table]}__staged").toDF(*fields)
+        staged = {t: df.toDF(*fields[t]) for t, df in written.items()}
         enforce({"references are whole": cross_check(staged)} | {f"{t}: the key is unique": duplicates(staged[t], KEYS[t]) for t in BUILT})
         counts = {t: df.count() for t, df in staged.items()}
-        swapped: list[str] = []
-        try:
-            for table in BUILT:
-                spark.sql(f"DROP TABLE IF EXISTS {name[table]}__old")
-                spark.sql(f"ALTER TABLE {name[table]} RENAME TO {name[table]}__old")
-                swapped.append(table)
-                spark.sql(f"ALTER TABLE {name[table]}__staged RENAME TO {name[table]}")
-        except Exception:
-            for table in swapped:
-                if spark.catalog.tableExists(name[table]):
-                    spark.sql(f"DROP TABLE {name[table]}")
-                spark.sql(f"ALTER TABLE {name[table]}__old RENAME TO {name[table]}")
-            raise
-        for table in BUILT:
-            spark.sql(f"DROP TABLE {name[table]}__old")
-    finally:
-        for table in BUILT:
-            spark.sql(f"DROP TABLE IF EXISTS {name[table]}__staged")
+        versions.switch(name, counts, over)
+    except Exception:
+        versions.store.delete(f"{versions.root}/versions/{name}")
+        raise
+    point(spark, database)
     return counts
