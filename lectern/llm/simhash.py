@@ -206,7 +206,7 @@ def led(texts: DataFrame, leaders: DataFrame, shingle: int, block: int) -> DataF
 
 
 def cells_of(rows: DataFrame, block: int) -> DataFrame:
-    """Rows (root, low, high, block, id, comp, text) of (root, id, comp, w, text): any two rows of a root and different comps meet in one cell.
+    """Rows (root, low, high, block, id, comp) of (root, id, comp, w): any two rows of a root and different comps meet in one cell.
 
     A comp of over `block` has blocks of its own, which need not meet each other; the others share blocks by comp.
     """
@@ -221,7 +221,7 @@ def cells_of(rows: DataFrame, block: int) -> DataFrame:
     placed = placed.withColumn("block", (F.col("first") + at).cast("int"))
     others = F.filter(F.sequence(F.lit(0), (F.col("all") - 1).cast("int")), lambda b: F.col("kind").isNull() | (b < F.col("first")) | (b >= F.col("first") + F.col("blocks")))
     spread = placed.withColumn("with", F.explode(others))
-    return spread.select("root", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "id", "comp", "text")
+    return spread.select("root", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "id", "comp")
 
 
 def similar_components(postings: DataFrame, texts: DataFrame, shingle: int, block: int = BLOCK) -> DataFrame:
@@ -229,8 +229,9 @@ def similar_components(postings: DataFrame, texts: DataFrame, shingle: int, bloc
 
     First each entry is held against one leader, the least entry that it shares a list with: a row an
     entry, however long the list. What a leader connects need not be compared again. Lists all of whose
-    entries are connected are done with; what is reachable over the others is a group, and in it all
-    entries that are not yet connected to each other are compared.
+    entries are connected are done with; in each of the others, all entries that are not yet connected to
+    each other are compared, long lists in cells of two blocks. Pairs without a common list never meet.
+    Lists of the same entries, which near copies make many of, are compared once.
     """
     made = len(MADE)
     leaders = cut(stars(postings).groupBy("b").agg(F.min("a").alias("a")), "leaders")
@@ -239,10 +240,11 @@ def similar_components(postings: DataFrame, texts: DataFrame, shingle: int, bloc
     marked = cut(postings.join(joined, F.col("id") == F.col("node"), "left").select("k", "id", "least", F.coalesce("root", "id").alias("comp")), "marked")
     undone = cut(marked.groupBy("k").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("k"), "undone")
     open_lists = cut(marked.join(undone, "k"), "open")
-    below = components(stars(open_lists)).toDF("id", "root")
-    found = below.union(below.select("root", "root").distinct())  # the root has no row of its own
-    rows = found.join(open_lists.select("id", "comp").distinct(), "id").join(texts, "id").withColumn("w", weight(F.col("text")))
-    more = cells_of(cut(rows, "groups"), block).groupBy("root", "low", "high").applyInArrow(_compare(shingle), "a long, b long")
+    sets = open_lists.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+    distinct = cut(sets.groupBy("n", "x", "y").agg(F.min("k").alias("k")).select("k"), "sets")
+    rows = open_lists.join(distinct, "k").join(texts.select("id", weight(F.col("text")).alias("w")), "id").select(F.col("k").alias("root"), "id", "comp", "w")
+    cells = cut(cells_of(cut(rows, "groups"), block), "cells")
+    more = cells.join(texts, "id").groupBy("root", "low", "high").applyInArrow(_compare(shingle), "a long, b long")
     out = components(near.union(cut(more, "compared")))
     release(postings.sparkSession, MADE[made:-1])
     return out
