@@ -11,6 +11,7 @@ from ..files import Store
 from ..operators import builders, versification
 from ..operators.quality import validate
 from ..schemas import BUILT
+from ..scratch import staged
 from ..sinks import jsonl
 from ..sources import lines, provenance, tabular, xml
 
@@ -52,16 +53,15 @@ def build(spark: SparkSession, sources: Sources, folder: str = "") -> tuple[dict
     if sources.manifest is None and not sources.unpinned:
         raise RuleError("sources are pinned by a manifest", "none is given")
     proof = provenance.verify_sources(spark, folder, provenance.read_manifest(spark, sources.manifest), list(sources.pinned)) if sources.manifest else []
-    parsed = {e: xml.read_usfx(spark, e.path).cache() for e in sources.editions}
+    parsed = {e: xml.read_usfx(spark, e.path) for e in sources.editions}
     master = parsed[sources.editions[0]]
-    inventory = builders.canonical_verses(master).cache()
+    inventory = staged(builders.canonical_verses(master), "inventory")
     last = versification.last_verses(master)
     rules, _ = tabular.read_rules(lines.read_lines(spark, sources.rules))
-    rules = rules.cache()
     texts = [builders.verse_texts(usfx, e.translation, e.tradition, rules, versification.features(usfx), last, inventory, sources.ceiling)[0] for e, usfx in parsed.items()]
     hebrew = _union([tabular.read_hebrew_words(lines.read_lines(spark, p))[0] for p in sources.hebrew_words])
     greek = _union([tabular.read_greek_words(lines.read_lines(spark, p))[0] for p in sources.greek_words])
-    lexicon = xml.read_lexicon(spark, sources.hebrew_lexicon, sources.greek_lexicon).cache()
+    lexicon = xml.read_lexicon(spark, sources.hebrew_lexicon, sources.greek_lexicon)
     words = builders.original_words(hebrew, greek, lexicon)
     direct, ranges, _ = tabular.read_xrefs(lines.read_lines(spark, sources.xrefs), sources.ceiling)
     edges, _ = builders.edges(direct, ranges, inventory, sources.ceiling)

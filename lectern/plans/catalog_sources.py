@@ -33,6 +33,10 @@ def _text(c: Column) -> Column:
     return c.cast("string")
 
 
+def _rows(t: Read, rows: list[tuple], schema: str) -> DataFrame:
+    return t("region").sparkSession.createDataFrame(rows, schema)
+
+
 # --- the stand-in corpus: a verse per part ---------------------------------------------------------
 
 def _k() -> Column:
@@ -242,15 +246,16 @@ def xref_counts(t: Read) -> DataFrame:
 @query("lexicon_scan", """SELECT 'H' || lpad((p_partkey % 9999 + 1)::VARCHAR, 4, '0') AS id, 'hebrew' AS language, p_name AS lemma, 'x' || p_partkey AS transliteration, 'to ' || p_name || ' end' AS definition FROM part
   UNION ALL SELECT 'G' || lpad((p_partkey % 9999 + 1)::VARCHAR, 4, '0'), 'greek', CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE 'def ' || p_name END, CASE WHEN p_partkey % 2 = 0 THEN 't' || p_partkey END, 'def ' || p_name FROM part""")
 def lexicon_scan(t: Read) -> DataFrame:
-    """Both lexicons as whole files; every second Greek entry has no headword of its own."""
+    """Both lexicons as files of an entry a line; every second Greek entry has no headword of its own."""
     n, name = _text(_k() % 9999 + 1), F.col("p_name")
     hebrew = F.concat(F.lit('<div type="entry"><w ID="H'), n, F.lit('" lemma="'), name, F.lit('" xlit="x'), _text(_k()), F.lit('" xml:lang="arc"/>to  <foreign>gone</foreign><list><item>'), name, F.lit('</item></list><note type="x-typo">no <hi>more</hi></note> end</div>'))
     head = F.when(_k() % 2 == 0, F.concat(F.lit('<greek unicode="'), name, F.lit('" translit="t'), _text(_k()), F.lit('"/>'))).otherwise("")
     greek = F.concat(F.lit('<entry strongs="'), n, F.lit('"><strongs>5</strongs> '), head, F.lit(' def <see language="GREEK"/><strongs_def>'), name, F.lit("</strongs_def></entry>"))
     paths = []
     for tag, entry in (("osis", hebrew), ("lexicon", greek)):
-        body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(_k(), entry.alias("x")))), lambda r: r["x"]), "")
-        paths.append(_one_file(t("part").agg(F.concat(F.lit(f"<{tag}>"), body, F.lit(f"</{tag}>")).alias("file")), "file"))
+        body = t("part").select(_k().alias("at"), entry.alias("x")).unionByName(_rows(t, [(-1, f"<{tag}>"), (2**62, f"</{tag}>")], "at long, x string"))
+        paths.append(fresh_path(body.sparkSession, "files"))
+        body.orderBy("at").select("x").coalesce(1).write.text(paths[-1])
     return xml.read_lexicon(t("part").sparkSession, *paths)
 
 

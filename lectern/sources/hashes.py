@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..files import Store
+
 #: More than any file has, so that none is split; and what opening one is said to cost, so that each has a task.
 _WHOLE = str(1 << 46)
 _MARK = b"\xef\xbb\xbf"
@@ -57,6 +59,5 @@ def file_hashes(spark: SparkSession, *paths: str) -> DataFrame:
     whole.conf.set("spark.sql.files.openCostInBytes", _WHOLE)
     file = F.col("_metadata")
     lines = whole.read.option("lineSep", "\n").text(list(paths)).select(file["file_path"].alias("path"), file["file_size"].alias("size"), file["file_block_start"].alias("block"), F.col("value").cast("binary").alias("raw"))
-    # an empty file has no lines
-    empty = whole.read.format("binaryFile").load(list(paths)).filter("length = 0").select(file["file_path"].alias("path"), F.sha2(F.lit(b""), 256).alias("sha256"))
-    return lines.mapInArrow(_hashed, "path string, sha256 string").unionByName(empty)
+    empty = [(name, hashlib.sha256().hexdigest()) for p in paths for name in Store(spark, p).empty(p)]  # these have no lines
+    return lines.mapInArrow(_hashed, "path string, sha256 string").unionByName(whole.createDataFrame(empty, "path string, sha256 string"))

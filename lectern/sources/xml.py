@@ -1,19 +1,30 @@
-"""The XML sources. Their markup is made of milestones and mixed content, which no row-based XML reader keeps in order; each file is read by SAX events inside mapInPandas."""
+"""The XML sources. Their markup is made of milestones and mixed content, which no row-based XML reader keeps in order; it is read by SAX events.
+
+A file is no unit of work. It is read in splits, parted where records can begin (a book, an entry), and each
+record is parsed by itself, behind what opens the file; so a large file is many tasks, and no more than a
+record is held. Records know the lines of the file before them, for errors. Marks of a record inside a
+comment or a CDATA section are not told apart: such a record is not balanced, which is an error.
+"""
 
 from __future__ import annotations
 
 import re
 import xml.sax
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from xml.sax.handler import ContentHandler, feature_external_ges
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..errors import RuleError
 from ..functions.text import SPACE
+from ..operators.quality import enforce
 from ..schemas import BOOKS
+from ..scratch import staged
+from .lines import in_order, read_pieces, read_splits
 
 # The closed element sets.
 USFX_STRIPPED = frozenset("f fr ft fq fqa fl x xo xt ref rq id ide h toc cl cp s languageCode".split())
@@ -33,23 +44,45 @@ def squeeze(text: str) -> str:
     return _SPACES.sub(" ", text).strip(" ")
 
 
-def _events(text: str, handler: ContentHandler) -> None:
+def _events(text: str, handler: _Strict, opening: str = "", before: int = 0, last: bool = True) -> None:
+    """Feeds what opens the file and a record, of which `before` lines of the file come first; after the last record the file must be closed, after others all that the record opened."""
     parser = xml.sax.make_parser()
     parser.setFeature(feature_external_ges, False)
     parser.setContentHandler(handler)
+    handler.setDocumentLocator(parser)
     try:
-        parser.feed(text.removeprefix("﻿"))
-        parser.close()
+        if opening:
+            parser.feed(opening.removeprefix("﻿"))
+        handler.shift, opened = before - opening.count("\n"), handler.open_elements
+        parser.feed(text if opening else text.removeprefix("﻿"))
+        if last:
+            parser.close()
+        elif handler.open_elements != opened:
+            handler.fail("a record is whole", f"{handler.open_elements - opened} elements stay open")
     except xml.sax.SAXParseException as e:
-        raise RuleError("the file is well-formed XML", e.getMessage(), line=e.getLineNumber()) from e
+        raise RuleError("the file is well-formed XML", e.getMessage(), line=e.getLineNumber() + handler.shift) from e
 
 
 class _Strict(ContentHandler):
+    """Errors name the line of the file; `shift` is what the parser's own count lacks to it."""
+
+    def __init__(self):
+        super().__init__()
+        self.shift = self.open_elements = 0
+
     def fail(self, rule: str, detail: str) -> None:
-        raise RuleError(rule, detail, line=self.locator.getLineNumber() if self.locator else None)
+        raise RuleError(rule, detail, line=self.locator.getLineNumber() + self.shift if self.locator else None)
 
     locator = None
 
+    def startElement(self, name, attrs):  # noqa: N802
+        self.open_elements += 1
+        self.begin(name, attrs)
+
+    def endElement(self, name):  # noqa: N802
+        self.open_elements -= 1
+        self.end(name)
+
     def setDocumentLocator(self, locator):  # noqa: N802
         self.locator = locator
 
@@ -80,7 +113,7 @@ class _Usfx(_Strict):
             self.emit("chapter", self.chapter, None, max(self.numbers, default=0), " ".join(self.titles) or None)
         self.chapter, self.titles, self.numbers = None, [], set()
 
-    def startElement(self, name, attrs):  # noqa: N802
+    def begin(self, name, attrs):
         if name in USFX_STRIPPED:
             self.stripped += 1
             return
@@ -123,7 +156,7 @@ class _Usfx(_Strict):
         elif name == "d":
             self.in_title, self.title = True, []
 
-    def endElement(self, name):  # noqa: N802
+    def end(self, name):
         if name in USFX_STRIPPED:
             self.stripped -= 1
         elif self.stripped or self.skipping and name != "book":
@@ -188,7 +221,7 @@ class _Lexicon(_Strict):
 
 
 class _Hebrew(_Lexicon):
-    def startElement(self, name, attrs):  # noqa: N802
+    def begin(self, name, attrs):
         if self.entry is None:
             if name == "div" and attrs.get("type") == "entry":
                 self.open_entry(id=None)
@@ -209,7 +242,7 @@ class _Hebrew(_Lexicon):
             if attrs["type"] == "x-typo":
                 self.mute_here()
 
-    def endElement(self, name):  # noqa: N802
+    def end(self, name):
         if self.entry is None:
             return
         if self.depth == 0:
@@ -221,7 +254,7 @@ class _Hebrew(_Lexicon):
 
 
 class _Greek(_Lexicon):
-    def startElement(self, name, attrs):  # noqa: N802
+    def begin(self, name, attrs):
         if self.entry is None:
             if name == "entry":
                 self.open_entry(id=attrs.get("strongs"))
@@ -234,7 +267,7 @@ class _Greek(_Lexicon):
         elif name == "greek" and not self.entry.get("lemma"):
             self.entry |= {"lemma": attrs.get("unicode"), "translit": attrs.get("translit")}
 
-    endElement = _Hebrew.endElement  # noqa: N815
+    end = _Hebrew.end
 
     def close_entry(self, letter: str, language: str) -> None:
         super().close_entry("G", "greek")
@@ -266,8 +299,74 @@ def rows_of(texts: DataFrame, parse: Callable[[str], list[tuple]], schema: str)
     return texts.select("value").mapInPandas(read, schema)
 
 
+@dataclass(frozen=True)
+class Records:
+    """Where records of a kind of file can begin, which of these places are beginnings, and who reads them."""
+
+    mark: str
+    begins: str
+    handler: Callable[[], _Strict]
+    schema: str
+
+
+USFX = Records("<book", r"^[\s>/]", _Usfx, USFX_ROWS)
+HEBREW = Records("<div", r"""^\s[^>]*\btype\s*=\s*["']entry["']""", _Hebrew, LEXICON_ROWS)
+GREEK = Records("<entry", r"^[\s>/]", _Greek, LEXICON_ROWS)
+
+
+def read_records(spark: SparkSession, path: str, kind: Records) -> DataFrame:
+    """(path, nth, before, last, opening, record) of each record of a file, nth from 1; before: the newlines of the file before it; opening: what comes before the first one."""
+    pieces = read_pieces(spark, path, kind.mark)
+    newlines, starts = F.length("raw") - F.length(F.replace("raw", F.lit("\n"))), F.col("raw").rlike(kind.begins).cast("int")
+    splits = read_splits(pieces, len(kind.mark), newlines=newlines)
+    placed = in_order(pieces, splits).withColumn("starts", F.when(F.col("nth") == 0, 0).otherwise(starts)).withColumn("newlines", newlines)
+    # a split's pieces at most; what precedes the split has been summed up
+    own = Window.partitionBy("path", "block").orderBy("nth")
+    sums = placed.groupBy("path", "block").agg(F.sum("starts").alias("__starts"))
+    earlier = F.coalesce(F.sum("__starts").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.select(F.col("path").alias("__path"), F.col("block").alias("__block"), earlier.alias("__earlier"))
+    numbered = placed.join(sums, (F.col("path") == F.col("__path")) & (F.col("block") == F.col("__block")))
+    numbered = numbered.withColumn("record", F.col("__earlier") + F.sum("starts").over(own)).withColumn("before", F.col("before_newlines") + F.sum("newlines").over(own) - F.col("newlines"))
+    raw = F.when(F.col("nth") == 0, F.col("raw")).otherwise(F.concat(F.lit(kind.mark), "raw"))
+    whole = numbered.groupBy("path", "record").agg(F.min("before").alias("before"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("nth", raw.alias("x")))), lambda p: p["x"]), "").alias("text"))
+    opening = whole.filter("record = 0").select(F.col("path").alias("__path"), F.col("text").alias("opening"))
+    ends = whole.groupBy("path").agg(F.max("record").alias("__last")).withColumnRenamed("path", "__own")
+    joined = whole.filter("record > 0").join(opening, F.col("path") == F.col("__path")).join(ends, F.col("path") == F.col("__own"))
+    return joined.select("path", F.col("record").alias("nth"), "before", (F.col("record") == F.col("__last")).alias("last"), "opening", F.col("text").alias("record"))
+
+
+def parsed_records(records: DataFrame, kind: Records) -> DataFrame:
+    """Rows of records, seq from 0 in each, with path and nth."""
+    names = [part.split()[0] for part in kind.schema.split(", ")]
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for r in batch.itertuples():
+                handler = kind.handler()
+                _events(r.record, handler, r.opening, r.before, r.last)
+                made = pd.DataFrame(handler.rows, columns=names)
+                yield made.assign(path=r.path, nth=r.nth)[[*names, "path", "nth"]]
+
+    return records.mapInPandas(read, f"{kind.schema}, path string, nth long")
+
+
+def _read(spark: SparkSession, path: str, kind: Records, rule: str, sound: str) -> tuple[DataFrame, DataFrame]:
+    """(records, rows), rows written once; each file must have sound ones."""
+    records = read_records(spark, path, kind)
+    rows = staged(parsed_records(records, kind), "records")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.col("_metadata.file_path").alias("path"))
+    enforce({rule: files.join(rows.filter(sound).select("path").distinct(), "path", "left_anti")})
+    return records, rows
+
+
 def read_usfx(spark: SparkSession, path: str) -> DataFrame:
-    return rows_of(spark.read.text(path, wholetext=True), parse_usfx, USFX_ROWS)
+    """Rows of all books of a file or folder, each book parsed by itself; a book stands once in a file."""
+    records, rows = _read(spark, path, USFX, "there are books", "kind = 'verse'")
+    code = F.regexp_extract("record", r"""^<book\b[^>]*\bid\s*=\s*["']([^"']*)""", 1)
+    books = records.select("path", code.alias("book"), (F.col("before") + 1).alias("line")).filter(F.col("book").isin(*BOOKS))
+    enforce({"a book stands once": books.groupBy("path", "book").agg(F.count(F.lit(1)).alias("n"), F.max("line").alias("line")).filter("n > 1")})
+    seq = F.row_number().over(Window.partitionBy("path").orderBy("nth", "seq")) - 1
+    return rows.withColumn("seq", seq).drop("path", "nth")
 
 
 def raw_verses(usfx: DataFrame, translation: str, tradition: str) -> DataFrame:
@@ -277,6 +376,6 @@ def raw_verses(usfx: DataFrame, translation: str, tradition: str) -> DataFrame:
 
 
 def read_lexicon(spark: SparkSession, hebrew: str, greek: str) -> DataFrame:
-    """Entries of both lexicons; Aramaic ones are Hebrew."""
-    parts = [rows_of(spark.read.text(path, wholetext=True), parse, LEXICON_ROWS) for path, parse in ((hebrew, parse_hebrew_lexicon), (greek, parse_greek_lexicon))]
-    return parts[0].unionByName(parts[1]).drop("seq")
+    """Entries of both lexicons, each parsed by itself; Aramaic ones are Hebrew."""
+    parts = [_read(spark, path, kind, "there are entries", "true")[1] for path, kind in ((hebrew, HEBREW), (greek, GREEK))]
+    return parts[0].unionByName(parts[1]).drop("seq", "path", "nth")

@@ -289,7 +289,7 @@ def test_manifest_keys():
 
 
 def test_stream(spark, tmp_path):
-    from lectern.streaming.curation_log import keep_latest, read_log
+    from lectern.streaming.curation_log import keep_latest, read_latest, read_log
 
     folder = tmp_path / "log"
     folder.mkdir()
@@ -298,5 +298,4 @@ def test_stream(spark, tmp_path):
     keep_latest(read_log(spark, str(folder)), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination(120)
     (folder / "2.json").write_text(entry("y", "2024-01-01T01:00:00Z"))
     keep_latest(read_log(spark, str(folder)), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination(120)
-    last = sorted((tmp_path / "t").glob("snapshot=*"), key=lambda p: int(p.name.split("=")[1]))[-1]
-    assert [r.newValue for r in spark.read.parquet(str(last)).collect()] == ["y"]
+    assert [r.newValue for r in read_latest(spark, str(tmp_path / "t")).collect()] == ["y"]
