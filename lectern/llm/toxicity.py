@@ -2,7 +2,7 @@
 
 A text falls into clauses at punctuation. A lexical transducer turns each word into a tag: insult, threat,
 target (whom it addresses), negation, report (he said ...), or other; insults have weights of their own,
-learned from labels. Deterministic transducers over tags are composed: negation softens an insult or
+learned from labels. Its lexicon has words and stems, after which a word may go on in any way. Deterministic transducers over tags are composed: negation softens an insult or
 threat within reach after it, a report softens what follows in its clause; a second machine, read from
 right to left, marks those with a target near on either side as directed. The weighted outputs score
 the clause; a document's score is a logistic function of what its matched clauses add up to.
@@ -23,9 +23,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 #: Labelled rows that learning takes, at most; contexts and log odds that a word needs for the lexicon.
-TRAIN_ROWS, LEAST_CONTEXTS, LEAST_ODDS = 20_000, 6, 2.5
+TRAIN_ROWS, LEAST_CONTEXTS, LEAST_ODDS = 20_000, 4, 2.5
+#: Letters of stems, longest first; words that a worker remembers.
+STEMS, REMEMBERED = (8, 7, 6, 5, 4), 200_000
 
 TAGS = ("other", "insult", "threat", "target", "negation", "report")
 #: Outputs of the composed machines.
@@ -93,14 +96,27 @@ _BACKWARD = target_machine()
 
 @dataclass
 class Model:
-    """The insult lexicon with its weights, and a document's logistic weights (the last is the bias)."""
+    """The insult lexicon with its weights (words, and stems), and a document's logistic weights (the last is the bias)."""
 
     insults: dict[str, float] = field(default_factory=dict)
     weights: tuple[float, ...] = ()
+    stems: dict[str, float] = field(default_factory=dict)
 
     def __post_init__(self):
-        self.tags = {w: T for w in THREATS} | {w: Y for w in TARGETS} | {w: N for w in NEGATIONS} | {w: R for w in REPORTS} | dict.fromkeys(self.insults, I)
-        self.hits = self.insults.keys() | THREATS
+        tags = {w: T for w in THREATS} | {w: Y for w in TARGETS} | {w: N for w in NEGATIONS} | {w: R for w in REPORTS} | dict.fromkeys(self.insults, I)
+        self.known = {w: (t, self.insults.get(w, 1.0)) for w, t in tags.items()}
+        self.memory: dict[str, tuple[int, float]] = {}
+
+    def of(self, word: str) -> tuple[int, float]:
+        """A word's tag and weight: its own, or else an insult's by its longest stem."""
+        found = self.known.get(word) or self.memory.get(word)
+        if found is None:
+            stem = next((word[:n] for n in STEMS if word[:n] in self.stems), None) if self.stems else None
+            found = (O, 1.0) if stem is None else (I, self.stems[stem])
+            if len(self.memory) >= REMEMBERED:
+                self.memory.clear()
+            self.memory[word] = found
+        return found
 
 
 #: Features: of each kind of match its clauses' weights together, then the strongest clause and the matched clauses.
@@ -111,17 +127,18 @@ FEATURES = len(_KINDS) + 2
 def features(text: str | None, model: Model) -> np.ndarray | None:
     """None if no clause matches."""
     low = (text or "").lower()
-    if model.hits.isdisjoint(_WORD.findall(low)):
+    hits = {w for w in set(_WORD.findall(low)) if model.of(w)[0] in (I, T)}
+    if not hits:
         return None
     total, strongest, matched = np.zeros(len(_KINDS)), 0.0, 0
     for clause in clauses(low):
-        if model.hits.isdisjoint(clause):
+        if hits.isdisjoint(clause):
             continue
-        outputs = _BACKWARD.run(_FORWARD.run([model.tags.get(w, O) for w in clause])[::-1])[::-1]
+        tagged = [model.of(w) for w in clause]
+        outputs = _BACKWARD.run(_FORWARD.run([tag for tag, _ in tagged])[::-1])[::-1]
         weight = 0.0
-        for word, out in zip(clause, outputs, strict=True):
+        for (_, own), out in zip(tagged, outputs, strict=True):
             if out in _KINDS:
-                own = model.insults.get(word, 1.0)
                 total[_KINDS.index(out)] += own
                 weight += own * (1.5 if out in (ID, TD) else 0.5 if out in (IN, TN, IR, TR) else 1.0)
         strongest, matched = max(strongest, weight), matched + 1
@@ -171,13 +188,14 @@ def held_out(key: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Learns from labelled rows that aren't held out; a key with several labels is toxic if any is. Without both labels the lexicon is empty."""
+    """Learns from labelled rows that aren't held out; a key with several labels is toxic if any is, and of several documents of a key the least text is learned from. Without both labels the lexicon is empty."""
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     n = known.count()
     share = min(1.0, rows / max(1, n))
     some = known.filter(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else known
     some = some.withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)))
     sample = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")  # about `rows` rows of two numbers
+    sample = sample.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"), F.first("half").alias("half"))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,8 +203,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
             for text, toxic in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = _WORD.findall((text or "").lower())
                 for before, word in set(zip(["", *words], words, strict=False)):
-                    if len(word) > 2:
-                        for column, value in zip(out, (word, xxhash.xxh64_intdigest(before.encode()) >> 1, toxic), strict=True):
+                    context = xxhash.xxh64_intdigest(before.encode()) >> 1
+                    for entry in (word, *(f"{word[:n]}*" for n in STEMS if len(word) > n)):
+                        for column, value in zip(out, (entry, context, toxic), strict=True):
                             column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32())], names=["word", "before", "toxic"])
 
@@ -199,7 +218,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         return Model({}, (0.0,) * FEATURES + (-3.0,))
     odds = F.log((F.col("bad") + 0.5) / float(counts[0])) - F.log((F.col("good") + 0.5) / float(counts[1]))
     found = words.select("word", odds.alias("odds")).filter(F.col("odds") >= LEAST_ODDS).orderBy(F.desc("odds"), "word").collect()  # words of the sample
-    model = Model({r["word"]: round(r["odds"], 3) for r in found})
+    entries = {r["word"]: round(r["odds"], 3) for r in found}
+    model = Model({w: o for w, o in entries.items() if w[-1] != "*"}, (), {w[:-1]: o for w, o in entries.items() if w[-1] == "*"})
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,10 +228,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 
     pairs = sample.filter("half = 1").select("text", "toxic").mapInArrow(measured, "x array<double>, toxic int").groupBy("x", "toxic").count().collect()
     if not pairs:
-        return Model(model.insults, (0.0,) * FEATURES + (-3.0,))
+        return Model(model.insults, (0.0,) * FEATURES + (-3.0,), model.stems)
     x = np.array([r["x"] or [0.0] * FEATURES for r in pairs])
     y, times = np.array([r["toxic"] for r in pairs]), np.array([r["count"] for r in pairs])
-    return Model(model.insults, fit_weights(x, y, times))
+    return Model(model.insults, fit_weights(x, y, times), model.stems)
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -222,7 +242,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             got = [probability(features(t.as_py(), model), model.weights) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.float64())], names=[key, "score"])
 
-    return docs.select(key, text).mapInArrow(scored, f"{key} {docs.schema[key].dataType.simpleString()}, score double")
+    return docs.select(key, text).mapInArrow(scored, StructType([StructField(key, docs.schema[key].dataType), StructField("score", DoubleType())]))
 
 
 def keep_clean(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
