@@ -99,7 +99,8 @@ class Encoder:
             flat, lengths = self._one_by_one(texts.to_pylist())
             return flat, np.concatenate([[0], np.cumsum(lengths)])
         for sign, content in self.added.items():
-            texts = pc.replace_substring(texts, content, f"{MARK}{sign}{MARK}")
+            if pc.any(pc.match_substring(texts, content)).as_py():
+                texts = pc.replace_substring(texts, content, f"{MARK}{sign}{MARK}")
         cut = pc.replace_substring_regex(texts, "([A-Za-zÀ-ÿ])([.,;:!?|])", rf"\1{MARK}\2")
         cut = pc.replace_substring_regex(cut, rf" ([^{_SPACES}\x01])", rf"{MARK} \1")
         lists = pc.split_pattern(cut, MARK)
