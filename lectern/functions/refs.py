@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..schemas import HEBREW_TEXT_TYPES
 from .ids import make_id, rule_book, xref_book
 
+# The formats of the sources' references.
 _HEBREW = r"^([0-9A-Za-z]{3})\.([0-9]+)\.([0-9]+)(?:\(([0-9]+)\.([0-9]+)\))?#([0-9]+)=(.+)$"
 _GREEK = r"^([0-9A-Za-z]{3})\.([0-9]+)\.([0-9]+)((?:[\[({][^\])}]*[\])}])*)#([0-9]+)=(.+)$"
 _XREF = r"^([0-9A-Za-z]+)\.([0-9]+)\.([0-9]+)$"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import urllib.request
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,9 +41,9 @@ class HashEmbedder:
 
         out = np.zeros((len(texts), self.dims))
         for i, text in enumerate(texts):
-            for word in text.lower().split() or [""]:
-                h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
-                out[i, h % self.dims] += 1 if h >> 63 else -1
+            for word in re.findall(r"[^\x20\x09-\x0D]+", text.lower()) or [""]:
+                h = int(hashlib.md5(word.encode()).hexdigest()[:15], 16)  # 60 bits
+                out[i, h % self.dims] += 1 if h >> 59 else -1
         out[~out.any(axis=1), 0] = 1  # words that cancel out
         return (out / np.linalg.norm(out, axis=1, keepdims=True)).tolist()
 

@@ -559,12 +559,16 @@ def mixed_content_text(t: Read) -> DataFrame:
     return t("pages").select("page_id", text.collapse(F.array_join(parts, "")).alias("content"))
 
 
-@query("embed_batch", "SELECT doc_id, 64 AS dims, 1.0::DOUBLE AS norm, 'hash@1' AS model FROM documents")
+@query("embed_batch", r"""WITH w AS (SELECT doc_id, unnest(CASE WHEN len(l) > 0 THEN l ELSE [''] END) AS w FROM (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS l FROM documents)),
+  h AS (SELECT doc_id, ('0x' || md5(w)[1:15])::BIGINT AS h FROM w), v AS (SELECT doc_id, h % 64 AS d, sum(CASE WHEN h >> 59 = 1 THEN 1.0::DOUBLE ELSE -1 END) AS x FROM h GROUP BY ALL),
+  n AS (SELECT doc_id, sqrt(sum(x * x)) AS norm, sum((d + 1) * x) AS s FROM v GROUP BY doc_id)
+  SELECT doc_id, 64 AS dims, 1.0::DOUBLE AS norm, round(CASE WHEN norm > 0 THEN s / norm ELSE 1 END, 6) AS checksum, 'hash@1' AS model FROM n""")
 def embed_batch(t: Read) -> DataFrame:
-    """Texts through the deterministic test embedder; vectors as a rounded checksum."""
+    """Texts in batches through the deterministic embedder of signed hashes; vectors as their size, norm and a rounded checksum over the dimensions."""
     embedder = HashEmbedder(64)
     rows = embed_texts(t("documents").select("doc_id", "text"), embedder, "hash", "1", 64, keys=("doc_id",))
-    return rows.select("doc_id", F.size("embedding").alias("dims"), F.round(retrieval.norm(F.col("embedding")), 6).alias("norm"), F.col("embeddingModel").alias("model"))
+    checksum = F.aggregate(F.transform("embedding", lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+    return rows.select("doc_id", F.size("embedding").alias("dims"), F.round(retrieval.norm(F.col("embedding")), 6).alias("norm"), F.round(checksum, 6).alias("checksum"), F.col("embeddingModel").alias("model"))
 
 
 from . import catalog_sources  # noqa: E402, F401  (registers its queries, and those of catalog_guards)

@@ -19,6 +19,8 @@ from ..schemas import RULE_ACTIONS
 from ..scratch import staged
 from .lines import cells
 
+# Marks and headers of the formats.
+HEADER = r"^From Verse\tTo Verse\tVotes"
 START, END = "#DataStart(Expanded)", "#DataEnd(Expanded)"
 
 
@@ -112,7 +114,7 @@ def read_xrefs(lines: DataFrame, ceiling: float = CEILING) -> tuple[DataFrame, D
     Both come in reference order. A range is inclusive and never descends. Lines that touch a book left out are dropped, up to a ceiling.
     """
     first = lines.filter("line_no = 1").select("line")
-    enforce({"the header is known": first.filter(~F.col("line").rlike(r"^From Verse\tTo Verse\tVotes")).select("line")})
+    enforce({"the header is known": first.filter(~F.col("line").rlike(HEADER)).select("line")})
     body = cells(lines.filter((F.col("line_no") > 1) & (F.trim("line") != "")))
     enforce({"a line has 3 columns": body.filter(F.size("cells") != 3).select("line_no", "line").orderBy("line_no"), "votes are a number": body.filter(~F.coalesce(F.get("cells", F.lit(2)).rlike(r"^-?[0-9]+$"), F.lit(False))).select("line_no", "line").orderBy("line_no")})
     target = F.split(F.get("cells", F.lit(1)), "-", -1)
