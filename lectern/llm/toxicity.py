@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 #: Labelled rows that learning takes, at most; contexts and log odds that a word needs for the lexicon.
-TRAIN_ROWS, LEAST_CONTEXTS, LEAST_ODDS = 20_000, 4, 2.5
+TRAIN_ROWS, LEAST_CONTEXTS, LEAST_ODDS = 20_000, 6, 2.5
 #: Letters of stems, longest first; words that a worker remembers.
-STEMS, REMEMBERED = (8, 7, 6, 5, 4), 200_000
+STEMS, REMEMBERED = (7, 5), 200_000
 
 TAGS = ("other", "insult", "threat", "target", "negation", "report")
 #: Outputs of the composed machines.

@@ -93,7 +93,7 @@ def plain_score(text, model):
         else:
             clauses.append([])
     for clause in clauses:
-        stem = [next((w[:n] for n in (8, 7, 6, 5, 4) if w[:n] in model.stems), None) for w in clause]
+        stem = [next((w[:n] for n in toxicity.STEMS if w[:n] in model.stems), None) for w in clause]
         closed = model.insults.keys() | toxicity.REPORTS | toxicity.NEGATIONS | toxicity.TARGETS | toxicity.THREATS
         own_weight = [model.insults.get(w, 1.0) if w in closed or s is None else model.stems[s] for w, s in zip(clause, stem, strict=True)]
         tags = ["insult" if w in model.insults or (w not in closed and s) else "report" if w in toxicity.REPORTS else "negation" if w in toxicity.NEGATIONS else "target" if w in toxicity.TARGETS else "threat" if w in toxicity.THREATS else "other" for w, s in zip(clause, stem, strict=True)]
