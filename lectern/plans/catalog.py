@@ -416,9 +416,14 @@ def ext_id_nullout(t: Read) -> DataFrame:
 # --- versification on stand-ins --------------------------------------------------------------------
 
 
+def _numbered(t: Read) -> DataFrame:
+    """The inventory's rows as verses from 1."""
+    return _inventory(t).withColumn("verse", F.col("verse") + 1)
+
+
 def _edition(t: Read) -> DataFrame:
     """Parts as an edition's verses: the name and type are the text, every 11th verse is empty, the last of a chapter is its greatest."""
-    rows = _inventory(t).join(t("part").select("p_partkey", "p_type"), "p_partkey").filter("verse > 0")
+    rows = _numbered(t).join(t("part").select("p_partkey", "p_type"), "p_partkey")
     verses = rows.select(F.lit("verse").alias("kind"), "book", "chapter", "verse", F.col("verse").alias("verse_end"), F.when(F.col("p_partkey") % 11 == 0, "").otherwise(F.col("p_type")).alias("text"))
     chapters = verses.groupBy("book", "chapter").agg(F.max("verse").alias("verse_end")).select(F.lit("chapter").alias("kind"), "book", "chapter", F.lit(None).cast("int").alias("verse"), "verse_end", F.when(F.col("chapter") % 2 == 0, "A title").alias("text"))
     return verses.unionByName(chapters)
@@ -428,15 +433,15 @@ def _rules(t: Read, target: Column, kind: Column, tests: Column) -> DataFrame:
     """A rule per part: its verse goes to `target` verses further in the same chapter."""
     from ..functions import grammar
 
-    rows = _inventory(t).filter("verse > 0").withColumn("code", ids.rule_code(F.col("book")))
+    rows = _numbered(t).withColumn("code", ids.rule_code(F.col("book")))
     ref = lambda v: F.concat(F.col("code"), F.lit("."), F.col("chapter").cast("string"), F.lit(":"), v.cast("string"))
     made = rows.select(F.col("p_partkey").cast("int").alias("line_no"), kind.alias("source_type"), ref(F.col("verse")).alias("s"), ref(target).alias("t"), tests.alias("p"), "code")
     parsed = made.withColumn("s", grammar.refs_column("s")["items"]).withColumn("t", grammar.refs_column("t")["items"]).withColumn("p", grammar.tests_column("p", "code")["tests"])
     return parsed.select("line_no", "source_type", F.col("s").alias("source"), F.col("t").alias("standard"), F.col("p").alias("tests"))
 
 
-_EDITION = f"""{_INVENTORY}, e AS (SELECT i.k, id, split_part(id, '_', 1) AS book, split_part(id, '_', 2)::INTEGER AS chapter, split_part(id, '_', 3)::INTEGER AS verse, CASE WHEN i.k % 11 = 0 THEN '' ELSE p_type END AS text
-  FROM inventory i JOIN part ON p_partkey = i.k WHERE split_part(id, '_', 3)::INTEGER > 0), l AS (SELECT book, chapter, max(verse) AS last FROM e GROUP BY ALL),
+_EDITION = f"""{_INVENTORY}, e AS (SELECT *, book || '_' || chapter || '_' || verse AS id FROM (SELECT i.k, split_part(id, '_', 1) AS book, split_part(id, '_', 2)::INTEGER AS chapter, split_part(id, '_', 3)::INTEGER + 1 AS verse, CASE WHEN i.k % 11 = 0 THEN '' ELSE p_type END AS text
+  FROM inventory i JOIN part ON p_partkey = i.k)), l AS (SELECT book, chapter, max(verse) AS last FROM e GROUP BY ALL),
   f AS (SELECT e.*, verse = last AS is_last, CASE WHEN text = '' THEN 0 ELSE len(string_split(text, ' ')) END AS words FROM e JOIN l USING (book, chapter))"""
 
 
@@ -516,7 +521,7 @@ def _item_sql(verse: str) -> str:
     return f"""'[{{"kind":"single","start":{{"book":"' || code || '","chapter":' || c || ',"verse":' || {verse} || ',"is_title":false}}}}]'"""
 
 
-@query("rule_parse", f"""WITH r AS (SELECT p_partkey AS k, {_CODES}[(p_partkey // 500) % 66 + 1] AS code, (p_partkey // 10) % 50 + 1 AS c, p_partkey % 10 + p_partkey // 33000 * 10 AS v FROM part WHERE p_partkey % 10 + p_partkey // 33000 * 10 > 0)
+@query("rule_parse", f"""WITH r AS (SELECT p_partkey AS k, {_CODES}[(p_partkey // 500) % 66 + 1] AS code, (p_partkey // 10) % 50 + 1 AS c, p_partkey % 10 + p_partkey // 33000 * 10 + 1 AS v FROM part)
   SELECT k::INTEGER AS line_no, 'Hebrew' AS source_type, {_item_sql('v')} AS source, {_item_sql('(v + 1)')} AS standard FROM r""")
 def rule_parse(t: Read) -> DataFrame:
     """Rules synthesised from parts, read by the reference grammar."""
