@@ -75,9 +75,10 @@ def violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """(rule, count, sample) of all rules of rows that some row breaks: one aggregation over the table."""
     broken = {name: ~F.coalesce(rule, F.lit(False)) for name, rule in rules.items()}
     row = F.to_json(F.struct(*df.columns))
-    # a bounded sample: the least texts of rows that break the rule
-    each = df.select(F.explode(F.array_compact(F.array(*[F.when(b, F.lit(name)) for name, b in broken.items()]))).alias("rule"), row.alias("row"))
-    return each.groupBy("rule").agg(F.count(F.lit(1)).alias("count"), F.min("row").alias("sample")).orderBy("rule")
+    # a row is written out only where it breaks a rule; the least of these is the sample
+    each = [F.struct(F.lit(name).alias("rule"), F.count_if(b).alias("count"), F.min(F.when(b, row)).alias("sample")) for name, b in broken.items()]
+    found = df.agg(F.array(*each).alias("x")) if each else df.select(F.array().cast("array<struct<rule:string,count:bigint,sample:string>>").alias("x")).limit(0)
+    return found.select(F.explode("x").alias("r")).select("r.*").filter("count > 0").orderBy("rule")
 
 
 def enforce(checks: dict[str, DataFrame]) -> None:
