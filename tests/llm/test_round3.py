@@ -12,7 +12,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lectern.llm import filter_audit, importance, window_dedup
+from lectern.llm import filter_audit, importance, queries, window_dedup
 
 LONG = "lorem ipsum dolor 42 " * 30_000
 ODD = "`doc id` long, text string, `a.b` string, rank int, part string, gram long, `o` int, __n int, fails int"
@@ -203,3 +203,19 @@ def test_rolling_hashes_know_windows_by_their_words_alone():
 def test_intervals():
     assert window_dedup.intervals(np.array([9, 0, 4, 20]), np.array([12, 5, 9, 21])) == [(0, 12), (20, 21)]
     assert window_dedup.intervals(np.array([], np.int64), np.array([], np.int64)) == []
+
+
+# all three
+
+
+def test_queries_equal_their_sql(spark):
+    import duckdb
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for name in ("documents", "benchmark", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf}/{name}.parquet'")
+    for name in ("op11_importance", "op12_filter_audit", "op13_window_dedup"):
+        df = queries.QUERIES[name](spark, sf)
+        want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({queries.ORACLES[name]})").fetchall()
+        assert Counter(map(tuple, df.collect())) == Counter(want), name
