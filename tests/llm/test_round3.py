@@ -12,7 +12,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lectern.llm import filter_audit, importance, queries, window_dedup
+from lectern.llm import filter_audit, importance, queries, toxicity, window_dedup
 
 LONG = "lorem ipsum dolor 42 " * 30_000
 ODD = "`doc id` long, text string, `a.b` string, rank int, part string, gram long, `o` int, __n int, fails int"
@@ -219,3 +219,30 @@ def test_queries_equal_their_sql(spark):
         df = queries.QUERIES[name](spark, sf)
         want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({queries.ORACLES[name]})").fetchall()
         assert Counter(map(tuple, df.collect())) == Counter(want), name
+
+
+# 9, what is new in it
+
+
+def test_stems_and_repeated_keys_in_training(spark):
+    """Toxic words of one stem, each seen too seldom by itself; a key's least text is learned from, however often the key stands."""
+    rng = np.random.default_rng(9)
+    plain_words = [f"w{x}" for x in rng.integers(0, 10**6, 3000)]
+
+    def prose(i, toxic):
+        w = list(rng.choice(plain_words, 40))
+        if toxic:
+            for at in rng.choice(40, 3, replace=False):
+                w[int(at)] = f"vexorq{rng.integers(0, 10**9)}"
+        return " ".join(w).translate(str.maketrans("0123456789", "abcdefghij"))
+
+    rows = [(i, prose(i, i % 4 == 0)) for i in range(1200)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    df = spark.createDataFrame(rows, "`doc id` long, text string")
+    docs = df.withColumnRenamed("doc id", "doc_id")
+    model = toxicity.train(docs, labels)
+    assert "vexor" in model.stems and not any(w.startswith("vexor") for w in model.insults)
+    got = {r["doc id"]: r.score for r in toxicity.score(df, model, key="doc id").collect()}
+    assert sum((got[i] >= 0.5) == (i % 4 == 0) for i, _ in rows) > 1190
+    again = docs.unionByName(spark.createDataFrame([(i, "~" + t) for i, t in rows] * 3, docs.schema))
+    assert toxicity.train(again, labels) == model
