@@ -18,7 +18,7 @@ from .common import cut, order_hash, row_numbers
 #: A Mersenne prime: products of two residues fit in 63 bits.
 PRIME = 2**31 - 1
 ROUNDS = 4
-#: Steps of the cycle walk. Each lands below N with a probability of 1 - 1/sqrt(N) at least (1/2 for a handful of rows).
+#: Steps of the cycle walk at first. Each lands below N with a probability of 1 - 1/sqrt(N) at least (1/2 for a handful of rows); what hasn't landed then walks on.
 WALK = 200
 
 
@@ -71,10 +71,11 @@ def permute(df: DataFrame, row: str, n: int, out: str, seed: int = 4) -> DataFra
         df = df.withColumn("__l", (F.col("__l") + _mix(F.col("__q"), keys[2 * i])) % a)
         df = df.withColumn("__q", (F.col("__q") + _mix(F.col("__l"), keys[2 * i + 1])) % b)
     df = df.withColumn("__y", F.col("__l") * b + F.col("__q"))
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), F.col("__y"), lambda y, _: F.when(y < n, y).otherwise(_permute_once(y, n, seed)))
-    df = df.withColumn("__y", F.when(F.col("__y") < n, F.col("__y")).otherwise(walked))
-    landed = F.when(F.col("__y") < n, F.col("__y")).otherwise(F.raise_error(F.lit("the cycle walk did not end")).cast("long"))
-    return df.withColumn(out, landed).drop("__l", "__q", "__y")
+    # a walk meets no cell twice, so that it ends after as many steps as there are cells past n - 1
+    for steps in (WALK, a * b - n + 1):
+        walked = F.aggregate(F.sequence(F.lit(1), F.when(F.col("__y") >= n, steps)), F.col("__y"), lambda y, _: F.when(y < n, y).otherwise(_permute_once(y, n, seed)))
+        df = df.withColumn("__y", F.when(F.col("__y") < n, F.col("__y")).otherwise(walked))
+    return df.withColumn(out, F.col("__y")).drop("__l", "__q", "__y")
 
 
 def shard(df: DataFrame, shards: int = 24, key: str = "doc_id", ties: tuple[str, ...] = (), seed: int = 4) -> DataFrame:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lectern.llm import filter_audit, importance, queries, toxicity, window_dedup
+from lectern.llm import filter_audit, importance, queries, sharding, toxicity, window_dedup
 
 LONG = "lorem ipsum dolor 42 " * 30_000
 ODD = "`doc id` long, text string, `a.b` string, rank int, part string, gram long, `o` int, __n int, fails int"
@@ -246,3 +246,15 @@ def test_stems_and_repeated_keys_in_training(spark):
     assert sum((got[i] >= 0.5) == (i % 4 == 0) for i, _ in rows) > 1190
     again = docs.unionByName(spark.createDataFrame([(i, "~" + t) for i, t in rows] * 3, docs.schema))
     assert toxicity.train(again, labels) == model
+
+
+# 4, what is new in it
+
+
+def test_walks_end_however_short_the_first_one(spark, monkeypatch):
+    for n in (2, 3, 5, 7, 50, 1010):
+        whole = [r.y for r in sharding.permute(spark.range(n), "id", n, "y").orderBy("id").collect()]
+        with monkeypatch.context() as m:
+            m.setattr(sharding, "WALK", 1)
+            assert [r.y for r in sharding.permute(spark.range(n), "id", n, "y").orderBy("id").collect()] == whole
+        assert sorted(whole) == list(range(n))
