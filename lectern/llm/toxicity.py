@@ -25,10 +25,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from .common import slices
+
 #: Labelled rows that learning takes, at most; contexts and log odds that a word needs for the lexicon.
 TRAIN_ROWS, LEAST_CONTEXTS, LEAST_ODDS = 20_000, 6, 2.5
 #: Letters of stems, longest first; words that a worker remembers.
-STEMS, REMEMBERED = (7, 5), 200_000
+STEMS, REMEMBERED = (7, 5), 50_000
 
 TAGS = ("other", "insult", "threat", "target", "negation", "report")
 #: Outputs of the composed machines.
@@ -198,7 +200,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     sample = sample.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"), F.first("half").alias("half"))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 0, 256, 500_000)):
             out: tuple[list, ...] = ([], [], [])
             for text, toxic in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = _WORD.findall((text or "").lower())
