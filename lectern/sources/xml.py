@@ -335,19 +335,29 @@ def read_records(spark: SparkSession, path: str, kind: Records) -> DataFrame:
     return joined.select("path", F.col("record").alias("nth"), "before", (F.col("record") == F.col("__last")).alias("last"), "opening", F.col("text").alias("record"))
 
 
-def parsed_records(records: DataFrame, kind: Records) -> DataFrame:
-    """Rows of records, seq from 0 in each, with path and nth."""
-    names = [part.split()[0] for part in kind.schema.split(", ")]
+#: Characters of records after which their rows are handed on.
+FRAME = 1 << 20
+
+
+def _frames(batches: Iterator[pd.DataFrame], kind: Records) -> Iterator[pd.DataFrame]:
+    """Rows of records, a frame for many small ones, as a frame takes far longer to make than an entry to parse."""
+    columns = [*(part.split()[0] for part in kind.schema.split(", ")), "path", "nth"]
+    for batch in batches:
+        made, size = [], 0
+        for r in batch.itertuples():
+            handler = kind.handler()
+            _events(r.record, handler, r.opening, r.before, r.last)
+            made += [(*row, r.path, r.nth) for row in handler.rows]
+            size += len(r.record)
+            if size > FRAME:
+                yield pd.DataFrame(made, columns=columns)
+                made, size = [], 0
+        yield pd.DataFrame(made, columns=columns)
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples():
-                handler = kind.handler()
-                _events(r.record, handler, r.opening, r.before, r.last)
-                made = pd.DataFrame(handler.rows, columns=names)
-                yield made.assign(path=r.path, nth=r.nth)[[*names, "path", "nth"]]
 
-    return records.mapInPandas(read, f"{kind.schema}, path string, nth long")
+def parsed_records(records: DataFrame, kind: Records) -> DataFrame:
+    """Rows of records, seq from 0 in each, with path and nth."""
+    return records.mapInPandas(lambda batches: _frames(batches, kind), f"{kind.schema}, path string, nth long")
 
 
 def _read(spark: SparkSession, path: str, kind: Records, rule: str, sound: str) -> tuple[DataFrame, DataFrame]:

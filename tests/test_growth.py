@@ -1,8 +1,11 @@
 """What must grow with the input alone, and hold at every size."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from lectern.operators import builders
+from lectern.plans import catalog
+from lectern.sources import xml
 from pyspark.sql import functions as F
 
 
@@ -48,3 +51,30 @@ def test_edges_equal_brute_force_in_order(spark):
     loops = sum(a == b for a, b in candidates - outside)
     assert (stats["candidates"], stats["discarded"], stats["self_loops"], stats["final"]) == (len(candidates), len(outside), loops, len(want))
     assert (stats["expanded"], stats["skipped_titles"], stats["ranges"], stats["direct"]) == (sum(verse[i] > 0 for _, i in written), sum(verse[i] == 0 for _, i in written), len(ranges), len(direct))
+
+
+def test_small_records_share_a_frame():
+    n = 500
+    entries = [f'<entry strongs="{i}"><greek unicode="w"/>d</entry>\n' for i in range(1, n + 1)]
+    batch = pd.DataFrame({"path": "p", "nth": range(1, n + 1), "before": range(1, n + 1), "last": False, "opening": "<lexicon>\n", "record": entries})
+    frames = list(xml._frames(iter([batch]), xml.GREEK))
+    assert len(frames) == 1 and list(frames[0]["id"]) == [f"G{i:04d}" for i in range(1, n + 1)] and list(frames[0]["nth"]) == list(range(1, n + 1))
+
+
+@pytest.fixture
+def many_verses(spark, tmp_path):
+    """Tables of parts with over 150 verses in each of a book's first chapters."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE part AS SELECT k + layer * 33000 AS p_partkey, 'name ' || k AS p_name FROM range(50) a(k), range(17) b(layer)")
+    con.execute(f"COPY part TO '{tmp_path}/part.parquet' (FORMAT parquet)")
+    con.execute(f"COPY (SELECT 0::BIGINT AS r_regionkey) TO '{tmp_path}/region.parquet' (FORMAT parquet)")
+    return con, str(tmp_path)
+
+
+@pytest.mark.parametrize("name", ["verse_texts_build", "verse_texts_counts"])
+def test_texts_outside_the_inventory_at_every_size(spark, many_verses, name):
+    con, folder = many_verses
+    found = sorted(map(tuple, catalog.QUERIES[name](spark, folder).collect()))
+    assert found == sorted(con.execute(catalog.ORACLES[name]).fetchall())
