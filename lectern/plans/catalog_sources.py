@@ -157,11 +157,11 @@ def map_two_traditions(t: Read) -> DataFrame:
 
 
 def _verse_texts(t: Read, ceiling: float = 1.0) -> tuple[DataFrame, dict]:
-    """Every seventh verse goes outside the inventory, and of two of seven a copy too."""
+    """Every seventh verse goes to a chapter outside the inventory, which has 50 a book at every size, and of two of seven a copy too."""
     m, here, v = _k() % 7, _ref(F.col("code"), ".", F.col("c"), ":"), F.col("v")
     edition = _edition(t)
     made = _parts(t).filter(m.isin(0, 2))
-    rules, _ = tabular.read_rules(_rule_lines(made, _k() + 10, F.lit("Hebrew"), _ref(here, v), F.when(m == 0, _ref(here, "150")).otherwise(_ref(here, v, ",150")), F.lit("Renumber verse")))
+    rules, _ = tabular.read_rules(_rule_lines(made, _k() + 10, F.lit("Hebrew"), _ref(here, v), F.when(m == 0, _ref(F.col("code"), ".150:1")).otherwise(_ref(here, v, "; 150:1")), F.lit("Renumber verse")))
     inventory = builders.canonical_verses(edition)
     return builders.verse_texts(edition, "one", "Hebrew", rules, versification.features(edition), versification.last_verses(edition), inventory, ceiling)
 
