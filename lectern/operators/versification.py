@@ -91,7 +91,14 @@ def matching_rules(verses: DataFrame, rules: DataFrame) -> DataFrame:
         "line_no", rule_book(start["book"])["book"].alias("s_book"), (start["chapter"] * 1000 + start["verse"]).alias("low"), (end["chapter"] * 1000 + end["verse"]).alias("high")
     )
     at = F.col("chapter") * 1000 + F.col("verse")
-    return verses.join(spans, (F.col("book") == F.col("s_book")) & at.between(F.col("low"), F.col("high"))).select("book", "chapter", "verse", "line_no").distinct()
+    found = ["book", "chapter", "verse", "line_no"]
+    # most items are one verse and meet it by its place; ranges meet chapter by chapter, and their first and last one by verse
+    single = F.col("low") == F.col("high")
+    placed = verses.withColumn("__at", at)
+    one = placed.join(spans.filter(single), (F.col("book") == F.col("s_book")) & (F.col("__at") == F.col("low"))).select(*found)
+    chapters = spans.filter(~single & (F.col("low") < F.col("high"))).withColumn("s_chapter", F.explode(F.sequence(F.floor(F.col("low") / 1000), F.floor(F.col("high") / 1000))))
+    ranged = placed.join(chapters, (F.col("book") == F.col("s_book")) & (F.floor(F.col("__at") / 1000) == F.col("s_chapter")) & F.col("__at").between(F.col("low"), F.col("high"))).select(*found)
+    return one.unionByName(ranged).distinct()
 
 
 def map_verses(verses: DataFrame, rules: DataFrame, known: DataFrame, last: DataFrame, tradition: str) -> DataFrame:
@@ -100,7 +107,7 @@ def map_verses(verses: DataFrame, rules: DataFrame, known: DataFrame, last: Data
     Rules of one tradition add up. If all traditions agree, or else those that hold the wanted label,
     their targets are it; a verse without rules stays itself; anything else is ambiguous and an error.
     """
-    active = rules.join(active_rules(rules, known), "line_no", "left_semi")
+    active = staged(rules.join(active_rules(rules, known), "line_no", "left_semi"), "active")
     targets = standard_targets(active, last).withColumnsRenamed({"book": "t_book", "chapter": "t_chapter", "verse": "t_verse"})
     met = matching_rules(verses.select("book", "chapter", "verse").distinct(), active).join(targets, "line_no")
     keys = ["book", "chapter", "verse"]

@@ -14,6 +14,7 @@ from ..functions import ids, ordering, refs, tags, text
 from ..operators import builders, curation, quality, retrieval
 from ..operators.embedding import HashEmbedder, embed_texts
 from ..schemas import BOOKS, RULE_BOOKS
+from ..scratch import staged
 from ..sinks import jsonl
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -436,8 +437,9 @@ def _rules(t: Read, target: Column, kind: Column, tests: Column) -> DataFrame:
     rows = _numbered(t).withColumn("code", ids.rule_code(F.col("book")))
     ref = lambda v: F.concat(F.col("code"), F.lit("."), F.col("chapter").cast("string"), F.lit(":"), v.cast("string"))
     made = rows.select(F.col("p_partkey").cast("int").alias("line_no"), kind.alias("source_type"), ref(F.col("verse")).alias("s"), ref(target).alias("t"), tests.alias("p"), "code")
+    made = made.repartition(2 * t("part").sparkSession.sparkContext.defaultParallelism, "line_no")  # a file of one row group is one task, which would parse all
     parsed = made.withColumn("s", grammar.refs_column("s")["items"]).withColumn("t", grammar.refs_column("t")["items"]).withColumn("p", grammar.tests_column("p", "code")["tests"])
-    return parsed.select("line_no", "source_type", F.col("s").alias("source"), F.col("t").alias("standard"), F.col("p").alias("tests"))
+    return staged(parsed.select("line_no", "source_type", F.col("s").alias("source"), F.col("t").alias("standard"), F.col("p").alias("tests")), "rules")  # parsed once, as read_rules does
 
 
 _EDITION = f"""{_INVENTORY}, e AS (SELECT *, book || '_' || chapter || '_' || verse AS id FROM (SELECT i.k, split_part(id, '_', 1) AS book, split_part(id, '_', 2)::INTEGER AS chapter, split_part(id, '_', 3)::INTEGER + 1 AS verse, CASE WHEN i.k % 11 = 0 THEN '' ELSE p_type END AS text

@@ -37,6 +37,7 @@ def read_rules(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     cell = lambda i: F.trim(F.coalesce(F.get("cells", F.lit(i)), F.lit("")))
     rows = body.select("line_no", cell(0).alias("source_type"), cell(1).alias("source_text"), cell(2).alias("standard_text"), cell(3).alias("action_text"), cell(8).alias("tests_text")).filter("source_text != ''")
     rows = rows.withColumn("starred", F.col("action_text").endswith("*")).withColumn("action", F.regexp_replace("action_text", r"\*$", ""))
+    rows = rows.repartition(2 * lines.sparkSession.sparkContext.defaultParallelism, "line_no")  # one split's lines would all be parsed in one task
     parsed = rows.withColumn("s", grammar.refs_column("source_text")).withColumn("t", grammar.refs_column("standard_text"))
     parsed = parsed.withColumn("p", grammar.tests_column("tests_text", F.regexp_extract("source_text", r"^([0-9]?[A-Z][A-Za-z0-9]{1,3})\.", 1)))
     error = F.coalesce(F.when(~F.col("action").isin(*RULE_ACTIONS), F.concat(F.lit("unknown action "), F.col("action"))), F.col("s.error"), F.col("t.error"), F.col("p.error"))

@@ -78,3 +78,19 @@ def test_texts_outside_the_inventory_at_every_size(spark, many_verses, name):
     con, folder = many_verses
     found = sorted(map(tuple, catalog.QUERIES[name](spark, folder).collect()))
     assert found == sorted(con.execute(catalog.ORACLES[name]).fetchall())
+
+
+def test_rules_meet_verses_by_place(spark):
+    from lectern.operators import versification
+
+    ref = lambda c, v: {"book": "Gen", "chapter": c, "chapter_letter": None, "verse": v, "is_title": False, "subverse": None}
+    point = "struct<book:string,chapter:int,chapter_letter:string,verse:int,is_title:boolean,subverse:string>"
+    items = [(1, [{"kind": "single", "start": ref(2, 3), "end": None}]), (2, [{"kind": "range", "start": ref(1, 8), "end": ref(3, 2)}]), (3, [{"kind": "range", "start": ref(3, 2), "end": ref(3, 2)}]), (4, [{"kind": "range", "start": ref(3, 2), "end": ref(3, 1)}])]
+    rules = spark.createDataFrame(items, f"line_no int, source array<struct<kind:string,start:{point},end:{point}>>")
+    verses = [("GEN", c, v) for c in range(1, 5) for v in range(1, 10)]
+    made = versification.matching_rules(spark.createDataFrame(verses, "book string, chapter int, verse int"), rules)
+    spans = {1: (2003, 2003), 2: (1008, 3002), 3: (3002, 3002)}
+    assert sorted(map(tuple, made.collect())) == sorted((b, c, v, n) for b, c, v in verses for n, (low, high) in spans.items() if low <= c * 1000 + v <= high)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert len(joins) == 2 and all(line.count(" = ") >= 2 for line in joins)  # by book and place or chapter, never by book alone
