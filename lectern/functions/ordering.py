@@ -43,6 +43,15 @@ def dense_position(df: DataFrame, group: str, *order: str, out: str = "position"
     return df.withColumn(out, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
 
 
+def spread_position(df: DataFrame, group: str, *order: str, out: str = "position", small: int = 1_000_000) -> DataFrame:
+    """dense_position for groups of any size: of a large table all rows are numbered by ranges, which part a group too; a row's number less that of its group's first is its place."""
+    if df.count() <= small:
+        return dense_position(df, group, *order, out=out)
+    placed = global_position(df, group, *order, out="__at", small=small)
+    first = staged(placed.groupBy(F.col(group).alias("__group")).agg(F.min("__at").alias("__first")), "firsts")
+    return placed.join(first, F.col(group).eqNullSafe(F.col("__group"))).withColumn(out, (F.col("__at") - F.col("__first") + 1).cast("int")).drop("__at", "__group", "__first")
+
+
 #: Up to so many rows one task numbers them all.
 SMALL = 1_000_000
 

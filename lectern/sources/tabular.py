@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from ..errors import RuleError
 from ..functions import grammar, refs, tags
 from ..functions.ids import id_key, make_id, ref_key, rule_book
-from ..functions.ordering import dense_position
+from ..functions.ordering import spread_position
 from ..operators.quality import CEILING, check_rate, enforce, require_rows
 from ..schemas import RULE_ACTIONS
 from ..scratch import staged
@@ -63,7 +63,7 @@ def _counted(rows: DataFrame, rule: str, **counts: Column) -> dict[str, int]:
 
 def _placed(kept: DataFrame) -> DataFrame:
     words = kept.select("line_no", "canonicalId", "lexeme", "strongId", "strongRaw", "morphology", "edition")
-    return dense_position(words, "canonicalId", "line_no").select("canonicalId", "position", "lexeme", "strongId", "strongRaw", "morphology", "edition")
+    return spread_position(words, "canonicalId", "line_no").select("canonicalId", "position", "lexeme", "strongId", "strongRaw", "morphology", "edition")
 
 
 def read_hebrew_words(lines: DataFrame) -> tuple[DataFrame, dict[str, int]]:

@@ -94,3 +94,13 @@ def test_rules_meet_verses_by_place(spark):
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join Inner" in line]
     assert len(joins) == 2 and all(line.count(" = ") >= 2 for line in joins)  # by book and place or chapter, never by book alone
+
+
+def test_a_large_group_is_numbered_in_many_tasks(spark):
+    from lectern.functions import ordering
+
+    rows = [("hot" if i % 4 else f"g{i % 12}", (i * 7919) % 4001) for i in range(4001)]
+    made = ordering.spread_position(spark.createDataFrame(rows, "g string, n long").repartition(6), "g", "n", small=10)
+    want = [(g, n, at) for g in {g for g, _ in rows} for at, n in enumerate(sorted(n for h, n in rows if h == g), 1)]
+    assert sorted(map(tuple, made.select("g", "n", "position").collect())) == sorted(want)
+    assert "row_number" not in made._jdf.queryExecution().optimizedPlan().toString()
