@@ -1,12 +1,15 @@
 """A relational database as a sink: batches into staging tables, then one transaction.
 
-Tasks write their partitions side by side through JDBC, so many rows a statement. Nothing that readers of
-the database see changes before all is staged and counted; then one transaction empties the tables in
-reverse order of their references and fills them again, checked by the database's own keys.
+Tasks write their partitions side by side through JDBC, so many rows a statement. A database inside a
+process (Derby without a server) is no other process's: there tasks write files in the shared folder, and
+the database imports them one by one with its own bulk loader. Nothing that readers of the database see
+changes before all is staged and counted; then one transaction empties the tables in reverse order of
+their references and fills them again, checked by the database's own keys.
 """
 
 from __future__ import annotations
 
+import tempfile
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import RuleError
+from ..files import Store
 from ..schemas import BUILT, CANON_STATUS, EDGE_KINDS, FOREIGN_KEYS, KEYS, LANGUAGES, TABLES
+from ..scratch import fresh_path
 from .tables import snake
 
 #: Rows of a statement.
@@ -107,10 +112,42 @@ def create(spark: SparkSession, url: str, driver: str) -> None:
                 statement.execute(ddl(table))
 
 
+def in_process(url: str) -> bool:
+    """The database is inside the driver's process, where tasks of other processes can't reach it."""
+    return url.startswith("jdbc:derby:") and not url.startswith("jdbc:derby://")
+
+
+def delimited(df: DataFrame) -> DataFrame:
+    """(line) of each row for the bulk loader: all values quoted, quotes doubled, nulls without quotes."""
+    quoted = [F.coalesce(F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"')), F.lit("")) for c in df.columns]
+    return df.select(F.concat_ws(",", *quoted).alias("line"))
+
+
+def _import(spark: SparkSession, df: DataFrame, table: str, url: str, driver: str) -> None:
+    """The rows of df, encoded, as table__staged of a database inside the driver's process: files written by tasks in the order of the key, so that its index grows at its end; the driver's disk holds one at a time."""
+    path = fresh_path(spark, "import")
+    store, staged = Store(spark, path), f"{table}__staged"
+    try:
+        delimited(df.orderBy(*[snake(k) for k in KEYS[table]])).write.text(path)
+        with transaction(spark, url, driver) as statement:
+            if _there(statement, staged):
+                statement.execute(f"DROP TABLE {staged}")
+            statement.execute(f"CREATE TABLE {staged} ({', '.join(f'"{snake(f.name)}" {_kind(table, f)}' for f in _fields(table))})")
+        with tempfile.TemporaryDirectory() as local, transaction(spark, url, driver) as statement:
+            for name in store.names(path):
+                store.fetch(f"{path}/{name}", f"{local}/part")
+                statement.execute(f"CALL SYSCS_UTIL.SYSCS_IMPORT_TABLE(NULL, '{staged.upper()}', '{local}/part', ',', '\"', 'UTF-8', 0)")
+    finally:
+        store.delete(path)
+
+
 def load(spark: SparkSession, tables: dict[str, DataFrame], url: str, driver: str, batch: int = BATCH) -> dict[str, int]:
     """Replaces the rows of all tables in one transaction; returns their counts. A load that fails at any point leaves the old rows."""
     create(spark, url, driver)
     for table in BUILT:
+        if in_process(url):
+            _import(spark, encoded(tables[table], table), table, url, driver)
+            continue
         options = {"url": url, "driver": driver, "dbtable": f"{table}__staged", "batchsize": str(batch)}
         encoded(tables[table], table).write.format("jdbc").options(**options).mode("overwrite").save()
     wanted = {t: tables[t].count() for t in BUILT}
@@ -129,5 +166,22 @@ def load(spark: SparkSession, tables: dict[str, DataFrame], url: str, driver: st
     return staged
 
 
+def close(spark: SparkSession, url: str, driver: str) -> None:
+    """Shuts a database inside the driver's process down."""
+    try:
+        with transaction(spark, f"{url.split(';')[0]};shutdown=true", driver):
+            pass
+    except Exception as e:
+        if "08006" not in str(e):  # what a database that has been shut down says
+            raise
+
+
+def counts(spark: SparkSession, url: str, driver: str) -> dict[str, int]:
+    """Rows of each table, counted by the database."""
+    with transaction(spark, url, driver) as statement:
+        return {t: _count(statement, t) for t in BUILT}
+
+
 def read(spark: SparkSession, table: str, url: str, driver: str) -> DataFrame:
+    """A table of a database that tasks of all processes reach."""
     return spark.read.format("jdbc").options(url=url, driver=driver, dbtable=table).load()
