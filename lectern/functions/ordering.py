@@ -56,19 +56,22 @@ def spread_position(df: DataFrame, group: str, *order: str, out: str = "position
 SMALL = 1_000_000
 
 
-def global_position(df: DataFrame, *order: str, out: str = "position", small: int = SMALL) -> DataFrame:
+def global_position(df: DataFrame, *order: str | Column, out: str = "position", small: int = SMALL) -> DataFrame:
     """Numbers all rows from 1 in the given (total) order.
 
     A large table is sorted by ranges: a row's number is its place in its range plus the rows of the
     ranges before it. The sorted rows are written once, so that ranges are the same for all readers.
+    What is counted, sampled and sorted is written before, with what it sorts by, so that it is worked out once.
     """
     from pyspark.sql.window import Window
 
+    keys = [f"__by{i}" for i in range(len(order))]
+    df = staged(df.withColumns({k: F.col(o) if isinstance(o, str) else o for k, o in zip(keys, order, strict=True)}), "keyed")
     if df.count() <= small:
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)))
+        return df.withColumn(out, F.row_number().over(Window.orderBy(*keys))).drop(*keys)
     spark = df.sparkSession
     place = fresh_path(spark, "sorted")
-    marked = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__m", F.monotonically_increasing_id())
+    marked = df.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(*keys).withColumn("__m", F.monotonically_increasing_id())
     marked.write.parquet(place)
     rows = spark.read.parquet(place).withColumn("__r", F.shiftright("__m", 33))
     sizes = rows.groupBy("__r").agg(F.count(F.lit(1)).alias("__n"))

@@ -345,7 +345,7 @@ def edges_counts(t: Read) -> DataFrame:
   UNION ALL SELECT 'edges', a.id || x, row_number() OVER (ORDER BY a.rk, b.rk, a.id, b.id, CASE x WHEN 'tsk' THEN 0 WHEN 'thematic' THEN 1 ELSE 2 END) FROM parts a JOIN parts b ON b.k = a.k // 2, (VALUES ('manual'), ('thematic'), ('tsk')) u(x)""")
 def table_orders(t: Read) -> DataFrame:
     """The total order of each table."""
-    parts = _parts(t).select("p_partkey", "id")
+    parts = staged(_parts(t).select("p_partkey", "id"), "parts")
     other = lambda column, *values: F.explode(F.array(*map(F.lit, values))).alias(column)
     target = parts.select(_k().alias("half"), F.col("id").alias("targetId"))
     made = {

@@ -122,3 +122,17 @@ def test_a_lexicon_of_any_size_has_unique_ids(spark):
     made = {"supplier": spark.range(10050).selectExpr("id AS s_suppkey", "'s' AS s_name"), "lineitem": spark.range(5).selectExpr("id AS l_orderkey", "id AS l_partkey", "id * 2500 AS l_suppkey", "1 AS l_linenumber", "1.0D AS l_extendedprice")}
     lexicon = catalog_sources._words(made.get)[1]
     assert lexicon.count() == lexicon.select("id").distinct().count() == 10051
+
+
+def test_what_is_sorted_is_worked_out_once(spark):
+    from lectern.functions import ordering
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def noted(x):
+        seen.add(1)
+        return x
+
+    made = ordering.global_position(spark.range(100), noted(-F.col("id")), small=10)
+    assert sorted(map(tuple, made.collect())) == [(i, 100 - i) for i in range(100)] and seen.value == 100
