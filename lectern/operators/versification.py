@@ -78,7 +78,9 @@ def standard_targets(rules: DataFrame, last: DataFrame) -> DataFrame:
         "a range is not empty": ranges.select("line_no", "chapter", "end_chapter").join(bounded.filter("first <= to").select("line_no").distinct(), "line_no", "left_anti"),
         "the master has a range's chapters": bounded.filter("to IS NULL").select("line_no", "book", "at"),
     })
-    spread = bounded.filter("first <= to").select("line_no", "source_type", "book", F.col("at").alias("chapter"), F.explode(F.sequence("first", "to")).alias("verse"), F.lit(None).cast("string").alias("subverse"))
+    # ranges are small and become many verses, so that the size of their table says nothing of the tasks that these take
+    dealt = bounded.filter("first <= to").repartition(8 * bounded.sparkSession.sparkContext.defaultParallelism, "line_no", "at")
+    spread = dealt.select("line_no", "source_type", "book", F.col("at").alias("chapter"), F.explode(F.sequence("first", "to")).alias("verse"), F.lit(None).cast("string").alias("subverse"))
     return singles.unionByName(spread)
 
 

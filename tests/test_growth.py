@@ -136,3 +136,14 @@ def test_what_is_sorted_is_worked_out_once(spark):
 
     made = ordering.global_position(spark.range(100), noted(-F.col("id")), small=10)
     assert sorted(map(tuple, made.collect())) == [(i, 100 - i) for i in range(100)] and seen.value == 100
+
+
+def test_verses_of_few_ranges_are_written_by_many_tasks(spark):
+    from lectern.operators import versification
+
+    point = "struct<book:string,chapter:int,chapter_letter:string,verse:int,is_title:boolean,subverse:string>"
+    ref = lambda c, v: {"book": "Gen", "chapter": c, "chapter_letter": None, "verse": v, "is_title": False, "subverse": None}
+    rules = spark.createDataFrame([(n, "Hebrew", [{"kind": "range", "start": ref(1, 1), "end": ref(2, 2)}]) for n in range(100)], f"line_no int, source_type string, standard array<struct<kind:string,start:{point},end:{point}>>")
+    made = versification.standard_targets(rules, spark.createDataFrame([("GEN", 1, 50), ("GEN", 2, 50)], "book string, chapter int, last_verse int"))
+    assert made.count() == 100 * 52
+    assert made.select(F.spark_partition_id()).distinct().count() > 8
