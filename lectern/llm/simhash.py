@@ -14,9 +14,11 @@ Components come from alternating large-star and small-star steps over written ta
 
 The pipeline's stage asks for a similarity of texts instead of a number of bits, which 64 bits can't tell:
 of two texts that share 80 % of their five-word shingles some 10 bits differ. `keep_one` therefore takes
-fingerprints of samples of a text's shingles. Those of similar texts are often equal in all eight bytes, so
-that the lists are by whole fingerprints and no bytes are tallied. Pairs are verified by their shingles
-themselves: each entry against a leader first, then what is not connected yet against all of its group.
+40 fingerprints, of samples of a text's shingles, which are 320 positional bytes. The index has a posting
+per eight of them, a whole fingerprint at its place, as a list by one byte would hold a 256th of all rows.
+Entries that meet are then tallied by their shared positional bytes, in lists by place and value of a
+byte, and kept from LEAST_SHARED on; pairs that are left are verified by their shingles themselves. Each
+entry meets a leader first, then what is not connected yet meets all of its group.
 """
 
 from __future__ import annotations
@@ -120,6 +122,9 @@ def links(fps: DataFrame, short: int = SHORT) -> DataFrame:
 #: The stage's rule: shared shingles as a share of all of two texts, as a fraction. Sampled views and shingles in each:
 #: texts at the threshold have a view in common with a probability of 1 - (1 - 0.8 ** 6) ** 40, all but 1 in 190,000.
 SIMILAR, SAMPLES, SAMPLED = (4, 5), 40, 6
+#: Positional bytes, of 320, that a pair must share to be verified. Texts at the threshold share 127 on average, and
+#: fewer than 40 once in 20 million times, nearly always those without a view in common; at a similarity of 0.5 it is 30.
+LEAST_SHARED = 40
 #: Entries in a block of a group.
 BLOCK = 256
 
@@ -133,13 +138,19 @@ def sampled_views(shingles: np.ndarray, turns: np.ndarray) -> np.ndarray:
     least = np.full(len(turns), 2**64 - 1, np.uint64)
     for at in range(0, len(shingles), 1024):
         least = np.minimum(least, (shingles[None, at : at + 1024] * turns[:, None]).min(axis=1))
+    # back from products, whose leading bits are zero the more shingles there are, to the shingles that were least
+    back = turns.copy()
+    for _ in range(5):
+        back *= np.uint64(2) - turns * back
+    least *= back
     bits = np.unpackbits(least.view(np.uint8).reshape(SAMPLES, SAMPLED, 8), axis=2, bitorder="little").sum(axis=1, dtype=np.int64)
     return np.packbits(bits * 2 > SAMPLED, axis=1, bitorder="little").view(np.int64).ravel()
 
 
 def postings_of(entries: DataFrame) -> DataFrame:
-    """(k, id, least) of entries (id, views) whose sampled view k another one has too; least is the least of them."""
-    postings = entries.select("id", F.explode(F.array_distinct("views")).alias("k"))
+    """(k, id, least) of entries (id, views) that share the eight bytes of a view at one place, which k stands for, with another one; least is the least of them."""
+    placed = entries.select("id", F.posexplode("views").alias("at", "view"))
+    postings = placed.select("id", F.xxhash64("at", "view").alias("k"))
     # written, so that the planner joins by its size: without moving postings, or with long lists split
     lists = cut(postings.groupBy("k").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("least")).filter("m > 1").drop("m"), "lists")
     return cut(postings.join(lists, "k"), "postings")
@@ -150,26 +161,49 @@ def stars(postings: DataFrame) -> DataFrame:
     return postings.filter("id != least").select(F.col("least").alias("a"), F.col("id").alias("b"))
 
 
-def similar_pairs(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
-    """For each of `left` the places in `right` of sets with a Jaccard similarity of SIMILAR or more, by counting all shared members."""
-    sizes = np.array([len(s) for s in right], np.int64)
+def leaders_of(postings: DataFrame) -> DataFrame:
+    """(a, b): of the least entries of the lists of b that one, a, which most of them have, ties to the least."""
+    tally = stars(postings).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    return tally.groupBy("b").agg(F.min(F.struct(-F.col("n"), "a")).alias("x")).select(F.col("x.a").alias("a"), "b")
+
+
+def tallies(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """For each of the sets `left` the number of members that it shares with each of `right`, counted in lists by member."""
     order = np.argsort(members := np.concatenate(right), kind="stable")
-    members, owner = members[order], np.repeat(np.arange(len(right)), sizes)[order]
-    for i, s in enumerate(left):
+    members, owner = members[order], np.repeat(np.arange(len(right)), [len(s) for s in right])[order]
+    for s in left:
         first = np.searchsorted(members, s, "left")
         many = np.searchsorted(members, s, "right") - first
         places = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
-        shared = np.bincount(owner[places], minlength=len(right))
+        yield np.bincount(owner[places], minlength=len(right))
+
+
+def positional_bytes(views: np.ndarray) -> np.ndarray:
+    """The bytes of each row of views, each with its place: place * 256 + value."""
+    values = np.ascontiguousarray(views, np.dtype("<i8")).view(np.uint8).reshape(len(views), -1)
+    return np.arange(values.shape[1], dtype=np.int32) * 256 + values
+
+
+def similar_pairs(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """For each of `left` the places in `right` of sets with a Jaccard similarity of SIMILAR or more, by counting all shared members."""
+    sizes = np.array([len(s) for s in right], np.int64)
+    for i, (s, shared) in enumerate(zip(left, tallies(left, right))):
         yield i, np.flatnonzero(shared * SIMILAR[1] >= (len(s) + sizes - shared) * SIMILAR[0])
 
 
 def _compare(shingle: int):
-    """Rows (block, id, comp, text) of a cell to edges (a, b): all pairs of its two blocks (or of its one) are compared; rows of one comp are connected already."""
+    """Rows (block, id, comp, text, views) of a cell to edges (a, b): all pairs of its two blocks (or of its one) are tallied by their positional bytes; those with LEAST_SHARED or more are compared. Rows of one comp are connected already."""
 
     def cell(rows: pa.Table) -> pa.Table:
         ids, blocks, comps = (rows.column(c).to_numpy() for c in ("id", "block", "comp"))
-        sets = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in rows.column("text")]
         low, high = np.flatnonzero(blocks == blocks.min()), np.flatnonzero(blocks == blocks.max())
+        placed = positional_bytes(rows.column("views").combine_chunks().flatten().to_numpy().reshape(len(ids), SAMPLES))
+        passed = np.array([shared >= LEAST_SHARED for shared in tallies(list(placed[low]), list(placed[high]))])
+        passed &= comps[low][:, None] != comps[high][None, :]
+        # texts without such a pair are not looked at
+        low, high, passed = low[one := passed.any(axis=1)], high[two := passed.any(axis=0)], passed[one][:, two]
+        texts = rows.column("text")
+        sets = {x: np.unique(shingle_hashes(texts[x].as_py(), shingle)) for x in np.union1d(low, high).tolist()}
         root = np.unique(comps, return_index=True)[1][np.unique(comps, return_inverse=True)[1]].tolist()
         edges = []
 
@@ -179,8 +213,8 @@ def _compare(shingle: int):
                 x = root[x]
             return x
 
-        for i, near in similar_pairs([sets[x] for x in low], [sets[y] for y in high]):
-            for j in near:
+        for i, near in similar_pairs([sets[x] for x in low.tolist()], [sets[y] for y in high.tolist()]) if len(low) else ():
+            for j in near[passed[i, near]]:
                 x, y = find(int(low[i])), find(int(high[j]))
                 if x != y:  # what is connected already needs no further edge
                     root[y] = x
@@ -196,12 +230,12 @@ def weight(text: Column) -> Column:
 
 
 def led(texts: DataFrame, leaders: DataFrame, shingle: int, block: int) -> DataFrame:
-    """Edges (a, b) of (id, text) and (a, b): entries b whose text is similar to that of their leader a. A leader's text goes once to each block of its entries."""
-    own = texts.select("id", "text", weight(F.col("text")).alias("w"))
-    members = leaders.join(own, F.col("b") == F.col("id")).select("a", "b", "text", "w")
+    """Edges (a, b) of (id, text, views) and (a, b): entries b whose text is similar to that of their leader a. A leader's text goes once to each block of its entries."""
+    own = texts.select("id", "text", "views", weight(F.col("text")).alias("w"))
+    members = leaders.join(own, F.col("b") == F.col("id")).select("a", "b", "text", "views", "w")
     sizes = leaders.join(own.select("id", "w"), F.col("b") == F.col("id")).groupBy("a").agg(F.ceil(F.sum("w") / block).alias("blocks"))
-    placed = members.join(sizes, "a").select("a", F.pmod(F.xxhash64("b", F.lit(3)), F.col("blocks")).cast("int").alias("at"), F.lit(1).alias("block"), F.col("b").alias("id"), F.col("b").alias("comp"), "text")
-    heads = sizes.join(own, F.col("a") == F.col("id")).select("a", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("at"), F.lit(0).alias("block"), "id", F.col("id").alias("comp"), "text")
+    placed = members.join(sizes, "a").select("a", F.pmod(F.xxhash64("b", F.lit(3)), F.col("blocks")).cast("int").alias("at"), F.lit(1).alias("block"), F.col("b").alias("id"), F.col("b").alias("comp"), "text", "views")
+    heads = sizes.join(own, F.col("a") == F.col("id")).select("a", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("at"), F.lit(0).alias("block"), "id", F.col("id").alias("comp"), "text", "views")
     return placed.unionByName(heads).groupBy("a", "at").applyInArrow(_compare(shingle), "a long, b long")
 
 
@@ -225,16 +259,17 @@ def cells_of(rows: DataFrame, block: int) -> DataFrame:
 
 
 def similar_components(postings: DataFrame, texts: DataFrame, shingle: int, block: int = BLOCK) -> DataFrame:
-    """(node, root) of entries that are connected over pairs with a similarity of SIMILAR or more, of their lists (k, id, least) and (id, text).
+    """(node, root) of entries that are connected over pairs with a similarity of SIMILAR or more, of their lists (k, id, least) and (id, text, views).
 
-    First each entry is held against one leader, the least entry that it shares a list with: a row an
-    entry, however long the list. What a leader connects need not be compared again. Lists all of whose
+    First each entry is held against one leader, of the least entries of its lists that of most lists: a row
+    an entry, however long the list. What a leader connects need not be compared again. Lists all of whose
     entries are connected are done with; in each of the others, all entries that are not yet connected to
-    each other are compared, long lists in cells of two blocks. Pairs without a common list never meet.
+    each other are tallied, long lists in cells of two blocks, and compared if they share LEAST_SHARED
+    positional bytes, as those with a leader are. Pairs without a common list never meet.
     Lists of the same entries, which near copies make many of, are compared once.
     """
     made = len(MADE)
-    leaders = cut(stars(postings).groupBy("b").agg(F.min("a").alias("a")), "leaders")
+    leaders = cut(leaders_of(postings), "leaders")
     near = cut(led(texts, leaders, shingle, block), "led")
     joined = cut(components(near), "joined")
     marked = cut(postings.join(joined, F.col("id") == F.col("node"), "left").select("k", "id", "least", F.coalesce("root", "id").alias("comp")), "marked")
@@ -321,7 +356,7 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: in
     own = (F.col("__id") == F.col("__entry")) & F.col(key).eqNullSafe(F.col("__least"))
     postings = postings_of(entries)
     met = postings.select("id").distinct().join(entries, "id").select(F.col("id").alias("__entry"), F.col("least").alias("__least"))
-    texts = cut(docs.join(met, own).select("__entry", F.col(text)).toDF("id", "text").dropDuplicates(["id"]), "texts")
+    texts = cut(docs.join(met, own).select("__entry", F.col(text), "__views").toDF("id", "text", "views").dropDuplicates(["id"]), "texts")
     roots = similar_components(postings, texts, shingle, block)
     found = cut(entries.join(roots, F.col("id") == F.col("node"), "left").select("id", "least", F.coalesce("root", "id").alias("root")), "classes")
     release(df.sparkSession, MADE[made + 1 : -1])  # all but the rows with their entries, and the classes

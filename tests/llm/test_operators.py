@@ -395,6 +395,55 @@ def test_equal_fingerprints_are_not_equal_texts(spark):
     assert {x.doc_id for x in kept} == {0, 1}
 
 
+def views_with_shared(r, many):
+    """Two rows of 40 views of which so many positional bytes are equal; the others differ by one."""
+    a = r.integers(0, 255, 320).astype(np.uint8)
+    b = a.copy()
+    b[r.choice(320, 320 - many, replace=False)] += 1
+    return np.stack([a, b]).view(np.int64)
+
+
+def test_pairs_below_the_least_tally_are_not_compared():
+    r, text = np.random.default_rng(82), " ".join(f"w{x}" for x in range(40))
+    for many, edges in ((0, []), (39, []), (40, [{"a": 1, "b": 2}]), (320, [{"a": 1, "b": 2}])):
+        for blocks in ([0, 0], [0, 1]):
+            rows = {"block": blocks, "id": [1, 2], "comp": [1, 2], "text": [text, text + " end"], "views": views_with_shared(r, many).tolist()}
+            assert [{"a": min(e.values()), "b": max(e.values())} for e in simhash._compare(5)(pa.table(rows)).to_pylist()] == edges
+    rows["text"][1] = "other words than those of the first"  # all bytes are shared, but no shingle
+    assert simhash._compare(5)(pa.table(rows)).num_rows == 0
+
+
+def test_shared_positional_bytes():
+    r = np.random.default_rng(83)
+    views = r.integers(0, 4, (50, 320)).astype(np.uint8).view(np.int64)
+    placed = list(simhash.positional_bytes(views))
+    for i, shared in enumerate(simhash.tallies(placed[:20], placed[20:])):
+        assert shared.tolist() == [int((views[i].view(np.uint8) == views[j].view(np.uint8)).sum()) for j in range(20, 50)]
+    # texts of any length: at a similarity of 0.8 all share the least number, and at a lower one few do
+    for own in (18, 90, 900):
+        tallied = {}
+        for common in (own * 8 // 9, own // 2):
+            sets = [r.integers(0, 1 << 63, 2 * own - common, np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(60)]
+            sampled = [[simhash.sampled_views(x, simhash._turns())[None] for x in (s[:own], s[own - common :])] for s in sets]
+            tallied[common] = [int((a.view(np.uint8) == b.view(np.uint8)).sum()) for a, b in sampled]
+        at, below = tallied.values()
+        assert min(at) >= simhash.LEAST_SHARED and sum(n >= simhash.LEAST_SHARED for n in below) <= 6
+
+
+def test_index_is_by_place_and_leaders_by_tally(spark):
+    views = {1: [7, 8, 9], 2: [8, 7, 5], 3: [7, 6, 5], 4: [0, 6, 5], 5: [7, 6, 4]}
+    postings = simhash.postings_of(spark.createDataFrame(list(views.items()), "id long, views array<long>"))
+    lists = defaultdict(set)
+    for x in postings.collect():
+        lists[x.k].add(x.id)
+        assert x.least <= x.id
+    # 2 has values 7 and 8 too, but at other places
+    assert sorted(sorted(v) for v in lists.values()) == [[1, 3, 5], [2, 3, 4], [3, 4, 5]]
+    assert {x.b: x.a for x in simhash.leaders_of(postings).collect()} == {3: 1, 4: 2, 5: 1}
+    more = simhash.stars(postings).union(spark.createDataFrame([(3, 5)], "a long, b long")).selectExpr("1L AS k", "b AS id", "a AS least")
+    assert {x.b: x.a for x in simhash.leaders_of(more).collect()} == {3: 1, 4: 2, 5: 3}
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, 2), (3, 2), (500, 400)]
     got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
