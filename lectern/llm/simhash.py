@@ -123,7 +123,7 @@ def links(fps: DataFrame, short: int = SHORT) -> DataFrame:
 #: texts at the threshold have a view in common with a probability of 1 - (1 - 0.8 ** 6) ** 40, all but 1 in 190,000.
 SIMILAR, SAMPLES, SAMPLED = (4, 5), 40, 6
 #: Positional bytes, of 320, that a pair must share to be verified. Texts at the threshold share 127 on average, and
-#: fewer than 40 once in 20 million times, nearly always those without a view in common; at a similarity of 0.5 it is 30.
+#: fewer than 40 once in 20 million times, mostly those without a view in common; at a similarity of 0.5 it is 30.
 LEAST_SHARED = 40
 #: Entries in a block of a group.
 BLOCK = 256
