@@ -57,3 +57,38 @@ def test_lexicon_of_the_stand_in_beyond_four_digits(spark, tmp_path):
         duckdb.execute(f"COPY ({sql}) TO '{tmp_path}/{name}.parquet' (FORMAT parquet)")
     found = {r["name"]: r["n"] for r in catalog.QUERIES["relational_load"](spark, str(tmp_path)).collect()}
     assert found["strongs"] == 10050
+
+
+def _verses(spark, n: int, book: str = "GEN") -> dict:
+    tables = {name: spark.createDataFrame([], schema) for name, schema in TABLES.items()}
+    tables["canonical_verses"] = spark.createDataFrame([(f"{book}_1_{i}", book, 1, i, "protestant", None) for i in range(1, n + 1)], TABLES["canonical_verses"])
+    return tables
+
+
+def test_staged_tables_take_the_places_of_the_old_ones(spark, database, monkeypatch):
+    monkeypatch.setattr(relational, "_refill", lambda statement: pytest.fail("rows are inserted one by one"))
+    assert relational.load(spark, _verses(spark, 3), database, DRIVER)["canonical_verses"] == 3
+    assert relational.load(spark, _verses(spark, 5), database, DRIVER)["canonical_verses"] == 5
+    broken = {  # a vocabulary, a reference and a key
+        "23513": {"canonical_verses": spark.createDataFrame([("EXO_1_1", "EXO", 1, 1, "other", None)], TABLES["canonical_verses"])}, "X0Y45": {"edges": spark.createDataFrame([("GEN_1_1", "EXO_1_1", "tsk")], TABLES["edges"])},
+        "23505": {"canonical_verses": spark.createDataFrame([("EXO_1_1", "EXO", 1, 1, "protestant", None)] * 2, TABLES["canonical_verses"])},
+    }
+    for state, rows in broken.items():
+        with pytest.raises(Exception) as said:
+            relational.load(spark, {**_verses(spark, 1, "EXO"), **rows}, database, DRIVER)
+        assert state in str(said.value) or (state == "23513" and "X0Y59" in str(said.value))
+        assert relational.counts(spark, database, DRIVER)["canonical_verses"] == 5
+    with relational.transaction(spark, database, DRIVER) as statement:
+        assert relational._plain(statement)  # with all keys, vocabularies and references
+    with pytest.raises(Exception, match="23503"), relational.transaction(spark, database, DRIVER) as statement:
+        statement.execute("INSERT INTO edges VALUES ('GEN_1_1', 'GEN_9_9', 'tsk')")
+
+
+@pytest.mark.parametrize("other", ["CREATE VIEW firsts AS SELECT \"id\" FROM canonical_verses", "CREATE INDEX by_book ON canonical_verses (\"book\")", "ALTER TABLE strongs ADD COLUMN note VARCHAR(10)"])
+def test_what_others_have_added_stays(spark, database, other):
+    relational.load(spark, _verses(spark, 3), database, DRIVER)
+    with relational.transaction(spark, database, DRIVER) as statement:
+        statement.execute(other)
+    assert relational.load(spark, _verses(spark, 5), database, DRIVER)["canonical_verses"] == 5
+    with relational.transaction(spark, database, DRIVER) as statement:
+        assert not relational._plain(statement)
