@@ -147,3 +147,51 @@ def test_verses_of_few_ranges_are_written_by_many_tasks(spark):
     made = versification.standard_targets(rules, spark.createDataFrame([("GEN", 1, 50), ("GEN", 2, 50)], "book string, chapter int, last_verse int"))
     assert made.count() == 100 * 52
     assert made.select(F.spark_partition_id()).distinct().count() > 8
+
+
+def test_repeated_keys_and_references_of_a_table_by_its_runs(spark, monkeypatch):
+    from lectern.operators import quality
+
+    keys = ["sourceId", "targetId", "kind"]
+    rows = [(f"GEN_1_{s}", f"EXO_1_{t}", "tsk") for s in range(40) for t in range(30)]
+    cases = {
+        "none": rows, "side by side": [*rows, rows[-1]], "in a run": [*rows[:1200], rows[1170]], "in another run": [*rows, rows[0]], "nulls": [*rows, (None, "EXO_1_1", None), (None, "EXO_1_1", None)],
+        "many": rows + rows, "another kind": [*rows, (*rows[-1][:2], "manual")], "empty": [],
+    }
+    for run in (quality.RUN, 7):
+        monkeypatch.setattr(quality, "RUN", run)
+        monkeypatch.setattr(quality, "SEEN", run)
+        for name, made in cases.items():
+            df = spark.createDataFrame(made, "sourceId string, targetId string, kind string").coalesce(2)
+            marked = quality.marks(df, keys)
+            assert sorted(map(str, quality.suspected(df, keys, marked).collect())) == sorted(map(str, quality.duplicates(df, keys).collect())), name
+            for i, c in enumerate(keys):
+                assert {r["ref"] for r in marked.filter(f"column = {i}").collect()} == {r[c] for r in df.collect()}, (name, c)
+
+
+def test_edges_are_checked_without_a_shuffle_of_all(spark, monkeypatch):
+    import uuid
+
+    import pytest
+    from lectern.errors import RuleError
+    from lectern.operators import quality
+    from lectern.schemas import TABLES
+    from lectern.sinks import tables
+
+    shuffled, plain = [], quality.duplicates
+    count = lambda df, keys: (shuffled.append(df.count()) if tuple(keys) == ("sourceId", "targetId", "kind") else None, plain(df, keys))[1]
+    monkeypatch.setattr(quality, "duplicates", count)
+    monkeypatch.setattr(tables, "duplicates", count)
+    verses = [(f"GEN_1_{i}", "GEN", 1, i, "protestant", None) for i in range(1, 51)]
+    edges = [(a[0], b[0], "tsk") for a in verses for b in verses if a != b]
+    made = {name: spark.createDataFrame([], TABLES[name]) for name in ("strongs", "verse_texts", "original_words")} | {"canonical_verses": spark.createDataFrame(verses, TABLES["canonical_verses"])}
+    database = f"marks_{uuid.uuid4().hex}"
+    try:
+        assert tables.load(spark, database, {**made, "edges": spark.createDataFrame(edges, TABLES["edges"]).coalesce(1)})["edges"] == 2450
+        assert shuffled == [0]
+        for more, rule in ((edges[0], "the key is unique"), (("GEN_1_1", "GEN_9_9", "tsk"), "references are whole"), (("GEN_9_9", "GEN_1_1", "tsk"), "references are whole")):
+            with pytest.raises(RuleError, match=rule):
+                tables.load(spark, database, {**made, "edges": spark.createDataFrame([*edges, more], TABLES["edges"])})
+        assert tables.open_tables(spark, database)["edges"].count() == 2450
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
