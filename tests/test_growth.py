@@ -195,3 +195,29 @@ def test_edges_are_checked_without_a_shuffle_of_all(spark, monkeypatch):
         assert tables.open_tables(spark, database)["edges"].count() == 2450
     finally:
         spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
+def test_roundtrip_of_more_entries_than_a_lexicon_has_numbers(spark, tmp_path):
+    import duckdb
+    from lectern.plans import catalog
+
+    for name, sql in {
+        "supplier": "SELECT k AS s_suppkey, 'S' || k AS s_name FROM range(20050) r(k)", "region": "SELECT 0::BIGINT AS r_regionkey", "part": "SELECT k AS p_partkey, 'P' || k AS p_name FROM range(60) r(k)",
+        "lineitem": "SELECT k // 3 AS l_orderkey, k % 60 AS l_partkey, k * 7 % 20050 AS l_suppkey, (k % 3 + 1)::INTEGER AS l_linenumber, k::DOUBLE AS l_extendedprice FROM range(9000) r(k)",
+    }.items():
+        duckdb.execute(f"COPY ({sql}) TO '{tmp_path}/{name}.parquet' (FORMAT parquet)")
+        duckdb.execute(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet')")
+    found = sorted(map(tuple, catalog.QUERIES["dataset_roundtrip"](spark, str(tmp_path)).collect()))
+    assert found == sorted(map(tuple, duckdb.sql(catalog.ORACLES["dataset_roundtrip"]).fetchall()))
+    assert ("strongs", 20051, True) in found
+
+
+def test_compared_counts_repeats_and_nulls(spark):
+    from lectern.operators import quality
+
+    rows = lambda *r: spark.createDataFrame([*r], "a int, b array<string>")
+    one, none = (1, ["x"]), (None, None)
+    assert quality.compared(rows(one, none, none), rows(none, one, none)) == (3, True)
+    for left, right in ((rows(one, none), rows(one)), (rows(one), rows(one, one)), (rows(one, one, none), rows(one, none, none)), (rows(), rows(none))):
+        assert quality.compared(left, right) == (left.count(), False)
+    assert quality.compared(rows(), rows()) == (0, True)
