@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import book_ordinal, rule_book
 from ..functions.text import word_count
-from ..scratch import staged
+from ..scratch import sorted_side, staged
 from .quality import enforce
 
 
@@ -42,7 +42,7 @@ def active_rules(rules: DataFrame, known: DataFrame) -> DataFrame:
     side = lambda c, s: F.transform(F.coalesce(c, F.array().cast("array<struct<ref:struct<book:string,chapter:int,chapter_letter:string,verse:int,is_title:boolean,subverse:string>,factor:int>>")), lambda t: F.struct(t["ref"].alias("ref"), t["factor"].alias("factor"), F.lit(s).alias("side")))
     terms = tests.withColumn("term", F.explode(F.when(F.col("kind") == "compare", F.concat(side(F.col("left"), 1), side(F.col("right"), -1))).otherwise(one)))
     terms = terms.select("line_no", "nth", "kind", "op", "expected", F.col("term.factor").alias("factor"), F.col("term.side").alias("side"), *_place(F.when(F.col("kind") == "text_before", F.struct(*[(F.lit(True) if f == "is_title" else F.lit(None).cast("int") if f == "verse" else F.col(f"term.ref.{f}")).alias(f) for f in ("book", "chapter", "chapter_letter", "verse", "is_title", "subverse")])).otherwise(F.col("term.ref"))))
-    found = terms.join(known, ["book", "chapter", "verse"], "left")
+    found = terms.join(sorted_side(known), ["book", "chapter", "verse"], "left")
     has, last, words = F.coalesce("has_text", F.lit(False)), F.coalesce("is_last", F.lit(False)), F.coalesce("word_count", F.lit(0))
     tested = found.groupBy("line_no", "nth", "kind", "op", "expected").agg(F.bool_and(has).alias("has"), F.bool_and(last).alias("last"), F.sum(words * F.col("factor") * F.col("side")).alias("balance"))
     holds = (
@@ -51,7 +51,7 @@ def active_rules(rules: DataFrame, known: DataFrame) -> DataFrame:
         .otherwise(F.col("has") == F.col("expected"))
     )
     failed = tested.filter(~holds).select("line_no").distinct()
-    return rules.select("line_no").distinct().join(failed, "line_no", "left_anti")
+    return rules.select("line_no").distinct().join(sorted_side(failed), "line_no", "left_anti")
 
 
 def standard_targets(rules: DataFrame, last: DataFrame) -> DataFrame:
@@ -75,7 +75,7 @@ def standard_targets(rules: DataFrame, last: DataFrame) -> DataFrame:
         "a target's book is in the canon": placed.filter("book IS NULL OR kind = 'raw'").select("line_no"),
         "a target's chapter is a number": placed.filter("lettered").select("line_no"),
         "a range stays in its book": ranges.filter("book <> end_book").select("line_no"),
-        "a range is not empty": ranges.select("line_no", "chapter", "end_chapter").join(bounded.filter("first <= to").select("line_no").distinct(), "line_no", "left_anti"),
+        "a range is not empty": ranges.select("line_no", "chapter", "end_chapter").join(sorted_side(bounded.filter("first <= to").select("line_no").distinct()), "line_no", "left_anti"),
         "the master has a range's chapters": bounded.filter("to IS NULL").select("line_no", "book", "at"),
     })
     # ranges are small and become many verses, so that the size of their table says nothing of the tasks that these take
@@ -97,9 +97,9 @@ def matching_rules(verses: DataFrame, rules: DataFrame) -> DataFrame:
     # most items are one verse and meet it by its place; ranges meet chapter by chapter, and their first and last one by verse
     single = F.col("low") == F.col("high")
     placed = verses.withColumn("__at", at)
-    one = placed.join(spans.filter(single), (F.col("book") == F.col("s_book")) & (F.col("__at") == F.col("low"))).select(*found)
+    one = placed.join(sorted_side(spans.filter(single)), (F.col("book") == F.col("s_book")) & (F.col("__at") == F.col("low"))).select(*found)
     chapters = spans.filter(~single & (F.col("low") < F.col("high"))).withColumn("s_chapter", F.explode(F.sequence(F.floor(F.col("low") / 1000), F.floor(F.col("high") / 1000))))
-    ranged = placed.join(chapters, (F.col("book") == F.col("s_book")) & (F.floor(F.col("__at") / 1000) == F.col("s_chapter")) & F.col("__at").between(F.col("low"), F.col("high"))).select(*found)
+    ranged = placed.join(sorted_side(chapters), (F.col("book") == F.col("s_book")) & (F.floor(F.col("__at") / 1000) == F.col("s_chapter")) & F.col("__at").between(F.col("low"), F.col("high"))).select(*found)
     return one.unionByName(ranged).distinct()
 
 
@@ -109,9 +109,9 @@ def map_verses(verses: DataFrame, rules: DataFrame, known: DataFrame, last: Data
     Rules of one tradition add up. If all traditions agree, or else those that hold the wanted label,
     their targets are it; a verse without rules stays itself; anything else is ambiguous and an error.
     """
-    active = staged(rules.join(active_rules(rules, known), "line_no", "left_semi"), "active")
+    active = staged(rules.join(sorted_side(active_rules(rules, known)), "line_no", "left_semi"), "active")
     targets = standard_targets(active, last).withColumnsRenamed({"book": "t_book", "chapter": "t_chapter", "verse": "t_verse"})
-    met = matching_rules(verses.select("book", "chapter", "verse").distinct(), active).join(targets, "line_no")
+    met = matching_rules(verses.select("book", "chapter", "verse").distinct(), active).join(sorted_side(targets), "line_no")
     keys = ["book", "chapter", "verse"]
     # the whole verse wins over a part of it; of parts that of the earliest line
     part = F.when(F.bool_or(F.col("subverse").isNull()), F.lit(None).cast("string")).otherwise(F.min_by("subverse", "line_no"))
@@ -129,7 +129,7 @@ def map_verses(verses: DataFrame, rules: DataFrame, known: DataFrame, last: Data
     chosen = decided.select(*keys, F.when(F.col("all") == 1, F.col("any_set")).otherwise(F.col("own_set")).alias("set"))
     itself = F.array(F.struct(F.col("book").alias("book"), F.col("chapter").alias("chapter"), F.col("verse").alias("verse"), F.lit(None).cast("string").alias("subverse")))
     mapped = F.transform("set", lambda x: F.struct(x["book"].alias("book"), x["chapter"].alias("chapter"), x["verse"].alias("verse"), x["subverse"].alias("subverse")))
-    return verses.join(chosen, keys, "left").withColumn("targets", F.coalesce(mapped, itself)).drop("set")
+    return verses.join(sorted_side(chosen), keys, "left").withColumn("targets", F.coalesce(mapped, itself)).drop("set")
 
 
 def compare_mappings(left: DataFrame, right: DataFrame, key: str, accepted: DataFrame) -> DataFrame:

@@ -221,3 +221,10 @@ def test_compared_counts_repeats_and_nulls(spark):
     for left, right in ((rows(one, none), rows(one)), (rows(one), rows(one, one)), (rows(one, one, none), rows(one, none, none)), (rows(), rows(none))):
         assert quality.compared(left, right) == (left.count(), False)
     assert quality.compared(rows(), rows()) == (0, True)
+
+
+def test_verses_are_not_broadcast_for_their_texts(spark):
+    from lectern.plans import catalog
+
+    made = catalog.QUERIES["verse_texts_build"](spark, "/root/testdata/sf0.001")
+    assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
