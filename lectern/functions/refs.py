@@ -82,12 +82,16 @@ def hebrew_ref(cell: Column) -> Column:
     return F.when(F.coalesce(cell.rlike(_PLAIN + r"#[0-9]{1,6}=[A-Z]+$"), F.lit(False)), plain).otherwise(_let(_groups(cell, _HEBREW, 7), made))
 
 
-#: A word's place in other editions.
-_OTHERS = r"\[[0-9]+\.[0-9]+\]|\([0-9]+\.[0-9]+\)|\{[0-9]+\.[0-9]+\}"
+#: A word's place in other editions, by its marks.
+_OTHERS = {"kjv": r"\[([0-9]+)\.([0-9]+)\]", "na": r"\(([0-9]+)\.([0-9]+)\)", "alt": r"\{([0-9]+)\.([0-9]+)\}"}
+#: Such places and nothing else, at least one or any number of them, and two of a kind.
+_SOME_OTHERS = rf"(?:{'|'.join(_OTHERS.values())})++"
+_ALL_OTHERS, _REPEAT = rf"^(?:{_SOME_OTHERS})?\z", r"\[.*\[|\(.*\(|\{.*\{"
 
 
-def _beginning(groups: Column, mark: str) -> Column:
-    return F.filter(groups, lambda g: g.startswith(mark))
+def _other_places(text: Column) -> list[Column]:
+    """Chapter and verse of the first place of each kind. What has no such mark isn't searched: a failing cast of an empty string costs more than all the rest."""
+    return [F.when(F.contains(text, F.lit(pattern[1])), F.regexp_extract(text, pattern, at)).try_cast("int").alias(f"{name}_{part}") for name, pattern in _OTHERS.items() for at, part in ((1, "chapter"), (2, "verse"))]
 
 
 def greek_ref(cell: Column) -> Column:
@@ -101,30 +105,28 @@ def greek_ref(cell: Column) -> Column:
 
         def checked(r: Column) -> Column:
             some = r["others"] != ""  # most cells have none, and nothing is searched then
-
-            def told_apart(groups: Column) -> Column:
-                fields, repeated = [], F.lit(False)
-                for name, opening in (("kjv", "["), ("na", "("), ("alt", "{")):
-                    own = _beginning(groups, opening)
-                    place = F.regexp_replace(F.get(own, F.lit(0)), r"[^0-9.]", "")
-                    fields += [F.substring_index(place, ".", at).try_cast("int").alias(f"{name}_{part}") for part, at in (("chapter", 1), ("verse", -1))]
-                    repeated = repeated | (F.size(own) > 1)
-                left = F.length(r["others"]) != F.length(F.array_join(groups, ""))
-                error = (
-                    F.when(~r["ok"], "form").when(some & left, "leftover").when(some & repeated, "repeat")
-                    .when(r["book"]["status"] == "unknown", "book").when(r["chapter"].isNull() | r["verse"].isNull(), "number")
-                )
-                return F.struct(r["book"]["book"].alias("book"), r["book"]["status"].alias("status"), r["chapter"].alias("chapter"), r["verse"].alias("verse"), *fields, number_at(4).alias("position"), part(5).alias("type"), error.alias("error"))
-
-            return _let(F.when(some, F.regexp_extract_all(r["others"], F.lit(_OTHERS), F.lit(0))), told_apart)
+            error = (
+                F.when(~r["ok"], "form").when(some & ~r["others"].rlike(_ALL_OTHERS), "leftover").when(some & r["others"].rlike(_REPEAT), "repeat")
+                .when(r["book"]["status"] == "unknown", "book").when(r["chapter"].isNull() | r["verse"].isNull(), "number")
+            )
+            return F.struct(r["book"]["book"].alias("book"), r["book"]["status"].alias("status"), r["chapter"].alias("chapter"), r["verse"].alias("verse"), *_other_places(r["others"]), number_at(4).alias("position"), part(5).alias("type"), error.alias("error"))
 
         return _let(read, checked)
 
-    book, chapter, verse = _plain(cell)
-    read, none = rule_book(book), F.lit(None).cast("int")
-    others = [none.alias(f"{name}_{part}") for name in ("kjv", "na", "alt") for part in ("chapter", "verse")]
-    plain = F.struct(read["book"].alias("book"), read["status"].alias("status"), chapter.alias("chapter"), verse.alias("verse"), *others, _position(cell).alias("position"), F.substring_index(cell, "=", -1).alias("type"), F.when(read["status"] == "unknown", "book").alias("error"))
-    return F.when(F.coalesce(cell.rlike(_PLAIN + r"#[0-9]{1,6}=[A-Za-z()]+$"), F.lit(False)), plain).otherwise(_let(_groups(cell, _GREEK, 6), made))
+    none = F.lit(None)
+    sound = lambda others: F.coalesce(cell.rlike(_PLAIN + others + r"#[0-9]{1,6}=[A-Za-z()]+$"), F.lit(False))
+
+    def simple(verse: Column, wrong: Column, others: list[Column]) -> Column:
+        """Of a cell that comes apart at its marks."""
+        book, chapter, _ = _plain(cell)
+        read = rule_book(book)
+        error = F.coalesce(wrong, F.when(read["status"] == "unknown", "book"))
+        return F.struct(read["book"].alias("book"), read["status"].alias("status"), chapter.alias("chapter"), verse.alias("verse"), *others, _position(cell).alias("position"), F.substring_index(cell, "=", -1).alias("type"), error.alias("error"))
+
+    plain = simple(_plain(cell)[2], none.cast("string"), [none.cast("int").alias(f"{name}_{part}") for name in _OTHERS for part in ("chapter", "verse")])
+    place = F.substring_index(cell, "#", 1)
+    placed = simple(F.regexp_extract(cell, _PLAIN.replace("[0-9]{1,6}", "([0-9]{1,6})"), 2).try_cast("int"), F.when(place.rlike(_REPEAT), "repeat"), _other_places(place))
+    return F.when(sound(""), plain).when(sound(_SOME_OTHERS), placed).otherwise(_let(_groups(cell, _GREEK, 6), made))
 
 
 def canonical_ref(ref: Column, greek: bool) -> Column:

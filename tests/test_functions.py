@@ -58,6 +58,27 @@ def test_refs(spark):
     assert got[2].r.status == "excluded"
 
 
+def test_greek_refs(spark):
+    cells = {
+        "Mat.1.2#01=NKO": (None, None, None, None), "Mat.17.15[17.14](1.2){3.4}#01=N(K)": ((17, 14), (1, 2), (3, 4), None), "Mat.1.2{3.4}#1=k": (None, None, (3, 4), None),
+        "Mat.1.2[1.2][1.3]#01=N": ((1, 2), None, None, "repeat"), "Mat.1.2[1.2)#01=N": (None, None, None, "leftover"), "Mat.1.2[][3.4]#01=N": ((3, 4), None, None, "leftover"),
+        "Mat.1.2(1.99999999999)#01=N": (None, (1, None), None, None), "Zzz.1.2(3.4)#01=N": (None, (3, 4), None, "book"), "Mat.1.2(1.2)(1.2)#01=N\n": (None, (1, 2), None, "repeat"), "nonsense": (None, None, None, "form"), None: (None, None, None, "form"),
+    }
+    made = spark.createDataFrame([(c,) for c in cells], "c string").select("c", refs.greek_ref(F.col("c")).alias("r")).collect()
+    place = lambda c, v: None if c is None and v is None else (c, v)
+    assert {r.c: (place(r.r.kjv_chapter, r.r.kjv_verse), place(r.r.na_chapter, r.r.na_verse), place(r.r.alt_chapter, r.r.alt_verse), r.r.error) for r in made} == cells
+    codes = ["Gen", "Rev", "Tob", "Zzz", "", "Gen,Exo", "Gen=GEN", ",", None]
+    books = spark.createDataFrame([(c,) for c in codes], "c string").select(ids.rule_book(F.col("c")).alias("b")).collect()
+    assert [tuple(r.b) for r in books] == [("GEN", "known"), ("REV", "known"), (None, "excluded"), *[(None, "unknown")] * 6]
+
+
+def test_refs_are_read_once_a_row(spark):
+    from lectern.plans import catalog
+
+    plan = catalog.QUERIES["ref_parse"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Project") == 2 and plan.count("RLIKE") < 10  # each use of a reference would read it again: 24
+
+
 def test_total_order_is_independent_of_partitions(spark):
     rows = [("PSA_3_1", "GEN_1_1", "tsk"), ("GEN_1_2", "REV_1_1", "manual"), ("GEN_1_2", "REV_1_1", "tsk"), ("GEN_1_10", "EXO_1_1", "tsk")] * 1
     digests = set()
