@@ -6,7 +6,7 @@ fails loudly on what is outside the known vocabulary, and counts what is known a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -61,9 +61,24 @@ def _counted(rows: DataFrame, rule: str, **counts: Column) -> dict[str, int]:
     return found
 
 
-def _placed(kept: DataFrame) -> DataFrame:
-    words = kept.select("line_no", "canonicalId", "lexeme", "strongId", "strongRaw", "morphology", "edition")
-    return spread_position(words, "canonicalId", "line_no").select("canonicalId", "position", "lexeme", "strongId", "strongRaw", "morphology", "edition")
+def _kept(rows: DataFrame, name: str, keep: Column, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """(rows to keep, written once; counts of all rows, taken as they are written). No row may have an error."""
+    seen = Observation()
+    found = rows.observe(seen, F.count(F.lit(1)).alias("word_lines"), F.count("error").alias("wrong"), *[F.count_if(c).alias(n) for n, c in counts.items()])
+    kept = staged(found.filter(keep | F.col("error").isNotNull()).select("line_no", "error", *_WORD), name)
+    stats = dict(seen.get)
+    if stats.pop("wrong"):
+        enforce({"words can be read": kept.filter("error IS NOT NULL").select("line_no", "error").orderBy("line_no")})
+    return kept, stats
+
+
+#: What a tagged word has besides its position.
+_WORD = ("canonicalId", "lexeme", "strongId", "strongRaw", "morphology", "edition")
+
+
+def _placed(kept: DataFrame, rows: int | None = None) -> DataFrame:
+    first, *rest = _WORD
+    return spread_position(kept.select("line_no", *_WORD), first, "line_no", rows=rows).select(first, "position", *rest)
 
 
 def read_hebrew_words(lines: DataFrame) -> tuple[DataFrame, dict[str, int]]:
@@ -85,15 +100,15 @@ def _text(column: str) -> Column:
 
 
 def read_greek_words(lines: DataFrame) -> tuple[DataFrame, dict[str, int]]:
-    """(tagged words, counts): unlike Hebrew ones, an empty lexeme or tag on a word line is an error. Lines are parsed once, to a staged table that counts and words are read from."""
+    """(tagged words, counts): unlike Hebrew ones, an empty lexeme or tag on a word line is an error. Lines are parsed and counted once, as the words are written to a staged table that is read for the result alone."""
     words = cells(lines.filter(F.substring_index("line", "\t", 1).rlike(WORD_LINE)))
     cell = lambda i: F.trim(F.coalesce(F.get("cells", F.lit(i)), F.lit("")))
     rows = words.select("line_no", refs.greek_ref(cell(0)).alias("ref"), cell(1).alias("lexeme"), cell(3).alias("cell")).withColumn("tag", tags.greek_tag(F.col("cell")))
     error = F.coalesce("ref.error", F.when(F.col("lexeme") == "", "lexeme"), F.when(F.col("cell") == "", "tag"), "tag.error", tags.word_type(F.col("ref.type"))["error"])
     rows = rows.select("line_no", error.alias("error"), F.col("ref.status").alias("status"), refs.canonical_ref(F.col("ref"), greek=True).alias("canonicalId"), "lexeme", F.col("tag.root").alias("strongId"), F.col("tag.raw").alias("strongRaw"), F.col("tag.grammar").alias("morphology"), F.col("ref.type").alias("edition"))
-    rows = staged(rows, "greek")
-    stats = _counted(rows, "words can be read", skipped_books=F.col("status") == "excluded")
-    return _placed(rows.filter("status = 'known'")), {**stats, "produced": stats["word_lines"] - stats["skipped_books"]}
+    kept, stats = _kept(rows, "greek", F.col("status") == "known", skipped_books=F.col("status") == "excluded")
+    stats["produced"] = stats["word_lines"] - stats["skipped_books"]
+    return _placed(kept, stats["produced"]), stats
 
 
 def edition_counts(words: DataFrame) -> DataFrame:

@@ -1,11 +1,13 @@
 """What must grow with the input alone, and hold at every size."""
 
+import uuid
+
 import numpy as np
 import pandas as pd
 import pytest
 from lectern.operators import builders
 from lectern.plans import catalog
-from lectern.sources import xml
+from lectern.sources import tabular, xml
 from pyspark.sql import functions as F
 
 
@@ -106,6 +108,46 @@ def test_a_large_group_is_numbered_in_many_tasks(spark):
     assert "row_number" not in made._jdf.queryExecution().optimizedPlan().toString()
 
 
+def _jobs(spark, work):
+    """What work returns, and how many jobs it ran."""
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_greek_words_are_parsed_and_counted_in_one_job(spark):
+    rows = [(n, f"Mat.1.{n % 3 + 1}{'[2.2]' if n % 4 == 0 else ''}#01=NKO\tw{n}\tg\tG0976=N") for n in range(1, 40)] + [(40, "Tob.1.1#01=N\tw\tg\tG0001=N"), (41, "# a note"), (42, None)]
+    (words, stats), jobs = _jobs(spark, lambda: tabular.read_greek_words(spark.createDataFrame(rows, "line_no long, line string")))
+    assert jobs == 1 and stats == {"word_lines": 40, "skipped_books": 1, "produced": 39}
+    ids = [(n, "MAT_2_2" if n % 4 == 0 else f"MAT_1_{n % 3 + 1}") for n in range(1, 40)]
+    want = [(i, [m for m, j in ids if j == i].index(n) + 1, f"w{n}") for n, i in ids]
+    assert sorted(map(tuple, words.select("canonicalId", "position", "lexeme").collect())) == sorted(want)
+    none, stats = tabular.read_greek_words(spark.createDataFrame([], "line_no long, line string"))
+    assert none.count() == 0 and stats == {"word_lines": 0, "skipped_books": 0, "produced": 0}
+
+
+def test_a_large_table_is_sorted_once_and_joined_once(spark):
+    from lectern import scratch
+    from lectern.functions import ordering
+
+    rows = [(None if i % 7 == 0 else "hot" if i % 4 else f"g{i % 12}", None if i % 50 == 0 else i) for i in range(1, 2001)]
+    df = scratch.staged(spark.createDataFrame(rows, "g string, n long").repartition(6), "words")
+    made, jobs = _jobs(spark, lambda: ordering.spread_position(df, "g", "n", small=10, rows=len(rows)))
+    placed = {}
+    for r in sorted(made.collect(), key=lambda r: r.position):
+        placed.setdefault(r.g, []).append((r.position, r.n))
+    assert sum(map(len, placed.values())) == len(rows)
+    for g, found in placed.items():
+        own = sorted((n for h, n in rows if h == g), key=lambda n: (n is not None, n))
+        assert found == [*enumerate(own, 1)]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2 and "Aggregate" not in plan  # the sorted rows and where groups begin, which is written
+    assert jobs <= 7
+
+
 @pytest.mark.parametrize("name", ["exegesis_lookup", "title_rows_union"])
 def test_tasks_grow_with_the_rows(spark, monkeypatch, name):
     from lectern import scratch
