@@ -129,6 +129,14 @@ def test_greek_words_are_parsed_and_counted_in_one_job(spark):
     assert none.count() == 0 and stats == {"word_lines": 0, "skipped_books": 0, "produced": 0}
 
 
+def test_hebrew_words_are_parsed_and_counted_in_one_job(spark):
+    line = lambda n, lexeme="w", book="Gen": (n, "\t".join([f"{book}.1.{n % 3 + 1}#01=L", lexeme, "", "", "H0001", "N", *[""] * 11]))
+    rows = [line(n) for n in range(1, 30)] + [line(30, " "), line(31, book="Tob"), line(32, "", "Tob"), (33, None)]
+    (words, stats), jobs = _jobs(spark, lambda: tabular.read_hebrew_words(spark.createDataFrame(rows, "line_no long, line string")))
+    assert jobs == 1 and stats == {"word_lines": 32, "skipped_books": 2, "skipped_empty": 1, "produced": 29}
+    assert sorted(map(tuple, words.select("canonicalId", "position").collect())) == sorted((f"GEN_1_{n % 3 + 1}", (n + 2) // 3) for n in range(1, 30))
+
+
 def test_a_large_table_is_sorted_once_and_joined_once(spark):
     from lectern import scratch
     from lectern.functions import ordering
